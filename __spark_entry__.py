@@ -10,13 +10,13 @@ from tidemart.oracle.compose import statement
 from tidemart.oracle.feeds import FEED_SQL
 from tidemart.oracle.models import MODEL_SQL
 from tidemart.plans.models import MODELS, Models
-from tidemart.sources.driver_tables import DRIVER_SETTINGS, commerce_tables
+from tidemart.sources.driver_tables import DRIVER_SETTINGS, CommerceFeeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _models(spark: SparkSession, sf_dir: str) -> Models:
-    return Models(commerce_tables(spark, sf_dir), DRIVER_SETTINGS)
+    return Models(spark, CommerceFeeds(spark, sf_dir), DRIVER_SETTINGS)
 
 
 def entry(spark: SparkSession) -> DataFrame:

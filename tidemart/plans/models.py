@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.functions.calendar import date_spine
 from tidemart.plans import analyses, core, customer, intermediate, marketing, reports, staging
@@ -20,12 +20,14 @@ class Models:
 
     def __init__(
         self,
+        spark: SparkSession,
         raw: Mapping[str, DataFrame],
         settings: Settings | None = None,
         stored: Mapping[str, DataFrame] | None = None,
         extra_spend: Sequence[tuple[DataFrame, str]] = (),
     ) -> None:
-        self.raw = dict(raw)
+        self.spark = spark
+        self.raw = raw
         self.settings = settings or Settings()
         self.stored = dict(stored or {})
         # Staged insights of further ad platforms with their labels.
@@ -42,11 +44,6 @@ class Models:
                 self._built[name] = MODELS[name](self)
         return self._built[name]
 
-    @property
-    def spark(self):
-        tables = {**self.raw, **self.stored}
-        return next(iter(tables.values())).sparkSession
-
     @property
     def net_orders(self) -> DataFrame:
         """Orders net of refunds, without customer attributes."""
