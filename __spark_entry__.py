@@ -2,18 +2,39 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.oracle.compose import statement
 from tidemart.oracle.feeds import FEED_SQL
+from tidemart.oracle.loads import LOAD_SQL
 from tidemart.oracle.models import MODEL_SQL
+from tidemart.oracle.quality import quality_sql
+from tidemart.plans import quality, staging
+from tidemart.plans.incremental import refresh_orders, stored_orders
 from tidemart.plans.models import MODELS, Models
-from tidemart.sources.driver_tables import DRIVER_SETTINGS, CommerceFeeds
+from tidemart.session import scratch_path
+from tidemart.sources.driver_tables import (
+    BASE_SCHEMAS,
+    DRIVER_SETTINGS,
+    CommerceFeeds,
+    orders_feed,
+    web_events_feed,
+)
+from tidemart.streaming.orders import order_stream
+from tidemart.streaming.sessions import session_stream, sessions_from_parts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The incremental load starts from the order fact as it stood at this moment.
+EARLIER_RUN = datetime(1999, 1, 1)
+# Reference dates of the checks, set so that some rows fail.
+RULE_DATE = date(2001, 6, 30)
+FRESH_AT = datetime(2001, 12, 31, 12)
+
 
 def _models(spark: SparkSession, sf_dir: str) -> Models:
     return Models(spark, CommerceFeeds(spark, sf_dir), DRIVER_SETTINGS)
@@ -24,16 +45,86 @@ def entry(spark: SparkSession) -> DataFrame:
     return _models(spark, "/root/testdata/sf0.001")["fct_blended_roas"]
 
 
+def _over_models(build: Callable[[Models], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(_models(spark, sf_dir))
+
+
 def _model_query(name: str) -> Query:
-    return lambda spark, sf_dir: _models(spark, sf_dir)[name]
+    return _over_models(lambda m: m[name])
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order fact as an earlier run left it, then brought up to date."""
+    feeds = CommerceFeeds(spark, sf_dir)
+    known_then = {
+        "orders": feeds["orders"].where(f"processed_at < timestamp_ntz'{EARLIER_RUN}'"),
+        "refunds": feeds["refunds"].where(f"created_at < timestamp_ntz'{EARLIER_RUN}'"),
+    }
+    path = scratch_path(spark, "fct_orders")
+    refresh_orders(Models(spark, ChainMap(known_then, feeds), DRIVER_SETTINGS), path)
+    now = Models(spark, feeds, DRIVER_SETTINGS)
+    refresh_orders(now, path)
+    return stored_orders(now, path)
+
+
+def _table_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    reader = spark.readStream.schema(BASE_SCHEMAS[table])
+    return reader.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
+
+
+def _order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models, path = _models(spark, sf_dir), scratch_path(spark, "fct_orders_stream")
+    changes = orders_feed(_table_stream(spark, sf_dir, "orders"))
+    order_stream(models, changes, path, f"{path}-progress").awaitTermination()
+    return stored_orders(models, path)
+
+
+def _session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "web_sessions_stream")
+    events = staging.web_events(web_events_feed(_table_stream(spark, sf_dir, "events")))
+    session_stream(events, path, f"{path}-progress").awaitTermination()
+    return sessions_from_parts(spark.read.parquet(path))
+
+
+CHECKS: dict[str, Callable[[Models], DataFrame]] = {
+    "dq_unique": quality.unique,
+    "dq_not_null": quality.not_null,
+    "dq_accepted_values": quality.accepted_values,
+    "dq_relationships": quality.relationships,
+    "dq_unique_combination": quality.unique_combination,
+    "dq_between": quality.between,
+    "dq_freshness": lambda m: quality.freshness(m, FRESH_AT),
+    "dq_no_future_orders": lambda m: quality.offending(
+        quality.future_orders(m["fct_orders"], RULE_DATE), "fct_orders", "ordered_at"
+    ),
+    "dq_positive_revenue": lambda m: quality.offending(
+        quality.negative_subtotals(m["fct_orders"]), "fct_orders", "order_subtotal"
+    ),
+    "dq_attribution_coverage": lambda m: quality.offending(
+        quality.unattributed_orders(m["fct_orders"]), "fct_orders", "utm_source"
+    ),
+    "dq_month0_retention": lambda m: quality.offending(
+        quality.incomplete_first_months(m["customer_cohort_retention"]),
+        "customer_cohort_retention",
+        "retention_rate",
+    ),
+}
 
 
 def queries() -> dict[str, Query]:
     """One entry per model, report, check and incremental load."""
-    return {name: _model_query(name) for name in MODELS}
+    return {
+        **{name: _model_query(name) for name in MODELS},
+        **{name: _over_models(check) for name, check in CHECKS.items()},
+        "fct_orders_incremental": _incremental,
+        "fct_orders_stream": _order_stream,
+        "web_sessions_stream": _session_stream,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL over the supplied tables."""
-    texts = {**FEED_SQL, **MODEL_SQL}
-    return {name: statement(name, texts, DRIVER_SETTINGS) for name in MODEL_SQL}
+    checks = quality_sql(RULE_DATE, FRESH_AT)
+    texts = {**FEED_SQL, **MODEL_SQL, **LOAD_SQL, **checks}
+    named = [*MODEL_SQL, *LOAD_SQL, *checks]
+    return {name: statement(name, texts, DRIVER_SETTINGS) for name in named if not name.startswith("_")}

@@ -44,12 +44,19 @@ class Models:
                 self._built[name] = MODELS[name](self)
         return self._built[name]
 
+    @property
+    def derived_net_orders(self) -> DataFrame:
+        """Orders net of refunds, always from the feeds."""
+        return self._once(
+            "net_orders", lambda: intermediate.order_net(self["stg_orders"], self["stg_refunds"])
+        )
+
     @property
     def net_orders(self) -> DataFrame:
         """Orders net of refunds, without customer attributes."""
         if "fct_orders" in self.stored:
             return self.stored["fct_orders"]
-        return self._once("net_orders", lambda: intermediate.order_net(self["stg_orders"], self["stg_refunds"]))
+        return self.derived_net_orders
 
     @property
     def economics(self) -> DataFrame:
@@ -59,14 +66,16 @@ class Models:
         return self._once(
             "economics",
             lambda: core.order_economics(
-                self.net_orders, self["stg_order_lines"], self["stg_products"]
+                self.derived_net_orders, self["stg_order_lines"], self["stg_products"]
             ),
         )
 
     @property
     def member_orders(self) -> DataFrame:
         """The cheapest table that has customer, time and UTM fields per order."""
-        return self.stored.get("fct_orders", self["stg_orders"])
+        if "fct_orders" in self.stored:
+            return self.stored["fct_orders"]
+        return self["stg_orders"]
 
     @property
     def spend_platforms(self) -> list[tuple[DataFrame, str]]:
@@ -98,7 +107,9 @@ STAGING: dict[str, Callable[[Models], DataFrame]] = {
 }
 
 INTERMEDIATE: dict[str, Callable[[Models], DataFrame]] = {
-    "int_orders_joined": lambda m: intermediate.orders_joined(m.net_orders, m["stg_customers"]),
+    "int_orders_joined": lambda m: intermediate.orders_joined(
+        m.derived_net_orders, m["stg_customers"]
+    ),
     "int_customer_order_history": lambda m: intermediate.customer_order_history(m.net_orders),
     "int_unified_spend": lambda m: intermediate.unified_spend(m.spend_platforms, m["stg_ad_campaigns"]),
     "int_sessions_attributed": lambda m: intermediate.sessions_attributed(
