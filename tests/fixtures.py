@@ -5,6 +5,8 @@ from __future__ import annotations
 from datetime import date, datetime
 from decimal import Decimal
 
+from pyspark.sql.types import StructType
+
 from tidemart.plans.models import Models
 from tidemart.settings import Settings
 from tidemart.sources.schemas import RAW_SCHEMAS
@@ -38,7 +40,7 @@ def _value(field, row):
 
 
 def feed(spark, table, rows):
-    schema = RAW_SCHEMAS[table]
+    schema = StructType.fromDDL(RAW_SCHEMAS[table])
     for row in rows:
         unknown = set(row) - set(schema.names)
         assert not unknown, unknown

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # Table names, columns and types of the raw feeds, grouped by source system.
 _FEEDS: dict[str, dict[str, str]] = {
     "commerce": {
@@ -56,8 +54,8 @@ _FEEDS: dict[str, dict[str, str]] = {
     },
 }
 
-RAW_SCHEMAS: dict[str, T.StructType] = {
-    table: T.StructType.fromDDL(ddl) for feed in _FEEDS.values() for table, ddl in feed.items()
+RAW_SCHEMAS: dict[str, str] = {
+    table: ddl for feed in _FEEDS.values() for table, ddl in feed.items()
 }
 
 RAW_TABLE_GROUP: dict[str, str] = {
