@@ -19,14 +19,21 @@ ADAPTIVE = {
 
 def local_session(cores: int | str = 8, app_name: str = "tidemart", **conf: str) -> SparkSession:
     """A single-JVM session for tests and the local bench."""
+    defaults = {
+        **ADAPTIVE,
+        "spark.sql.shuffle.partitions": str(cores),
+        # Recording a Python call site per column expression costs more than planning it.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+        "spark.sql.dataFrameQueryContext.enabled": "false",
+    }
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
-        .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in {**ADAPTIVE, **conf}.items():
+    for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
