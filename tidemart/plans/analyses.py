@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.columns import (
     MONEY_SUM,
+    cents,
     count_if,
+    money,
     month_start,
     ratio_of_sums,
     ratio_or_null,
@@ -34,20 +36,20 @@ def monthly_business_review(
     per_day = economics.groupBy("customer_id", "order_date").agg(
         F.count(F.lit(1)).alias("orders"),
         F.count("order_subtotal").alias("priced_orders"),
-        sum_money("order_subtotal").alias("gross"),
-        sum_money("net_subtotal_after_refunds").alias("net"),
-        sum_money("contribution_margin").alias("margin"),
+        F.sum(cents("order_subtotal")).alias("gross"),
+        F.sum(cents("net_subtotal_after_refunds")).alias("net"),
+        F.sum(cents("contribution_margin")).alias("margin"),
     )
     dated = with_first_value(per_day, "order_date", "first_order_date", has_guests=True)
     first, day = F.col("first_order_date"), F.col("order_date")
     monthly = dated.groupBy(month_start("order_date").alias("month_start_date")).agg(
-        sum_money("gross").alias("gross_revenue"),
-        sum_money("net").alias("net_revenue"),
-        sum_money("margin").alias("contribution_margin"),
+        money(F.sum("gross")).alias("gross_revenue"),
+        money(F.sum("net")).alias("net_revenue"),
+        money(F.sum("margin")).alias("contribution_margin"),
         F.sum("orders").alias("orders"),
         count_if(first == day).alias("new_customers"),
         F.coalesce(F.sum(F.when(first < day, F.col("orders"))), F.lit(0)).alias("repeat_orders"),
-        F.coalesce(ratio_of_sums(F.sum("gross"), F.sum("priced_orders")), F.lit(0.0)).alias("aov"),
+        F.coalesce(ratio_of_sums(money(F.sum("gross")), F.sum("priced_orders")), F.lit(0.0)).alias("aov"),
     )
     months = calendar.select("month_start_date").distinct()
     ad_spend = F.coalesce(F.col("ad_spend"), F.lit(0)).cast(MONEY_SUM)

@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import (
-    MONEY_SUM,
+    cents,
     days_between,
+    money,
     month_start,
     month_starts_between,
     ratio_or_null,
-    sum_money,
 )
 from tidemart.operators.quantiles import ntile_scores
 from tidemart.plans.intermediate import with_first_value
@@ -33,8 +33,8 @@ def customer_ltv(economics: DataFrame) -> DataFrame:
         economics.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id", "order_date")
         .agg(
-            sum_money("net_subtotal_after_refunds").alias("revenue"),
-            sum_money("contribution_margin").alias("margin"),
+            F.sum(cents("net_subtotal_after_refunds")).alias("revenue"),
+            F.sum(cents("contribution_margin")).alias("margin"),
         )
     )
     dated = with_first_value(per_day, "order_date", "first_order_date").withColumn(
@@ -43,25 +43,25 @@ def customer_ltv(economics: DataFrame) -> DataFrame:
 
     def within(measure: str, days: int) -> Column:
         inside = F.when(F.col("age") <= days, F.col(measure)).otherwise(0)
-        return F.sum(inside).cast(MONEY_SUM).alias(f"ltv_{measure}_{days}d")
+        return money(F.sum(inside)).alias(f"ltv_{measure}_{days}d")
 
     return dated.groupBy("customer_id", "first_order_date").agg(
-        sum_money("revenue").alias("ltv_revenue_total"),
-        sum_money("margin").alias("ltv_margin_total"),
+        money(F.sum("revenue")).alias("ltv_revenue_total"),
+        money(F.sum("margin")).alias("ltv_margin_total"),
         *[within("revenue", days) for days in REVENUE_WINDOWS],
         *[within("margin", days) for days in MARGIN_WINDOWS],
     )
 
 
 def customer_months(economics: DataFrame) -> DataFrame:
-    """One row per customer and active month, with the customer's cohort month."""
+    """One row per customer and active month, with the cohort month. Amounts are in cents."""
     per_month = (
         economics.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id", month_start("order_date").alias("activity_month"))
         .agg(
             F.count(F.lit(1)).alias("orders"),
-            sum_money("net_subtotal_after_refunds").alias("revenue"),
-            sum_money("contribution_margin").alias("margin"),
+            F.sum(cents("net_subtotal_after_refunds")).alias("revenue"),
+            F.sum(cents("contribution_margin")).alias("margin"),
         )
     )
     return with_first_value(per_month, "activity_month", "cohort_month")
@@ -75,8 +75,8 @@ def cohort_months(months: DataFrame) -> DataFrame:
     """
     grouped = months.groupBy("cohort_month", "activity_month").agg(
         F.count(F.lit(1)).alias("active_customers"),
-        sum_money("revenue").alias("revenue"),
-        sum_money("margin").alias("margin"),
+        money(F.sum("revenue")).alias("revenue"),
+        money(F.sum("margin")).alias("margin"),
         F.sum("orders").alias("orders"),
     )
     first_month = F.when(

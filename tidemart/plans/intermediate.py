@@ -14,7 +14,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.functions.columns import MONEY, MONEY_SUM, mean, sum_money, zero_if_null
+from tidemart.functions.columns import (
+    MONEY,
+    cents,
+    mean_money,
+    money,
+    sum_money,
+    zero_if_null,
+)
 from tidemart.plans.staging import ADS_PLATFORM, FUNNEL_EVENTS, SESSION_KEY
 
 ORDERS_JOINED_COLUMNS = (
@@ -30,7 +37,7 @@ ORDERS_JOINED_COLUMNS = (
 def order_net(orders: DataFrame, refunds: DataFrame) -> DataFrame:
     """Orders with refunds rolled up first, so several refunds never multiply an order."""
     rolled = refunds.groupBy("order_id").agg(
-        F.sum("refund_amount").cast(MONEY).alias("refunded"),
+        sum_money("refund_amount").cast(MONEY).alias("refunded"),
         F.count(F.lit(1)).alias("refunds"),
     )
     refunded = F.coalesce(F.col("refunded"), F.lit(0)).cast(MONEY)
@@ -62,14 +69,14 @@ def orders_joined(net: DataFrame, customers: DataFrame) -> DataFrame:
 
 def line_costs(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Cost of goods, line count and units per order; an unknown cost counts as zero."""
-    costs = products.select("product_id", "product_cost")
-    cost = F.col("quantity") * F.coalesce(F.col("product_cost"), F.lit(0))
+    costs = products.select("product_id", cents("product_cost").alias("unit_cents"))
+    line_cents = F.col("quantity") * F.coalesce(F.col("unit_cents"), F.lit(0))
     return (
         lines.select("order_id", "product_id", "quantity")
         .join(costs, "product_id", "left")
         .groupBy("order_id")
         .agg(
-            F.sum(cost).cast(MONEY).alias("order_cogs"),
+            money(F.sum(line_cents)).cast(MONEY).alias("order_cogs"),
             F.count(F.lit(1)).alias("line_count"),
             F.sum("quantity").alias("units_ordered"),
         )
@@ -107,7 +114,7 @@ def customer_order_history(net: DataFrame) -> DataFrame:
         sum_money("net_subtotal_after_refunds").alias("lifetime_net_subtotal"),
         sum_money("order_total").alias("lifetime_order_total"),
         sum_money("refund_amount").alias("lifetime_refund_amount"),
-        mean("order_subtotal").alias("average_order_value"),
+        mean_money("order_subtotal").alias("average_order_value"),
         F.min("ordered_at").alias("first_ordered_at"),
         F.min("order_date").alias("first_order_date"),
         first.alias("first"),
@@ -156,10 +163,8 @@ SPEND_MEASURES = ("impressions", "clicks", "spend", "reported_conversions", "rep
 
 
 def _spend_total(measure: str) -> Column:
-    total = F.sum(measure)
-    if measure in ("spend", "reported_conversion_value"):
-        total = total.cast(MONEY_SUM)
-    return total.alias(measure)
+    is_money = measure in ("spend", "reported_conversion_value")
+    return (sum_money(measure) if is_money else F.sum(measure)).alias(measure)
 
 
 def unioned_spend(platforms: Sequence[tuple[DataFrame, str]]) -> DataFrame:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.columns import (
     MONEY_SUM,
+    cents,
     count_if,
+    money,
     ratio_or_null,
     ratio_or_zero,
     sum_money,
@@ -25,12 +27,12 @@ def last_touch_revenue(economics: DataFrame) -> DataFrame:
     """
     cell = ["order_date", "utm_source", "utm_campaign"]
     per_customer = economics.groupBy("customer_id", *cell).agg(
-        sum_money("net_subtotal_after_refunds").alias("revenue"),
+        F.sum(cents("net_subtotal_after_refunds")).alias("revenue_cents"),
         F.count(F.lit(1)).alias("orders"),
     )
     dated = with_first_value(per_customer, "order_date", "first_order_date", has_guests=True)
     return dated.groupBy(*cell).agg(
-        sum_money("revenue").alias("last_touch_revenue"),
+        money(F.sum("revenue_cents")).alias("last_touch_revenue"),
         F.sum("orders").alias("last_touch_orders"),
         count_if(F.col("first_order_date") == F.col("order_date")).alias("last_touch_new_customers"),
     )

@@ -12,6 +12,7 @@ from tidemart.functions.columns import (
     MONEY_SUM,
     count_if,
     mean,
+    mean_money,
     mean_of_ratios,
     month_start,
     ratio_of_sums,
@@ -34,16 +35,16 @@ def _unpivot(
 
 
 def headline_kpis(fct_orders: DataFrame) -> DataFrame:
-    gross, net = F.sum("order_subtotal"), F.sum("net_subtotal_after_refunds")
-    margin = F.sum("contribution_margin")
+    gross, net = sum_money("order_subtotal"), sum_money("net_subtotal_after_refunds")
+    margin = sum_money("contribution_margin")
     return fct_orders.agg(
-        net.cast(MONEY_SUM).alias("net_revenue"),
-        margin.cast(MONEY_SUM).alias("contribution_margin"),
+        net.alias("net_revenue"),
+        margin.alias("contribution_margin"),
         ratio_of_sums(margin, net).alias("cm_pct"),
         (gross - net).cast(MONEY_SUM).alias("refund_amount"),
         F.count("order_id").alias("orders"),
         F.countDistinct("customer_id").alias("customers"),
-        mean("order_subtotal").alias("aov"),
+        mean_money("order_subtotal").alias("aov"),
     )
 
 
@@ -52,12 +53,12 @@ def total_spend(performance: DataFrame) -> DataFrame:
 
 
 def blended_totals(blended: DataFrame) -> DataFrame:
-    revenue, spend = F.sum("total_revenue"), F.sum("total_spend")
+    revenue, spend = sum_money("total_revenue"), sum_money("total_spend")
     return blended.agg(
-        revenue.cast(MONEY_SUM).alias("total_revenue"),
-        spend.cast(MONEY_SUM).alias("total_spend"),
+        revenue.alias("total_revenue"),
+        spend.alias("total_spend"),
         ratio_of_sums(revenue, spend).alias("blended_roas"),
-        ratio_of_sums(F.sum("total_contribution_margin"), spend).alias("cm_mer"),
+        ratio_of_sums(sum_money("total_contribution_margin"), spend).alias("cm_mer"),
     )
 
 
@@ -90,12 +91,12 @@ def channel_split(last_touch: DataFrame) -> DataFrame:
 
 
 def marketing_totals(performance: DataFrame) -> DataFrame:
-    spend = F.sum("spend")
-    platform, last_touch = F.sum("platform_reported_revenue"), F.sum("last_touch_revenue")
+    spend = sum_money("spend")
+    platform, last_touch = sum_money("platform_reported_revenue"), sum_money("last_touch_revenue")
     return performance.agg(
-        spend.cast(MONEY_SUM).alias("total_spend"),
-        platform.cast(MONEY_SUM).alias("platform_reported_revenue"),
-        last_touch.cast(MONEY_SUM).alias("last_touch_revenue"),
+        spend.alias("total_spend"),
+        platform.alias("platform_reported_revenue"),
+        last_touch.alias("last_touch_revenue"),
         ratio_of_sums(platform, spend).alias("platform_reported_roas"),
         ratio_of_sums(last_touch, spend).alias("last_touch_roas"),
     )
@@ -103,7 +104,7 @@ def marketing_totals(performance: DataFrame) -> DataFrame:
 
 def blended_single(blended: DataFrame) -> DataFrame:
     return blended.agg(
-        ratio_of_sums(F.sum("total_revenue"), F.sum("total_spend")).alias("blended_roas")
+        ratio_of_sums(sum_money("total_revenue"), sum_money("total_spend")).alias("blended_roas")
     )
 
 
@@ -126,17 +127,17 @@ def roas_long(blended: DataFrame) -> DataFrame:
 
 
 def by_campaign(performance: DataFrame) -> DataFrame:
-    spend, clicks = F.sum("spend"), F.sum("clicks")
-    platform, last_touch = F.sum("platform_reported_revenue"), F.sum("last_touch_revenue")
+    spend, clicks = sum_money("spend"), F.sum("clicks")
+    platform, last_touch = sum_money("platform_reported_revenue"), sum_money("last_touch_revenue")
     return (
         performance.groupBy("campaign_name")
         .agg(
-            spend.cast(MONEY_SUM).alias("spend"),
+            spend.alias("spend"),
             F.sum("impressions").alias("impressions"),
             clicks.alias("clicks"),
             ratio_of_sums(spend, clicks).alias("cpc"),
-            platform.cast(MONEY_SUM).alias("platform_revenue"),
-            last_touch.cast(MONEY_SUM).alias("last_touch_revenue"),
+            platform.alias("platform_revenue"),
+            last_touch.alias("last_touch_revenue"),
             ratio_of_sums(platform, spend).alias("platform_roas"),
             ratio_of_sums(last_touch, spend).alias("last_touch_roas"),
         )
@@ -162,7 +163,7 @@ def customer_kpis(dim_customers: DataFrame) -> DataFrame:
         repeaters.alias("repeat_customers"),
         ratio_of_sums(repeaters, customers).alias("repeat_rate"),
         mean_of_ratios("average_order_value").alias("avg_aov"),
-        mean("lifetime_net_revenue").alias("avg_ltv"),
+        mean_money("lifetime_net_revenue").alias("avg_ltv"),
     )
 
 
@@ -183,8 +184,8 @@ def ltv_by_channel(dim_customers: DataFrame, ltv: DataFrame) -> DataFrame:
         .groupBy(F.coalesce("acquisition_source", F.lit("(unknown)")).alias("acquisition_source"))
         .agg(
             F.count("customer_id").alias("customers"),
-            mean("ltv_revenue_total").alias("avg_ltv"),
-            mean("ltv_margin_total").alias("avg_margin_ltv"),
+            mean_money("ltv_revenue_total").alias("avg_ltv"),
+            mean_money("ltv_margin_total").alias("avg_margin_ltv"),
         )
         .orderBy(F.desc("avg_ltv"))
     )
@@ -206,7 +207,7 @@ def rfm_segments(rfm: DataFrame) -> DataFrame:
         rfm.groupBy("rfm_segment")
         .agg(
             F.count(F.lit(1)).alias("customers"),
-            mean("monetary").alias("avg_monetary"),
+            mean_money("monetary").alias("avg_monetary"),
             mean("recency_days").alias("avg_recency_days"),
         )
         .orderBy(F.desc("customers"))
@@ -217,13 +218,13 @@ def rfm_segments(rfm: DataFrame) -> DataFrame:
 
 
 def order_kpis(fct_orders: DataFrame) -> DataFrame:
-    net = F.sum("net_subtotal_after_refunds")
+    net = sum_money("net_subtotal_after_refunds")
     return fct_orders.agg(
         F.count("order_id").alias("orders"),
-        net.cast(MONEY_SUM).alias("net_revenue"),
-        mean("order_subtotal").alias("aov"),
-        ratio_of_sums(F.sum("refund_amount"), F.sum("order_subtotal")).alias("refund_rate"),
-        ratio_of_sums(F.sum("contribution_margin"), net).alias("cm_pct"),
+        net.alias("net_revenue"),
+        mean_money("order_subtotal").alias("aov"),
+        ratio_of_sums(sum_money("refund_amount"), sum_money("order_subtotal")).alias("refund_rate"),
+        ratio_of_sums(sum_money("contribution_margin"), net).alias("cm_pct"),
     )
 
 
@@ -233,7 +234,7 @@ def daily_orders(fct_orders: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("orders"),
             sum_money("net_subtotal_after_refunds").alias("net_revenue"),
-            mean("order_subtotal").alias("aov"),
+            mean_money("order_subtotal").alias("aov"),
         )
         .orderBy("order_date")
     )
@@ -247,14 +248,14 @@ def product_revenue(order_items: DataFrame, dim_products: DataFrame) -> DataFram
         sum_money("line_gross_margin").alias("margin"),
     )
     titles = dim_products.select("product_id", "product_title", "product_type")
-    revenue, margin = F.sum("revenue"), F.sum("margin")
+    revenue, margin = sum_money("revenue"), sum_money("margin")
     return (
         per_product.join(titles, "product_id")
         .groupBy("product_title", "product_type")
         .agg(
             F.sum("units").alias("units_sold"),
-            revenue.cast(MONEY_SUM).alias("net_revenue"),
-            margin.cast(MONEY_SUM).alias("gross_margin"),
+            revenue.alias("net_revenue"),
+            margin.alias("gross_margin"),
             ratio_of_sums(margin, revenue).alias("margin_pct"),
         )
         .orderBy(F.desc("net_revenue"))
@@ -262,12 +263,12 @@ def product_revenue(order_items: DataFrame, dim_products: DataFrame) -> DataFram
 
 
 def product_margin(order_items: DataFrame) -> DataFrame:
-    revenue, margin = F.sum("net_line_revenue"), F.sum("line_gross_margin")
+    revenue, margin = sum_money("net_line_revenue"), sum_money("line_gross_margin")
     return (
         order_items.groupBy("product_title")
         .agg(
-            revenue.cast(MONEY_SUM).alias("net_revenue"),
-            margin.cast(MONEY_SUM).alias("gross_margin"),
+            revenue.alias("net_revenue"),
+            margin.alias("gross_margin"),
             ratio_of_sums(margin, revenue).alias("margin_pct"),
         )
         .orderBy(F.desc("gross_margin"))

@@ -20,6 +20,7 @@ from tidemart.functions.columns import (
     normalize_email,
     ratio_or_null,
     ratio_or_zero,
+    sum_money,
     zero_if_null,
 )
 
@@ -274,7 +275,7 @@ def web_sessions(events: DataFrame) -> DataFrame:
         first.alias("first"),
         *[flag_any(named == name).alias(f"had_{name}") for name in FUNNEL_EVENTS],
         F.count(F.when(named == "page_view", 1)).alias("page_view_count"),
-        F.sum(purchase_value).cast(MONEY).alias("purchase_value"),
+        sum_money(purchase_value).cast(MONEY).alias("purchase_value"),
     )
     return grouped.select(
         *SESSION_KEY,

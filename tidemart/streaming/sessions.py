@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.functions.columns import MONEY, flag_any
+from tidemart.functions.columns import MONEY, flag_any, sum_money
 from tidemart.operators.upsert import upsert_table
 from tidemart.plans.staging import FUNNEL_EVENTS, SESSION_KEY
 
@@ -46,7 +46,7 @@ def session_parts(events: DataFrame, lateness: str) -> DataFrame:
             F.max("ga_session_number").alias("number"),
             *[flag_any(named == name).alias(f"had_{name}") for name in FUNNEL_EVENTS],
             F.count(F.when(named == "page_view", 1)).alias("page_views"),
-            F.sum(value).cast(MONEY).alias("purchases"),
+            sum_money(value).cast(MONEY).alias("purchases"),
         )
     )
     return grouped.drop("day")
@@ -61,7 +61,7 @@ def sessions_from_parts(parts: DataFrame) -> DataFrame:
         F.max("number").alias("session_number"),
         *[F.max(f"had_{name}").alias(f"had_{name}") for name in FUNNEL_EVENTS],
         F.sum("page_views").alias("page_view_count"),
-        F.sum("purchases").cast(MONEY).alias("purchase_value"),
+        sum_money("purchases").cast(MONEY).alias("purchase_value"),
     )
     return rolled.select(
         *SESSION_KEY,
