@@ -81,7 +81,10 @@ def _order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "web_sessions_stream")
-    events = staging.web_events(web_events_feed(_table_stream(spark, sf_dir, "events")))
+    # One state partition per core; the caller's shuffle width is left alone.
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    events = staging.web_events(web_events_feed(_table_stream(session, sf_dir, "events")))
     session_stream(events, path, f"{path}-progress").awaitTermination()
     return sessions_from_parts(spark.read.parquet(path))
 

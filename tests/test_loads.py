@@ -2,7 +2,7 @@
 
 from decimal import Decimal
 
-from fixtures import SETTINGS, feed, models, order, rows
+from fixtures import feed, models, order, rows
 from parity import kind
 
 from tidemart.plans import staging, warehouse

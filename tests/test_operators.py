@@ -160,3 +160,12 @@ def test_upsert_table_keeps_rows_without_a_partition(spark, tmp_path):
     apply(spark, path, [(1, 1, None, "one"), (2, 1, None, "two")])
     got = apply(spark, path, [(1, 2, None, "ONE")])
     assert got == [(1, 2, None, "ONE"), (2, 1, None, "two")]
+
+
+def test_upsert_table_with_fixed_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = [(1, 5, "a", "one"), (2, 5, "b", "two")]
+    apply(spark, path, first, version="ver", rows_move=False)
+    changes = [(1, 4, "a", "old"), (2, 6, "b", "TWO"), (3, 1, "c", "three")]
+    got = apply(spark, path, changes, version="ver", rows_move=False)
+    assert got == [(1, 5, "a", "one"), (2, 6, "b", "TWO"), (3, 1, "c", "three")]

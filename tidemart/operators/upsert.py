@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,7 +49,7 @@ def write_partitioned(rows: DataFrame, path: str, partition: str, replace_all: b
     ).partitionBy(partition).parquet(path)
 
 
-def _in(column: str, values: Sequence) -> Column:
+def _in(column: str, values: Collection) -> Column:
     known = [v for v in values if v is not None]
     condition = F.col(column).isin(*known) if known else F.lit(False)
     return condition | F.col(column).isNull() if None in values else condition
@@ -61,13 +61,17 @@ def upsert_table(
     key: Sequence[str],
     partition: str,
     version: str | None = None,
+    rows_move: bool | None = None,
 ) -> None:
     """Apply ``changes`` (one row per key) to the table at ``path``.
 
     Only partitions that hold a changed row, before or after the change, are read in full
-    and rewritten; finding them scans the key columns alone. Applying the same changes
-    twice leaves the same table. With ``version``, a change older than the stored row is
-    dropped, so a late replay cannot undo a newer one.
+    and rewritten. Finding where changed rows were before scans the key columns of the
+    whole table; that scan is skipped when ``rows_move`` is False, which is safe if a key
+    never changes its partition and is assumed when the partition column is part of the key.
+
+    Applying the same changes twice leaves the same table. With ``version``, a change older
+    than the stored row is dropped, so a late replay cannot undo a newer one.
 
     Partitions are replaced one after the other at commit, so readers should wait for the
     call to return; a failed call is repaired by repeating it.
@@ -78,32 +82,44 @@ def upsert_table(
         write_partitioned(changes, path, partition, replace_all=True)
         return
     key = list(key)
+    if rows_move is None:
+        rows_move = partition not in key
     checkpoint_root(spark)
     # Several jobs below read the changes, and their plan may read the table being rewritten.
     changes = changes.checkpoint()
+    # One value per partition of the table, which is bounded by the calendar.
+    after = _partitions(changes, partition)
+    candidates = existing if rows_move else existing.where(_in(partition, after))
     if version is not None:
-        stored = existing.select(*key, F.col(version).alias("stored_version"))
+        stored = candidates.select(*key, F.col(version).alias("stored_version"))
         changes = (
             changes.join(stored, key, "left")
             .where(F.col("stored_version").isNull() | (F.col(version) >= F.col("stored_version")))
             .drop("stored_version")
             .checkpoint()
         )
-    left = existing.join(changes.select(*key), key, "left_semi").select(partition).distinct()
-    entered = changes.select(partition).distinct()
-    # One value per partition of the table, which is bounded by the calendar.
-    before = {row[0] for row in left.collect()}
-    after = {row[0] for row in entered.collect()}
-    touched = list(before | after)
+        after = _partitions(changes, partition)
+    before = set()
+    if rows_move:
+        replaced = existing.join(changes.select(*key), key, "left_semi")
+        before = _partitions(replaced, partition)
+    touched = before | after
     if not touched:
         return
     merged = upsert_rows(existing.where(_in(partition, touched)), changes, key)
     vacated = before - after
     if vacated:
-        still_held = merged.where(_in(partition, list(vacated))).select(partition).distinct()
-        vacated -= {row[0] for row in still_held.collect()}
+        vacated -= _partitions(merged.where(_in(partition, vacated)), partition)
     write_partitioned(merged, path, partition, replace_all=False)
     # Overwriting by partition leaves one whose last row moved elsewhere as it was.
     for value in vacated:
         nothing = existing.where(F.lit(False)).drop(partition)
-        nothing.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
+        nothing.write.mode("overwrite").parquet(f"{path}/{_folder(partition, value)}")
+
+
+def _partitions(rows: DataFrame, partition: str) -> set:
+    return {row[0] for row in rows.select(partition).distinct().collect()}
+
+
+def _folder(partition: str, value) -> str:
+    return f"{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"

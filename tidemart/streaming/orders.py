@@ -11,19 +11,28 @@ from tidemart.plans.incremental import ORDER_MONTH, order_rows, with_order_month
 from tidemart.plans.models import Models
 
 
-def apply_order_changes(models: Models, raw_orders: DataFrame, path: str) -> None:
+def apply_order_changes(
+    models: Models, raw_orders: DataFrame, path: str, dates_change: bool = True
+) -> None:
     """Upsert one batch of raw order changes; several changes of an order keep the newest.
 
     Replaying a batch writes the same rows again, and a batch that arrives late does not
-    replace a row processed after it.
+    replace a row processed after it. Where the feed never changes the creation date of an
+    order, unset ``dates_change``: each batch then only reads the months it touches.
     """
     newest = latest_per_key(staging.orders(raw_orders), ["order_id"], "processed_at")
     rows = with_order_month(order_rows(models, newest))
-    upsert_table(rows, path, ["order_id"], ORDER_MONTH, version="processed_at")
+    upsert_table(
+        rows, path, ["order_id"], ORDER_MONTH, version="processed_at", rows_move=dates_change
+    )
 
 
 def order_stream(
-    models: Models, raw_orders: DataFrame, path: str, checkpoint: str
+    models: Models,
+    raw_orders: DataFrame,
+    path: str,
+    checkpoint: str,
+    dates_change: bool = True,
 ) -> StreamingQuery:
     """Start applying a streaming feed of raw order rows to the order fact at ``path``.
 
@@ -33,7 +42,7 @@ def order_stream(
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
         if not batch.isEmpty():
-            apply_order_changes(models, batch, path)
+            apply_order_changes(models, batch, path, dates_change)
 
     return (
         raw_orders.writeStream.foreachBatch(apply)

@@ -81,7 +81,11 @@ def sessions_from_parts(parts: DataFrame) -> DataFrame:
 def session_stream(
     staged_events: DataFrame, path: str, checkpoint: str, lateness: str = "2 days"
 ) -> StreamingQuery:
-    """Start folding a stream of staged web events into the partials at ``path``."""
+    """Start folding a stream of staged web events into the partials at ``path``.
+
+    State is spread over as many partitions as ``spark.sql.shuffle.partitions`` says when
+    the query first starts; that number stays with the checkpoint.
+    """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
         if not batch.isEmpty():
