@@ -74,6 +74,8 @@ def test_catalog_build_keeps_names_and_comments(spark, sf_dir):
     assert spark.table("marts_marketing.fct_blended_roas").count() == 2556
     described = {r["col_name"]: r["comment"] for r in spark.sql("describe marts_core.fct_orders").collect()}
     assert "refunds" in described["net_subtotal_after_refunds"]
+    extended = {r["col_name"]: r["data_type"] for r in spark.sql("describe extended marts_marketing.fct_attribution_first_touch").collect()}
+    assert "customer's first-order channel" in extended["Comment"]
     email = spark.table("marts_core.dim_customers").schema["email"]
     assert email.metadata.get("contains_pii") is True
     assert built["fct_orders"].columns == list(FCT_ORDERS_COLUMNS)

@@ -52,6 +52,13 @@ def test_ntile_several_scores_at_once(spark):
     assert {r["id"]: (r["down"], r["up"]) for r in scored} == {i: (down[i], up[i]) for i, *_ in data}
 
 
+def test_ntile_ranks_nulls_last(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 1)], "id int, v int")
+    scored = ntile_scores(df, "id", {"down": ("v", False), "up": ("v", True)}, 3)
+    got = {r["id"]: (r["v"], r["down"], r["up"]) for r in scored.collect()}
+    assert got == {1: (None, 3, 3), 2: (5, 1, 2), 3: (1, 2, 1)}
+
+
 def test_ntile_has_no_single_partition_step(spark):
     df = spark.range(10_000).select(F.col("id"), (F.col("id") % 3).cast("int").alias("v"))
     plan = ntile_scores(df, "id", {"s": ("v", True)}, 5)._jdf.queryExecution().toString()

@@ -30,7 +30,7 @@ def ntile_scores(
 
     ``key`` must be unique; it breaks ties, which makes every score reproducible and lets
     the range partitioning cut through a value that many rows share. The score columns
-    must be numeric and not null.
+    must be numeric with at most two decimals; nulls rank last either way.
 
     All scores are ranked by one range-partitioned sort. Row positions are fixed by a
     reliable checkpoint; one count per partition (never per row) reaches the driver to
@@ -53,7 +53,7 @@ def ntile_scores(
     ]
     placed = (
         df.select(key, F.inline(F.array(*entries)))
-        .orderBy("which", "value", key)
+        .orderBy("which", F.col("value").asc_nulls_last(), key)
         .withColumn("position", F.monotonically_increasing_id())
         .checkpoint()
     )

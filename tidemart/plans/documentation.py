@@ -1,4 +1,4 @@
-"""Column documentation carried in the schema and, for catalog tables, as comments."""
+"""Documentation carried in the schema and, for catalog tables, as comments."""
 
 from __future__ import annotations
 
@@ -28,6 +28,21 @@ COLUMN_COMMENTS: dict[str, str] = {
     "line_gross_margin": "Net line revenue less cost of goods.",
 }
 
+TABLE_COMMENTS: dict[str, str] = {
+    "fct_orders": "One row per order: revenue net of refunds, cost of goods and margin.",
+    "fct_order_items": "One row per order line with product cost and gross margin.",
+    "dim_customers": "One row per customer with identity, geography and lifetime totals.",
+    "dim_products": "One row per product with price, cost and margin.",
+    "dim_dates": "One row per day of the project's calendar.",
+    "fct_marketing_performance": "Daily spend per campaign beside platform-reported and UTM-matched revenue.",
+    "fct_attribution_first_touch": "Each member order credited to the customer's first-order channel.",
+    "fct_attribution_last_touch": "Each order credited to its own channel.",
+    "fct_blended_roas": "All revenue against all paid spend per day.",
+    "customer_ltv": "Revenue and margin per customer within day windows after the first order.",
+    "customer_cohort_retention": "Acquisition month by active month: customers, revenue and retention.",
+    "customer_rfm": "Recency, frequency and monetary quintiles with a lifecycle segment.",
+}
+
 PERSONAL_DATA = frozenset({"email", "phone", "customer_email"})
 
 

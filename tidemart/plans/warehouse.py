@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.columns import month_start
 from tidemart.operators.upsert import write_partitioned
-from tidemart.plans.documentation import documented
+from tidemart.plans.documentation import TABLE_COMMENTS, documented
 from tidemart.plans.models import MARTS, STAGING, Models
 
 # Schemas are used verbatim as folder or database names.
@@ -83,7 +83,7 @@ def build(models: Models, root: str) -> Models:
 
 
 def build_catalog(models: Models, location: str | None = None) -> Models:
-    """Like ``build``, into catalog tables ``<schema>.<name>`` with column comments."""
+    """Like ``build``, into catalog tables ``<schema>.<name>`` with table and column comments."""
     spark = models.spark
     stored: dict[str, DataFrame] = dict(models.stored)
     for schema in dict.fromkeys(SCHEMA_OF.values()):
@@ -97,6 +97,9 @@ def build_catalog(models: Models, location: str | None = None) -> Models:
             monthly = rows.withColumn(ORDER_MONTH, month_start("order_date"))
             writer = monthly.hint("rebalance", F.col(ORDER_MONTH)).write.partitionBy(ORDER_MONTH)
         writer.mode("overwrite").format("parquet").saveAsTable(table)
+        if name in TABLE_COMMENTS:
+            comment = TABLE_COMMENTS[name].replace("'", "\\'")
+            spark.sql(f"COMMENT ON TABLE {table} IS '{comment}'")
         stored[name] = spark.table(table).drop(ORDER_MONTH)
     return Models(spark, models.raw, models.settings, stored, models.extra_spend)
 
