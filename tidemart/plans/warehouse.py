@@ -1,12 +1,13 @@
 """Build the marts once and store them, so that reports scan small tables.
 
-Order matters only where a stored table feeds later ones: the order fact, the customer
-history and daily spend are written first and everything after reads them back.
+The order fact, the customer history and daily spend feed the other marts: they are written
+first, and everything after reads them back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +35,12 @@ SCHEMA_OF: dict[str, str] = {
     "customer_rfm": "marts_customer",
 }
 
-BUILD_ORDER = (
-    "fct_orders",
-    "int_customer_order_history",
-    "int_unified_spend",
-    *[name for name in MARTS if name != "fct_orders"],
-)
+# Written one after the other, each may read those before it.
+SHARED = ("fct_orders", "int_customer_order_history", "int_unified_spend")
+# Written side by side: they read the shared tables and the feeds only.
+INDEPENDENT = tuple(name for name in MARTS if name not in SHARED)
+# Small marts leave cores idle, so a few are built at a time.
+THREADS = 4
 
 # Order- and line-grain tables are partitioned by month, so date filters skip files and the
 # incremental load rewrites few of them.
@@ -67,41 +68,61 @@ def read_marts(
     return {name: read_mart(spark, root, name) for name in names}
 
 
-def build(models: Models, root: str) -> Models:
+def _build(models: Models, store: Callable[[str, DataFrame], DataFrame], threads: int) -> Models:
+    """Store every mart with ``store``, which writes one table and returns it as stored."""
+
+    def reading(stored: dict[str, DataFrame]) -> Models:
+        return Models(models.spark, models.raw, models.settings, stored, models.extra_spend)
+
+    shared = dict(models.stored)
+    for name in SHARED:
+        shared[name] = store(name, documented(reading(shared)[name]))
+    with ThreadPoolExecutor(threads) as pool:
+        built = pool.map(
+            lambda name: store(name, documented(reading(shared)[name])), INDEPENDENT
+        )
+        return reading({**shared, **dict(zip(INDEPENDENT, built))})
+
+
+def _monthly(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(ORDER_MONTH, month_start("order_date"))
+
+
+def build(models: Models, root: str, threads: int = THREADS) -> Models:
     """Write every mart as Parquet below ``root``; returns models that read the stored copies."""
-    stored: dict[str, DataFrame] = dict(models.stored)
-    for name in BUILD_ORDER:
-        current = Models(models.spark, models.raw, models.settings, stored, models.extra_spend)
-        rows, path = documented(current[name]), table_path(root, name)
+
+    def store(name: str, rows: DataFrame) -> DataFrame:
+        path = table_path(root, name)
         if name in MONTHLY:
-            monthly = rows.withColumn(ORDER_MONTH, month_start("order_date"))
-            write_partitioned(monthly, path, ORDER_MONTH, replace_all=True)
+            write_partitioned(_monthly(rows), path, ORDER_MONTH, replace_all=True)
         else:
             rows.write.mode("overwrite").parquet(path)
-        stored[name] = read_mart(models.spark, root, name)
-    return Models(models.spark, models.raw, models.settings, stored, models.extra_spend)
+        return read_mart(models.spark, root, name)
+
+    return _build(models, store, threads)
 
 
-def build_catalog(models: Models, location: str | None = None) -> Models:
+def build_catalog(models: Models, location: str | None = None, threads: int = THREADS) -> Models:
     """Like ``build``, into catalog tables ``<schema>.<name>`` with table and column comments."""
     spark = models.spark
-    stored: dict[str, DataFrame] = dict(models.stored)
     for schema in dict.fromkeys(SCHEMA_OF.values()):
         where = f" LOCATION '{location.rstrip('/')}/{schema}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}{where}")
-    for name in BUILD_ORDER:
-        current = Models(spark, models.raw, models.settings, stored, models.extra_spend)
-        rows, table = documented(current[name]), f"{SCHEMA_OF[name]}.{name}"
-        writer = rows.write
+
+    def store(name: str, rows: DataFrame) -> DataFrame:
+        table = f"{SCHEMA_OF[name]}.{name}"
         if name in MONTHLY:
-            monthly = rows.withColumn(ORDER_MONTH, month_start("order_date"))
-            writer = monthly.hint("rebalance", F.col(ORDER_MONTH)).write.partitionBy(ORDER_MONTH)
+            monthly = _monthly(rows).hint("rebalance", F.col(ORDER_MONTH))
+            writer = monthly.write.partitionBy(ORDER_MONTH)
+        else:
+            writer = rows.write
         writer.mode("overwrite").format("parquet").saveAsTable(table)
         if name in TABLE_COMMENTS:
             comment = TABLE_COMMENTS[name].replace("'", "\\'")
             spark.sql(f"COMMENT ON TABLE {table} IS '{comment}'")
-        stored[name] = spark.table(table).drop(ORDER_MONTH)
-    return Models(spark, models.raw, models.settings, stored, models.extra_spend)
+        return spark.table(table).drop(ORDER_MONTH)
+
+    return _build(models, store, threads)
 
 
 def create_staging_views(models: Models) -> None:
