@@ -27,6 +27,20 @@ from tidemart.sources.driver_tables import (
 from tidemart.streaming.orders import order_stream
 from tidemart.streaming.sessions import session_stream, sessions_from_parts
 
+# The operators over documents, and the pipeline of them, are optional.
+try:
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
+    from corpus_pipeline import run as run_pipeline
+    from tidemart.llm.queries import ORACLE_SQL as LLM_SQL
+    from tidemart.llm.queries import QUERIES as LLM_QUERIES
+except ImportError as missing:
+    if missing.name not in ("corpus_pipeline", "tidemart.llm", "tidemart.llm.queries"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": run_pipeline}
+    LLM_SQL = {**LLM_SQL, "pipeline": PIPELINE_SQL} if PIPELINE_SQL else LLM_SQL
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The incremental load starts from the order fact as it stood at this moment.
@@ -115,13 +129,14 @@ CHECKS: dict[str, Callable[[Models], DataFrame]] = {
 
 
 def queries() -> dict[str, Query]:
-    """One entry per model, report, check and incremental load."""
+    """One entry per model, report, check, incremental load and document operator."""
     return {
         **{name: _model_query(name) for name in MODELS},
         **{name: _over_models(check) for name, check in CHECKS.items()},
         "fct_orders_incremental": _incremental,
         "fct_orders_stream": _order_stream,
         "web_sessions_stream": _session_stream,
+        **LLM_QUERIES,
     }
 
 
@@ -130,4 +145,5 @@ def oracle_sql() -> dict[str, str]:
     checks = quality_sql(RULE_DATE, FRESH_AT)
     texts = {**FEED_SQL, **MODEL_SQL, **LOAD_SQL, **checks}
     named = [*MODEL_SQL, *LOAD_SQL, *checks]
-    return {name: statement(name, texts, DRIVER_SETTINGS) for name in named if not name.startswith("_")}
+    models = {name: statement(name, texts, DRIVER_SETTINGS) for name in named if not name.startswith("_")}
+    return {**models, **LLM_SQL}
