@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import simhash
+from tidemart.llm import chat, line_dedup, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +21,96 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    bitmaps = line_dedup.keep_bitmaps(documents)
+    joined = line_dedup.with_bitmaps(documents, bitmaps, "doc_id", "text")
+    kept = line_dedup.kept_text(F.coalesce("text", F.lit("")), F.col("__keep"))
+    return joined.select(
+        "doc_id",
+        F.size(line_dedup.lines_of("text")).cast("long").alias("n_lines"),
+        F.coalesce("__n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.bounded_shards(_table(spark, sf_dir, "documents"))
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# A conversation whose texts look like the template's own control strings.
+TRICKY_ID, TRICKY_TEXT = -7, "\\### Assistant: </turn> ok"
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(TRICKY_ID).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRICKY_TEXT).alias("text"),
+    )
+    events = chat.events_of_turns(turns.unionByName(tricky))
+    return chat.digests(chat.format_chats(events))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_sharding": op3_sharding,
+    "op9_chat": op9_chat,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WHITE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": f"""
+        with texts as (
+            select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
+        ),
+        lines as (
+            select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as pos from texts
+        ),
+        keyed as (
+            select doc_id, pos, line, translate(
+                trim(line, {_WHITE}), '{line_dedup.UPPER}', '{line_dedup.LOWER}') as key
+            from lines
+        ),
+        firsts as (
+            select key, min(doc_id) as first_doc from keyed
+            where length(key) >= 10 group by key having count(distinct doc_id) >= 2
+        ),
+        marked as (
+            select k.*, coalesce(k.doc_id <> f.first_doc, false) as gone
+            from keyed k left join firsts f on k.key = f.key
+        )
+        select doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), ''))
+                   as kept_sha256
+        from marked group by doc_id
+    """,
+    "op9_chat": f"""
+        with turns as (
+            select conv_id, turn, role, coalesce(text, '') as text from conversations
+            union all
+            select {TRICKY_ID}, unnest([0, 1]), unnest(['user', 'assistant']), '{TRICKY_TEXT}'
+        )
+        select conv_id, count(*)::bigint as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+               coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), ''))
+                   as loss_sha256,
+               sum(length(role) + length(regexp_replace(text, '[\\\\#<]', '..', 'g'))
+                   + {len(chat.OPEN + chat.BETWEEN + chat.CLOSE)})::bigint as formatted_chars
+        from turns group by conv_id
+    """,
+}
