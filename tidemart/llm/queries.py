@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import chat, line_dedup, sharding, simhash
+from tidemart.llm import bpe, chat, chunks, line_dedup, secrets, sharding, simhash
+
+RANKS = "byte_bpe_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +50,25 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    name = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    joined = lambda spans: F.array_join(F.transform(spans, name), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.vocabulary(spark, public_tokenizers.path(RANKS))
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 # A conversation whose texts look like the template's own control strings.
 TRICKY_ID, TRICKY_TEXT = -7, "\\### Assistant: </turn> ok"
 
@@ -63,11 +85,18 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(events))
 
 
+def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.likeness(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
+    "op4_secrets": op4_secrets,
+    "op6_byte_bpe": op6_byte_bpe,
     "op9_chat": op9_chat,
+    "op10_chunks": op10_chunks,
 }
 
 _WHITE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"

@@ -1,0 +1,156 @@
+"""Secret scans: fixed patterns, and sliding-window Shannon entropy per character class.
+
+Candidate strings are long runs of token characters. Over each class (hexadecimal digits, base-64
+characters) a window slides along the run; the entropy of its characters follows from counts that
+change by one character in and one out. Windows above the class's threshold are joined to spans,
+unless an allow-list says that the string is harmless.
+"""
+
+from __future__ import annotations
+
+import math
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+KINDS = ("assign", "access", "hex", "entropy")
+
+# The patterns of the three base kinds.
+_ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    re.ASCII | re.IGNORECASE,
+)
+_ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
+_HEX = re.compile(r"[0-9a-f]{24,}")
+_ASSIGN_VALUE = 6
+# A text without one of these, in either case, has no assignment.
+_ASSIGN_WORDS = ("passw", "secret", "token", "api")
+
+WINDOW = 24
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{24,}")
+# Per class its characters, the least entropy in bits per character of a window, and the kinds of
+# character (digit, lower case, upper case) that a window must have. Random windows of 24 have
+# about 3.4 and 4.3 bits; words of any length stay below or have no digits.
+CLASSES = (
+    (frozenset("0123456789abcdefABCDEF"), 2.9, 2),
+    (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 3.8, 3),
+)
+# Strings that look random and are no secrets.
+ALLOWED = (
+    r"(?i)example|sample|dummy|placeholder|changeme|your[_-]",
+    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
+    r"^(?:sha(?:1|256|384|512)|md5)[-=]",
+    r"(?i)0123456789abcdef|abcdefghijklmnopqrstuvwxyz|(.)\1{11}",
+    r"^/?(?:[A-Za-z_-]{1,16}[/=]){2,}",
+)
+
+# c * log2(c); a count is one above the window's length for a moment.
+_TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
+
+
+def base_spans(text: str) -> list[tuple[int, int, str]]:
+    """``(start, end, kind)`` of the base kinds, leftmost and non-overlapping within each kind."""
+    found = []
+    lowered = text.lower()
+    if any(word in lowered for word in _ASSIGN_WORDS):
+        assigned = (m for m in _ASSIGN.finditer(text) if len(m[2]) >= _ASSIGN_VALUE)
+        found += [(m.start(), m.end(), "assign") for m in assigned]
+    if "AKIA" in text:
+        found += [(m.start(), m.end(), "access") for m in _ACCESS.finditer(text)]
+    found += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
+    return found
+
+
+def _kinds(window: dict[str, int]) -> int:
+    present = "".join(c for c, n in window.items() if n)
+    return sum(
+        (any(c.isdigit() for c in present), any(c.islower() for c in present), any(c.isupper() for c in present))
+    )
+
+
+def random_spans(run: str, members: frozenset[str], least: float, kinds: int) -> Iterator[tuple[int, int]]:
+    """Joined windows of ``WINDOW`` class members in a row with at least ``least`` bits each.
+
+    The entropy of a window is ``log2(n) - sum(c * log2(c)) / n`` over its counts ``c``.
+    """
+    counts: dict[str, int] = {}
+    total, length, span = 0.0, 0, None
+    for at, char in enumerate(run):
+        if char not in members:
+            counts, total, length = {}, 0.0, 0
+            continue
+        n = counts.get(char, 0)
+        counts[char] = n + 1
+        total += _TERM[n + 1] - _TERM[n]
+        length += 1
+        if length > WINDOW:
+            gone = run[at - WINDOW]
+            n = counts[gone]
+            counts[gone] = n - 1
+            total -= _TERM[n] - _TERM[n - 1]
+        if length >= WINDOW and math.log2(WINDOW) - total / WINDOW >= least and _kinds(counts) >= kinds:
+            start = at + 1 - WINDOW
+            if span and start <= span[1]:
+                span = (span[0], at + 1)
+            else:
+                if span:
+                    yield span
+                span = (start, at + 1)
+    if span:
+        yield span
+
+
+def entropy_spans(text: str, allowed: tuple[re.Pattern, ...]) -> list[tuple[int, int, str]]:
+    """Spans of high entropy over all classes, joined where they overlap."""
+    spans = []
+    for candidate in _CANDIDATE.finditer(text):
+        run = candidate[0]
+        if any(pattern.search(run) for pattern in allowed):
+            continue
+        for members, least, kinds in CLASSES:
+            spans += [(candidate.start() + a, candidate.start() + b) for a, b in random_spans(run, members, least, kinds)]
+    joined: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if joined and start <= joined[-1][1]:
+            joined[-1] = (joined[-1][0], max(end, joined[-1][1]))
+        else:
+            joined.append((start, end))
+    return [(start, end, "entropy") for start, end in joined]
+
+
+def secret_spans(text: str, allowed: tuple[re.Pattern, ...]) -> list[tuple[int, int, str]]:
+    """All spans by start, then kind. A span of high entropy within a base span adds nothing."""
+    base = base_spans(text)
+    added = [s for s in entropy_spans(text, allowed) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
+    return sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+
+
+def scan(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    allowed: tuple[str, ...] = ALLOWED,
+) -> DataFrame:
+    """``(doc_id, spans)``, one row per input row.
+
+    ``spans`` is an array of ``(kind, start, end)`` in code points, end exclusive, by start and then
+    kind. ``allowed`` are regular expressions searched in candidate strings; they suppress spans of
+    high entropy only, never those of a base kind. A null text counts as empty; a text without
+    findings has an empty array. Other columns are ignored.
+    """
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns = tuple(re.compile(p) for p in allowed)
+        for batch in batches:
+            found = [
+                [{"kind": k, "start": a, "end": b} for a, b, k in secret_spans(text or "", patterns)]
+                for text in batch.column(1).to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["doc_id", "spans"])
+
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, spans array<struct<kind: string, start: bigint, end: bigint>>")
