@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, chat, chunks, line_dedup, secrets, sharding, simhash
+from tidemart.llm import (
+    bpe,
+    chat,
+    chunks,
+    decontam,
+    html_extract,
+    line_dedup,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+)
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -64,11 +75,33 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "edits", "start", "end")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.vocabulary(spark, public_tokenizers.path(RANKS))
     return bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    classifier = quality.train(documents, _table(spark, sf_dir, "labels"))
+    scored = documents.select("doc_id", quality.score(spark, classifier).alias("score"))
+    return scored.select(
+        "doc_id",
+        quality.is_held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html_extract.extract(_table(spark, sf_dir, "pages"))
+    return extracted.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 # A conversation whose texts look like the template's own control strings.
 TRICKY_ID, TRICKY_TEXT = -7, "\\### Assistant: </turn> ok"
 
@@ -94,7 +127,10 @@ QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
     "op4_secrets": op4_secrets,
+    "op5_decontamination": op5_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_quality": op7_quality,
+    "op8_html": op8_html,
     "op9_chat": op9_chat,
     "op10_chunks": op10_chunks,
 }
