@@ -1,0 +1,88 @@
+import hashlib
+
+from llm.helpers import AWKWARD, LONG, awkward
+from parity import compare, connect
+from pyspark.sql import functions as F
+
+from tidemart.llm import line_dedup, queries
+
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def key(line):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(WHITE))
+
+
+def expected(rows):
+    """Each row's text after the drop, keyed by place in ``rows``."""
+    first = {}
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if doc_id is not None and len(key(line)) >= 10:
+                first[key(line)] = min(doc_id, first.get(key(line), doc_id))
+    return [
+        text if doc_id is None or text is None
+        else "\n".join(x for x in text.split("\n") if len(key(x)) < 10 or first[key(x)] == doc_id)
+        for doc_id, text in rows
+    ]
+
+
+def test_query_matches_sql(spark, sf_dir):
+    con = connect(sf_dir)
+    name = "op2_line_dedup"
+    assert compare(queries.QUERIES[name](spark, sf_dir), con, queries.ORACLE_SQL[name]) == []
+
+
+def test_awkward_rows(spark):
+    frame = awkward(spark)
+    kept = line_dedup.without_repeated_lines(frame)
+    assert kept.columns == frame.columns
+    got = sorted((r.doc_id or 0, r.text) for r in kept.where("text is not null").collect())
+    want = [(i or 0, t) for (i, _), t in zip(AWKWARD, expected(AWKWARD), strict=True) if t is not None]
+    assert got == sorted(want)
+    assert kept.where("text is null").count() == 2
+
+
+def test_empty_table(spark):
+    assert line_dedup.without_repeated_lines(awkward(spark, [])).count() == 0
+
+
+def test_bitmap_of_a_long_document(spark):
+    lines = [f"line number {i} of many" for i in range(1000)]
+    repeated = {0, 63, 64, 500, 777}
+    rows = [(1, "\n".join(lines[i] for i in sorted(repeated))), (2, "\n".join(lines))]
+    (row,) = line_dedup.keep_bitmaps(awkward(spark, rows)).collect()
+    bits = [row.keep[i // 64] >> (i % 64) & 1 for i in range(len(row.keep) * 64)]
+    assert {i for i, bit in enumerate(bits) if not bit} == repeated
+    assert row.n_dropped == 5 and len(row.keep) == 777 // 64 + 1
+
+
+def test_line_in_very_many_documents(spark):
+    rows = spark.range(20_000).select(
+        (F.col("id") * 3 - 500).alias("doc_id"),
+        F.concat_ws("\n", F.lit("The same license line"), F.concat(F.lit("own line of document "), "id")).alias("text"),
+    )
+    kept = line_dedup.without_repeated_lines(rows).where(F.col("text").contains("license"))
+    assert [r.doc_id for r in kept.collect()] == [-500]
+
+
+def test_no_shuffle_between_range_partitioning_and_running_first(spark):
+    lines = spark.createDataFrame(
+        [(1, 1, 0, 5, 1, 0)], "h1 long, h2 long, block long, doc long, text_hash long, pos int"
+    )
+    plan = line_dedup.dropped_lines(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(h1" in plan and "SinglePartition" not in plan
+    assert "Python" not in plan
+
+
+def test_ends_are_stripped_and_only_ascii_is_folded(spark):
+    frame = awkward(spark, [(1, "\x0b\tÄpfel und Birnen"), (2, "Äpfel UND birnen\r"), (3, "äpfel und birnen")])
+    got = {r.doc_id: r.text for r in line_dedup.without_repeated_lines(frame).collect()}
+    assert got == {1: "\x0b\tÄpfel und Birnen", 2: "", 3: "äpfel und birnen"}
+
+
+def test_length_follows_the_text(spark):
+    frame = awkward(spark).withColumn("n_chars", F.char_length("text").cast("long"))
+    kept = line_dedup.without_repeated_lines(frame, chars_col="n_chars")
+    assert kept.where("n_chars <> char_length(text)").count() == 0
+    assert hashlib.md5(LONG.encode()).hexdigest() in {r[0] for r in kept.select(F.md5("text")).collect()}

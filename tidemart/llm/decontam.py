@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.llm.tables import free_names
+
 Q = 8
 WINDOW = 120
 EDITS = 10
@@ -293,9 +295,8 @@ def without_leaks(
     documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The documents that hold no benchmark item; a row is told by its id and its text."""
-    held = leaks(documents, benchmark, id_col, text_col).select(
-        F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")
-    )
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__doc"))
-    same &= F.xxhash64(F.col(text_col)) == F.col("__hash")
-    return documents.join(held.distinct(), same, "left_anti")
+    doc, text_hash = free_names(documents, "doc", "text_hash")
+    held = leaks(documents, benchmark, id_col, text_col).select("doc_id", "text_hash").distinct()
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(doc))
+    same &= F.xxhash64(F.col(text_col)) == F.col(text_hash)
+    return documents.join(held.toDF(doc, text_hash), same, "left_anti")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.tables import stored
+from tidemart.llm.tables import free_names, stored
 
 MIN_CODE_POINTS = 10
 # A key's lines are cut every 2 ** BLOCK_BITS ids, so a task holds at most that many documents of it.
@@ -114,16 +114,16 @@ def kept_text(text_col: str | Column, keep: Column) -> Column:
     return F.when(keep.isNull(), text).otherwise(F.array_join(F.filter(lines_of(text), stays), "\n"))
 
 
-def with_bitmaps(documents: DataFrame, bitmaps: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The documents, each beside its ``__keep`` and ``__n_dropped``, null where nothing is dropped."""
-    named = bitmaps.select(
-        F.col("doc").alias("__doc"),
-        F.col("text_hash").alias("__hash"),
-        F.col("keep").alias("__keep"),
-        F.col("n_dropped").alias("__n_dropped"),
-    )
-    same = (F.col(id_col).cast("long") == F.col("__doc")) & (F.xxhash64(F.col(text_col)) == F.col("__hash"))
-    return documents.join(named, same, "left").drop("__doc", "__hash")
+def with_bitmaps(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, Column, Column]:
+    """The documents beside their bitmaps; the columns of the bitmap and of the lines it drops, or null."""
+    names = free_names(documents, "doc", "text_hash", "keep", "n_dropped")
+    doc, text_hash, keep, n_dropped = names
+    bitmaps = keep_bitmaps(documents, id_col, text_col).toDF(*names)
+    same = F.col(id_col).cast("long") == F.col(doc)
+    same &= F.xxhash64(F.col(text_col)) == F.col(text_hash)
+    return documents.join(bitmaps, same, "left"), F.col(keep), F.col(n_dropped)
 
 
 def without_repeated_lines(
@@ -133,10 +133,9 @@ def without_repeated_lines(
 
     ``chars_col`` names a column with the length of the text, which then follows the text.
     """
-    columns = documents.columns
-    joined = with_bitmaps(documents, keep_bitmaps(documents, id_col, text_col), id_col, text_col)
-    kept = joined.withColumn(text_col, kept_text(text_col, F.col("__keep")))
+    joined, keep, _ = with_bitmaps(documents, id_col, text_col)
+    kept = joined.withColumn(text_col, kept_text(text_col, keep))
     if chars_col:
         length = F.char_length(text_col).cast(documents.schema[chars_col].dataType)
-        kept = kept.withColumn(chars_col, F.when(F.col("__keep").isNull(), F.col(chars_col)).otherwise(length))
-    return kept.select(*columns)
+        kept = kept.withColumn(chars_col, F.when(keep.isNull(), F.col(chars_col)).otherwise(length))
+    return kept.select(*documents.columns)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.components import connected_components
-from tidemart.llm.tables import stored, utf8
+from tidemart.llm.tables import free_names, stored, utf8
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -263,8 +263,10 @@ def hex_fingerprint(fp: str = "fp") -> Column:
 def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents less near copies: the row with the smallest id of each component stays.
 
-    Rows with a null id are kept; of rows that repeat an id, all are kept or none.
+    Rows with a null id are kept. Rows that repeat an id go together, all if any of their texts is
+    a copy of a document with a smaller id.
     """
+    (copy,) = free_names(documents, "copy")
     classes = near_duplicates(documents, id_col, text_col)
-    copies = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct()
-    return documents.join(copies, F.col(id_col) == F.col("__copy"), "left_anti")
+    copies = classes.where("doc_id <> component_id").select(F.col("doc_id").alias(copy)).distinct()
+    return documents.join(copies, F.col(id_col) == F.col(copy), "left_anti")

@@ -23,3 +23,14 @@ def utf8(text: str | Column) -> Column:
     """The bytes of a text; a null text counts as empty."""
     column = F.col(text) if isinstance(text, str) else text
     return F.coalesce(column, F.lit("")).cast("binary")
+
+
+def free_names(frame: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, each with underscores added until the frame has no such column."""
+    taken, free = {c.lower() for c in frame.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        free.append(name)
+        taken.add(name.lower())
+    return free
