@@ -9,11 +9,10 @@ are computed exactly, a block of documents at a time, and its nearest neighbours
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,21 +130,31 @@ def _bank_rows(documents: DataFrame, labels: DataFrame, id_col: str, text_col: s
     return one_each.select("doc_id", utf8("text").alias("data"), "label")
 
 
-def _as_rows(make):
-    """A task that turns the column ``data`` into one float32 vector a row."""
+def _fit(dimensions: int):
+    """A task that fits the space to all its rows and returns it as one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            vectors = [make(data).tobytes() for data in batch.column("data").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(vectors, pa.binary()), batch.column("label")],
-                ["doc_id", "vector", "label"],
-            )
+        sample = [terms(data) for batch in batches for data in batch.column("data").to_pylist()]
+        if sample:
+            space = Space.fitted(np.stack(sample), dimensions)
+            parts = space.weights, space.mean, space.directions
+            arrays = [pa.array([part.astype(np.float32).tobytes()], pa.binary()) for part in parts]
+            yield pa.RecordBatch.from_arrays(arrays, ["weights", "mean", "directions"])
 
     return run
 
 
-_VECTOR_ROW = "doc_id long, vector binary, label double"
+def _project(space: Space):
+    """A task that returns the latent vector of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            latent = (space.project(terms(data)[None]) for data in batch.column("data").to_pylist())
+            vectors = pa.array([v.astype(np.float32).tobytes() for v in latent], pa.binary())
+            columns = [batch.column("doc_id"), vectors, batch.column("label")]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "vector", "label"])
+
+    return run
 
 
 @dataclass
@@ -181,39 +190,59 @@ def train(
 ) -> Classifier:
     """A classifier from labelled rows that are not held out.
 
-    ``fit_rows`` term vectors and ``bank_rows`` latent vectors at most reach the driver, whatever the
-    size of the tables. Null labels and ids are left out, several labels of an id averaged; of rows
-    that repeat an id the least text is taken.
+    One task fits the space to ``fit_rows`` rows; ``bank_rows`` latent vectors at most reach the
+    driver, whatever the size of the tables. Null labels and ids are left out, several labels of an
+    id averaged; of rows that repeat an id the least text is taken.
     """
     bank = stored(_bank_rows(documents, labels, id_col, text_col, label_col, bank_rows), "bank")
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    sample = bank.orderBy(*order).limit(fit_rows).mapInArrow(_as_rows(terms), _VECTOR_ROW).collect()
-    if not sample:
+    sample = bank.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    fitted = sample.mapInArrow(_fit(dimensions), "weights binary, mean binary, directions binary").first()
+    if fitted is None:
         empty = np.zeros((0, 0), np.float32)
         return Classifier(Space(empty, empty, empty), empty, empty, neighbours)
-    space = Space.fitted(np.stack([np.frombuffer(r.vector, np.float32) for r in sample]), dimensions)
-
-    def latent(data: bytes) -> np.ndarray:
-        return space.project(terms(data)[None])[0].astype(np.float32)
-
-    rows = sorted(bank.mapInArrow(_as_rows(latent), _VECTOR_ROW).collect(), key=lambda r: r.doc_id)
+    weights, mean, directions = (np.frombuffer(part, np.float32) for part in fitted)
+    space = Space(weights, mean, directions.reshape(len(weights), -1))
+    projected = bank.mapInArrow(_project(space), "doc_id long, vector binary, label double")
+    rows = sorted(projected.collect(), key=lambda r: r.doc_id)
     vectors = np.stack([np.frombuffer(r.vector, np.float32) for r in rows])
     return Classifier(space, vectors, np.array([r.label for r in rows]), neighbours)
 
 
-def score(spark: SparkSession, classifier: Classifier, text_col: str = "text") -> Column:
-    """A text's score. A null text counts as empty. The classifier is broadcast; its size is fixed."""
+def _sent(spark: SparkSession, classifier: Classifier) -> Callable[[], Classifier]:
+    """The classifier as tasks get it: its arrays, whose size is fixed, are broadcast."""
     space = classifier.space
     arrays = space.weights, space.mean, space.directions, classifier.bank, classifier.labels
     sent, neighbours = spark.sparkContext.broadcast(arrays), classifier.neighbours
 
-    @F.pandas_udf("double")
-    def scores(texts):
+    def received() -> Classifier:
         weights, mean, directions, bank, labels = sent.value
-        voters = Classifier(Space(weights, mean, directions), bank, labels, neighbours)
-        return pd.Series(voters.scores(texts.tolist()))
+        return Classifier(Space(weights, mean, directions), bank, labels, neighbours)
+
+    return received
+
 
-    return scores(utf8(text_col))
+def _parts(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Small batches, each with its texts as bytes; ``place`` is the text's column."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK_DOCS):
+            part = batch.slice(at, BLOCK_DOCS)
+            yield part, [(text or "").encode() for text in part.column(place).to_pylist()]
+
+
+def scored(
+    documents: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``(doc_id, score)``, one row per input row; null texts count as empty. Other columns are ignored."""
+    received = _sent(documents.sparkSession, classifier)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voters = received()
+        for part, texts in _parts(batches, 1):
+            scores = pa.array(voters.scores(texts), pa.float64())
+            yield pa.RecordBatch.from_arrays([part.column(0), scores], ["doc_id", "score"])
+
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, score double")
 
 
 def accepted(
@@ -224,4 +253,11 @@ def accepted(
     Without any labelled row nothing is rejected; an empty table stays empty.
     """
     classifier = train(documents, labels, text_col=text_col)
-    return documents.where(score(documents.sparkSession, classifier, text_col) >= threshold)
+    received, place = _sent(documents.sparkSession, classifier), documents.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voters = received()
+        for part, texts in _parts(batches, place):
+            yield part.filter(pa.array(voters.scores(texts) >= threshold))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -37,13 +37,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    bitmaps = line_dedup.keep_bitmaps(documents)
-    joined = line_dedup.with_bitmaps(documents, bitmaps, "doc_id", "text")
-    kept = line_dedup.kept_text(F.coalesce("text", F.lit("")), F.col("__keep"))
+    joined, keep, n_dropped = line_dedup.with_bitmaps(documents)
+    kept = line_dedup.kept_text(F.coalesce("text", F.lit("")), keep)
     return joined.select(
         "doc_id",
         F.size(line_dedup.lines_of("text")).cast("long").alias("n_lines"),
-        F.coalesce("__n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(n_dropped, F.lit(0)).cast("long").alias("n_dropped"),
         F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
     )
 
@@ -88,8 +87,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     classifier = quality.train(documents, _table(spark, sf_dir, "labels"))
-    scored = documents.select("doc_id", quality.score(spark, classifier).alias("score"))
-    return scored.select(
+    return quality.scored(documents, classifier).select(
         "doc_id",
         quality.is_held_out("doc_id").alias("held_out"),
         "score",
