@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm import bpe, decontam, line_dedup, quality, simhash
 from tidemart.llm.queries import RANKS
-from tidemart.session import scratch_path
+from tidemart.session import remove_folder, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -58,9 +58,12 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over ``documents``; each result is stored and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.tables import stored
+from tidemart.llm.tables import discard, stored
 
 
 def _grandparents(edges: DataFrame) -> DataFrame:
@@ -28,9 +28,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     mapping = None
     while not left.isEmpty():
         step = stored(_grandparents(left), "parents")
+        before = [left]
         if mapping is None:
             mapping = step
         else:
+            before += [mapping, step]
             onward = step.select(F.col("node").alias("root"), F.col("root").alias("next"))
             moved = mapping.join(onward, "root", "left")
             mapping = stored(moved.select("node", F.coalesce("next", "root").alias("root")), "roots")
@@ -39,6 +41,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         ends = left.join(of_a, "a").join(of_b, "b")
         ends = ends.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
         left = stored(ends.where("a <> b").distinct(), "links")
+        for table in before:
+            discard(table)
     if mapping is None:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return mapping

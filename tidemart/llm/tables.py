@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.session import scratch_path
+from tidemart.session import remove_folder, scratch_path
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
@@ -19,6 +19,12 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Free the files of a stored table that nothing reads any more."""
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        remove_folder(table.sparkSession, folder)
+
+
 def utf8(text: str | Column) -> Column:
     """The bytes of a text; a null text counts as empty."""
     column = F.col(text) if isinstance(text, str) else text
