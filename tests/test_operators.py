@@ -6,8 +6,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tidemart.operators import upsert
 from tidemart.operators.quantiles import ntile_scores
-from tidemart.operators.skew import hot_keys, salted_join
+from tidemart.operators.skew import pieces_of, salted_join
 from tidemart.operators.upsert import latest_per_key, read_table, upsert_rows, upsert_table
 
 
@@ -72,28 +73,31 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id int, k string")
 
 
+def keyed(spark, left, rows_per_piece=100):
+    """One row per key, with the pieces its rows on the left are split into."""
+    counted = left.groupBy("k").count().where("k is not null")
+    return counted.select("k", F.length("k").alias("v"), pieces_of("count", rows_per_piece).alias("pieces"))
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(spark, how):
+@pytest.mark.parametrize("send_hot", [True, False])
+def test_salted_join_equals_plain_join(spark, how, send_hot):
     left = skewed(spark)
-    names = ["hot", "hot"] + [f"k{i}" for i in range(25)]
-    right = spark.createDataFrame([(k, i) for i, k in enumerate(names)], "k string, v int")
-    hot = hot_keys(left, ["k"], rows_per_piece=100)
-    # Null keys are spread without being split, so a null entry in ``hot`` does no harm.
-    assert {r["k"]: r["pieces"] for r in hot.collect()} == {"hot": 20, None: 3}
-    salted = salted_join(left, right, ["k"], "id", hot, how)
-    plain = left.join(right, "k", how)
+    right = keyed(spark, left).where("k = 'hot' or length(k) = 2")
+    assert {r["k"]: r["pieces"] for r in right.where("pieces > 1").collect()} == {"hot": 20}
+    salted = salted_join(left, right, ["k"], "id", how, send_hot)
+    plain = left.join(right.drop("pieces"), "k", how)
     assert salted.columns == plain.columns
     assert Counter(map(tuple, salted.collect())) == Counter(map(tuple, plain.collect()))
 
 
 def test_salted_join_deals_a_hot_key_over_many_tasks(spark):
     left = skewed(spark)
-    right = spark.createDataFrame([("hot", 1)], "k string, v int")
-    hot = hot_keys(left, ["k"], rows_per_piece=100)
+    right = keyed(spark, left).where("k = 'hot'")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = salted_join(left, right, ["k"], "id", hot).withColumn("task", F.spark_partition_id())
+        joined = salted_join(left, right, ["k"], "id", send_hot=True).withColumn("task", F.spark_partition_id())
         sizes = [r["count"] for r in joined.groupBy("task").count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -104,7 +108,14 @@ def test_salted_join_deals_a_hot_key_over_many_tasks(spark):
 def test_salted_join_rejects_other_kinds(spark):
     left = skewed(spark)
     with pytest.raises(ValueError):
-        salted_join(left, left, ["k"], "id", hot_keys(left, ["k"]), "right")
+        salted_join(left, left, ["k"], "id", "right")
+
+
+def test_ntile_refuses_what_it_cannot_rank(spark):
+    for kind in ("double", "decimal(20,4)", "string"):
+        df = spark.createDataFrame([], f"id int, v {kind}")
+        with pytest.raises(ValueError, match="cannot be ranked"):
+            ntile_scores(df, "id", {"s": ("v", True)}, 5)
 
 
 def test_upsert_rows_grows_the_schema(spark):
@@ -140,12 +151,80 @@ def test_upsert_table_replaces_adds_and_moves(spark, tmp_path):
     assert again == got
 
 
+def files(path):
+    return {p for p in path.glob("data/*/*/*.parquet")}
+
+
 def test_upsert_table_leaves_other_partitions_alone(spark, tmp_path):
     path = tmp_path / "t"
     apply(spark, str(path), [(1, 1, "a", "one"), (2, 1, "b", "two")])
-    before = sorted(p.name for p in (path / "part=b").glob("*.parquet"))
+    before = files(path)
     apply(spark, str(path), [(1, 2, "a", "ONE")])
-    assert sorted(p.name for p in (path / "part=b").glob("*.parquet")) == before
+    assert before < files(path) and len(files(path) - before) == 1
+
+
+def test_folders_go_one_commit_after_they_are_replaced(spark, tmp_path):
+    path = tmp_path / "t"
+    apply(spark, str(path), [(1, 1, "a", "one")])
+    planned, first = read_table(spark, str(path)), files(path)
+    apply(spark, str(path), [(1, 2, "a", "two")])
+    assert planned.first()["v"] == "one" and first < files(path)
+    apply(spark, str(path), [(1, 3, "a", "three")])
+    assert not first & files(path) and len(list(path.glob("manifest/*"))) == 2
+
+
+@pytest.mark.parametrize("left_over", ["nothing", "half a manifest"])
+def test_call_that_breaks_off_before_the_commit(spark, tmp_path, monkeypatch, left_over):
+    path = tmp_path / "t"
+    old = apply(spark, str(path), [(1, 1, "m1", "a"), (2, 1, "m1", "b"), (3, 1, "m2", "c")])
+
+    def fail(*_):
+        if left_over == "half a manifest":
+            (path / "manifest" / "000000002" / "_temporary").mkdir(parents=True)
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(upsert, "_commit", fail)
+        with pytest.raises(OSError):
+            apply(spark, str(path), [(1, 2, "m2", "A")])
+    stored = sorted(map(tuple, read_table(spark, str(path)).collect()))
+    assert stored == old
+    assert apply(spark, str(path), [(1, 2, "m2", "A")]) == [(1, 2, "m2", "A"), (2, 1, "m1", "b"), (3, 1, "m2", "c")]
+
+
+def test_first_call_that_breaks_off_leaves_no_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    with monkeypatch.context() as patched:
+        patched.setattr(upsert, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            apply(spark, path, [(1, 1, "a", "one")])
+    assert read_table(spark, path) is None
+    assert apply(spark, path, [(1, 1, "a", "one")]) == [(1, 1, "a", "one")]
+
+
+def test_table_may_become_and_stay_empty(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert apply(spark, path, []) == []
+    assert apply(spark, path, [(1, 1, "a", "one")]) == [(1, 1, "a", "one")]
+    assert apply(spark, path, []) == [(1, 1, "a", "one")]
+
+
+def test_equal_and_missing_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    apply(spark, path, [(1, 5, "a", "one"), (2, None, "a", "two")], version="ver")
+    # Derived later at the same version: replaces. Null is older than any other version.
+    assert apply(spark, path, [(1, 5, "a", "ONE")], version="ver") == [(1, 5, "a", "ONE"), (2, None, "a", "two")]
+    changes = [(1, None, "a", "old"), (2, None, "a", "TWO"), (3, None, "b", "three")]
+    got = apply(spark, path, changes, version="ver")
+    assert got == [(1, 5, "a", "ONE"), (2, None, "a", "TWO"), (3, None, "b", "three")]
+
+
+def test_newest_value_is_kept_with_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert upsert.newest_value(spark, path) is None
+    for version in (3, 2):
+        apply(spark, path, [(version, version, "a", "x")], watermark="ver")
+        assert upsert.newest_value(spark, path) == "3"
 
 
 def test_upsert_table_ignores_an_older_version(spark, tmp_path):

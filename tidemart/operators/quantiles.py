@@ -7,8 +7,9 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
-from tidemart.session import checkpoint_root
+from tidemart.session import scratch_path
 
 # monotonically_increasing_id keeps the partition number above this bit.
 _ROW_BITS = 33
@@ -30,14 +31,22 @@ def ntile_scores(
 
     ``key`` must be unique; it breaks ties, which makes every score reproducible and lets
     the range partitioning cut through a value that many rows share. The score columns
-    must be numeric with at most two decimals; nulls rank last either way.
+    must be integers or decimals with at most two decimals, other types are refused; nulls rank
+    last either way.
 
-    All scores are ranked by one range-partitioned sort. Row positions are fixed by a
-    reliable checkpoint; one count per partition (never per row) reaches the driver to
-    turn positions inside a partition into global ranks.
+    All scores are ranked by one range-partitioned sort. Row positions are fixed by writing
+    them to the scratch folder, a job that runs while the result is being planned; one count per
+    partition (never per row) reaches the driver to turn positions inside a partition into global
+    ranks. The result reads that table, so it stays until the cluster clears the folder.
     """
-    checkpoint_root(df.sparkSession)
     names = list(scores)
+    for column in {column for column, _ in scores.values()}:
+        kind = df.schema[column].dataType
+        exact = isinstance(kind, IntegralType) or (
+            isinstance(kind, DecimalType) and kind.scale <= 2 and kind.precision - kind.scale <= 36
+        )
+        if not exact:
+            raise ValueError(f"{column} is {kind.simpleString()}, which cannot be ranked exactly")
     value_columns = {column for column, _ in scores.values()}
     carried = [c for c in df.columns if c != key and c not in value_columns]
     if carried:
@@ -55,8 +64,10 @@ def ntile_scores(
         df.select(key, F.inline(F.array(*entries)))
         .orderBy("which", F.col("value").asc_nulls_last(), key)
         .withColumn("position", F.monotonically_increasing_id())
-        .checkpoint()
     )
+    path = scratch_path(df.sparkSession, "ranked")
+    placed.write.parquet(path)
+    placed = df.sparkSession.read.schema(placed.schema).parquet(path)
     part = F.shiftright("position", _ROW_BITS).cast("int")
     counts = sorted(
         (row["part"], row["count"]) for row in placed.groupBy(part.alias("part")).count().collect()

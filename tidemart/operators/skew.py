@@ -13,22 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is split into that many rows per piece.
+# A key with more rows than this is split into that many rows per piece. Fewer than
+# rows / ROWS_PER_PIECE keys have more, which is what makes a list of them safe to broadcast.
 ROWS_PER_PIECE = 1_000_000
 # Rows with a null key match nothing, so they may be spread without touching the other side.
 NULL_KEY_PIECES = 4096
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
-    """Keys with more than ``rows_per_piece`` rows, and the pieces to split each into.
-
-    Counting is combined map-side. The result has fewer than ``rows / rows_per_piece``
-    rows, which is what makes it safe to broadcast.
-    """
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
-    return counted.where(F.col("key_rows") > rows_per_piece).select(
-        *keys, F.ceil(F.col("key_rows") / rows_per_piece).cast("int").alias("pieces")
-    )
+def pieces_of(count: Column | str, rows_per_piece: int = ROWS_PER_PIECE) -> Column:
+    """Pieces into which a key with so many rows is split."""
+    rows = F.col(count) if isinstance(count, str) else count
+    return F.greatest(F.lit(1), F.ceil(rows / rows_per_piece)).cast("int")
 
 
 def salted_join(
@@ -36,32 +31,34 @@ def salted_join(
     right: DataFrame,
     keys: Sequence[str],
     spread_by: str,
-    hot: DataFrame,
     how: str = "inner",
+    send_hot: bool = False,
 ) -> DataFrame:
     """Join on ``keys`` with the rows of each hot key on the left dealt out over pieces.
 
-    ``right`` rows of a hot key are repeated once per piece; ``how`` is ``inner`` or
+    ``right`` has one row per key, with a column ``pieces`` that says into how many pieces the
+    key's rows on the left are split; that row is repeated once per piece. ``how`` is ``inner`` or
     ``left``. The piece comes from a hash of ``spread_by``, not from a random number, so a
     task that is run again after a lost executor sends its rows to the same place.
+
+    Keys with more than one piece are looked up for the rows on the left. Set ``send_hot`` where
+    their number is known to be small enough to broadcast; else Spark decides by their size.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
     keys = list(keys)
-    pieces = F.broadcast(hot)
+    hot = right.where("pieces > 1").select(*keys, "pieces")
     row_hash = F.xxhash64(F.col(spread_by))
     any_null: Column = F.lit(False)
     for key in keys:
         any_null = any_null | F.col(key).isNull()
-    dealt = left.join(pieces, keys, "left").withColumn(
+    dealt = left.join(F.broadcast(hot) if send_hot else hot, keys, "left").withColumn(
         "piece",
         F.when(any_null, F.pmod(row_hash, F.lit(NULL_KEY_PIECES)))
         .when(F.col("pieces").isNotNull(), F.pmod(row_hash, F.col("pieces")))
         .otherwise(0)
         .cast("int"),
     )
-    repeated = right.join(pieces, keys, "left").withColumn(
-        "piece", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("pieces"), F.lit(1)) - 1))
-    )
+    repeated = right.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     joined = dealt.drop("pieces").join(repeated.drop("pieces"), [*keys, "piece"], how)
     return joined.drop("piece")

@@ -1,14 +1,85 @@
-"""Keyed upsert into a partitioned Parquet table, one writer at a time."""
+"""Keyed upsert into a partitioned Parquet table, one writer at a time.
+
+A table is a folder of write-once folders, one per load, and of manifests. The newest manifest says
+which load holds each partition, the schema, and the highest value of a watermark column. A load
+writes the partitions it touches into a folder of its own and then commits by adding a
+manifest: until that is there, readers see the table as it was, and a load that broke off has
+changed nothing. Folders that neither the newest nor the previous manifest names go after a
+commit, so a result planned just before it can still be read.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Collection, Sequence
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tidemart.session import remove_folder, scratch_table
+
+# The directory level of a load: a digest of the partition's value, which no file name restricts.
+PART = "part_of"
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """One committed state of a table. ``folders`` maps each partition's digest to its load."""
+
+    number: int
+    schema: str
+    newest: str | None
+    folders: dict[str, str]
+
+    def loads(self) -> set[str]:
+        return set(self.folders.values())
+
+
+def _manifests(spark: SparkSession, path: str) -> list[Manifest]:
+    """All manifests still there, oldest first; a commit keeps two."""
+    try:
+        texts = spark.read.text(f"{path}/manifest/*", wholetext=True).collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return sorted((Manifest(**json.loads(row[0])) for row in texts), key=lambda m: m.number)
+
+
+def _commit(spark: SparkSession, path: str, manifest: Manifest, earlier: list[Manifest]) -> None:
+    text = spark.createDataFrame([(json.dumps(asdict(manifest)),)], "value string")
+    # One file, put in place by one rename. What a broken commit left under the number goes.
+    text.coalesce(1).write.mode("overwrite").text(f"{path}/manifest/{manifest.number:09d}")
+    still_read = manifest.loads().union(*(m.loads() for m in earlier[-1:]))
+    for old in earlier[:-1]:
+        for load in old.loads() - still_read:
+            remove_folder(spark, f"{path}/data/{load}")
+        remove_folder(spark, f"{path}/manifest/{old.number:09d}")
+
 
-from tidemart.session import checkpoint_root
+def _read(spark: SparkSession, path: str, manifest: Manifest, parts: Collection[str] | None = None) -> DataFrame:
+    schema = StructType.fromJson(json.loads(manifest.schema))
+    chosen = [p for p in manifest.folders if parts is None or p in parts]
+    if not chosen:
+        return spark.createDataFrame([], schema)
+    folders = [f"{path}/data/{manifest.folders[p]}/{PART}={p}" for p in chosen]
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path`` as last committed, or None if nothing was ever committed."""
+    committed = _manifests(spark, path)
+    return _read(spark, path, committed[-1]) if committed else None
+
+
+def newest_value(spark: SparkSession, path: str) -> str | None:
+    """The highest value of the watermark column that was ever committed, as text."""
+    committed = _manifests(spark, path)
+    return committed[-1].newest if committed else None
 
 
 def upsert_rows(existing: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -21,38 +92,32 @@ def upsert_rows(existing: DataFrame, changes: DataFrame, key: Sequence[str]) ->
 
 
 def latest_per_key(rows: DataFrame, key: Sequence[str], version: str) -> DataFrame:
-    """The row with the highest ``version`` per key; equal versions are settled by the row itself."""
+    """The row with the highest ``version`` per key.
+
+    Equal versions are settled by the row itself; a null version is older than any other.
+    """
     row = F.struct(*rows.columns)
     newest = F.max_by(row, F.struct(F.col(version), row)).alias("row")
     return rows.groupBy(*key).agg(newest).select("row.*")
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None if there is none yet."""
-    try:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
-def write_partitioned(rows: DataFrame, path: str, partition: str, replace_all: bool) -> None:
-    """Write by ``partition`` in files of a sensible size.
+def write_partitioned(rows: DataFrame, path: str, partition: str) -> None:
+    """Write all rows by ``partition`` in files of a sensible size, replacing what is there.
 
     The rebalance lets adaptive execution merge small partitions and split one that holds
-    much of the data. With ``replace_all`` unset only partitions present in ``rows`` are
-    replaced.
+    much of the data.
     """
-    rows.hint("rebalance", F.col(partition)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static" if replace_all else "dynamic"
-    ).partitionBy(partition).parquet(path)
+    balanced = rows.hint("rebalance", F.col(partition))
+    balanced.write.mode("overwrite").partitionBy(partition).parquet(path)
+
+
+def _part(partition: str):
+    """The digest of a partition's value; a null value is a partition too."""
+    return F.md5(F.coalesce(F.col(partition).cast("string"), F.lit("\\N")))
 
 
-def _in(column: str, values: Collection) -> Column:
-    known = [v for v in values if v is not None]
-    condition = F.col(column).isin(*known) if known else F.lit(False)
-    return condition | F.col(column).isNull() if None in values else condition
+def _parts(rows: DataFrame) -> set[str]:
+    return {row[0] for row in rows.select(PART).distinct().collect()}
 
 
 def upsert_table(
@@ -62,6 +127,7 @@ def upsert_table(
     partition: str,
     version: str | None = None,
     rows_move: bool | None = None,
+    watermark: str | None = None,
 ) -> None:
     """Apply ``changes`` (one row per key) to the table at ``path``.
 
@@ -70,56 +136,41 @@ def upsert_table(
     whole table; that scan is skipped when ``rows_move`` is False, which is safe if a key
     never changes its partition and is assumed when the partition column is part of the key.
 
-    Applying the same changes twice leaves the same table. With ``version``, a change older
-    than the stored row is dropped, so a late replay cannot undo a newer one.
+    Applying the same changes twice leaves the same table. With ``version``, a change older than
+    the stored row is dropped, so a late replay cannot undo a newer one. A change with the stored
+    row's version replaces it, as it was derived later. A null version is older than any other.
 
-    Partitions are replaced one after the other at commit, so readers should wait for the
-    call to return; a failed call is repaired by repeating it.
+    A call that breaks off at any point leaves the table as it was; repeating it completes it.
+    ``watermark`` names a column whose highest value is kept with the table.
     """
-    spark = changes.sparkSession
-    existing = read_table(spark, path)
-    if existing is None:
-        write_partitioned(changes, path, partition, replace_all=True)
-        return
-    key = list(key)
-    if rows_move is None:
-        rows_move = partition not in key
-    checkpoint_root(spark)
-    # Several jobs below read the changes, and their plan may read the table being rewritten.
-    changes = changes.checkpoint()
-    # One value per partition of the table, which is bounded by the calendar.
-    after = _partitions(changes, partition)
-    candidates = existing if rows_move else existing.where(_in(partition, after))
-    if version is not None:
-        stored = candidates.select(*key, F.col(version).alias("stored_version"))
-        changes = (
-            changes.join(stored, key, "left")
-            .where(F.col("stored_version").isNull() | (F.col(version) >= F.col("stored_version")))
-            .drop("stored_version")
-            .checkpoint()
-        )
-        after = _partitions(changes, partition)
-    before = set()
-    if rows_move:
-        replaced = existing.join(changes.select(*key), key, "left_semi")
-        before = _partitions(replaced, partition)
-    touched = before | after
-    if not touched:
-        return
-    merged = upsert_rows(existing.where(_in(partition, touched)), changes, key)
-    vacated = before - after
-    if vacated:
-        vacated -= _partitions(merged.where(_in(partition, vacated)), partition)
-    write_partitioned(merged, path, partition, replace_all=False)
-    # Overwriting by partition leaves one whose last row moved elsewhere as it was.
-    for value in vacated:
-        nothing = existing.where(F.lit(False)).drop(partition)
-        nothing.write.mode("overwrite").parquet(f"{path}/{_folder(partition, value)}")
-
-
-def _partitions(rows: DataFrame, partition: str) -> set:
-    return {row[0] for row in rows.select(partition).distinct().collect()}
-
-
-def _folder(partition: str, value) -> str:
-    return f"{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+    spark, key = changes.sparkSession, list(key)
+    committed = _manifests(spark, path)
+    now = committed[-1] if committed else Manifest(0, changes.limit(0).schema.json(), None, {})
+    rows_move = partition not in key if rows_move is None else rows_move
+    # Several jobs read the changes, and their plan may read the table that is rewritten.
+    with scratch_table(changes.withColumn(PART, _part(partition)), "changes") as marked:
+        # One digest per partition of the table, which is bounded by the calendar.
+        touched = _parts(marked)
+        changes = marked.drop(PART)
+        if rows_move and now.folders:
+            keys = _read(spark, path, now).select(*key, _part(partition).alias(PART))
+            touched |= _parts(keys.join(changes.select(*key), key, "left_semi"))
+        existing = _read(spark, path, now, touched)
+        if version is not None:
+            stored = existing.select(*key, F.lit(True).alias("is_stored"), F.col(version).alias("stored_version"))
+            newer = F.col("is_stored").isNull() | F.col("stored_version").isNull()
+            newer |= F.col(version) >= F.col("stored_version")
+            changes = changes.join(stored, key, "left").where(newer).drop("is_stored", "stored_version")
+        merged = upsert_rows(existing, changes, key)
+        load = uuid.uuid4().hex
+        by_part = merged.withColumn(PART, _part(partition)).hint("rebalance", F.col(PART))
+        by_part.write.partitionBy(PART).parquet(f"{path}/data/{load}")
+        newest = now.newest
+        if watermark is not None:
+            (highest,) = marked.agg(F.max(watermark).cast("string")).first()
+            newest = max((v for v in (newest, highest) if v is not None), default=None)
+    written = _parts(spark.read.schema(f"{PART} string").parquet(f"{path}/data/{load}")) if touched else set()
+    folders = {p: f for p, f in now.folders.items() if p not in touched}
+    folders |= dict.fromkeys(written, load)
+    following = replace(now, number=now.number + 1, schema=merged.schema.json(), newest=newest, folders=folders)
+    _commit(spark, path, following, committed)

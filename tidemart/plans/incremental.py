@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import month_start
-from tidemart.operators.upsert import read_table, upsert_table
-from tidemart.plans import core, intermediate
+from tidemart.operators.upsert import newest_value, read_table, upsert_table
+from tidemart.plans import core, intermediate, staging
 from tidemart.plans.models import Models
+from tidemart.sources.raw import ORDER_MONTH
 
-ORDER_MONTH = "order_month"
 # Fixed value: the high-watermark of an empty table.
 BEGINNING = datetime(1900, 1, 1)
 
@@ -22,9 +22,10 @@ def with_order_month(orders: DataFrame) -> DataFrame:
     return orders.withColumn(ORDER_MONTH, month_start("order_date"))
 
 
-def high_watermark(existing: DataFrame | None) -> datetime:
-    newest = None if existing is None else existing.agg(F.max("processed_at")).first()[0]
-    return newest or BEGINNING
+def high_watermark(models: Models, path: str) -> datetime:
+    """The newest processing time ever loaded, which the table keeps; no scan."""
+    newest = newest_value(models.spark, path)
+    return datetime.fromisoformat(newest) if newest else BEGINNING
 
 
 def orders_since(models: Models, watermark: datetime, with_refunded: bool = False) -> DataFrame:
@@ -48,25 +49,58 @@ def orders_since(models: Models, watermark: datetime, with_refunded: bool = Fals
     return marked.where(recent | F.col("refunded")).drop("refunded")
 
 
+# Feeds that ``write_monthly_feeds`` may have stored by order month, and their staging.
+_BY_MONTH = {"order_lines": staging.order_lines, "refunds": staging.refunds}
+
+
+def _is_monthly(models: Models, table: str) -> bool:
+    return f"stg_{table}" not in models.stored and ORDER_MONTH in models.raw[table].columns
+
+
+def _staged(models: Models, table: str, months: list[date | None]) -> DataFrame:
+    """A staged feed, cut to some order months where the raw feed is stored by them."""
+    if not _is_monthly(models, table):
+        return models[f"stg_{table}"]
+    month = F.col(ORDER_MONTH)
+    wanted = month.isin([m for m in months if m is not None])
+    return _BY_MONTH[table](models.raw[table].where(wanted | month.isNull() if None in months else wanted))
+
+
 def order_rows(models: Models, orders: DataFrame) -> DataFrame:
-    """Order-fact rows for some staged orders; only their lines and refunds are shuffled."""
+    """Order-fact rows for some staged orders; only their lines and refunds are shuffled.
+
+    Where the line and refund feeds are stored by order month (``write_monthly_feeds``), only the
+    months of these orders are read. The months, one value each, reach the driver.
+    """
     ids = orders.select("order_id")
-    lines = models["stg_order_lines"].join(ids, "order_id", "left_semi")
-    refunds = models["stg_refunds"].join(ids, "order_id", "left_semi")
+    months = []
+    if any(_is_monthly(models, table) for table in _BY_MONTH):
+        months = [r[0] for r in orders.select(month_start("order_date")).distinct().collect()]
+    lines, refunds = (_staged(models, table, months) for table in _BY_MONTH)
     economics = core.order_economics(
-        intermediate.order_net(orders, refunds), lines, models["stg_products"]
+        intermediate.order_net(orders, refunds.join(ids, "order_id", "left_semi")),
+        lines.join(ids, "order_id", "left_semi"),
+        models["stg_products"],
     )
     return core.fct_orders(economics, models["stg_customers"])
 
 
-def refresh_orders(models: Models, path: str, with_refunded: bool = False) -> None:
-    """Bring the order fact at ``path`` up to date with the feeds."""
-    watermark = high_watermark(read_table(models.spark, path))
-    changed = orders_since(models, watermark, with_refunded)
+def refresh_orders(
+    models: Models, path: str, with_refunded: bool = False, rows_move: bool = False
+) -> None:
+    """Bring the order fact at ``path`` up to date with the feeds.
+
+    An order's creation date does not change, so its month does not either; set ``rows_move``
+    for a feed that corrects dates.
+    """
+    changed = orders_since(models, high_watermark(models, path), with_refunded)
     rows = with_order_month(order_rows(models, changed))
-    upsert_table(rows, path, ["order_id"], ORDER_MONTH)
+    upsert_table(rows, path, ["order_id"], ORDER_MONTH, rows_move=rows_move, watermark="processed_at")
 
 
 def stored_orders(models: Models, path: str) -> DataFrame:
     """The order fact as stored, without its partition column."""
-    return models.spark.read.option("mergeSchema", True).parquet(path).drop(ORDER_MONTH)
+    stored = read_table(models.spark, path)
+    if stored is None:
+        raise ValueError(f"no load was ever committed to {path}")
+    return stored.drop(ORDER_MONTH)

@@ -15,7 +15,7 @@ from tidemart.functions.columns import (
     sum_money,
     zero_if_null,
 )
-from tidemart.operators.skew import ROWS_PER_PIECE, hot_keys, salted_join
+from tidemart.operators.skew import ROWS_PER_PIECE, pieces_of, salted_join
 from tidemart.plans.intermediate import first_orders, with_first_value
 
 
@@ -85,18 +85,20 @@ def fct_attribution_first_touch(
     """Each member order with the UTM fields of that customer's first order.
 
     The first orders come out of an aggregate on ``customer_id``, which is the case
-    adaptive skew handling cannot split, hence the salted join.
+    adaptive skew handling cannot split, hence the salted join. The same aggregate counts the
+    orders, so customers with very many are a filter on it.
     """
-    members = orders.where(F.col("customer_id").isNotNull())
+    firsts = first_orders(orders.where(F.col("customer_id").isNotNull()))
+    firsts = firsts.withColumn("pieces", pieces_of("order_count", rows_per_piece))
     member_economics = economics.where(F.col("customer_id").isNotNull()).select(
         "order_id", "order_date", "customer_id", "net_subtotal_after_refunds", "contribution_margin"
     )
     joined = salted_join(
         member_economics,
-        first_orders(members),
+        firsts,
         ["customer_id"],
         spread_by="order_id",
-        hot=hot_keys(members, ["customer_id"], rows_per_piece),
+        send_hot=rows_per_piece >= ROWS_PER_PIECE,
     )
     return joined.select(
         "order_id",

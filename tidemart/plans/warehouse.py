@@ -16,6 +16,7 @@ from tidemart.functions.columns import month_start
 from tidemart.operators.upsert import write_partitioned
 from tidemart.plans.documentation import TABLE_COMMENTS, documented
 from tidemart.plans.models import MARTS, STAGING, Models
+from tidemart.sources.raw import ORDER_MONTH
 
 # Schemas are used verbatim as folder or database names.
 SCHEMA_OF: dict[str, str] = {
@@ -35,6 +36,9 @@ SCHEMA_OF: dict[str, str] = {
     "customer_rfm": "marts_customer",
 }
 
+SCHEMA_OF |= dict.fromkeys(STAGING, "staging")
+SCHEMA_OF |= dict.fromkeys(("int_orders_joined", "int_sessions_attributed"), "intermediate")
+
 # Written one after the other, each may read those before it.
 SHARED = ("fct_orders", "int_customer_order_history", "int_unified_spend")
 # Written side by side: they read the shared tables and the feeds only.
@@ -47,8 +51,6 @@ THREADS = 4
 MONTHLY = frozenset(
     {"fct_orders", "fct_order_items", "fct_attribution_first_touch", "fct_attribution_last_touch"}
 )
-ORDER_MONTH = "order_month"
-
 # The tables dashboards read.
 BI_TABLES = tuple(name for name in MARTS if name != "dim_dates")
 
@@ -68,8 +70,13 @@ def read_marts(
     return {name: read_mart(spark, root, name) for name in names}
 
 
-def _build(models: Models, store: Callable[[str, DataFrame], DataFrame], threads: int) -> Models:
-    """Store every mart with ``store``, which writes one table and returns it as stored."""
+def _build(
+    models: Models,
+    store: Callable[[str, DataFrame], DataFrame],
+    threads: int,
+    names: Iterable[str] = INDEPENDENT,
+) -> Models:
+    """Store the shared marts and then ``names`` with ``store``, which writes and returns one table."""
 
     def reading(stored: dict[str, DataFrame]) -> Models:
         return Models(models.spark, models.raw, models.settings, stored, models.extra_spend)
@@ -77,33 +84,43 @@ def _build(models: Models, store: Callable[[str, DataFrame], DataFrame], threads
     shared = dict(models.stored)
     for name in SHARED:
         shared[name] = store(name, documented(reading(shared)[name]))
+    names = list(names)
     with ThreadPoolExecutor(threads) as pool:
-        built = pool.map(
-            lambda name: store(name, documented(reading(shared)[name])), INDEPENDENT
-        )
-        return reading({**shared, **dict(zip(INDEPENDENT, built))})
+        built = pool.map(lambda name: store(name, documented(reading(shared)[name])), names)
+        return reading({**shared, **dict(zip(names, built, strict=True))})
 
 
 def _monthly(rows: DataFrame) -> DataFrame:
     return rows.withColumn(ORDER_MONTH, month_start("order_date"))
 
 
-def build(models: Models, root: str, threads: int = THREADS) -> Models:
-    """Write every mart as Parquet below ``root``; returns models that read the stored copies."""
+def build(
+    models: Models, root: str, threads: int = THREADS, names: Iterable[str] = INDEPENDENT
+) -> Models:
+    """Write every mart as Parquet below ``root``; returns models that read the stored copies.
+
+    ``names`` are the tables to write besides the shared ones, if not all marts.
+    """
 
     def store(name: str, rows: DataFrame) -> DataFrame:
         path = table_path(root, name)
         if name in MONTHLY:
-            write_partitioned(_monthly(rows), path, ORDER_MONTH, replace_all=True)
+            write_partitioned(_monthly(rows), path, ORDER_MONTH)
         else:
             rows.write.mode("overwrite").parquet(path)
         return read_mart(models.spark, root, name)
 
-    return _build(models, store, threads)
+    return _build(models, store, threads, names)
+
 
+def build_catalog(
+    models: Models, location: str | None = None, threads: int = THREADS, staging: bool = False
+) -> Models:
+    """Like ``build``, into catalog tables ``<schema>.<name>`` with table and column comments.
 
-def build_catalog(models: Models, location: str | None = None, threads: int = THREADS) -> Models:
-    """Like ``build``, into catalog tables ``<schema>.<name>`` with table and column comments."""
+    With ``staging`` the staging layer is stored as well, in a schema of its own; it is written first
+    and everything else reads it.
+    """
     spark = models.spark
     for schema in dict.fromkeys(SCHEMA_OF.values()):
         where = f" LOCATION '{location.rstrip('/')}/{schema}'" if location else ""
@@ -122,13 +139,22 @@ def build_catalog(models: Models, location: str | None = None, threads: int = TH
             spark.sql(f"COMMENT ON TABLE {table} IS '{comment}'")
         return spark.table(table).drop(ORDER_MONTH)
 
+    if staging:
+        stored = dict(models.stored)
+        for name in STAGING:
+            staged = Models(spark, models.raw, models.settings, stored, models.extra_spend)
+            stored[name] = store(name, documented(staged[name]))
+        models = Models(spark, models.raw, models.settings, stored, models.extra_spend)
     return _build(models, store, threads)
 
 
 def create_staging_views(models: Models) -> None:
-    """Expose the staging layer as temporary views; they hold plans, not rows."""
+    """Expose the staging layer as temporary views, with comments and personal-data tags.
+
+    They hold plans, not rows, and end with the session; ``build_catalog`` can store the layer.
+    """
     for name in STAGING:
-        models[name].createOrReplaceTempView(name)
+        documented(models[name]).createOrReplaceTempView(name)
 
 
 def cache_reports(reports: dict[str, DataFrame], root: str) -> None:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes reducers at run time and splits skewed join partitions,
 # so the shuffle width below is only the upper bound it starts from.
@@ -43,20 +45,48 @@ def local_session(cores: int | str = 8, app_name: str = "tidemart", **conf: str)
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's checkpoint folder.
 
-    ``spark.checkpoint.dir`` names a folder every executor can reach. Only a local
-    session without that setting gets a temporary folder of its own.
+    ``spark.checkpoint.dir`` names a folder every executor can reach. A local session without
+    that setting uses a folder in its warehouse.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if configured is None:
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     if context.getCheckpointDir() is None:
-        if configured is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-            configured = tempfile.mkdtemp(prefix="tidemart-")
         context.setCheckpointDir(configured)
-    return configured or context.getCheckpointDir()
+    return configured
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the checkpoint folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's own making, wherever the path's file system is."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path`` whose write has ended, in order."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    root = hadoop_path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    found = (status.getPath() for status in files.listStatus(root) if status.isDirectory())
+    return sorted(p.getName() for p in found if files.exists(hadoop_path(p, "_SUCCESS")))
+
+
+@contextmanager
+def scratch_table(frame: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``frame`` written once to the scratch folder, to be read until the block ends."""
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    try:
+        yield frame.sparkSession.read.schema(frame.schema).parquet(path)
+    finally:
+        remove_folder(frame.sparkSession, path)

@@ -8,38 +8,67 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType, StructField, StructType
 
+from tidemart.functions.columns import month_start
 from tidemart.sources.schemas import RAW_SCHEMAS, RAW_TABLE_GROUP
 
 # Feeds joined or rolled up by order.
 ORDER_KEYED = ("orders", "order_lines", "refunds")
+# Partition column of feeds and tables stored by the month in which the order was created.
+ORDER_MONTH = "order_month"
 
 
 def read_csv_feeds(
     spark: SparkSession, folder: str, tables: Iterable[str] = tuple(RAW_SCHEMAS)
 ) -> dict[str, DataFrame]:
-    """``folder/<table>.csv`` with a header; a bad value or a reordered header raises."""
+    """``folder/<table>.csv`` with a header; a bad value or a reordered header raises.
+
+    Quotes within a quoted field are doubled, and it may hold line breaks.
+    """
     return {
         table: spark.read.schema(RAW_SCHEMAS[table])
-        .options(header=True, mode="FAILFAST", enforceSchema=False)
+        .options(header=True, mode="FAILFAST", enforceSchema=False, escape='"', multiLine=True)
         .csv(f"{folder}/{table}.csv")
         for table in tables
     }
 
 
+def _exactly(column: StructField, wanted: DataType) -> Column:
+    """A column as another type; a number that would lose digits raises."""
+    value = F.col(column.name)
+    if column.dataType == wanted:
+        return value
+    cast = value.cast(wanted)
+    if not (isinstance(column.dataType, NumericType) and isinstance(wanted, NumericType)):
+        return cast.alias(column.name)
+    message = F.concat(F.lit(f"{column.name} does not fit {wanted.simpleString()}: "), value.cast("string"))
+    return F.when(cast != value, F.raise_error(message)).otherwise(cast).alias(column.name)
+
+
+def declared(frame: DataFrame, table: str) -> DataFrame:
+    """A feed with its declared columns and types, then any others it has."""
+    fields = {f.name: f.dataType for f in StructType.fromDDL(RAW_SCHEMAS[table])}
+    others = [c for c in frame.columns if c not in fields]
+    return frame.select(*[_exactly(frame.schema[name], kind) for name, kind in fields.items()], *others)
+
+
 def read_parquet_feeds(
     spark: SparkSession, folder: str, tables: Iterable[str] = tuple(RAW_SCHEMAS)
 ) -> dict[str, DataFrame]:
     """``folder/<group>/<table>`` Parquet folders, as written by ``write_raw_tables``."""
-    return {t: spark.read.parquet(f"{folder}/{RAW_TABLE_GROUP[t]}/{t}") for t in tables}
+    return {
+        t: declared(spark.read.parquet(f"{folder}/{RAW_TABLE_GROUP[t]}/{t}"), t) for t in tables
+    }
 
 
 def read_catalog_feeds(
     spark: SparkSession, tables: Iterable[str] = tuple(RAW_SCHEMAS)
 ) -> dict[str, DataFrame]:
     """Catalog tables named ``<group>.<table>``."""
-    return {t: spark.table(f"{RAW_TABLE_GROUP[t]}.{t}") for t in tables}
+    return {t: declared(spark.table(f"{RAW_TABLE_GROUP[t]}.{t}"), t) for t in tables}
 
 
 def write_raw_tables(raw: dict[str, DataFrame], folder: str) -> None:
@@ -48,6 +77,21 @@ def write_raw_tables(raw: dict[str, DataFrame], folder: str) -> None:
         frame.write.mode("overwrite").parquet(f"{folder}/{RAW_TABLE_GROUP[table]}/{table}")
 
 
+def write_monthly_feeds(raw: dict[str, DataFrame], folder: str) -> None:
+    """Land the feeds as ``write_raw_tables`` does, lines and refunds by the month of their order.
+
+    Loads of the order fact then read the months they touch only. Lines and refunds of an unknown
+    order have no month.
+    """
+    months = raw["orders"].select("order_id", month_start(F.to_date("created_at")).alias(ORDER_MONTH))
+    write_raw_tables({t: f for t, f in raw.items() if t not in ("order_lines", "refunds")}, folder)
+    for table in ("order_lines", "refunds"):
+        dated = raw[table].join(months, "order_id", "left").select(*raw[table].columns, ORDER_MONTH)
+        balanced = dated.hint("rebalance", F.col(ORDER_MONTH))
+        path = f"{folder}/{RAW_TABLE_GROUP[table]}/{table}"
+        balanced.write.mode("overwrite").partitionBy(ORDER_MONTH).parquet(path)
+
+
 def write_bucketed_feeds(
     spark: SparkSession, raw: dict[str, DataFrame], buckets: int, tables: Iterable[str] = ORDER_KEYED
 ) -> dict[str, DataFrame]:

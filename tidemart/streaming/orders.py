@@ -12,18 +12,24 @@ from tidemart.plans.models import Models
 
 
 def apply_order_changes(
-    models: Models, raw_orders: DataFrame, path: str, dates_change: bool = True
+    models: Models, raw_orders: DataFrame, path: str, dates_change: bool = False
 ) -> None:
     """Upsert one batch of raw order changes; several changes of an order keep the newest.
 
     Replaying a batch writes the same rows again, and a batch that arrives late does not
-    replace a row processed after it. Where the feed never changes the creation date of an
-    order, unset ``dates_change``: each batch then only reads the months it touches.
+    replace a row processed after it. Each batch only reads the months it touches; set
+    ``dates_change`` for a feed that changes the creation date of an order.
     """
     newest = latest_per_key(staging.orders(raw_orders), ["order_id"], "processed_at")
     rows = with_order_month(order_rows(models, newest))
     upsert_table(
-        rows, path, ["order_id"], ORDER_MONTH, version="processed_at", rows_move=dates_change
+        rows,
+        path,
+        ["order_id"],
+        ORDER_MONTH,
+        version="processed_at",
+        rows_move=dates_change,
+        watermark="processed_at",
     )
 
 
@@ -32,7 +38,7 @@ def order_stream(
     raw_orders: DataFrame,
     path: str,
     checkpoint: str,
-    dates_change: bool = True,
+    dates_change: bool = False,
 ) -> StreamingQuery:
     """Start applying a streaming feed of raw order rows to the order fact at ``path``.
 

@@ -1,100 +1,111 @@
 """Web sessions kept current from a stream of events.
 
-A streaming aggregate holds one partial row per session and day, and the watermark lets
-its state go once the day is over. Every update of a partial replaces its stored row, so a
-replayed batch changes nothing. A session is the roll-up of its few partials, read on
-demand. Events later than the watermark allows are dropped, which the batch model does
-not do.
+Each micro-batch is grouped on its own, without state, into one partial row per session and day,
+stored under the number of its batch. A replayed batch replaces its own partials and nothing
+else, so no event is counted twice, and however late an event comes it is not dropped. A session
+is the roll-up of its partials, read on demand; ``compact_sessions`` merges old batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.functions.columns import MONEY, flag_any, sum_money
-from tidemart.operators.upsert import upsert_table
+from tidemart.functions.columns import MONEY, earliest, flag_any, sum_money
 from tidemart.plans.staging import FUNNEL_EVENTS, SESSION_KEY
+from tidemart.session import complete_folders, remove_folder
 
 EVENT_DAY = "event_day"
 PART_KEY = [*SESSION_KEY, EVENT_DAY]
 
 
-def session_parts(events: DataFrame, lateness: str) -> DataFrame:
-    """Per session and day: everything needed to finish the session later."""
+def session_parts(events: DataFrame) -> DataFrame:
+    """Per session and day of some events: everything needed to finish the session later."""
     named = F.col("event_name")
     value = F.when(named == "purchase", F.col("event_value")).otherwise(0)
-    order = F.struct("event_timestamp", "event_id")
     touch = F.struct("event_timestamp", "event_id", "source", "medium", "campaign")
-    # Watermarks need an instant: the zone-less event time is taken as UTC, whose days are
-    # the ones ``window`` cuts, so the window adds no groups beyond the event day.
-    since_epoch = F.timestamp_diff(
-        "MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("event_timestamp")
+    return events.groupBy(*SESSION_KEY, F.to_date("event_timestamp").alias(EVENT_DAY)).agg(
+        F.min_by(touch, earliest("event_timestamp", "event_id")).alias("first"),
+        F.max("event_timestamp").alias("ended_at"),
+        F.max("ga_session_number").alias("number"),
+        *[flag_any(named == name).alias(f"had_{name}") for name in FUNNEL_EVENTS],
+        F.count(F.when(named == "page_view", 1)).alias("page_views"),
+        sum_money(value).cast(MONEY).alias("purchases"),
     )
-    grouped = (
-        events.withColumn("event_time", F.timestamp_micros(since_epoch))
-        .withWatermark("event_time", lateness)
-        .groupBy(
-            *SESSION_KEY,
-            F.to_date("event_timestamp").alias(EVENT_DAY),
-            F.window("event_time", "1 day").alias("day"),
-        )
-        .agg(
-            F.min_by(touch, order).alias("first"),
-            F.max("event_timestamp").alias("ended_at"),
-            F.max("ga_session_number").alias("number"),
-            *[flag_any(named == name).alias(f"had_{name}") for name in FUNNEL_EVENTS],
-            F.count(F.when(named == "page_view", 1)).alias("page_views"),
-            sum_money(value).cast(MONEY).alias("purchases"),
-        )
+
+
+def _rolled(parts: DataFrame, keys: list[str]) -> DataFrame:
+    return parts.groupBy(*keys).agg(
+        F.min_by("first", earliest("first.event_timestamp", "first.event_id")).alias("first"),
+        F.max("ended_at").alias("ended_at"),
+        F.max("number").alias("number"),
+        *[F.max(f"had_{name}").alias(f"had_{name}") for name in FUNNEL_EVENTS],
+        F.sum("page_views").alias("page_views"),
+        sum_money("purchases").cast(MONEY).alias("purchases"),
     )
-    return grouped.drop("day")
 
 
 def sessions_from_parts(parts: DataFrame) -> DataFrame:
     """Sessions in the shape of the batch model."""
-    first_event = F.struct("first.event_timestamp", "first.event_id")
-    rolled = parts.groupBy(*SESSION_KEY).agg(
-        F.min_by("first", first_event).alias("first"),
-        F.max("ended_at").alias("session_ended_at"),
-        F.max("number").alias("session_number"),
-        *[F.max(f"had_{name}").alias(f"had_{name}") for name in FUNNEL_EVENTS],
-        F.sum("page_views").alias("page_view_count"),
-        sum_money("purchases").cast(MONEY).alias("purchase_value"),
-    )
-    return rolled.select(
+    return _rolled(parts, [*SESSION_KEY]).select(
         *SESSION_KEY,
         F.col("first.event_timestamp").alias("session_started_at"),
         F.to_date("first.event_timestamp").alias("session_date"),
-        "session_ended_at",
-        "session_number",
+        F.col("ended_at").alias("session_ended_at"),
+        F.col("number").alias("session_number"),
         F.col("first.source").alias("session_source"),
         F.col("first.medium").alias("session_medium"),
         F.col("first.campaign").alias("session_campaign"),
         *[f"had_{name}" for name in FUNNEL_EVENTS],
-        "page_view_count",
-        "purchase_value",
+        F.col("page_views").alias("page_view_count"),
+        F.col("purchases").alias("purchase_value"),
     )
 
 
-def session_stream(
-    staged_events: DataFrame, path: str, checkpoint: str, lateness: str = "2 days"
-) -> StreamingQuery:
+def _batch_folders(spark: SparkSession, path: str) -> list[str]:
+    """Complete batches. A compaction hides the batches and compactions before it."""
+    names = complete_folders(spark, path)
+    upto = max((int(n[5:]) for n in names if n.startswith("upto-")), default=-1)
+    batches = [n for n in names if n.startswith("batch-") and int(n[6:]) > upto]
+    return [f"upto-{upto:012d}", *batches] if upto >= 0 else batches
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame | None:
+    """All partials stored at ``path``, or None before the first batch."""
+    folders = _batch_folders(spark, path)
+    return spark.read.parquet(*[f"{path}/{name}" for name in folders]) if folders else None
+
+
+def compact_sessions(spark: SparkSession, path: str) -> None:
+    """Merge all partials so far into one row per session and day.
+
+    The merged rows count from the moment their folder is complete; only then do the batches in it
+    go, so a call that breaks off loses nothing. Don't call it while a batch may be replayed.
+    """
+    folders = _batch_folders(spark, path)
+    batches = [int(name[6:]) for name in folders if name.startswith("batch-")]
+    if not batches:
+        return
+    merged = _rolled(spark.read.parquet(*[f"{path}/{name}" for name in folders]), PART_KEY)
+    merged.write.mode("overwrite").parquet(f"{path}/upto-{max(batches):012d}")
+    # Also what a call that broke off here has left.
+    for name in complete_folders(spark, path):
+        if int(name.rpartition("-")[2]) <= max(batches) and name != f"upto-{max(batches):012d}":
+            remove_folder(spark, f"{path}/{name}")
+
+
+def session_stream(staged_events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Start folding a stream of staged web events into the partials at ``path``.
 
-    State is spread over as many partitions as ``spark.sql.shuffle.partitions`` says when
-    the query first starts; that number stays with the checkpoint.
+    ``path`` and ``checkpoint`` belong together: batches are numbered by the checkpoint.
     """
 
-    def apply(batch: DataFrame, _batch_id: int) -> None:
-        if not batch.isEmpty():
-            upsert_table(batch, path, PART_KEY, EVENT_DAY)
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        session_parts(batch).write.mode("overwrite").parquet(f"{path}/batch-{batch_id:012d}")
 
     return (
-        session_parts(staged_events, lateness)
-        .writeStream.outputMode("update")
-        .foreachBatch(apply)
+        staged_events.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
