@@ -1,10 +1,12 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from tidemart.functions import columns as c
-from tidemart.functions.calendar import date_spine
+from tidemart.functions.calendar import date_spine, days_spanned
 
 
 def one(spark, expression, **values):
@@ -54,6 +56,25 @@ def test_ratios_without_a_denominator(spark):
     assert one(spark, c.ratio_or_null("n", "d"), n=5, d=-2) is None
 
 
+def test_cents_are_whole_or_refused(spark):
+    assert one(spark, c.cents("v"), v=Decimal("1.23")) == 123
+    fine = spark.createDataFrame([(Decimal("1.2300"),), (None,)], "v decimal(12,4)")
+    assert [r[0] for r in fine.select(c.cents("v")).collect()] == [123, None]
+    with pytest.raises(SparkRuntimeException, match="not a whole number of cents"):
+        one(spark, c.cents("v"), v=Decimal("1.239"))
+
+
+def test_mean_of_ratios_keeps_small_digits(spark):
+    tiny = spark.createDataFrame([(1e-10,), (3e-10,)], "v double")
+    assert tiny.agg(c.mean_of_ratios("v")).first()[0] == 2e-10
+
+
+def test_days_spanned(spark):
+    dates = spark.createDataFrame([(date(2026, 1, 3),), (date(2026, 1, 1),), (None,)], "d date")
+    assert days_spanned(dates, "d").count() == 3
+    assert days_spanned(dates.where("d is null"), "d").count() == 0
+
+
 def test_mean_of_nothing_is_null(spark):
     empty = spark.createDataFrame([], "v decimal(12,2)")
     assert empty.agg(c.mean("v")).first()[0] is None

@@ -162,7 +162,7 @@ def test_session_takes_the_first_event(spark):
     assert got == [("first", 1, 0, 2, D("20.00"))]
 
 
-def test_sessions_fan_out_over_matching_orders(spark):
+def test_sessions_are_linked_to_matching_orders_in_one_row(spark):
     tags = {"utm_source": "google", "utm_medium": "cpc", "utm_campaign": "q"}
     m = models(
         spark,
@@ -176,8 +176,27 @@ def test_sessions_fan_out_over_matching_orders(spark):
             order("o2", "c2", "2026-02-01 12:00:00", **tags),
         ],
     )
-    got = rows(m["int_sessions_attributed"], "session_id", "order_id", "customer_id")
-    assert got == [("s1", "o1", "c1"), ("s1", "o2", "c2"), ("s2", None, None), ("s3", None, None)]
+    got = rows(m["int_sessions_attributed"], "session_id", "order_id", "customer_id", "linked_orders", "linked_subtotal")
+    none = (None, None, 0, D("0.00"))
+    assert got == [("s1", "o1", "c1", 2, D("200.00")), ("s2", *none), ("s3", *none)]
+
+
+def test_rows_without_a_time_are_not_first(spark):
+    m = models(
+        spark,
+        orders=[
+            {**order("o1", "c1", "2026-02-01 10:00:00", utm_source="late"), "created_at": None},
+            order("o2", "c1", "2026-03-01 10:00:00", utm_source="first"),
+        ],
+        web_events=[
+            {"event_id": "e1", "event_name": "page_view", "user_pseudo_id": "u", "session_id": "s", "source": "no time"},
+            {"event_id": "e2", "event_name": "page_view", "user_pseudo_id": "u", "session_id": "s", "source": "timed",
+             "event_timestamp": "2026-02-01 00:00:00"},
+        ],
+    )
+    assert rows(m["int_customer_order_history"], "acquisition_source", "first_order_date") == [("first", date(2026, 3, 1))]
+    assert rows(m["fct_attribution_first_touch"], "order_id", "first_touch_source") == [("o1", "first"), ("o2", "first")]
+    assert rows(m["stg_web_sessions"], "session_source") == [("timed",)]
 
 
 def test_cohort_across_a_month_edge(spark):

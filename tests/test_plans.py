@@ -9,9 +9,11 @@ from fixtures import models
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entrypoint
+from tidemart.plans.incremental import order_rows
 from tidemart.plans.models import ANALYSES, INTERMEDIATE, MARTS, REPORTS, STAGING, Models
 from tidemart.sources.driver_tables import DRIVER_SETTINGS, CommerceFeeds
-from tidemart.sources.raw import write_bucketed_feeds
+from tidemart.sources.raw import write_bucketed_feeds, write_monthly_feeds
+from tidemart.sources.schemas import RAW_TABLE_GROUP
 
 TABLES = [*STAGING, *INTERMEDIATE, *MARTS, *ANALYSES]
 
@@ -59,7 +61,7 @@ def test_no_step_that_does_not_scale(name, large):
 
 def test_only_needed_columns_and_filters_reach_the_scan(large):
     plan = large["fct_blended_roas"]._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(l_returnflag,R)" in plan and "EqualTo(l_linestatus,O)" in plan
+    assert "EqualTo(l_returnflag,R)" in plan
     read = set(re.findall(r"ReadSchema: struct<(l_\S+?)>", plan))
     assert read and all("l_tax" not in columns for columns in read)
     # Customer attributes are not part of the result, so customers are not read.
@@ -117,6 +119,33 @@ def test_sessions_are_aggregated_once(spark, sf_dir):
     assert "ReusedExchange" in plan
 
 
+def test_orders_are_reduced_before_they_meet_sessions(large):
+    plan = plan_of(large["int_sessions_attributed"])
+    joined = plan[plan.index("SortMergeJoin") :]
+    assert joined.count("partial_min_by(struct(order_id") >= 1
+
+
+def test_first_touch_reads_orders_for_economics_and_one_aggregate(spark, sf_dir):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = final_plan_of(entrypoint._models(spark, sf_dir)["fct_attribution_first_touch"])
+    assert len(re.findall(r"FileScan parquet \[o_", plan)) <= 3
+
+
+def test_loads_read_touched_months_only(spark, sf_dir, tmp_path):
+    feeds = CommerceFeeds(spark, sf_dir)
+    write_monthly_feeds(feeds, str(tmp_path))
+    names = [t for t in feeds if t not in ("order_lines", "refunds")]
+    stored = {t: spark.read.parquet(f"{tmp_path}/{RAW_TABLE_GROUP[t]}/{t}") for t in ("order_lines", "refunds")}
+    m = Models(spark, ChainMap(stored, {t: feeds[t] for t in names}), DRIVER_SETTINGS)
+    changed = m["stg_orders"].where("order_date between '1996-03-05' and '1996-04-02'")
+    got = order_rows(m, changed)
+    plan = plan_of(got)
+    filters = re.findall(r"PartitionFilters: \[(.*?)\]", plan)
+    assert sum("order_month" in f and "1996-03-01" in f for f in filters) == 2
+    whole = Models(spark, feeds, DRIVER_SETTINGS)
+    assert sorted(map(str, got.collect())) == sorted(map(str, order_rows(whole, changed).collect()))
+
+
 def test_bucketed_feeds_need_no_shuffle_on_order_id(spark):
     m = models(spark)
     stored = write_bucketed_feeds(spark, m.raw, 4)

@@ -13,6 +13,9 @@ def test_keys_nulls_values_and_ranges(spark):
     tables = {"t": people}
     assert rows(quality.unique(tables, {"t": ("id",)})) == [("t", "id", 1, "fail")]
     assert rows(quality.unique_combination(tables, {"t": ("id", "kind")})) == [("t", "id,kind", 1, "fail")]
+    # Nulls are left out column by column, and keys of several types are told apart.
+    both = rows(quality.unique(tables, {"t": ("id", "kind", "n")}))
+    assert both == [("t", "id", 1, "fail"), ("t", "kind", 1, "fail"), ("t", "n", 0, "pass")]
     assert rows(quality.not_null(tables, {"t": ("id", "n")})) == [("t", "id", 2, "fail"), ("t", "n", 1, "fail")]
     assert rows(quality.accepted_values(tables, {("t", "kind"): ("a", "b", "z")})) == [("t", "kind", 0, "pass")]
     assert rows(quality.accepted_values(tables, {("t", "kind"): ("a",)})) == [("t", "kind", 3, "fail")]

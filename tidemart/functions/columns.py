@@ -96,8 +96,13 @@ def mean(value: Column | str) -> Column:
 
 
 def mean_of_ratios(value: Column | str) -> Column:
-    """Mean of a double column, summed as a decimal for the same reason."""
-    return mean(_column(value).cast("decimal(28,8)"))
+    """Mean of a double column, summed as a decimal with all digits of a ratio for the same reason."""
+    return mean(_column(value).cast("decimal(38,20)"))
+
+
+def earliest(time: str, tie: str) -> Column:
+    """What to order by for the first row: by time, rows without one last, then by ``tie``."""
+    return F.struct(F.col(time).isNull(), F.col(time), F.col(tie))
 
 
 def flag_any(condition: Column) -> Column:
@@ -110,8 +115,11 @@ def count_if(condition: Column) -> Column:
 
 
 def cents(value: Column | str) -> Column:
-    """An amount with two decimals as a whole number of cents."""
-    return (_column(value) * 100).cast("bigint")
+    """An amount as a whole number of cents; an amount with a part of a cent raises."""
+    hundredfold = _column(value) * 100
+    whole = hundredfold.cast("bigint")
+    inexact = F.raise_error(F.concat(F.lit("not a whole number of cents: "), _column(value).cast("string")))
+    return F.when(hundredfold != whole, inexact).otherwise(whole)
 
 
 def money(total_cents: Column | str) -> Column:

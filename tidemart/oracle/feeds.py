@@ -69,7 +69,7 @@ FEED_SQL: dict[str, str] = {
         cast(sum(cast(l_extendedprice as decimal(12,2))) * 0.01 as decimal(12,2)) as spend, cast(sum(case
         when l_returnflag = 'N' then 1 else 0 end) as bigint) as reported_conversions,
         cast(sum(cast(l_extendedprice as decimal(12,2))) * 0.03 as decimal(12,2)) as
-        reported_conversion_value from lineitem where l_linestatus = 'O' group by 1, 2, 3, 4
+        reported_conversion_value from lineitem group by 1, 2, 3, 4
     """,
     "src_web_events": """
         select event_id, case event_type when 'view' then 'view_item' when 'click' then 'add_to_cart' when

@@ -29,5 +29,30 @@ LOAD_SQL: dict[str, str] = {
         union all select * from fct_orders where processed_at >= (select processed_at from newest)
     """,
     "fct_orders_stream": "select * from fct_orders",
+    # Two columns came with the later load only.
+    "fct_orders_grown": """
+        select * replace (
+            case when processed_at >= timestamp '1999-01-01 00:00:00' then source_name end as source_name,
+            case when processed_at >= timestamp '1999-01-01 00:00:00' then referring_site end as referring_site)
+        from fct_orders
+    """,
+    "built_marketing_performance": "select * from fct_marketing_performance",
+    "built_by_campaign": "select * from rpt_by_campaign",
+    "order_minor_units": """
+        select order_id, cast(order_total as decimal(20,4)) as order_total,
+            cast(refund_amount as decimal(20,4)) as refund_amount
+        from int_orders_joined
+    """,
+    # The days from the first order to the last.
+    "order_dates": """
+        select d as date_day, cast(year(d) as int) as year, cast(month(d) as int) as month,
+            cast(day(d) as int) as day_of_month, cast(dayofweek(d) as int) as day_of_week,
+            cast(date_trunc('week', d) as date) as week_start_date,
+            cast(date_trunc('month', d) as date) as month_start_date,
+            cast(date_trunc('quarter', d) as date) as quarter_start_date,
+            cast(date_trunc('year', d) as date) as year_start_date
+        from (select cast(unnest(range(min(order_date), max(order_date) + 1, interval 1 day)) as date) as d
+              from stg_orders)
+    """,
     "web_sessions_stream": "select * from stg_web_sessions",
 }

@@ -104,7 +104,7 @@ def quality_sql(rule_date: date, fresh_at: datetime) -> dict[str, str]:
                     "fct_orders",
                     "ordered_at",
                     "select count(*) from fct_orders where ordered_at >"
-                    f" timestamp '{rule_date} 00:00:00' + interval 24 hour",
+                    f" timestamp '{rule_date} 00:00:00' + interval 1 day",
                 )
             ]
         ),
@@ -127,7 +127,7 @@ def quality_sql(rule_date: date, fresh_at: datetime) -> dict[str, str]:
                     "customer_cohort_retention",
                     "retention_rate",
                     "select count(*) from customer_cohort_retention"
-                    " where months_since_acquisition = 0 and not (retention_rate = 1.0)",
+                    " where months_since_acquisition = 0 and retention_rate <> 1.0",
                 )
             ]
         ),

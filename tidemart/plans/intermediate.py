@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.columns import (
     MONEY,
+    MONEY_SUM,
     cents,
+    earliest,
     mean_money,
     money,
     sum_money,
@@ -84,16 +86,24 @@ def line_costs(lines: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def first_orders(orders: DataFrame) -> DataFrame:
-    """First order date and its UTM fields per customer; ties go to the lower order id."""
+    """Per customer the number of orders, the first order date and the first order's UTM fields.
+
+    Ties go to the lower order id; orders without a time come last.
+    """
     members = orders.where(F.col("customer_id").isNotNull())
     first = F.min_by(
-        F.struct("utm_source", "utm_medium", "utm_campaign"), F.struct("ordered_at", "order_id")
+        F.struct("utm_source", "utm_medium", "utm_campaign"), earliest("ordered_at", "order_id")
     )
     return (
         members.groupBy("customer_id")
-        .agg(F.min("order_date").alias("first_order_date"), first.alias("first"))
+        .agg(
+            F.min("order_date").alias("first_order_date"),
+            first.alias("first"),
+            F.count(F.lit(1)).alias("order_count"),
+        )
         .select(
             "customer_id",
+            "order_count",
             "first_order_date",
             F.col("first.utm_source").alias("acquisition_source"),
             F.col("first.utm_medium").alias("acquisition_medium"),
@@ -106,7 +116,7 @@ def customer_order_history(net: DataFrame) -> DataFrame:
     """Lifetime totals per customer in one grouped pass; guest orders are left out."""
     members = net.where(F.col("customer_id").isNotNull())
     first = F.min_by(
-        F.struct("utm_source", "utm_medium", "utm_campaign"), F.struct("ordered_at", "order_id")
+        F.struct("utm_source", "utm_medium", "utm_campaign"), earliest("ordered_at", "order_id")
     )
     grouped = members.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("lifetime_order_count"),
@@ -195,29 +205,40 @@ def unified_spend(platforms: Sequence[tuple[DataFrame, str]], campaigns: DataFra
 
 
 def sessions_attributed(sessions: DataFrame, orders: DataFrame) -> DataFrame:
-    """Sessions with the orders they may have led to.
+    """Sessions with the orders they may have led to, one row per session.
 
-    A purchase session is linked to every order of the same day, source, medium and
-    campaign; several such orders give several rows. Sessions without a purchase skip the
-    join altogether. Both sides reach the join straight from a shuffle, so adaptive
-    execution splits a day and channel that holds most of the purchases.
+    A purchase session is linked to the orders of the same day, source, medium and campaign: how
+    many there are, their subtotal, and the first of them by time and id. Listing every pair would
+    give sessions times orders rows per day and channel, so orders are reduced to one row per
+    day and channel before the join. Sessions without a purchase skip the join altogether.
     """
     kept = (
         *SESSION_KEY, "session_started_at", "session_date", "session_number", "session_source",
         "session_medium", "session_campaign", *[f"had_{n}" for n in FUNNEL_EVENTS],
         "page_view_count", "purchase_value",
     )
-    candidates = orders.select(
-        F.col("order_date").alias("session_date"),
-        F.col("utm_source").alias("session_source"),
-        F.col("utm_medium").alias("session_medium"),
-        F.col("utm_campaign").alias("session_campaign"),
-        "order_id",
-        "customer_id",
-    )
     match_on = ["session_date", "session_source", "session_medium", "session_campaign"]
+    first = F.min_by(F.struct("order_id", "customer_id"), earliest("ordered_at", "order_id"))
+    candidates = (
+        orders.groupBy("order_date", "utm_source", "utm_medium", "utm_campaign")
+        .agg(
+            F.count(F.lit(1)).alias("linked_orders"),
+            sum_money("order_subtotal").alias("linked_subtotal"),
+            first.alias("first"),
+        )
+        .toDF(*match_on, "linked_orders", "linked_subtotal", "first")
+    )
     buyers = sessions.where("had_purchase = 1").select(*kept).join(candidates, match_on, "left")
     others = sessions.where("had_purchase = 0").select(*kept)
-    return buyers.select(*kept, "order_id", "customer_id").unionByName(
-        others, allowMissingColumns=True
+    return buyers.select(
+        *kept,
+        F.col("first.order_id").alias("order_id"),
+        F.col("first.customer_id").alias("customer_id"),
+        "linked_orders",
+        "linked_subtotal",
+    ).unionByName(others, allowMissingColumns=True).withColumns(
+        {
+            "linked_orders": zero_if_null("linked_orders"),
+            "linked_subtotal": F.coalesce("linked_subtotal", F.lit(0)).cast(MONEY_SUM),
+        }
     )

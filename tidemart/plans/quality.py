@@ -72,17 +72,33 @@ def between(tables: Tables, contract=contracts.BETWEEN) -> DataFrame:
     )
 
 
-def _duplicate_keys(tables: Tables, keys: Sequence[tuple[str, tuple[str, ...]]]) -> DataFrame:
-    """Number of key values held by more than one row, for many keys in one shuffle."""
-    tagged = _union(
-        tables[table].select(
-            F.lit(i).alias("rule"), F.array(*[F.col(c).cast("string") for c in columns]).alias("key")
-        )
-        for i, (table, columns) in enumerate(keys)
+def _stacked(parts: Iterable[DataFrame]) -> list[DataFrame]:
+    """Parts whose keys have the same type stacked to one, so that no key changes its type."""
+    by_type: dict[str, list[DataFrame]] = {}
+    for part in parts:
+        by_type.setdefault(part.schema["key"].dataType.simpleString(), []).append(part)
+    return [_union(same) for same in by_type.values()]
+
+
+def _duplicate_keys(
+    tables: Tables, keys: Sequence[tuple[str, tuple[str, ...]]], skip_nulls: bool
+) -> DataFrame:
+    """Number of key values held by more than one row, one shuffle per type of key."""
+
+    def tagged(i: int, table: str, columns: tuple[str, ...]) -> DataFrame:
+        present = tables[table].dropna("any", subset=list(columns)) if skip_nulls else tables[table]
+        return present.select(F.lit(i).alias("rule"), F.struct(*columns).alias("key"))
+
+    def renamed(part: DataFrame) -> DataFrame:
+        fields = [F.col(f"key.{f.name}").alias(f"k{n}") for n, f in enumerate(part.schema["key"].dataType)]
+        return part.select("rule", F.struct(*fields).alias("key"))
+
+    parts = (renamed(tagged(i, *key)) for i, key in enumerate(keys))
+    repeated = _union(
+        part.groupBy("rule", "key").count().where("count > 1").select("rule") for part in _stacked(parts)
     )
-    rows = tagged.groupBy("rule", "key").count()
     return _per_rule(
-        rows.where("count > 1").groupBy("rule").agg(F.count(F.lit(1)).alias("failures")),
+        repeated.groupBy("rule").agg(F.count(F.lit(1)).alias("failures")),
         [(table, ",".join(columns)) for table, columns in keys],
     )
 
@@ -104,40 +120,38 @@ def _per_rule(failures: DataFrame, names: Sequence[tuple[str, str]]) -> DataFram
 def unique(tables: Tables, contract=contracts.UNIQUE) -> DataFrame:
     """Nulls are not keys."""
     keys = [(t, (c,)) for t, columns in contract.items() for c in columns]
-    present = {t: tables[t].dropna("all", subset=list(columns)) for t, columns in contract.items()}
-    return _duplicate_keys(present, keys)
+    return _duplicate_keys(tables, keys, skip_nulls=True)
 
 
 def unique_combination(tables: Tables, contract=contracts.UNIQUE_COMBINATIONS) -> DataFrame:
-    return _duplicate_keys(tables, list(contract.items()))
+    return _duplicate_keys(tables, list(contract.items()), skip_nulls=False)
 
 
 def relationships(tables: Tables, contract=contracts.RELATIONSHIPS) -> DataFrame:
-    """Number of child rows whose key the parent does not hold, for all rules in one shuffle.
+    """Number of child rows whose key the parent does not hold, one shuffle per type of key.
 
     Child rows and parent keys are stacked and grouped by key. Both are reduced before the
-    shuffle, so a key shared by many children costs one row per task.
+    shuffle, so a key shared by many children costs one row per task. Keys keep their type where
+    child and parent agree and are compared as text otherwise.
     """
     parts = []
     for i, ((child, column), (parent, parent_column)) in enumerate(contract.items()):
-        key = F.col(column)
-        parts.append(
-            tables[child]
-            .where(key.isNotNull())
-            .select(F.lit(i).alias("rule"), key.cast("string").alias("key"), F.lit(1).alias("child"))
-        )
-        parts.append(
-            tables[parent].select(
-                F.lit(i).alias("rule"),
-                F.col(parent_column).cast("string").alias("key"),
-                F.lit(0).alias("child"),
-            )
+        agree = tables[child].schema[column].dataType == tables[parent].schema[parent_column].dataType
+        key, other = (F.col(c) if agree else F.col(c).cast("string") for c in (column, parent_column))
+        of_child = tables[child].where(key.isNotNull())
+        pair = (
+            of_child.select(F.lit(i).alias("rule"), key.alias("key"), F.lit(1).alias("child")),
+            tables[parent].select(F.lit(i).alias("rule"), other.alias("key"), F.lit(0).alias("child")),
         )
-    keys = _union(parts).groupBy("rule", "key").agg(
-        F.sum("child").alias("children"), F.min("child").alias("parentless")
+        parts.append(_union(pair))
+    orphans = _union(
+        part.groupBy("rule", "key")
+        .agg(F.sum("child").alias("children"), F.min("child").alias("parentless"))
+        .where("parentless = 1")
+        .select("rule", "children")
+        for part in _stacked(parts)
     )
-    orphans = keys.where("parentless = 1").groupBy("rule").agg(F.sum("children").alias("failures"))
-    return _per_rule(orphans, list(contract))
+    return _per_rule(orphans.groupBy("rule").agg(F.sum("children").alias("failures")), list(contract))
 
 
 def freshness(tables: Tables, as_of: datetime, contract=contracts.FRESHNESS) -> DataFrame:

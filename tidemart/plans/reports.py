@@ -23,7 +23,10 @@ from tidemart.functions.columns import (
 def _unpivot(
     df: DataFrame, ids: list[str], labels: Mapping[str, str], variable: str, value: str
 ) -> DataFrame:
-    """Long form of the columns in ``labels``, named by their label."""
+    """Long form of the columns in ``labels``, named by their label.
+
+    The labels are fixed values: the dashboards' series names.
+    """
     long = df.unpivot(ids, list(labels), variable, value)
     name: Column = F.col(variable)
     for column, label in labels.items():

@@ -16,6 +16,7 @@ from tidemart.functions.columns import (
     NO_MEDIUM,
     blank_to,
     blank_to_null,
+    earliest,
     flag_any,
     normalize_email,
     ratio_or_null,
@@ -264,7 +265,7 @@ def web_sessions(events: DataFrame) -> DataFrame:
     instant are ordered by ``event_id``.
     """
     first = F.min_by(
-        F.struct("source", "medium", "campaign"), F.struct("event_timestamp", "event_id")
+        F.struct("source", "medium", "campaign"), earliest("event_timestamp", "event_id")
     )
     named = F.col("event_name")
     purchase_value = F.when(named == "purchase", F.col("event_value")).otherwise(0)

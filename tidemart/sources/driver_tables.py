@@ -157,19 +157,15 @@ def _products(read: Reader) -> DataFrame:
 
 
 def _ad_insights(read: Reader) -> DataFrame:
-    shipped = (
-        read("lineitem")
-        .where("l_linestatus = 'O'")
-        .selectExpr(
-            "cast(l_shipdate as date) as date_day",
-            "concat('mc_', cast(l_suppkey % 3 as string)) as campaign_id",
-            "concat('as_', cast(l_suppkey % 6 as string)) as ad_set_id",
-            "concat('ad_', cast(l_suppkey % 12 as string)) as ad_id",
-            "cast(l_quantity as int) as units",
-            "l_linenumber",
-            "l_returnflag",
-            f"{_LINE_AMOUNT} as amount",
-        )
+    shipped = read("lineitem").selectExpr(
+        "cast(l_shipdate as date) as date_day",
+        "concat('mc_', cast(l_suppkey % 3 as string)) as campaign_id",
+        "concat('as_', cast(l_suppkey % 6 as string)) as ad_set_id",
+        "concat('ad_', cast(l_suppkey % 12 as string)) as ad_id",
+        "cast(l_quantity as int) as units",
+        "l_linenumber",
+        "l_returnflag",
+        f"{_LINE_AMOUNT} as amount",
     )
     return shipped.groupBy("date_day", "campaign_id", "ad_set_id", "ad_id").agg(
         (F.sum("units") * 100).alias("impressions"),
