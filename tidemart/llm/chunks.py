@@ -26,9 +26,10 @@ LEAST, USUAL, MOST = 16, 48, 192
 STRICT_BITS, LOOSE_BITS = 7, 4
 GEAR = np.frombuffer(b"".join(hashlib.sha256(bytes([b])).digest()[:2] for b in range(256)), np.uint16)
 SLAB = 1 << 20
-# Documents between two heads, on average: a task holds the ids of its block one at a time, and a
-# head's text goes to two blocks.
-DOCS_PER_BLOCK = 2048
+# Documents between two heads, on average, unless that gives more heads than the driver and the
+# tasks are to hold. A task reads its block a document at a time; a head's text goes to two blocks.
+DOCS_PER_BLOCK = 512
+MOST_HEADS = 65_536
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -101,26 +102,29 @@ def in_sequence(
 ) -> DataFrame:
     """The documents dealt to tasks so that each meets the next one: ``doc_id, text, block, guest``.
 
-    Ids whose hash is a multiple of ``docs_per_block``, and the smallest id, head a block. A block's
+    Ids whose hash is a multiple of the block size, and the smallest id, head a block. A block's
     head is also the last row, a ``guest``, of the block before it, and the first head a guest of the
-    last block. So only heads travel twice, and the driver gets one id in ``docs_per_block``.
+    last block. So only heads travel twice. Blocks grow beyond ``docs_per_block`` where there would be
+    over ``MOST_HEADS`` of them, about so many ids being what the driver gets and sends out.
     """
     rows = documents.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
     ids = rows.select("doc_id")
-    chosen = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(docs_per_block)) == 0).distinct()
-    heads = sorted({r[0] for r in chosen.union(ids.agg(F.min("doc_id"))).collect()} - {None})
-    last = max(0, len(heads) - 1)
+    n_docs, least = ids.agg(F.count("*"), F.min("doc_id")).first()
+    size = max(docs_per_block, -(-n_docs // MOST_HEADS))
+    chosen = ids.where((F.pmod(F.xxhash64("doc_id"), F.lit(size)) == 0) | (F.col("doc_id") == F.lit(least)))
+    heads = np.unique(chosen.distinct().toArrow().column(0).to_numpy())
+    last, sent = max(0, len(heads) - 1), documents.sparkSession.sparkContext.broadcast(heads)
 
     @F.pandas_udf("int")
     def block_of(doc_ids):
-        places = np.searchsorted(np.array(heads, np.int64), doc_ids.to_numpy(), side="right") - 1
+        places = np.searchsorted(sent.value, doc_ids.to_numpy(), side="right") - 1
         return pd.Series(places.astype(np.int32))
 
     @F.pandas_udf("boolean")
     def is_head(doc_ids):
-        return doc_ids.isin(set(heads))
+        return pd.Series(np.isin(doc_ids.to_numpy(), sent.value))
 
     block = F.col("block")
     before = F.when(block == 0, F.lit(last)).otherwise(block - 1)
