@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm import bpe, decontam, line_dedup, quality, simhash
 from tidemart.llm.queries import RANKS
-from tidemart.session import remove_folder, scratch_path
+from tidemart.session import Folder, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -64,6 +64,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
         if before:
-            remove_folder(spark, before)
+            Folder(spark, before).remove()
         before = path
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.session import remove_folder, scratch_path
+from tidemart.session import Folder, scratch_path
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
@@ -22,7 +22,7 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
 def discard(table: DataFrame) -> None:
     """Free the files of a stored table that nothing reads any more."""
     for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
-        remove_folder(table.sparkSession, folder)
+        Folder(table.sparkSession, folder).remove()
 
 
 def utf8(text: str | Column) -> Column:
