@@ -141,17 +141,11 @@ def _minor_units(m: Models) -> DataFrame:
 
 
 def _over_stored(check: Callable[[Models], DataFrame], tables: Iterable[str]) -> Query:
-    """A check over marts that are built once for it; feeds and staging are read as they are."""
-    names = {t for t in tables if not t.startswith(("raw_", "stg_"))}
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        models = _models(spark, sf_dir)
-        if names:
-            others = sorted(names.difference(warehouse.SHARED, ["dim_dates"]))
-            models = warehouse.build(models, scratch_path(spark, "checked"), names=others)
-        return check(models)
-
-    return run
+    """A check over tables whose common inputs are built once for it."""
+    names = set(tables)
+    return lambda spark, sf_dir: check(
+        warehouse.with_shared_inputs(_models(spark, sf_dir), scratch_path(spark, "checked"), names)
+    )
 
 
 def _pairs(contract: Iterable[tuple[str, str]]) -> list[str]:

@@ -234,7 +234,7 @@ def test_compaction_keeps_every_session(spark, tmp_path, monkeypatch):
     batch(0)
     batch(1)
     with monkeypatch.context() as patched:  # broken off before old batches go
-        patched.setattr(sessions, "remove_folder", lambda *_: 1 / 0)
+        patched.setattr(sessions.Folder, "remove", lambda *_: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             compact_sessions(spark, path)
     assert same()

@@ -170,7 +170,7 @@ def test_folders_go_one_commit_after_they_are_replaced(spark, tmp_path):
     apply(spark, str(path), [(1, 2, "a", "two")])
     assert planned.first()["v"] == "one" and first < files(path)
     apply(spark, str(path), [(1, 3, "a", "three")])
-    assert not first & files(path) and len(list(path.glob("manifest/*"))) == 2
+    assert not first & files(path) and len(list(path.glob("manifest/*.json"))) == 2
 
 
 @pytest.mark.parametrize("left_over", ["nothing", "half a manifest"])
@@ -180,7 +180,7 @@ def test_call_that_breaks_off_before_the_commit(spark, tmp_path, monkeypatch, le
 
     def fail(*_):
         if left_over == "half a manifest":
-            (path / "manifest" / "000000002" / "_temporary").mkdir(parents=True)
+            (path / "manifest" / "000000002.json.0a1b").write_text('{"number"')
         raise OSError("lost")
 
     with monkeypatch.context() as patched:

@@ -15,12 +15,11 @@ import uuid
 from collections.abc import Collection, Sequence
 from dataclasses import asdict, dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tidemart.session import remove_folder, scratch_table
+from tidemart.session import Folder, scratch_table
 
 # The directory level of a load: a digest of the partition's value, which no file name restricts.
 PART = "part_of"
@@ -41,24 +40,18 @@ class Manifest:
 
 def _manifests(spark: SparkSession, path: str) -> list[Manifest]:
     """All manifests still there, oldest first; a commit keeps two."""
-    try:
-        texts = spark.read.text(f"{path}/manifest/*", wholetext=True).collect()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-    return sorted((Manifest(**json.loads(row[0])) for row in texts), key=lambda m: m.number)
+    folder = Folder(spark, f"{path}/manifest")
+    return [Manifest(**json.loads(folder.read(name))) for name in folder.names(".json")]
 
 
 def _commit(spark: SparkSession, path: str, manifest: Manifest, earlier: list[Manifest]) -> None:
-    text = spark.createDataFrame([(json.dumps(asdict(manifest)),)], "value string")
-    # One file, put in place by one rename. What a broken commit left under the number goes.
-    text.coalesce(1).write.mode("overwrite").text(f"{path}/manifest/{manifest.number:09d}")
+    manifests, data = Folder(spark, f"{path}/manifest"), Folder(spark, f"{path}/data")
+    manifests.put(f"{manifest.number:09d}.json", json.dumps(asdict(manifest)))
     still_read = manifest.loads().union(*(m.loads() for m in earlier[-1:]))
     for old in earlier[:-1]:
         for load in old.loads() - still_read:
-            remove_folder(spark, f"{path}/data/{load}")
-        remove_folder(spark, f"{path}/manifest/{old.number:09d}")
+            data.remove(load)
+        manifests.remove(f"{old.number:09d}.json")
 
 
 def _read(spark: SparkSession, path: str, manifest: Manifest, parts: Collection[str] | None = None) -> DataFrame:
@@ -116,10 +109,39 @@ def _part(partition: str):
     return F.md5(F.coalesce(F.col(partition).cast("string"), F.lit("\\N")))
 
 
+def _with_part(rows: DataFrame, partition: str) -> DataFrame:
+    return rows.withColumn(PART, _part(partition))
+
+
 def _parts(rows: DataFrame) -> set[str]:
+    """One digest per partition, which is bounded by the calendar."""
     return {row[0] for row in rows.select(PART).distinct().collect()}
 
 
+def _changed(
+    spark: SparkSession,
+    path: str,
+    now: Manifest,
+    marked: DataFrame,
+    key: list[str],
+    partition: str,
+    version: str | None,
+    rows_move: bool,
+) -> tuple[set[str], DataFrame]:
+    """The partitions that some marked changes touch, and their rows after the changes."""
+    touched, changes = _parts(marked), marked.drop(PART)
+    if rows_move:
+        keys = _with_part(_read(spark, path, now), partition).select(*key, PART)
+        touched |= _parts(keys.join(changes.select(*key), key, "left_semi"))
+    existing = _read(spark, path, now, touched)
+    if version is not None:
+        stored = existing.select(*key, F.lit(True).alias("is_stored"), F.col(version).alias("stored_version"))
+        newer = F.col("is_stored").isNull() | F.col("stored_version").isNull()
+        newer |= F.col(version) >= F.col("stored_version")
+        changes = changes.join(stored, key, "left").where(newer).drop("is_stored", "stored_version")
+    return touched, upsert_rows(existing, changes, key)
+
+
 def upsert_table(
     changes: DataFrame,
     path: str,
@@ -145,32 +167,29 @@ def upsert_table(
     """
     spark, key = changes.sparkSession, list(key)
     committed = _manifests(spark, path)
-    now = committed[-1] if committed else Manifest(0, changes.limit(0).schema.json(), None, {})
+    now = committed[-1] if committed else Manifest(0, changes.schema.json(), None, {})
     rows_move = partition not in key if rows_move is None else rows_move
-    # Several jobs read the changes, and their plan may read the table that is rewritten.
-    with scratch_table(changes.withColumn(PART, _part(partition)), "changes") as marked:
-        # One digest per partition of the table, which is bounded by the calendar.
-        touched = _parts(marked)
-        changes = marked.drop(PART)
-        if rows_move and now.folders:
-            keys = _read(spark, path, now).select(*key, _part(partition).alias(PART))
-            touched |= _parts(keys.join(changes.select(*key), key, "left_semi"))
-        existing = _read(spark, path, now, touched)
-        if version is not None:
-            stored = existing.select(*key, F.lit(True).alias("is_stored"), F.col(version).alias("stored_version"))
-            newer = F.col("is_stored").isNull() | F.col("stored_version").isNull()
-            newer |= F.col(version) >= F.col("stored_version")
-            changes = changes.join(stored, key, "left").where(newer).drop("is_stored", "stored_version")
-        merged = upsert_rows(existing, changes, key)
-        load = uuid.uuid4().hex
-        by_part = merged.withColumn(PART, _part(partition)).hint("rebalance", F.col(PART))
-        by_part.write.partitionBy(PART).parquet(f"{path}/data/{load}")
-        newest = now.newest
-        if watermark is not None:
-            (highest,) = marked.agg(F.max(watermark).cast("string")).first()
-            newest = max((v for v in (newest, highest) if v is not None), default=None)
-    written = _parts(spark.read.schema(f"{PART} string").parquet(f"{path}/data/{load}")) if touched else set()
-    folders = {p: f for p, f in now.folders.items() if p not in touched}
-    folders |= dict.fromkeys(written, load)
-    following = replace(now, number=now.number + 1, schema=merged.schema.json(), newest=newest, folders=folders)
+    load = uuid.uuid4().hex
+    folder = f"{path}/data/{load}"
+
+    def write(rows: DataFrame) -> str:
+        balanced = _with_part(rows, partition).hint("rebalance", F.col(PART))
+        balanced.write.partitionBy(PART).parquet(folder)
+        return rows.schema.json()
+
+    if now.folders:
+        # Several jobs read the changes, and their plan may read the table that is rewritten.
+        with scratch_table(_with_part(changes, partition), "changes") as marked:
+            touched, rows = _changed(spark, path, now, marked, key, partition, version, rows_move)
+            schema = write(rows)
+    else:
+        touched, schema = set(), write(changes)
+
+    fields = [f for f in StructType.fromJson(json.loads(schema)) if f.name == watermark]
+    written = spark.read.schema(StructType([*fields, StructField(PART, StringType())])).parquet(folder)
+    highest = F.max(F.col(watermark).cast("string")) if watermark else F.lit(None).cast("string")
+    parts, newest = written.agg(F.collect_set(PART), highest).first()
+    newest = max((v for v in (now.newest, newest) if v is not None), default=None)
+    folders = {p: f for p, f in now.folders.items() if p not in touched} | dict.fromkeys(parts, load)
+    following = replace(now, number=now.number + 1, schema=schema, newest=newest, folders=folders)
     _commit(spark, path, following, committed)

@@ -29,6 +29,21 @@ COLUMN_COMMENTS: dict[str, str] = {
 }
 
 TABLE_COMMENTS: dict[str, str] = {
+    "stg_orders": "One row per order with refund flag, merchandise value and filled-in UTM fields.",
+    "stg_order_lines": "One row per order line with gross and net revenue.",
+    "stg_customers": "One row per customer; e-mail lower-cased and trimmed.",
+    "stg_products": "One row per product with unit margin.",
+    "stg_refunds": "One row per refund.",
+    "stg_email_events": "One row per e-mail or text-message event, event types spelled one way.",
+    "stg_email_campaigns": "One row per e-mail campaign.",
+    "stg_email_flows": "One row per automated e-mail flow.",
+    "stg_email_profiles": "One row per e-mail profile.",
+    "stg_ad_campaigns": "One row per ad campaign.",
+    "stg_ad_sets": "One row per ad set.",
+    "stg_ads": "One row per ad.",
+    "stg_ad_insights": "Daily results per ad with click rate, costs and reported return.",
+    "stg_web_events": "One row per web event with filled-in source, medium and campaign.",
+    "stg_web_sessions": "One row per user and session, credited to the session's first event.",
     "fct_orders": "One row per order: revenue net of refunds, cost of goods and margin.",
     "fct_order_items": "One row per order line with product cost and gross margin.",
     "dim_customers": "One row per customer with identity, geography and lifetime totals.",

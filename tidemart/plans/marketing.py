@@ -16,37 +16,44 @@ from tidemart.functions.columns import (
     zero_if_null,
 )
 from tidemart.operators.skew import ROWS_PER_PIECE, pieces_of, salted_join
-from tidemart.plans.intermediate import first_orders, with_first_value
+from tidemart.plans.intermediate import first_orders
 
 
-def last_touch_revenue(economics: DataFrame) -> DataFrame:
+def last_touch_revenue(economics: DataFrame, orders: DataFrame) -> DataFrame:
     """Revenue, orders and first-time buyers per (day, source, campaign).
 
-    Orders are first grouped per customer within the cell, so distinct new customers
-    become a plain count and no customer lookup is needed.
+    Economics are first grouped per customer within the cell, so distinct new customers
+    become a plain count. Whether a day is the customer's first is looked up by customer and
+    day: a customer with very many campaigns is not gathered in one task.
     """
     cell = ["order_date", "utm_source", "utm_campaign"]
     per_customer = economics.groupBy("customer_id", *cell).agg(
         F.sum(cents("net_subtotal_after_refunds")).alias("revenue_cents"),
         F.count(F.lit(1)).alias("orders"),
     )
-    dated = with_first_value(per_customer, "order_date", "first_order_date", has_guests=True)
+    first_days = (
+        orders.where(F.col("customer_id").isNotNull())
+        .groupBy("customer_id")
+        .agg(F.min("order_date").alias("order_date"))
+        .withColumn("is_first_day", F.lit(True))
+    )
+    dated = per_customer.join(first_days, ["customer_id", "order_date"], "left")
     return dated.groupBy(*cell).agg(
         money(F.sum("revenue_cents")).alias("last_touch_revenue"),
         F.sum("orders").alias("last_touch_orders"),
-        count_if(F.col("first_order_date") == F.col("order_date")).alias("last_touch_new_customers"),
+        count_if(F.col("is_first_day")).alias("last_touch_new_customers"),
     )
 
 
 def fct_marketing_performance(
-    spend: DataFrame, campaigns: DataFrame, economics: DataFrame
+    spend: DataFrame, campaigns: DataFrame, economics: DataFrame, orders: DataFrame
 ) -> DataFrame:
     """Spend per day and campaign beside platform-reported and last-touch revenue.
 
     Campaigns that share a ``utm_campaign`` each get that day's full last-touch revenue.
     """
     tags = campaigns.select("campaign_id", "utm_campaign")
-    touched = last_touch_revenue(economics).select(
+    touched = last_touch_revenue(economics, orders).select(
         F.col("order_date").alias("date_day"),
         F.col("utm_source").alias("platform"),
         "utm_campaign",

@@ -130,7 +130,7 @@ MARTS: dict[str, Callable[[Models], DataFrame]] = {
         m["stg_order_lines"], m.member_orders, m["stg_products"]
     ),
     "fct_marketing_performance": lambda m: marketing.fct_marketing_performance(
-        m["int_unified_spend"], m["stg_ad_campaigns"], m.economics
+        m["int_unified_spend"], m["stg_ad_campaigns"], m.economics, m.member_orders
     ),
     "fct_attribution_first_touch": lambda m: marketing.fct_attribution_first_touch(
         m.member_orders, m.economics

@@ -90,6 +90,31 @@ def _build(
         return reading({**shared, **dict(zip(names, built, strict=True))})
 
 
+# Tables that are derived from each shared one, itself included.
+_READERS: dict[str, frozenset[str]] = {
+    "fct_orders": frozenset(MARTS) - {"dim_dates", "dim_products"}
+    | {"int_customer_order_history", "int_sessions_attributed"},
+    "int_customer_order_history": frozenset({"int_customer_order_history", "dim_customers", "customer_rfm"}),
+    "int_unified_spend": frozenset({"int_unified_spend", "fct_marketing_performance", "fct_blended_roas"}),
+}
+
+
+def with_shared_inputs(models: Models, root: str, names: Iterable[str]) -> Models:
+    """Models in which what several of ``names`` derive from is stored below ``root``.
+
+    Orders are stored as ``economics``, without customer attributes. Meant for reading each of
+    ``names`` once or twice, as checks do; ``build`` stores the tables themselves.
+    """
+    wanted, stored = frozenset(names), dict(models.stored)
+    for name in SHARED:
+        if len(wanted & _READERS[name]) > 1:
+            reading = Models(models.spark, models.raw, models.settings, stored, models.extra_spend)
+            path = table_path(root, name)
+            (reading.economics if name == "fct_orders" else reading[name]).write.parquet(path)
+            stored[name] = models.spark.read.parquet(path)
+    return Models(models.spark, models.raw, models.settings, stored, models.extra_spend)
+
+
 def _monthly(rows: DataFrame) -> DataFrame:
     return rows.withColumn(ORDER_MONTH, month_start("order_date"))
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.functions.columns import MONEY, earliest, flag_any, sum_money
 from tidemart.plans.staging import FUNNEL_EVENTS, SESSION_KEY
-from tidemart.session import complete_folders, remove_folder
+from tidemart.session import Folder
 
 EVENT_DAY = "event_day"
 PART_KEY = [*SESSION_KEY, EVENT_DAY]
@@ -65,7 +65,7 @@ def sessions_from_parts(parts: DataFrame) -> DataFrame:
 
 def _batch_folders(spark: SparkSession, path: str) -> list[str]:
     """Complete batches. A compaction hides the batches and compactions before it."""
-    names = complete_folders(spark, path)
+    names = Folder(spark, path).written_folders()
     upto = max((int(n[5:]) for n in names if n.startswith("upto-")), default=-1)
     batches = [n for n in names if n.startswith("batch-") and int(n[6:]) > upto]
     return [f"upto-{upto:012d}", *batches] if upto >= 0 else batches
@@ -90,9 +90,10 @@ def compact_sessions(spark: SparkSession, path: str) -> None:
     merged = _rolled(spark.read.parquet(*[f"{path}/{name}" for name in folders]), PART_KEY)
     merged.write.mode("overwrite").parquet(f"{path}/upto-{max(batches):012d}")
     # Also what a call that broke off here has left.
-    for name in complete_folders(spark, path):
+    folder = Folder(spark, path)
+    for name in folder.written_folders():
         if int(name.rpartition("-")[2]) <= max(batches) and name != f"upto-{max(batches):012d}":
-            remove_folder(spark, f"{path}/{name}")
+            folder.remove(name)
 
 
 def session_stream(staged_events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
