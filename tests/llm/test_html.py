@@ -79,6 +79,19 @@ def test_broken_markup_never_fails(source):
     assert isinstance(main(source), str)
 
 
+@pytest.mark.parametrize(
+    "noise",
+    ["<ol class='commentlist'><li>{}</li></ol>", "<div id='siteFooter'>{}</div>", "<ul class='topnav'><li>{}</li></ul>",
+     "<div class='c-newsletter__box'><p>{}</p></div>", "<div hidden>{}</div>", "<div style='display: none'>{}</div>",
+     "<div role='complementary'>{}</div>", "<div>{}</div>"],
+)
+def test_names_of_containers(noise):
+    text = "<header class='entry-header'><h1 class='entry-title'>Head</h1></header><div class='entry-content'><p>Body.</p></div>"
+    apart = noise.format("Some noise that goes on for a number of words")
+    page = f"<body><div id='content'>{apart}<article class='post tag-comments'>{text}</article>{apart}</div></body>"
+    assert main(page) == "Head\nBody."
+
+
 def test_quotes_hold_tags():
     assert [b.text for b in text_blocks("<p title='a > b' class=\"c > d\">e</p>")] == ["e"]
 

@@ -2,8 +2,14 @@ import importlib
 
 import corpus_pipeline
 from llm.helpers import prose
+from llm.test_bpe import digests
+from llm.test_decontam import plain
+from llm.test_line_dedup import expected as without_lines
+from llm.test_simhash import expected as simhash_expected
 from pyspark.sql import functions as F
 
+from tidemart.llm import queries
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -49,6 +55,23 @@ def test_each_stage_takes_effect(spark, tmp_path):
     assert {r.doc_id for r in rows} == set(seen["byte_bpe"]) and all(r.n_tokens == len(r.ids) for r in rows)
 
 
+def test_against_a_plain_version(spark, sf_dir):
+    """All stages over the supplied documents, each redone without Spark but for the scores."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    scores = {r.doc_id: r.score for r in queries.QUERIES["op7_quality"](spark, sf_dir).collect()}
+    rows = [tuple(r) for r in table.collect() if scores[r.doc_id] >= 0.7]
+    rows = [(i, text) for (i, _), text in zip(rows, without_lines(rows), strict=True)]
+    component = {i: least for i, _, least in simhash_expected(rows)}
+    rows = [(i, text) for i, text in rows if component[i] == i]
+    items = [plain(r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    rows = [(i, text) for i, text in rows if not any(item in plain(text or "") for item in items)]
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    assert 100 < len(rows) < 200
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == {
+        i: digests(text or "") for i, text in rows
+    }
+
+
 def test_empty_documents(spark, tmp_path):
     tables(spark, str(tmp_path))
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)

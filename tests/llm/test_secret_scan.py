@@ -7,9 +7,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.helpers import AWKWARD, awkward
 
-from tidemart.llm import queries, secrets
+from tidemart.llm import queries, secret_scan
 
-ALLOWED = tuple(re.compile(p) for p in secrets.ALLOWED)
+ALLOWED = tuple(re.compile(p) for p in secret_scan.ALLOWED)
 RANDOM = "Zq8Lr2Xw9Vt4Bn7Kj3Hp6Ys1Dm5Fc0Ga"
 KEY_ID = "AKIA" + "IOSFODNN7ABCDEFG"
 
@@ -23,11 +23,11 @@ def slow_base(text):
     found = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
-    return [(a, b, secrets.KINDS[k]) for a, k, b in sorted(found)]
+    return [(a, b, secret_scan.KINDS[k]) for a, k, b in sorted(found)]
 
 
 def base_of(text):
-    return [s for s in secrets.secret_spans(text, ALLOWED) if s[2] != "entropy"]
+    return [s for s in secret_scan.secret_spans(text, ALLOWED) if s[2] != "entropy"]
 
 
 def test_query_against_plain_patterns(spark, sf_dir):
@@ -66,38 +66,38 @@ def entropy(window):
 def test_sliding_windows_equal_each_window_alone(run):
     members, least = frozenset("ab01XYZqrstuv789"), 3.0
     covered = set()
-    for at in range(len(run) - secrets.WINDOW + 1):
-        window = run[at : at + secrets.WINDOW]
+    for at in range(len(run) - secret_scan.WINDOW + 1):
+        window = run[at : at + secret_scan.WINDOW]
         if set(window) <= members and entropy(window) >= least:
-            covered |= set(range(at, at + secrets.WINDOW))
+            covered |= set(range(at, at + secret_scan.WINDOW))
     got = set()
-    for start, end in secrets.random_spans(run, members, least, 0):
+    for start, end in secret_scan.random_spans(run, members, least, 0):
         got |= set(range(start, end))
     assert got == covered
 
 
 def test_random_strings_are_found_and_words_are_not():
     text = f"see {RANDOM} and {'straßenbahnhaltestelle' * 3} or internationalizationalmethodology"
-    assert secrets.entropy_spans(text, ALLOWED) == [(4, 4 + len(RANDOM), "entropy")]
+    assert secret_scan.entropy_spans(text, ALLOWED) == [(4, 4 + len(RANDOM), "entropy")]
 
 
 def test_allow_list_suppresses_added_spans_only():
-    assert secrets.entropy_spans(f"EXAMPLE{RANDOM}", ALLOWED) == []
-    assert secrets.entropy_spans("123e4567-e89b-12d3-a456-426614174000", ALLOWED) == []
-    spans = secrets.secret_spans(f"secret=EXAMPLE{RANDOM} {KEY_ID}", ALLOWED)
+    assert secret_scan.entropy_spans(f"EXAMPLE{RANDOM}", ALLOWED) == []
+    assert secret_scan.entropy_spans("123e4567-e89b-12d3-a456-426614174000", ALLOWED) == []
+    spans = secret_scan.secret_spans(f"secret=EXAMPLE{RANDOM} {KEY_ID}", ALLOWED)
     assert [kind for *_, kind in spans] == ["assign", "access"]
 
 
 def test_span_inside_a_base_span_adds_nothing():
-    assert [k for *_, k in secrets.secret_spans(f"token={RANDOM}", ALLOWED)] == ["assign"]
+    assert [k for *_, k in secret_scan.secret_spans(f"token={RANDOM}", ALLOWED)] == ["assign"]
 
 
 def test_awkward_rows_and_empty_table(spark):
-    rows = secrets.scan(awkward(spark)).collect()
+    rows = secret_scan.scan(awkward(spark)).collect()
     assert len(rows) == len(AWKWARD) and all(r.spans == [] for r in rows)
-    assert secrets.scan(awkward(spark, [])).count() == 0
+    assert secret_scan.scan(awkward(spark, [])).count() == 0
 
 
 def test_code_points_not_bytes(spark):
-    (row,) = secrets.scan(awkward(spark, [(1, f"🙂é {RANDOM}")])).collect()
+    (row,) = secret_scan.scan(awkward(spark, [(1, f"🙂é {RANDOM}")])).collect()
     assert [tuple(s) for s in row.spans] == [("entropy", 3, 3 + len(RANDOM))]

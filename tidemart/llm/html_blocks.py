@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 _TOKEN = re.compile(
@@ -45,9 +46,16 @@ APART = LASTING | frozenset(
     tags teaser toolbar topbar widget""".split()
 )
 MAIN = frozenset("article main content entry post story".split())
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _PARTS = re.compile(r"[^a-z0-9]+")
 
-NEUTRAL, IN_MAIN, IN_APART, IN_LASTING = range(4)
+# Compound names that hold a mark at either end, such as commentlist or topnav.
+_MARKED_START = ("comment", "advert", "sponsor", "cookie", "sidebar", "newsletter", "breadcrumb", "navbar", "disqus")
+_MARKED_END = ("nav", "menu", "comments", "sidebar", "footer", "banner")
+
+# Where a block stands. A container that is only named like a main part counts as one in pages without
+# an article or main element.
+NEUTRAL, IN_NAMED, IN_MAIN, IN_APART, IN_LASTING = range(5)
 
 
 @dataclass(slots=True)
@@ -64,35 +72,43 @@ class Block:
 _MARKING = frozenset(("nav", "footer", "aside", "form", "header", "dialog", "menu", "article", "main"))
 
 
+def _named(value: str) -> Iterator[str]:
+    """The words of a class or id, and the marks that its compound words hold."""
+    for part in _PARTS.split(_CAMEL.sub(" ", value).lower()):
+        yield part
+        yield from (mark for mark in _MARKED_START if part.startswith(mark))
+        yield from (mark for mark in _MARKED_END if part.endswith(mark))
+
+
 def _mark(tag: str, attributes: str, outer: int) -> int:
     """What an element says of the text in it. The header of an article is part of it."""
     names = {tag} & _MARKING
-    if tag == "header" and outer == IN_MAIN:
-        names = set()
     if attributes and tag not in ("html", "body"):
         for name, *values in _ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), "".join(values).lower()
+            name, value = name.lower(), "".join(values)
             if name in ("class", "id", "role"):
-                names.update(_PARTS.split(value))
-            elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+                names.update(_named(value))
+            elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
                 names.add("dialog")
-            elif name == "style" and "display:none" in value.replace(" ", ""):
+            elif name == "style" and "display:none" in value.lower().replace(" ", ""):
                 names.add("dialog")
+    if outer in (IN_MAIN, IN_NAMED):
+        names.discard("header")
     if tag in ("article", "main"):  # classes there often name topics
-        names -= APART - LASTING
+        names -= APART if names & MAIN - {"article"} else APART - LASTING
     if names & LASTING:
         return IN_LASTING
     if names & APART:
         return IN_APART
-    return IN_MAIN if names & MAIN else NEUTRAL
+    if tag in ("article", "main"):
+        return IN_MAIN
+    return IN_NAMED if names & MAIN else NEUTRAL
 
 
-def _inner(outer: int, own: int, tag: str) -> int:
+def _inner(outer: int, own: int) -> int:
     """The place within an element, given the place around it."""
-    if outer == IN_LASTING or own == NEUTRAL:
+    if outer == IN_LASTING or own == NEUTRAL or (own == IN_NAMED and outer != NEUTRAL):
         return outer
-    if outer == IN_APART and own == IN_MAIN:
-        return IN_MAIN if tag in ("article", "main") else IN_APART
     return own
 
 
@@ -141,7 +157,7 @@ class _Page:
             self.parts.append(" ")
         if tag not in VOID and not attributes.endswith("/"):
             outer = self.place()
-            self.open.append((tag, _inner(outer, _mark(tag, attributes, outer), tag)))
+            self.open.append((tag, _inner(outer, _mark(tag, attributes, outer))))
             self.n_open[tag] += 1
             self.unseen += tag in UNSEEN
             self.links += tag == "a"
@@ -182,4 +198,8 @@ def text_blocks(source: str) -> list[Block]:
     # No markup ends after the last '>'; only a comment may begin there.
     page.text("".join([*held, source[at:].partition("<!--")[0]]))
     page.end_block()
+    unnamed = NEUTRAL if any(b.place == IN_MAIN for b in page.blocks) else IN_MAIN
+    for block in page.blocks:
+        if block.place == IN_NAMED:
+            block.place = unnamed
     return page.blocks

@@ -16,7 +16,7 @@ from tidemart.llm import (
     html_extract,
     line_dedup,
     quality,
-    secrets,
+    secret_scan,
     sharding,
     simhash,
 )
@@ -61,7 +61,7 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"))
     name = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     joined = lambda spans: F.array_join(F.transform(spans, name), ",")
     base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))

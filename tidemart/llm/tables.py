@@ -12,7 +12,8 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     """``frame`` written once to the shared scratch folder and read back.
 
     The rows are then fixed: a lost executor makes no task compute them again, and
-    every later job reads the same ones.
+    every later job reads the same ones. A table that a result still reads stays until the
+    cluster clears the folder.
     """
     path = scratch_path(frame.sparkSession, label)
     frame.write.parquet(path)
