@@ -33,6 +33,7 @@ def salted_join(
     spread_by: str,
     how: str = "inner",
     send_hot: bool = False,
+    null_pieces: int = NULL_KEY_PIECES,
 ) -> DataFrame:
     """Join on ``keys`` with the rows of each hot key on the left dealt out over pieces.
 
@@ -41,6 +42,8 @@ def salted_join(
     ``left``. The piece comes from a hash of ``spread_by``, not from a random number, so a
     task that is run again after a lost executor sends its rows to the same place.
 
+    Rows with a null key are spread over ``null_pieces``.
+
     Keys with more than one piece are looked up for the rows on the left. Set ``send_hot`` where
     their number is known to be small enough to broadcast; else Spark decides by their size.
     """
@@ -54,7 +57,7 @@ def salted_join(
         any_null = any_null | F.col(key).isNull()
     dealt = left.join(F.broadcast(hot) if send_hot else hot, keys, "left").withColumn(
         "piece",
-        F.when(any_null, F.pmod(row_hash, F.lit(NULL_KEY_PIECES)))
+        F.when(any_null, F.pmod(row_hash, F.lit(null_pieces)))
         .when(F.col("pieces").isNotNull(), F.pmod(row_hash, F.col("pieces")))
         .otherwise(0)
         .cast("int"),
