@@ -105,7 +105,8 @@ def in_sequence(
     Ids whose hash is a multiple of the block size, and the smallest id, head a block. A block's
     head is also the last row, a ``guest``, of the block before it, and the first head a guest of the
     last block. So only heads travel twice. Blocks grow beyond ``docs_per_block`` where there would be
-    over ``MOST_HEADS`` of them, about so many ids being what the driver gets and sends out.
+    over ``MOST_HEADS`` of them, about so many ids being what the driver gets and sends out. There
+    are as many tasks as blocks.
     """
     rows = documents.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
@@ -135,7 +136,7 @@ def in_sequence(
         rows.select("doc_id", "text", block_of("doc_id").alias("block"), is_head("doc_id").alias("head"))
         .select("doc_id", "text", F.explode(places).alias("at"))
         .select("doc_id", "text", "at.block", "at.guest")
-        .repartition("block")
+        .repartition(max(1, len(heads)), "block")
         .sortWithinPartitions("block", "guest", "doc_id", "text")
     )
 
