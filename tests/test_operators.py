@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators import upsert
 from tidemart.operators.quantiles import ntile_scores
-from tidemart.operators.skew import pieces_of, salted_join
+from tidemart.operators.skew import splittable_join
 from tidemart.operators.upsert import latest_per_key, read_table, upsert_rows, upsert_table
 
 
@@ -73,42 +73,44 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id int, k string")
 
 
-def keyed(spark, left, rows_per_piece=100):
-    """One row per key, with the pieces its rows on the left are split into."""
-    counted = left.groupBy("k").count().where("k is not null")
-    return counted.select("k", F.length("k").alias("v"), pieces_of("count", rows_per_piece).alias("pieces"))
+def per_key(left):
+    """One row per key, as an aggregate on it."""
+    return left.groupBy("k").agg(F.min("id").alias("least"))
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("send_hot", [True, False])
-def test_salted_join_equals_plain_join(spark, how, send_hot):
+def test_splittable_join_equals_plain_join(spark, how):
     left = skewed(spark)
-    right = keyed(spark, left).where("k = 'hot' or length(k) = 2")
-    assert {r["k"]: r["pieces"] for r in right.where("pieces > 1").collect()} == {"hot": 20}
-    salted = salted_join(left, right, ["k"], "id", how, send_hot)
-    plain = left.join(right.drop("pieces"), "k", how)
-    assert salted.columns == plain.columns
-    assert Counter(map(tuple, salted.collect())) == Counter(map(tuple, plain.collect()))
-
-
-def test_salted_join_deals_a_hot_key_over_many_tasks(spark):
-    left = skewed(spark)
-    right = keyed(spark, left).where("k = 'hot'")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    right = per_key(left.where("id % 7 > 0 and k <> 'k9'"))
+    joined, plain = splittable_join(left, right, ["k"], how), left.join(right, "k", how)
+    assert joined.columns == plain.columns
+    assert Counter(map(tuple, joined.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_splittable_join_splits_a_hot_key(spark):
+    rows = spark.range(60_000).select("id", F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"))
+    left = rows.withColumn("text", F.sha2(F.col("id").cast("string"), 512)).repartition(8)
+    changes = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in changes}
+    for key, value in changes.items():
+        spark.conf.set(key, value)
     try:
-        joined = salted_join(left, right, ["k"], "id", send_hot=True).withColumn("task", F.spark_partition_id())
-        sizes = [r["count"] for r in joined.groupBy("task").count().collect()]
+        execution = [
+            join._jdf.queryExecution()
+            for join in (splittable_join(left, per_key(rows), ["k"]), left.join(per_key(rows), "k"))
+        ]
+        for each in execution:
+            each.toRdd().count()
+        split, plain = (each.executedPlan().toString() for each in execution)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(sizes) == 4 and max(sizes) < 0.6 * sum(sizes)
-
-
-def test_salted_join_rejects_other_kinds(spark):
-    left = skewed(spark)
-    with pytest.raises(ValueError):
-        salted_join(left, left, ["k"], "id", "right")
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "skew=true" in split and "skew=true" not in plain
 
 
 def test_ntile_refuses_what_it_cannot_rank(spark):

@@ -1,67 +1,24 @@
-"""Equi-joins that stay balanced when one key holds a large share of the rows.
-
-Adaptive execution already splits a skewed partition when both sides of a sort-merge join
-come straight from a shuffle. It cannot when one side is an aggregate that is already
-partitioned on the join key, because that side has no shuffle left to split. These helpers
-cover that case.
-"""
+"""Equi-joins that stay balanced when one key holds a large share of the rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is split into that many rows per piece. Fewer than
-# rows / ROWS_PER_PIECE keys have more, which is what makes a list of them safe to broadcast.
-ROWS_PER_PIECE = 1_000_000
-# Rows with a null key match nothing, so they may be spread without touching the other side.
-NULL_KEY_PIECES = 4096
-
-
-def pieces_of(count: Column | str, rows_per_piece: int = ROWS_PER_PIECE) -> Column:
-    """Pieces into which a key with so many rows is split."""
-    rows = F.col(count) if isinstance(count, str) else count
-    return F.greatest(F.lit(1), F.ceil(rows / rows_per_piece)).cast("int")
 
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    spread_by: str,
-    how: str = "inner",
-    send_hot: bool = False,
-    null_pieces: int = NULL_KEY_PIECES,
+def splittable_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Join on ``keys`` with the rows of each hot key on the left dealt out over pieces.
-
-    ``right`` has one row per key, with a column ``pieces`` that says into how many pieces the
-    key's rows on the left are split; that row is repeated once per piece. ``how`` is ``inner`` or
-    ``left``. The piece comes from a hash of ``spread_by``, not from a random number, so a
-    task that is run again after a lost executor sends its rows to the same place.
-
-    Rows with a null key are spread over ``null_pieces``.
+    """Join on ``keys`` where one side comes out of an aggregate on them.
 
-    Keys with more than one piece are looked up for the rows on the left. Set ``send_hot`` where
-    their number is known to be small enough to broadcast; else Spark decides by their size.
+    Adaptive execution splits a partition that one key makes large when both sides of a
+    sort-merge join come straight from a shuffle for it. An aggregate on the keys is partitioned
+    already and would be joined as it is, without a shuffle to split. So the sides are joined on a
+    hash of the keys as well, which follows from them and changes no result: the aggregate, one
+    row per key, is shuffled once more, and the other side's large partitions can be split.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
     keys = list(keys)
-    hot = right.where("pieces > 1").select(*keys, "pieces")
-    row_hash = F.xxhash64(F.col(spread_by))
-    any_null: Column = F.lit(False)
-    for key in keys:
-        any_null = any_null | F.col(key).isNull()
-    dealt = left.join(F.broadcast(hot) if send_hot else hot, keys, "left").withColumn(
-        "piece",
-        F.when(any_null, F.pmod(row_hash, F.lit(null_pieces)))
-        .when(F.col("pieces").isNotNull(), F.pmod(row_hash, F.col("pieces")))
-        .otherwise(0)
-        .cast("int"),
-    )
-    repeated = right.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    joined = dealt.drop("pieces").join(repeated.drop("pieces"), [*keys, "piece"], how)
-    return joined.drop("piece")
+    hashed = [side.withColumn("key_hash", F.xxhash64(*keys)) for side in (left, right)]
+    return hashed[0].join(hashed[1], [*keys, "key_hash"], how).drop("key_hash")

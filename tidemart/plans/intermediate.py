@@ -86,7 +86,7 @@ def line_costs(lines: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def first_orders(orders: DataFrame) -> DataFrame:
-    """Per customer the number of orders, the first order date and the first order's UTM fields.
+    """Per customer the first order date and the first order's UTM fields.
 
     Ties go to the lower order id; orders without a time come last.
     """
@@ -99,11 +99,9 @@ def first_orders(orders: DataFrame) -> DataFrame:
         .agg(
             F.min("order_date").alias("first_order_date"),
             first.alias("first"),
-            F.count(F.lit(1)).alias("order_count"),
         )
         .select(
             "customer_id",
-            "order_count",
             "first_order_date",
             F.col("first.utm_source").alias("acquisition_source"),
             F.col("first.utm_medium").alias("acquisition_medium"),

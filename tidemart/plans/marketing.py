@@ -15,7 +15,7 @@ from tidemart.functions.columns import (
     sum_money,
     zero_if_null,
 )
-from tidemart.operators.skew import ROWS_PER_PIECE, pieces_of, salted_join
+from tidemart.operators.skew import splittable_join
 from tidemart.plans.intermediate import first_orders
 
 
@@ -86,27 +86,16 @@ def fct_marketing_performance(
     )
 
 
-def fct_attribution_first_touch(
-    orders: DataFrame, economics: DataFrame, rows_per_piece: int = ROWS_PER_PIECE
-) -> DataFrame:
+def fct_attribution_first_touch(orders: DataFrame, economics: DataFrame) -> DataFrame:
     """Each member order with the UTM fields of that customer's first order.
 
-    The first orders come out of an aggregate on ``customer_id``, which is the case
-    adaptive skew handling cannot split, hence the salted join. The same aggregate counts the
-    orders, so customers with very many are a filter on it.
+    The first orders come out of an aggregate on ``customer_id``, hence the splittable join.
     """
     firsts = first_orders(orders.where(F.col("customer_id").isNotNull()))
-    firsts = firsts.withColumn("pieces", pieces_of("order_count", rows_per_piece))
     member_economics = economics.where(F.col("customer_id").isNotNull()).select(
         "order_id", "order_date", "customer_id", "net_subtotal_after_refunds", "contribution_margin"
     )
-    joined = salted_join(
-        member_economics,
-        firsts,
-        ["customer_id"],
-        spread_by="order_id",
-        send_hot=rows_per_piece >= ROWS_PER_PIECE,
-    )
+    joined = splittable_join(member_economics, firsts, ["customer_id"])
     return joined.select(
         "order_id",
         "order_date",
