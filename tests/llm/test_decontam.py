@@ -108,13 +108,27 @@ def test_slabs_lose_nothing_at_their_ends(slab, monkeypatch):
     items = decontam.Items(ITEMS[:2], decontam.WINDOW, decontam.EDITS, decontam.SHORTEST_ITEM)
     monkeypatch.setattr(decontam, "SLAB", slab)
     for shift in range(0, 90, 7):
-        found = decontam.Slab(items, decontam.EDITS + 1, decontam.WINDOW + 2 * decontam.EDITS)
+        found = decontam.Slab(items)
         found.add(0, "x" * shift + " " + ITEMS[0][1] + " " + prose(30, 20))
         found.add(1, prose(50, 21))
         found.flush()
         assert set(found.found) == {(0, 0)}
 
 
+def test_texts_that_share_very_many_grams(monkeypatch):
+    """Repetitive items and texts: halves are searched, and nothing in them is missed."""
+    items = [(1, "again and " * 30), (2, prose(60, 4))]
+    text = prose(40, 1) + " " + "again and " * 400 + items[1][1] + " again and" * 300
+    found = []
+    for most in (decontam.MOST_HITS, 1000):
+        monkeypatch.setattr(decontam, "MOST_HITS", most)
+        slab = decontam.Slab(decontam.Items(items, decontam.WINDOW, decontam.EDITS, decontam.SHORTEST_ITEM))
+        slab.add(0, text)
+        slab.flush()
+        found.append({key: edits for key, (edits, *_) in slab.found.items()})
+    assert found[0] == found[1] == {(0, 0): 0, (0, 1): 0}
+
+
 def test_passage_across_two_documents_is_none(spark):
     half = len(ITEMS[0][1]) // 2
     middle = ITEMS[0][1][half - 60 : half + 60]

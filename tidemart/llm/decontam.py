@@ -34,6 +34,8 @@ BLOCK_CHARS = 4_000_000
 SLAB = 1 << 19
 BLOOM_BITS = 22
 SPACE = np.uint32(32)
+# Shared q-grams that are held at once.
+MOST_HITS = 1 << 22
 # Stands between the documents of a slab; never part of a text.
 GAP = np.uint32(0xFFFFFFFF)
 
@@ -89,6 +91,7 @@ class Items:
         self.edits = self.window * edits // window
         self.needed = np.maximum(1, self.window + 1 - Q * (self.edits + 1))
         self.band = int(edits) + 1
+        self.overlap = window + 2 * edits
         grams = [qgram_hashes(c) for c in self.chars]
         hashes = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
@@ -98,26 +101,24 @@ class Items:
         self.bloom = np.zeros(1 << BLOOM_BITS, bool)
         self.bloom[self.hashes >> np.uint64(64 - BLOOM_BITS)] = True
 
-    def hits(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shared q-grams: place in the text, item, place in the item."""
-        none = np.zeros(0, np.int64)
+    def lookup(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of a text whose q-gram some item has: the place, the first such entry, how many."""
         if len(chars) < Q or not len(self.hashes):
-            return none, none, none
+            return (np.zeros(0, np.int64),) * 3
         hashes = qgram_hashes(chars)
         at = np.flatnonzero(self.bloom[hashes >> np.uint64(64 - BLOOM_BITS)])
-        found = hashes[at]
-        low, high = np.searchsorted(self.hashes, found), np.searchsorted(self.hashes, found, side="right")
-        n = high - low
-        first = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) if len(n) else none
-        entry = first + np.arange(int(n.sum()))
-        return np.repeat(at, n), self.item[entry], self.place[entry]
-
-    def regions(self, chars: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        first = np.searchsorted(self.hashes, hashes[at])
+        return at, first, np.searchsorted(self.hashes, hashes[at], side="right") - first
+
+    def regions(
+        self, at: np.ndarray, first: np.ndarray, n: np.ndarray
+    ) -> Iterator[tuple[int, int, np.ndarray]]:
         """``(item, lowest diagonal of the band, first places in the item)`` that meet the bound."""
-        at, item, place = self.hits(chars)
-        if not len(at):
+        if not n.sum():
             return
-        diagonal = at - place
+        entry = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        item, place = self.item[entry], self.place[entry]
+        diagonal = np.repeat(at, n) - place
         for shift in (0, self.band):
             band = (diagonal + shift) // (2 * self.band)
             key = band * len(self.ids) + item
@@ -159,13 +160,26 @@ class Items:
         return int(cost[window, b]), int(starts[window]) + lowest - k + width + int(b)
 
     def search(self, chars: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """``(item, edits, start, end)`` of a window within its edit budget, for each region with one."""
-        for one, lowest, firsts in self.regions(chars):
+        """``(item, edits, start, end)`` of a window within its edit budget, for each region with one.
+
+        Where a text shares very many q-grams, its halves are searched, overlapping by more than a
+        window with its edits.
+        """
+        found = self.lookup(chars)
+        if found[2].sum() > MOST_HITS and len(chars) > 4 * self.overlap:
+            middle = len(chars) // 2
+            yield from self.search(chars[: middle + self.overlap])
+            for one, edits, start, end in self.search(chars[middle:]):
+                yield one, edits, start + middle, end + middle
+            return
+        for one, lowest, firsts in self.regions(*found):
             width, last = int(self.window[one]), len(self.chars[one]) - int(self.window[one])
             # The window of a region may start before the first q-gram that it shares.
-            slack = width - Q - int(self.needed[one]) + 1
-            every = np.unique(np.clip(firsts[:, None] - np.arange(max(0, slack) + 1), 0, last))
-            likely = np.minimum(firsts[:1], last)
+            slack = max(0, width - Q - int(self.needed[one]) + 1)
+            near = np.zeros(last + 2, np.int64)
+            np.add.at(near, np.clip(firsts - slack, 0, last), 1)
+            np.add.at(near, np.minimum(firsts, last) + 1, -1)
+            every, likely = np.flatnonzero(np.cumsum(near)[:-1]), np.minimum(firsts[:1], last)
             for starts in (likely, *(every[at : at + 256] for at in range(0, len(every), 256))):
                 edits, end = self.aligned(chars, one, lowest, starts)
                 if edits <= self.edits[one]:
@@ -176,8 +190,8 @@ class Items:
 class Slab:
     """Normalised texts of several rows, or a part of a long one, kept apart by more gaps than edits."""
 
-    def __init__(self, items: Items, gap: int, overlap: int):
-        self.items, self.gap, self.overlap = items, np.full(gap, GAP, np.uint32), overlap
+    def __init__(self, items: Items):
+        self.items, self.gap = items, np.full(items.band, GAP, np.uint32)
         self.found: dict[tuple[int, int], tuple[int, int, int]] = {}
         self._reset()
 
@@ -196,7 +210,7 @@ class Slab:
             self.starts.append(self.size + len(self.gap))
             self.places.append(places)
             self.size += len(self.gap) + len(chars)
-            tail, tail_places = chars[-self.overlap :], places[-self.overlap :]
+            tail, tail_places = chars[-self.items.overlap :], places[-self.items.overlap :]
             if self.size >= SLAB:
                 self.flush()
 
@@ -227,20 +241,24 @@ _LEAK = pa.schema(
 )
 
 
-def _searched(texts: DataFrame, block: list[tuple[int, str]], window: int, edits: int, shortest: int) -> DataFrame:
+def _searched(
+    texts: DataFrame, block: list[tuple[int, str]], window: int, edits: int, shortest: int
+) -> DataFrame:
     sent = texts.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(sent.value, window, edits, shortest)
         for batch in batches:
-            slab = Slab(items, edits + 1, window + 2 * edits)
+            slab = Slab(items)
             for row, text in enumerate(batch.column(2).to_pylist()):
                 slab.add(row, text or "")
             slab.flush()
             rows = np.array([row for row, _ in slab.found], np.int64)
             named = [[items.ids[one] for _, one in slab.found], *zip(*slab.found.values(), strict=True)]
             arrays = [batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows))]
-            arrays += [pa.array(column, pa.int64()) for column in named] if slab.found else [pa.array([], pa.int64())] * 4
+            if not slab.found:
+                named = [[]] * 4
+            arrays += [pa.array(column, pa.int64()) for column in named]
             yield pa.RecordBatch.from_arrays(arrays, schema=_LEAK)
 
     return texts.mapInArrow(

@@ -58,7 +58,8 @@ def terms(data: bytes) -> np.ndarray:
         kinds = KINDS[part].astype(np.int64)
         counts[:SHAPES] += np.bincount((kinds[:-2] << 8) + (kinds[1:-1] << 4) + kinds[2:], minlength=SHAPES)
         low = LOWER[part].astype(np.uint32)
-        mixed = (low[:-2] * np.uint32(0x9E3779B1)) ^ (low[1:-1] * np.uint32(0x85EBCA77)) ^ (low[2:] * np.uint32(0xC2B2AE3D))
+        mixed = low[:-2] * np.uint32(0x9E3779B1) ^ low[1:-1] * np.uint32(0x85EBCA77)
+        mixed ^= low[2:] * np.uint32(0xC2B2AE3D)
         counts[SHAPES:] += np.bincount(mixed >> np.uint32(21), minlength=HASHED)
     vector = np.zeros(SHAPES + HASHED + MARKS, np.float32)
     total = counts[:SHAPES].sum()
@@ -104,7 +105,10 @@ def vote(latent: np.ndarray, bank: np.ndarray, labels: np.ndarray, neighbours: i
     """The mean label of each row's nearest bank rows, weighted by cosine; negative cosines count nothing."""
     cosines = latent @ bank.T
     k = min(neighbours, len(bank))
-    nearest = np.argpartition(-cosines, k - 1, axis=1)[:, :k] if k < len(bank) else np.arange(k)[None].repeat(len(latent), 0)
+    if k < len(bank):
+        nearest = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+    else:
+        nearest = np.arange(k)[None].repeat(len(latent), axis=0)
     weights = np.maximum(np.take_along_axis(cosines, nearest, axis=1), 0) + 1e-9
     return np.clip((weights * labels[nearest]).sum(axis=1) / weights.sum(axis=1), 0, 1)
 

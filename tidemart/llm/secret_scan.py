@@ -66,9 +66,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def _kinds(window: dict[str, int]) -> int:
     present = "".join(c for c, n in window.items() if n)
-    return sum(
-        (any(c.isdigit() for c in present), any(c.islower() for c in present), any(c.isupper() for c in present))
-    )
+    return sum(any(test(c) for c in present) for test in (str.isdigit, str.islower, str.isupper))
 
 
 def random_spans(run: str, members: frozenset[str], least: float, kinds: int) -> Iterator[tuple[int, int]]:
@@ -110,8 +108,9 @@ def entropy_spans(text: str, allowed: tuple[re.Pattern, ...]) -> list[tuple[int,
         run = candidate[0]
         if any(pattern.search(run) for pattern in allowed):
             continue
+        at = candidate.start()
         for members, least, kinds in CLASSES:
-            spans += [(candidate.start() + a, candidate.start() + b) for a, b in random_spans(run, members, least, kinds)]
+            spans += [(at + a, at + b) for a, b in random_spans(run, members, least, kinds)]
     joined: list[tuple[int, int]] = []
     for start, end in sorted(spans):
         if joined and start <= joined[-1][1]:

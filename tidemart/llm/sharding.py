@@ -94,7 +94,8 @@ def bounded_shards(
     """
     point = F.xxhash64(F.col(id_col))
     cell = F.shiftrightunsigned(point, 64 - CELL_BITS).cast("int")
-    arc = F.shiftrightunsigned(point, 64 - CELL_BITS - ARC_BITS).bitwiseAND(F.lit((1 << ARC_BITS) - 1).cast("long"))
+    arc = F.shiftrightunsigned(point, 64 - CELL_BITS - ARC_BITS)
+    arc = arc.bitwiseAND(F.lit((1 << ARC_BITS) - 1).cast("long"))
     rows = stored(
         documents.select(
             F.col(id_col).alias("doc_id"),
