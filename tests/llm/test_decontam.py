@@ -161,3 +161,58 @@ def test_empty_tables(spark):
 def test_bound_that_bounds_nothing_is_refused(spark):
     with pytest.raises(ValueError):
         searched(spark, [], ITEMS, window=40, edits=5)
+
+
+def symbol_runs(text):
+    """The runs of symbols of a text, one list for each place between words."""
+    between = "".join("a" if c.isalnum() or ord(c) > 0xFFFF else c for c in text).split("a")
+    return [part.split() for part in between]
+
+
+def slow_short(text, item):
+    """Whether a text holds an item below 120 characters, by the whole table; no item is left out."""
+    norm, texts = plain(item).strip(), plain(text).strip()
+    if not norm:
+        runs = item.split()
+        return any(runs == part[i : i + len(runs)] for part in symbol_runs(text) for i in range(len(part)))
+    if len(norm) < 8:
+        return f" {norm} " in f" {texts} "
+    return distance_of_best_part(norm, texts) <= (len(norm) // 12 if len(norm) >= 16 else 0)
+
+
+def test_short_items_against_whole_alignment(spark):
+    rng, source = random.Random(8), "what is the capital city of the small island"
+    items = [(n, source[n % 3 : n % 3 + n].strip()) for n in range(1, 40)]
+    items += [(50, "?!"), (51, "+ -"), (52, " ::\n"), (53, "42"), (54, "a"), (55, "a"), (56, "中文"), (57, "_")]
+    rows = [(1, "no?! so"), (2, "no ?!? so"), (3, "x + - y"), (4, "x +- y"), (5, "std::vector"), (6, "a :: b"), (7, "142 421")]
+    rows += [(8, "(42)"), (9, "a"), (10, "ab ba"), (11, "A."), (12, "x中文"), (13, "x 中文"), (14, "the"), (15, "? !"), (16, "snake_case")]
+    for n in range(200):
+        at = rng.randrange(30)
+        part = edited(source[at : at + rng.randrange(5, 44)], rng.randrange(0, 4), rng)
+        rows.append((100 + n, f"{prose(3, n)}{rng.choice(' ,x')}{part}{rng.choice(' ,x')}{prose(3, n + 1)}"))
+    want = {(d, i) for d, t in rows for i, x in items if slow_short(t, x)}
+    assert {i for _, i in want} >= {*range(8, 30), *range(50, 58)}
+    assert pairs(searched(spark, rows, items)) == want
+
+
+@pytest.mark.parametrize("slab", [16, 20, 60])
+def test_short_items_at_the_ends_of_slabs(slab, monkeypatch):
+    items = decontam.Items([(1, "to be"), (2, "question mark"), (3, "--")], decontam.WINDOW, decontam.EDITS, decontam.SHORTEST_ITEM)
+    monkeypatch.setattr(decontam, "SLAB", slab)
+    for shift in range(70):
+        found = decontam.Slab(items)
+        found.add(0, "x" * shift + " to be, question mark -- " + "y" * 30)
+        found.add(1, "x" * shift + "xto be to bee stop beto be---" + "y" * 30)
+        found.flush()
+        assert set(found.found) == {(0, 0), (0, 1), (0, 2)}
+        assert all(edits == 0 for edits, *_ in found.found.values())
+
+
+def test_halves_of_a_slab_end_no_word(monkeypatch):
+    items = decontam.Items([(1, "x"), (2, "again and " * 30)], decontam.WINDOW, decontam.EDITS, decontam.SHORTEST_ITEM)
+    monkeypatch.setattr(decontam, "MOST_HITS", 1000)
+    for shift in range(3):
+        found = decontam.Slab(items)
+        found.add(0, "x" * shift + "again and " * 100 + "x" * 2000 + "again and" * 100)
+        found.flush()
+        assert (0, 0) not in found.found or shift == 1

@@ -7,12 +7,17 @@ shared q-grams of an item are counted in bands of diagonals that overlap by half
 enough different q-grams of the item fall within one window of it, and a window of each region is
 then aligned to the text within the band.
 
+Items too short for an edit by that bound are compared whole: from ``Q`` characters on anywhere in the
+text, shorter ones as whole words, and items of symbols only as whole runs of symbols as written.
+
 The items are sent to all tasks, in blocks of bounded size: a larger benchmark takes several
 passes over the documents. Documents of any length are read a slab at a time.
 """
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -26,8 +31,8 @@ from tidemart.llm.tables import free_names
 Q = 8
 WINDOW = 120
 EDITS = 10
-# Shorter items cannot be told from coincidences and are not searched for.
-SHORTEST_ITEM = 40
+# Least normalised characters of an item that is searched for; up to 1, items of symbols only are too.
+SHORTEST_ITEM = 1
 # Characters of items that are sent to a task at once.
 BLOCK_CHARS = 4_000_000
 
@@ -38,6 +43,11 @@ SPACE = np.uint32(32)
 MOST_HITS = 1 << 22
 # Stands between the documents of a slab; never part of a text.
 GAP = np.uint32(0xFFFFFFFF)
+# The same between two parts of one text, where no word ends.
+CUT = np.uint32(0xFFFFFFFE)
+# What normalises to spaces, and the runs of symbols in it.
+_UNWORDED = re.compile(r"(?:[^\w\U00010000-\U0010ffff]|_)+")
+_SYMBOLS = re.compile(r"\S+")
 
 
 def _folding() -> np.ndarray:
@@ -73,26 +83,58 @@ def qgram_hashes(chars: np.ndarray, q: int = Q) -> np.ndarray:
     return hashes * np.uint64(0xD6E8FEB86659FD93)
 
 
+def word_hashes(words: np.ndarray) -> np.ndarray:
+    """A 64-bit polynomial hash of each row of characters."""
+    hashes = np.zeros(len(words), np.uint64)
+    for column in words.T:
+        hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.uint64) + np.uint64(1)
+    return hashes
+
+
+def _entries(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The entries from each ``first`` on, ``n`` of them."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+
+
 class Items:
     """Searchable benchmark items: their q-grams sorted by hash, and a bit map in front of them."""
 
     def __init__(self, items: list[tuple[int, str]], window: int, edits: int, shortest: int):
         self.folding = _folding()
         self.ids, self.chars = [], []
+        # Items of symbols by their first run.
+        self.symbols: defaultdict[str, list[tuple[int, list[str]]]] = defaultdict(list)
         for item_id, text in items:
             chars = normalised(text or "", self.folding)[0]
             if len(chars) and chars[-1] == SPACE:
                 chars = chars[:-1]
-            if len(chars) >= max(shortest, Q):
-                self.ids.append(item_id)
-                self.chars.append(chars)
+            if not len(chars) and shortest <= 1 and (runs := _SYMBOLS.findall(text or "")):
+                self.symbols[runs[0]].append((len(self.ids), runs))
+            elif not len(chars) or len(chars) < shortest:
+                continue
+            self.ids.append(item_id)
+            self.chars.append(chars)
         lengths = np.array([len(c) for c in self.chars], np.int64)
         self.window = np.minimum(lengths, window)
-        self.edits = self.window * edits // window
+        # No more edits than the lemma bounds: one below 16 characters could leave no shared q-gram.
+        self.edits = np.clip(np.minimum(self.window * edits // window, self.window // Q - 1), 0, None)
         self.needed = np.maximum(1, self.window + 1 - Q * (self.edits + 1))
+        self.whole = (self.edits == 0) & (lengths <= window)
+        self.words: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for length in range(1, Q):
+            short = np.flatnonzero(lengths == length)
+            if len(short):
+                hashes = word_hashes(np.stack([self.chars[one] for one in short]))
+                order = np.argsort(hashes, kind="stable")
+                self.words[length] = hashes[order], short[order]
         self.band = int(edits) + 1
-        self.overlap = window + 2 * edits
-        grams = [qgram_hashes(c) for c in self.chars]
+        self.overlap = max(window + 2 * edits, 2 * Q)
+        none = np.zeros(0, np.uint64)
+        # An item that is compared whole is found by its first q-gram.
+        grams = [
+            none if len(c) < Q else qgram_hashes(c[:Q] if whole else c)
+            for c, whole in zip(self.chars, self.whole, strict=True)
+        ]
         hashes = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
@@ -116,9 +158,11 @@ class Items:
         """``(item, lowest diagonal of the band, first places in the item)`` that meet the bound."""
         if not n.sum():
             return
-        entry = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        entry, at = _entries(first, n), np.repeat(at, n)
+        partly = ~self.whole[self.item[entry]]
+        entry, at = entry[partly], at[partly]
         item, place = self.item[entry], self.place[entry]
-        diagonal = np.repeat(at, n) - place
+        diagonal = at - place
         for shift in (0, self.band):
             band = (diagonal + shift) // (2 * self.band)
             key = band * len(self.ids) + item
@@ -138,6 +182,55 @@ class Items:
                     if len(within):
                         yield one, of_band * 2 * self.band - shift, within
 
+    def whole_items(
+        self, chars: np.ndarray, at: np.ndarray, first: np.ndarray, n: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """``(items, places)`` of the items from ``Q`` characters on that are compared whole."""
+        if not (self.whole & (self.window >= Q)).any() or not n.sum():
+            return (np.zeros(0, np.int64),) * 2
+        entry, at = _entries(first, n), np.repeat(at, n)
+        whole = self.whole[self.item[entry]]
+        item, at = self.item[entry[whole]], at[whole]
+        kept = [(np.zeros(0, np.int64),) * 2]
+        for one in np.unique(item):
+            mine, text = at[item == one], self.chars[one]
+            mine = mine[mine + len(text) <= len(chars)]
+            for i, char in enumerate(text):
+                mine = mine[chars[mine + i] == char]
+            kept.append((np.full(len(mine), one), mine))
+        items, places = zip(*kept, strict=True)
+        return np.concatenate(items), np.concatenate(places)
+
+    def whole_words(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(items, places)`` of the items below ``Q`` characters that stand as whole words."""
+        kept = [(np.zeros(0, np.int64),) * 2]
+        if self.words:
+            ends = (chars == SPACE) | (chars == GAP)
+            starts = np.flatnonzero(ends[:-1] & ~ends[1:]) + 1
+            for length, (hashes, short) in self.words.items():
+                mine = starts[starts + length < len(chars)]
+                mine = mine[ends[mine + length]]
+                words = chars[mine[:, None] + np.arange(length)]
+                hashed = word_hashes(words)
+                first = np.searchsorted(hashes, hashed)
+                n = np.searchsorted(hashes, hashed, side="right") - first
+                items, nth = short[_entries(first, n)], np.repeat(np.arange(len(mine)), n)
+                texts = np.stack([self.chars[one] for one in short])[_entries(first, n)]
+                same = (texts == words[nth]).all(axis=1)
+                kept.append((items[same], mine[nth[same]]))
+        items, places = zip(*kept, strict=True)
+        return np.concatenate(items), np.concatenate(places)
+
+    def symbol_runs(self, text: str) -> Iterator[tuple[int, int, int]]:
+        """``(item, start, end)`` of the items of symbols only, in code points of the text."""
+        for between in _UNWORDED.finditer(text) if self.symbols else ():
+            runs = list(_SYMBOLS.finditer(between[0]))
+            for nth, run in enumerate(runs):
+                for one, wanted in self.symbols.get(run[0], ()):
+                    last = nth + len(wanted) - 1
+                    if last < len(runs) and all(r[0] == w for r, w in zip(runs[nth:], wanted, strict=False)):
+                        yield one, between.start() + run.start(), between.start() + runs[last].end()
+
     def aligned(self, chars: np.ndarray, one: int, lowest: int, starts: np.ndarray) -> tuple[int, int]:
         """The least edits, and where they end in the text, of the item's windows at ``starts``.
 
@@ -160,7 +253,8 @@ class Items:
         return int(cost[window, b]), int(starts[window]) + lowest - k + width + int(b)
 
     def search(self, chars: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """``(item, edits, start, end)`` of a window within its edit budget, for each region with one.
+        """``(item, edits, start, end)`` of a window within its edit budget, for each region with one,
+        and of the items that are compared whole.
 
         Where a text shares very many q-grams, its halves are searched, overlapping by more than a
         window with its edits.
@@ -168,10 +262,17 @@ class Items:
         found = self.lookup(chars)
         if found[2].sum() > MOST_HITS and len(chars) > 4 * self.overlap:
             middle = len(chars) // 2
-            yield from self.search(chars[: middle + self.overlap])
+            cut = np.full(1, CUT)
+            yield from self.search(np.append(chars[: middle + self.overlap], cut))
             for one, edits, start, end in self.search(chars[middle:]):
                 yield one, edits, start + middle, end + middle
             return
+        part = np.cumsum(chars >= CUT)
+        for items, places in (self.whole_items(chars, *found), self.whole_words(chars)):
+            # Once for each part of the slab that holds the item.
+            _, once = np.unique(part[places] * len(self.ids) + items, return_index=True)
+            for one, start in zip(items[once].tolist(), places[once].tolist(), strict=True):
+                yield one, 0, start, start + len(self.chars[one])
         for one, lowest, firsts in self.regions(*found):
             width, last = int(self.window[one]), len(self.chars[one]) - int(self.window[one])
             # The window of a region may start before the first q-gram that it shares.
@@ -192,6 +293,7 @@ class Slab:
 
     def __init__(self, items: Items):
         self.items, self.gap = items, np.full(items.band, GAP, np.uint32)
+        self.cut = np.full(items.band, CUT, np.uint32)
         self.found: dict[tuple[int, int], tuple[int, int, int]] = {}
         self._reset()
 
@@ -200,16 +302,19 @@ class Slab:
 
     def add(self, row: int, text: str) -> None:
         """Take in a row's text, searching whenever a slab is full."""
+        for one, start, end in self.items.symbol_runs(text):
+            self._keep(row, one, (0, start, end))
         tail, tail_places = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         for at in range(0, len(text), SLAB):
             ended = not len(tail) or tail[-1] == SPACE
             chars, places = normalised(text[at : at + SLAB], self.items.folding, ended)
             chars, places = np.concatenate([tail, chars]), np.concatenate([tail_places, places + at])
-            self.parts += [self.gap, chars]
+            after = self.gap if at + SLAB >= len(text) else self.cut
+            self.parts += [self.cut if at else self.gap, chars, after]
             self.rows.append(row)
             self.starts.append(self.size + len(self.gap))
             self.places.append(places)
-            self.size += len(self.gap) + len(chars)
+            self.size += 2 * len(self.gap) + len(chars)
             tail, tail_places = chars[-self.items.overlap :], places[-self.items.overlap :]
             if self.size >= SLAB:
                 self.flush()
@@ -224,10 +329,12 @@ class Slab:
                     continue
                 low, high = max(0, start - self.starts[nth]), min(len(places), end - self.starts[nth])
                 match = edits, int(places[min(low, len(places) - 1)]), int(places[max(0, high - 1)]) + 1
-                key = self.rows[nth], one
-                self.found[key] = min(match, self.found.get(key, match))
+                self._keep(self.rows[nth], one, match)
         self._reset()
 
+    def _keep(self, row: int, one: int, match: tuple[int, int, int]) -> None:
+        self.found[row, one] = min(match, self.found.get((row, one), match))
+
 
 _LEAK = pa.schema(
     [
@@ -282,9 +389,10 @@ def leaks(
 
     A document holds an item if some window of ``window`` normalised characters of the item is
     within ``edits`` edits of a part of the text; of a shorter item it is the whole, with
-    proportionally fewer edits. ``start`` and ``end`` are code points of the text around the window
-    with the fewest edits that was found. Items below ``shortest`` normalised characters, or null,
-    are not searched for. Null and empty texts hold nothing. Repeated rows give one row; a row with a
+    proportionally fewer edits, none below 16 characters. Items below 8 characters count as whole words
+    only, and items of symbols only as whole runs of symbols as written. ``start`` and ``end`` are code
+    points of the text around the window with the fewest edits that was found. Items that are null, or
+    blank, or below ``shortest`` normalised characters, are not searched for. Null and empty texts hold nothing. Repeated rows give one row; a row with a
     null id is reported under the null id. An empty table on either side gives an empty result. Other
     columns are ignored.
     """
