@@ -101,3 +101,25 @@ def test_awkward_rows_and_empty_table(spark):
 def test_code_points_not_bytes(spark):
     (row,) = secret_scan.scan(awkward(spark, [(1, f"🙂é {RANDOM}")])).collect()
     assert [tuple(s) for s in row.spans] == [("entropy", 3, 3 + len(RANDOM))]
+
+
+def found_in(text):
+    return [text[a:b] for a, b, _ in secret_scan.entropy_spans(text, ALLOWED)]
+
+
+def test_allow_list_takes_out_its_match_only():
+    token = RANDOM[:24]
+    (hook,) = found_in(f"https://hooks.slack.com/services/T0000/B0000/{token}")
+    assert hook.endswith(token)
+    assert found_in(f"A=B={token}") == [token]
+    key = RANDOM + "+" * 14 + RANDOM[::-1]
+    assert found_in(key) == [RANDOM, RANDOM[::-1]]
+    assert found_in(f"{RANDOM}/example/{RANDOM}") == [RANDOM + "/", "/" + RANDOM]
+    assert found_in("sha256-" + RANDOM + RANDOM[:11] + "=") == []
+
+
+def test_letters_of_one_case_and_short_strings():
+    lower, upper = "k3x9q2mz7v4tb8w1hj6pn5rc", "K3X9Q2MZ7V4TB8W1HJ6PN5RC"
+    for token in (lower, upper, lower[:20], upper[:16], "Zq8Lr2Xw9Vt4Bn7K", "9f3c07ab51e2d864"):
+        assert found_in(f"see {token} here") == [token]
+    assert found_in("internationalization2 4556737586899855 Rechtsschutzversicherung getElementsByClassName") == []

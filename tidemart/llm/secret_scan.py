@@ -1,15 +1,17 @@
 """Secret scans: fixed patterns, and sliding-window Shannon entropy per character class.
 
 Candidate strings are long runs of token characters. Over each class (hexadecimal digits, base-64
-characters) a window slides along the run; the entropy of its characters follows from counts that
-change by one character in and one out. Windows above the class's threshold are joined to spans,
-unless an allow-list says that the string is harmless.
+characters, digits with letters of one case) a window slides along the run; the entropy of its
+characters follows from counts that change by one character in and one out. Windows above the class's
+threshold are joined to spans. Where a class has 16 to 23 characters in a row, these are one window.
+What an allow-list matches is harmless: no window overlaps it, and the rest of the run is scanned.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,20 +32,25 @@ _ASSIGN_VALUE = 6
 _ASSIGN_WORDS = ("passw", "secret", "token", "api")
 
 WINDOW = 24
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{24,}")
+SHORTEST = 16
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 # Per class its characters, the least entropy in bits per character of a window, and the kinds of
 # character (digit, lower case, upper case) that a window must have. Random windows of 24 have
-# about 3.4 and 4.3 bits; words of any length stay below or have no digits.
+# about 3.4, 4.3, 4.0 and 4.0 bits; words of any length stay below or have no digits.
 CLASSES = (
     (frozenset("0123456789abcdefABCDEF"), 2.9, 2),
     (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 3.8, 3),
+    (frozenset("abcdefghijklmnopqrstuvwxyz0123456789"), 3.6, 2),
+    (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 3.5, 2),
 )
-# Strings that look random and are no secrets.
+# The least entropy where a class has fewer in a row; of random strings of 16, 1 in 100 is below.
+SHORT_LEAST = (2.7, 3.3, 3.15, 3.05)
+# Strings that look random and are no secrets; a word that names an example goes with what is joined to it.
 ALLOWED = (
-    r"(?i)example|sample|dummy|placeholder|changeme|your[_-]",
+    r"(?i)(?:example|sample|dummy|placeholder|changeme|your[_-])[0-9a-z]{0,24}",
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-    r"^(?:sha(?:1|256|384|512)|md5)[-=]",
-    r"(?i)0123456789abcdef|abcdefghijklmnopqrstuvwxyz|(.)\1{11}",
+    r"^(?:sha(?:1|256|384|512)|md5)[-=][0-9A-Za-z+/_-]{22,128}={0,2}$",
+    r"(?i)0123456789abcdef|abcdefghijklmnopqrstuvwxyz|(.)\1{11,}",
     r"^/?(?:[A-Za-z_-]{1,16}[/=]){2,}",
 )
 
@@ -101,16 +108,46 @@ def random_spans(run: str, members: frozenset[str], least: float, kinds: int) ->
         yield span
 
 
+def _unmatched(run: str, allowed: tuple[re.Pattern, ...]) -> str:
+    """The run with blanks, which no class has, in place of what an allow-list matches."""
+    kept = run
+    for pattern in allowed:
+        for match in pattern.finditer(run):
+            kept = kept[: match.start()] + " " * len(match[0]) + kept[match.end() :]
+    return kept
+
+
+def _in_a_row(members: frozenset[str]) -> re.Pattern:
+    """Runs of class members that are too short for a window of ``WINDOW``."""
+    one = f"[{re.escape(''.join(sorted(members)))}]"
+    return re.compile(f"(?<!{one}){one}{{{SHORTEST},{WINDOW - 1}}}(?!{one})")
+
+
+_SHORT = tuple(
+    (_in_a_row(members), least, kinds)
+    for (members, _, kinds), least in zip(CLASSES, SHORT_LEAST, strict=True)
+)
+
+
+def short_spans(run: str, pattern: re.Pattern, least: float, kinds: int) -> Iterator[tuple[int, int]]:
+    """Matches of a pattern from ``_in_a_row`` with at least ``least`` bits a character."""
+    for match in pattern.finditer(run):
+        counts = Counter(match[0])
+        bits = math.log2(len(match[0])) - sum(_TERM[n] for n in counts.values()) / len(match[0])
+        if bits >= least and _kinds(counts) >= kinds:
+            yield match.span()
+
+
 def entropy_spans(text: str, allowed: tuple[re.Pattern, ...]) -> list[tuple[int, int, str]]:
     """Spans of high entropy over all classes, joined where they overlap."""
     spans = []
     for candidate in _CANDIDATE.finditer(text):
-        run = candidate[0]
-        if any(pattern.search(run) for pattern in allowed):
-            continue
-        at = candidate.start()
-        for members, least, kinds in CLASSES:
-            spans += [(at + a, at + b) for a, b in random_spans(run, members, least, kinds)]
+        run, at = _unmatched(candidate[0], allowed), candidate.start()
+        if len(run) >= WINDOW:
+            for members, least, kinds in CLASSES:
+                spans += [(at + a, at + b) for a, b in random_spans(run, members, least, kinds)]
+        for pattern, least, kinds in _SHORT:
+            spans += [(at + a, at + b) for a, b in short_spans(run, pattern, least, kinds)]
     joined: list[tuple[int, int]] = []
     for start, end in sorted(spans):
         if joined and start <= joined[-1][1]:
@@ -136,8 +173,8 @@ def scan(
     """``(doc_id, spans)``, one row per input row.
 
     ``spans`` is an array of ``(kind, start, end)`` in code points, end exclusive, by start and then
-    kind. ``allowed`` are regular expressions searched in candidate strings; they suppress spans of
-    high entropy only, never those of a base kind. A null text counts as empty; a text without
+    kind. ``allowed`` are regular expressions searched in candidate strings; they suppress the windows
+    of high entropy that overlap a match, never spans of a base kind. A null text counts as empty; a text without
     findings has an empty array. Other columns are ignored.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
