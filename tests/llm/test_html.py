@@ -104,3 +104,38 @@ def test_awkward_rows(spark):
     want = [(1, "u", 0), (2, "u", 0), (None, None, 249_999), (3, "u", 0), (3, "u", 0)]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert html_extract.extract(pages.limit(0)).count() == 0
+
+
+BODY = "<p>" + "The body of this page goes on for some words. " * 4 + "</p><p>Its end.</p>"
+TEXT = " ".join(["The body of this page goes on for some words."] * 4) + "\nIts end."
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["site has-sidebar", "no-sidebar", "with-comments", "content-sidebar-wrap", "sidebar", "commentary", "cookies-recipe", "page social",
+     "newsletters-archive", "hasSidebar", "layout layout--sidebar-left"],
+)
+def test_article_within_a_named_container(name):
+    for element in ("article", "main"):
+        page = f"<body><nav><a href=/>Home</a></nav><div class='{name}'><{element}>{BODY}</{element}></div></body>"
+        assert main(page) == TEXT
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["social", "legal", "search", "links", "dialog", "byline", "commentary", "cookies-recipe", "entry-meta", "has-ads", "post-header"],
+)
+def test_named_parts_of_an_article(name):
+    part = f"<div class='{name}'><p>A part of the text.</p></div>"
+    assert main(f"<body><article>{part}{BODY}</article></body>") == "A part of the text.\n" + TEXT
+
+
+@pytest.mark.parametrize(
+    "noise",
+    ["<div class='comments-area'><article><p>{}</p></article></div>", "<aside><article><p>{}</p></article></aside>", "<div class='ad-slot'>{}</div>",
+     "<div class='sidebar-inner'>{}</div>", "<div class='cookie-banner'>{}</div>", "<div id='disqus_thread'>{}</div>", "<div class='share-buttons'>{}</div>",
+     "<div class='post-comments-area'><article>{}</article></div>", "<div class='commentsbox'>{}</div>", "<div hidden>{}</div>"],
+)
+def test_containers_that_stay_apart(noise):
+    apart = noise.format("Some noise that goes on for a number of words")
+    assert main(f"<body>{apart}<article>{BODY}{'' if 'article' in noise else apart}</article>{apart}</body>") == TEXT

@@ -34,23 +34,32 @@ IMPLIED = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "
 IMPLIED |= {"td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 # Marks of containers. Text in LASTING ones stays apart even within an article of its own, as reader
-# comments often have; an article or main element ends the reach of the others.
+# comments and teasers often have; an article or main element ends the reach of the others.
 LASTING = frozenset(
-    "aside comment comments reply replies discussion disqus respond sidebar related recommended recommendations".split()
+    "aside comment comments reply replies discussion disqus respond related recommended recommendations".split()
 )
 APART = LASTING | frozenset(
     """ad ads advert advertisement adverts advertising alert banner breadcrumb breadcrumbs byline complementary
     consent contentinfo cookie cookies copyright dialog footer form gdpr header legal links login masthead menu
     meta modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup
-    promo promoted promotion search share sharing signup skip social sponsor sponsored subscribe subscription
+    promo promoted promotion search share sharing sidebar signup skip social sponsor sponsored subscribe subscription
     tags teaser toolbar topbar widget""".split()
 )
 MAIN = frozenset("article main content entry post story".split())
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _PARTS = re.compile(r"[^a-z0-9]+")
 
-# Compound names that hold a mark at either end, such as commentlist or topnav.
-_MARKED_START = ("comment", "advert", "sponsor", "cookie", "sidebar", "newsletter", "breadcrumb", "navbar", "disqus")
+# Names that within an article say what its text is about, or are part of it.
+_OF_ARTICLE = frozenset("header byline social legal search links dialog meta".split())
+# Names that tell how a container looks, not what it is.
+_STATES = frozenset("has no not with without is".split())
+# Parts at the end of a name that say nothing of what is in the container.
+_WRAPPERS = frozenset(
+    """area block box buttons container group holder inner items list outer panel posts section slot thread widgets
+    wrap wrapper""".split()
+)
+# One word for a mark and a wrapper, or for a place and a mark, such as commentlist or topnav.
+_MARKED_START = ("comment", "comments", "advert", "sponsor", "cookie", "sidebar", "newsletter", "breadcrumb", "navbar")
 _MARKED_END = ("nav", "menu", "comments", "sidebar", "footer", "banner")
 
 # Where a block stands. A container that is only named like a main part counts as one in pages without
@@ -73,27 +82,47 @@ _MARKING = frozenset(("nav", "footer", "aside", "form", "header", "dialog", "men
 
 
 def _named(value: str) -> Iterator[str]:
-    """The words of a class or id, and the marks that its compound words hold."""
-    for part in _PARTS.split(_CAMEL.sub(" ", value).lower()):
-        yield part
-        yield from (mark for mark in _MARKED_START if part.startswith(mark))
-        yield from (mark for mark in _MARKED_END if part.endswith(mark))
+    """The marks among the names of a class or id, and its words that mark main parts.
+
+    A name is a mark as a whole, or by its last part that is no mere wrapper: ``cookie-notice`` and
+    ``comments-area`` are, ``has-sidebar`` and ``content-sidebar-wrap`` are not.
+    """
+    for name in value.split():
+        # Of block__element--state the block counts too.
+        for one in {name, re.split("__|--", name)[0]}:
+            parts = [part for part in _PARTS.split(_CAMEL.sub(" ", one).lower()) if part]
+            yield from MAIN.intersection(parts)
+            if not parts or (len(parts) > 1 and parts[0] in _STATES):
+                continue
+            n_parts = len(parts)
+            while len(parts) > 1 and parts[-1] in _WRAPPERS:
+                parts.pop()
+            last = parts[-1]
+            if len(parts) < n_parts and MAIN.intersection(parts) and last not in LASTING:
+                continue
+            yield last
+            yield from (mark for mark in _MARKED_START if last.startswith(mark) and last[len(mark) :] in _WRAPPERS)
+            yield from (mark for mark in _MARKED_END if last.endswith(mark))
 
 
 def _mark(tag: str, attributes: str, outer: int) -> int:
     """What an element says of the text in it. The header of an article is part of it."""
-    names = {tag} & _MARKING
+    element, names, hidden = {tag} & _MARKING, set(), False
     if attributes and tag not in ("html", "body"):
         for name, *values in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), "".join(values)
             if name in ("class", "id", "role"):
                 names.update(_named(value))
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-                names.add("dialog")
+                hidden = True
             elif name == "style" and "display:none" in value.lower().replace(" ", ""):
-                names.add("dialog")
+                hidden = True
     if outer in (IN_MAIN, IN_NAMED):
-        names.discard("header")
+        names -= _OF_ARTICLE
+        element.discard("header")
+    names |= element
+    if hidden:
+        names.add("dialog")
     if tag in ("article", "main"):  # classes there often name topics
         names -= APART if names & MAIN - {"article"} else APART - LASTING
     if names & LASTING:
