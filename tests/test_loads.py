@@ -6,11 +6,12 @@ import pytest
 from fixtures import feed, models, order, rows
 from parity import kind
 from pyspark.errors import SparkRuntimeException
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemart.plans import staging, warehouse
 from tidemart.plans.core import FCT_ORDERS_COLUMNS
-from tidemart.plans.incremental import refresh_orders, stored_orders
+from tidemart.plans.incremental import order_rows, refresh_orders, stored_orders
 from tidemart.plans.models import MARTS, REPORTS, Models
 from tidemart.sources.driver_tables import DRIVER_SETTINGS, CommerceFeeds
 from tidemart.sources.raw import (
@@ -245,3 +246,33 @@ def test_compaction_keeps_every_session(spark, tmp_path, monkeypatch):
     compact_sessions(spark, path)
     batch(3)
     assert same()
+
+
+MOVES = [("2026-02-01 10:00:00", True), (None, True), (None, False)]
+
+
+@pytest.mark.parametrize(("before", "searched"), MOVES)
+def test_order_that_changes_its_month_has_one_row(spark, tmp_path, before, searched):
+    path, kept = str(tmp_path / "fct_orders"), order("o2", "c1", "2026-02-02 10:00:00")
+    now = {**order("o1", "c1", "2026-04-01 10:00:00"), "processed_at": "2026-04-02 00:00:00"}
+    then = {**now, "created_at": before, "processed_at": "2026-03-01 00:00:00"}
+    m = models(spark, orders=[now, kept])
+    options = {} if searched else {"rows_move": False}
+    refresh_orders(models(spark, orders=[then, kept]), path, **options)
+    refresh_orders(m, path, **options)
+    assert rows(stored_orders(m, path)) == rows(m["fct_orders"])
+    stream, options = f"{path}-stream", {} if searched else {"dates_change": False}
+    for change in (then, kept, now):
+        apply_order_changes(m, feed(spark, "orders", [change]), stream, **options)
+    assert rows(stored_orders(m, stream)) == rows(m["fct_orders"])
+
+
+@pytest.mark.parametrize(("landed", "change"), [(None, False), ("2026-02-01", True)])
+def test_lines_that_landed_under_another_month_are_read(spark, tmp_path, landed, change):
+    m = models(spark, orders=[order("o1", "c1", "2026-04-01 10:00:00")], refunds=[refund("o1", "2026-04-02 00:00:00")])
+    month = F.lit(landed).cast("date")
+    stored = {t: m.raw[t].withColumn("order_month", month) for t in ("order_lines", "refunds")}
+    monthly = Models(spark, {**m.raw, **stored}, m.settings)
+    got = order_rows(monthly, monthly["stg_orders"], **({"dates_change": True} if change else {}))
+    assert rows(got, "order_id", "refund_count") == [("o1", 1)]
+    assert rows(got) == rows(m["fct_orders"])

@@ -14,6 +14,7 @@ import json
 import uuid
 from collections.abc import Collection, Sequence
 from dataclasses import asdict, dataclass, replace
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,9 +105,14 @@ def write_partitioned(rows: DataFrame, path: str, partition: str) -> None:
     balanced.write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
+# What stands for a null value, which is a partition too, and its digest.
+_NULL = "\\N"
+_NULL_PART = md5(_NULL.encode(), usedforsecurity=False).hexdigest()
+
+
 def _part(partition: str):
-    """The digest of a partition's value; a null value is a partition too."""
-    return F.md5(F.coalesce(F.col(partition).cast("string"), F.lit("\\N")))
+    """The digest of a partition's value."""
+    return F.md5(F.coalesce(F.col(partition).cast("string"), F.lit(_NULL)))
 
 
 def _with_part(rows: DataFrame, partition: str) -> DataFrame:
@@ -130,8 +136,10 @@ def _changed(
 ) -> tuple[set[str], DataFrame]:
     """The partitions that some marked changes touch, and their rows after the changes."""
     touched, changes = _parts(marked), marked.drop(PART)
-    if rows_move:
-        keys = _with_part(_read(spark, path, now), partition).select(*key, PART)
+    # A row without a partition may get one at any time.
+    if rows_move or _NULL_PART in now.folders:
+        searched = None if rows_move else {_NULL_PART}
+        keys = _with_part(_read(spark, path, now, searched), partition).select(*key, PART)
         touched |= _parts(keys.join(changes.select(*key), key, "left_semi"))
     existing = _read(spark, path, now, touched)
     if version is not None:
@@ -155,8 +163,9 @@ def upsert_table(
 
     Only partitions that hold a changed row, before or after the change, are read in full
     and rewritten. Finding where changed rows were before scans the key columns of the
-    whole table; that scan is skipped when ``rows_move`` is False, which is safe if a key
-    never changes its partition and is assumed when the partition column is part of the key.
+    whole table; when ``rows_move`` is False only the null partition is scanned, which is safe if
+    a key never changes its partition once it has one and is assumed when the partition column is
+    part of the key.
 
     Applying the same changes twice leaves the same table. With ``version``, a change older than
     the stored row is dropped, so a late replay cannot undo a newer one. A change with the stored

@@ -18,7 +18,7 @@ BEGINNING = datetime(1900, 1, 1)
 
 
 def with_order_month(orders: DataFrame) -> DataFrame:
-    """Add the partition column. An order's creation date does not change."""
+    """Add the partition column."""
     return orders.withColumn(ORDER_MONTH, month_start("order_date"))
 
 
@@ -58,25 +58,30 @@ def _is_monthly(models: Models, table: str) -> bool:
 
 
 def _staged(models: Models, table: str, months: list[date | None]) -> DataFrame:
-    """A staged feed, cut to some order months where the raw feed is stored by them."""
+    """A staged feed, cut to some order months where the raw feed is stored by them.
+
+    What landed before its order has no month, so that partition is always read.
+    """
     if not _is_monthly(models, table):
         return models[f"stg_{table}"]
     month = F.col(ORDER_MONTH)
     wanted = month.isin([m for m in months if m is not None])
-    return _BY_MONTH[table](models.raw[table].where(wanted | month.isNull() if None in months else wanted))
+    return _BY_MONTH[table](models.raw[table].where(wanted | month.isNull()))
 
 
-def order_rows(models: Models, orders: DataFrame) -> DataFrame:
+def order_rows(models: Models, orders: DataFrame, dates_change: bool = False) -> DataFrame:
     """Order-fact rows for some staged orders; only their lines and refunds are shuffled.
 
     Where the line and refund feeds are stored by order month (``write_monthly_feeds``), only the
-    months of these orders are read. The months, one value each, reach the driver.
+    months of these orders, and what has none, are read. The months, one value each, reach the driver.
+    With ``dates_change`` all months are read, as lines may have landed under an earlier date.
     """
     ids = orders.select("order_id")
-    months = []
-    if any(_is_monthly(models, table) for table in _BY_MONTH):
+    if not dates_change and any(_is_monthly(models, table) for table in _BY_MONTH):
         months = [r[0] for r in orders.select(month_start("order_date")).distinct().collect()]
-    lines, refunds = (_staged(models, table, months) for table in _BY_MONTH)
+        lines, refunds = (_staged(models, table, months) for table in _BY_MONTH)
+    else:
+        lines, refunds = (models[f"stg_{table}"] for table in _BY_MONTH)
     economics = core.order_economics(
         intermediate.order_net(orders, refunds.join(ids, "order_id", "left_semi")),
         lines.join(ids, "order_id", "left_semi"),
@@ -86,15 +91,16 @@ def order_rows(models: Models, orders: DataFrame) -> DataFrame:
 
 
 def refresh_orders(
-    models: Models, path: str, with_refunded: bool = False, rows_move: bool = False
+    models: Models, path: str, with_refunded: bool = False, rows_move: bool = True
 ) -> None:
     """Bring the order fact at ``path`` up to date with the feeds.
 
-    An order's creation date does not change, so its month does not either; set ``rows_move``
-    for a feed that corrects dates.
+    An order whose creation date was corrected moves to another month; its old row is found by the
+    key columns of the whole table. Where no feed corrects dates, ``rows_move`` False saves that
+    scan; an order that had no date is found all the same.
     """
     changed = orders_since(models, high_watermark(models, path), with_refunded)
-    rows = with_order_month(order_rows(models, changed))
+    rows = with_order_month(order_rows(models, changed, rows_move))
     upsert_table(rows, path, ["order_id"], ORDER_MONTH, rows_move=rows_move, watermark="processed_at")
 
 

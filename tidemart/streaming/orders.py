@@ -12,16 +12,17 @@ from tidemart.plans.models import Models
 
 
 def apply_order_changes(
-    models: Models, raw_orders: DataFrame, path: str, dates_change: bool = False
+    models: Models, raw_orders: DataFrame, path: str, dates_change: bool = True
 ) -> None:
     """Upsert one batch of raw order changes; several changes of an order keep the newest.
 
     Replaying a batch writes the same rows again, and a batch that arrives late does not
-    replace a row processed after it. Each batch only reads the months it touches; set
-    ``dates_change`` for a feed that changes the creation date of an order.
+    replace a row processed after it. Each batch searches the whole table's keys for the orders'
+    old rows; with ``dates_change`` False, for a feed that never changes the creation date of an order
+    once it has one, it only reads the months it touches and the orders without a date.
     """
     newest = latest_per_key(staging.orders(raw_orders), ["order_id"], "processed_at")
-    rows = with_order_month(order_rows(models, newest))
+    rows = with_order_month(order_rows(models, newest, dates_change))
     upsert_table(
         rows,
         path,
@@ -38,7 +39,7 @@ def order_stream(
     raw_orders: DataFrame,
     path: str,
     checkpoint: str,
-    dates_change: bool = False,
+    dates_change: bool = True,
 ) -> StreamingQuery:
     """Start applying a streaming feed of raw order rows to the order fact at ``path``.
 
