@@ -139,3 +139,13 @@ def test_named_parts_of_an_article(name):
 def test_containers_that_stay_apart(noise):
     apart = noise.format("Some noise that goes on for a number of words")
     assert main(f"<body>{apart}<article>{BODY}{'' if 'article' in noise else apart}</article>{apart}</body>") == TEXT
+
+
+@pytest.mark.parametrize("end", ["", "</head>", "<link rel=x><noscript><style>p {}</style></noscript>", "<noscript><img src=x>"])
+@pytest.mark.parametrize("body", ["<body>", "<body class=x><main>", "<div>", "<article>", ""])
+def test_page_without_end_of_head(end, body):
+    if end.endswith("<img src=x>") and not body.startswith("<body"):
+        end += "</noscript>"
+    page = f"<html><head><meta charset=utf-8><title>No text</title>{end}{body}{BODY}"
+    assert main(page) == TEXT
+    assert main(f"<head><title>No text</title>{end}{body}Plain words first.{BODY}").startswith("Plain words first.")

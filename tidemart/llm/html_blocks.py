@@ -28,6 +28,8 @@ VOID = frozenset(
 )
 # Controls and fallbacks, whose text is not part of the page's text.
 UNSEEN = frozenset("button select option datalist svg math template noscript object audio video canvas head".split())
+# What can stand in a head; anything else ends it, with or without its closing tag.
+IN_HEAD = frozenset("base head link meta noscript script style template title".split())
 SPACE = frozenset(("br", "wbr", "img", "input"))
 # Closed by the next one of the same kind.
 IMPLIED = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th")}
@@ -173,6 +175,9 @@ class _Page:
                 return
 
     def start(self, tag: str, attributes: str) -> None:
+        # The fallbacks in a head hold elements of their own.
+        if self.n_open["head"] and (tag == "body" or (tag not in IN_HEAD and self.open[-1][0] == "head")):
+            self.close("head")
         if tag in BLOCK:
             self.end_block()
             for name in IMPLIED.get(tag, ()):
@@ -192,6 +197,8 @@ class _Page:
             self.links += tag == "a"
 
     def text(self, raw: str) -> None:
+        if self.open and self.open[-1][0] == "head" and raw.strip():
+            self.close("head")
         if not self.unseen:
             plain = html.unescape(raw) if "&" in raw else raw
             self.parts.append(plain)
