@@ -216,3 +216,18 @@ def test_halves_of_a_slab_end_no_word(monkeypatch):
         found.add(0, "x" * shift + "again and " * 100 + "x" * 2000 + "again and" * 100)
         found.flush()
         assert (0, 0) not in found.found or shift == 1
+
+
+def test_passage_across_two_rows_is_found_in_both():
+    """Whatever band the passage falls in, and with the joining space or without."""
+    item = prose(60, 4)[:290]
+    items = decontam.Items([(1, item)], decontam.WINDOW, decontam.EDITS, decontam.SHORTEST_ITEM)
+    middle = item.index(" ", 140)
+    for shift in range(2 * items.band):
+        for lost in range(14):
+            slab = decontam.Slab(items)
+            slab.add(0, "x" * shift + " " + item[:middle])
+            slab.add(1, item[middle + lost :])
+            slab.add(2, "clean")
+            slab.flush()
+            assert set(slab.found) == {(0, 0), (1, 0)}

@@ -231,8 +231,11 @@ class Items:
                     if last < len(runs) and all(r[0] == w for r, w in zip(runs[nth:], wanted, strict=False)):
                         yield one, between.start() + run.start(), between.start() + runs[last].end()
 
-    def aligned(self, chars: np.ndarray, one: int, lowest: int, starts: np.ndarray) -> tuple[int, int]:
-        """The least edits, and where they end in the text, of the item's windows at ``starts``.
+    def aligned(
+        self, chars: np.ndarray, one: int, lowest: int, starts: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """``(edits, end in the text)`` of each alignment of the item's windows at ``starts`` that
+        keeps to the edit budget.
 
         After ``i`` characters of a window, ``cost[b]`` is for ``i + b`` characters of the text from
         the band's first place on; the alignment may begin and end anywhere in the band.
@@ -249,12 +252,12 @@ class Items:
             new = cost + (text[:, i : i + span + 1] != windows[:, i : i + 1])
             new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)
             cost = np.minimum.accumulate(new - steps, axis=1) + steps
-        window, b = np.unravel_index(np.argmin(cost), cost.shape)
-        return int(cost[window, b]), int(starts[window]) + lowest - k + width + int(b)
+        window, b = np.nonzero(cost <= k)
+        return cost[window, b], starts[window] + lowest - k + width + b
 
     def search(self, chars: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """``(item, edits, start, end)`` of a window within its edit budget, for each region with one,
-        and of the items that are compared whole.
+        """``(item, edits, start, end)`` of a window within its edit budget, for each region and each
+        part of the slab in it with one, and of the items that are compared whole.
 
         Where a text shares very many q-grams, its halves are searched, overlapping by more than a
         window with its edits.
@@ -273,6 +276,8 @@ class Items:
             _, once = np.unique(part[places] * len(self.ids) + items, return_index=True)
             for one, start in zip(items[once].tolist(), places[once].tolist(), strict=True):
                 yield one, 0, start, start + len(self.chars[one])
+        inside = np.concatenate([[False], chars < CUT, [False]])
+        heads, tails = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
         for one, lowest, firsts in self.regions(*found):
             width, last = int(self.window[one]), len(self.chars[one]) - int(self.window[one])
             # The window of a region may start before the first q-gram that it shares.
@@ -281,11 +286,23 @@ class Items:
             np.add.at(near, np.clip(firsts - slack, 0, last), 1)
             np.add.at(near, np.minimum(firsts, last) + 1, -1)
             every, likely = np.flatnonzero(np.cumsum(near)[:-1]), np.minimum(firsts[:1], last)
+            k, done = int(self.edits[one]), np.zeros(0, np.int64)
             for starts in (likely, *(every[at : at + 256] for at in range(0, len(every), 256))):
-                edits, end = self.aligned(chars, one, lowest, starts)
-                if edits <= self.edits[one]:
-                    yield one, edits, end - width, end
-                    break
+                if len(done):
+                    # On to the windows whose text may lie in other parts.
+                    low = np.searchsorted(tails, starts + lowest + width - 2 * k)
+                    high = np.searchsorted(heads, starts + lowest + 2 * self.band + 2 * k, side="right")
+                    found_in = np.searchsorted(done, high) - np.searchsorted(done, low)
+                    starts = starts[high - low > found_in]
+                    if not len(starts):
+                        continue
+                edits, ends = self.aligned(chars, one, lowest, starts)
+                nth = np.searchsorted(heads, ends - 1, side="right") - 1
+                order = np.argsort(edits, kind="stable")
+                parts, best = np.unique(nth[order], return_index=True)
+                for at in order[best[~np.isin(parts, done)]]:
+                    yield one, int(edits[at]), int(ends[at]) - width, int(ends[at])
+                done = np.union1d(done, parts)
 
 
 class Slab:
