@@ -231,3 +231,18 @@ def test_passage_across_two_rows_is_found_in_both():
             slab.add(2, "clean")
             slab.flush()
             assert set(slab.found) == {(0, 0), (1, 0)}
+
+
+def test_repeated_items_and_bounded_blocks(spark, monkeypatch):
+    sent, searched_before = [], decontam._searched
+
+    def noted(texts, block, *options):
+        sent.append(block)
+        return searched_before(texts, block, *options)
+
+    monkeypatch.setattr(decontam, "_searched", noted)
+    items = [ITEMS[0]] * 50 + [ITEMS[1], (6, ITEMS[1][1]), ITEMS[4]]
+    rows = [(1, f"{ITEMS[0][1]} and {ITEMS[1][1]}"), (2, ITEMS[4][1] + " end")]
+    assert pairs(searched(spark, rows, items, block_chars=600)) == {(1, 1), (1, 2), (1, 6), (2, 5)}
+    assert sorted(i for block in sent for i, _ in block) == [1, 2, 5, 6]
+    assert len(sent) > 1 and all(sum(len(t) for _, t in block) <= 600 for block in sent)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.tables import free_names
+from tidemart.llm.tables import free_names, stored
 
 Q = 8
 WINDOW = 120
@@ -390,6 +390,19 @@ def _searched(
     )
 
 
+def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of at most so many characters, or of one longer item."""
+    block, size = [], 0
+    for item_id, text in items.toLocalIterator():
+        if block and size + len(text) > block_chars:
+            yield block
+            block, size = [], 0
+        block.append((item_id, text))
+        size += len(text)
+    if block:
+        yield block
+
+
 def leaks(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -422,12 +435,14 @@ def leaks(
     )
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
     items = items.where("text is not null")
-    chars = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    n_blocks = -(-chars // block_chars) or 1
-    nth = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    # A block is bounded by its characters; its items reach the tasks as one broadcast.
-    blocks = ([tuple(r) for r in items.where(nth == n).collect()] for n in range(n_blocks))
-    found = reduce(DataFrame.unionByName, [_searched(texts, b, window, edits, shortest) for b in blocks])
+    items, found, block = items.distinct(), [], None
+    # A block's items reach the tasks as one broadcast. Where another follows, its pass is written first.
+    for following in _blocks(items, block_chars):
+        if block is not None:
+            found.append(stored(_searched(texts, block, window, edits, shortest), "leaks"))
+        block = following
+    found.append(_searched(texts, block or [], window, edits, shortest))
+    found = reduce(DataFrame.unionByName, found)
     best = F.min(F.struct("edits", "start", "end")).alias("best")
     return found.groupBy("doc_id", "text_hash", "item_id").agg(best).select(
         "doc_id", "text_hash", "item_id", "best.edits", "best.start", "best.end"
