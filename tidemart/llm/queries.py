@@ -13,6 +13,7 @@ from tidemart.llm import (
     chat,
     chunks,
     decontam,
+    filter_audit,
     html_extract,
     line_dedup,
     quality,
@@ -120,6 +121,10 @@ def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.likeness(_table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
@@ -131,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "op8_html": op8_html,
     "op9_chat": op9_chat,
     "op10_chunks": op10_chunks,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 _WHITE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
@@ -176,4 +182,64 @@ ORACLE_SQL: dict[str, str] = {
                    + {len(chat.OPEN + chat.BETWEEN + chat.CLOSE)})::bigint as formatted_chars
         from turns group by conv_id
     """,
+    "op12_filter_audit": r"""
+        with recursive texts as (
+            select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents
+        ),
+        worded as (
+            select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+                   min(doc_id) over (partition by text) as first_id
+            from texts
+        ),
+        marked as (
+            select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic
+            from labels group by doc_id
+        ),
+        failing as (
+            select w.part,
+                   case when len(words) < 200 then 'A' else '' end
+                   || case when 100 * len(list_distinct(words)) < 50 * len(words) then 'B' else '' end
+                   || case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text)
+                           then 'C' else '' end
+                   || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+                   || case when first_id < w.doc_id then 'E' else '' end as fails,
+                   coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+            from worded w left join marked m on w.doc_id = m.doc_id
+        ),
+        classes as (
+            select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic
+            from failing group by part, fails
+        ),
+        letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as letter),
+        grown as (
+            select letter as filter_order from letters
+            union all
+            select filter_order || letter from grown, letters
+            where length(filter_order) < 5 and not contains(filter_order, letter)
+        ),
+        steps as (
+            select filter_order, step, filter_order[step] as letter, filter_order[1:step - 1] as before
+            from (select filter_order from grown where length(filter_order) = 5),
+                 (select unnest([1, 2, 3, 4, 5]) as step)
+        ),
+        met as (
+            select part, filter_order, step, letter, n, good, toxic, fails = letter as only_this,
+                   contains(fails, letter) as hit,
+                   length(translate(fails, before, '')) < length(fails) as gone
+            from classes, steps
+        ),
+        counted as (
+            select part, filter_order, step, letter,
+                   coalesce(sum(n) filter (not hit and not gone), 0)::bigint as kept,
+                   coalesce(sum(n) filter (hit and not gone), 0)::bigint as removed,
+                   coalesce(sum(n) filter (hit and gone), 0)::bigint as redundant,
+                   coalesce(sum(n) filter (only_this), 0)::bigint as unique_fails,
+                   coalesce(sum(good) filter (hit and not gone), 0)::bigint as good_lost,
+                   coalesce(sum(toxic) filter (hit and not gone), 0)::bigint as toxic_lost
+            from met group by part, filter_order, step, letter
+        )
+        select part, filter_order, step::int as step, kept, removed, redundant, unique_fails,
+               good_lost, toxic_lost, sum(removed) over (partition by part, letter)::bigint as shapley
+        from counted
+    """,
 }
