@@ -12,6 +12,7 @@ from tidemart.llm import (
     bpe,
     chat,
     chunks,
+    collocations,
     decontam,
     filter_audit,
     html_extract,
@@ -125,6 +126,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
@@ -137,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "op9_chat": op9_chat,
     "op10_chunks": op10_chunks,
     "op12_filter_audit": op12_filter_audit,
+    "op13_collocations": op13_collocations,
 }
 
 _WHITE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
@@ -242,4 +248,53 @@ ORACLE_SQL: dict[str, str] = {
                good_lost, toxic_lost, sum(removed) over (partition by part, letter)::bigint as shapley
         from counted
     """,
+    "op13_collocations": r"""
+        with pieces as (
+            select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) as piece
+            from documents
+        ),
+        worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+        starts as (select lang, w, unnest(range(1, len(w) + 1)) as i from worded),
+        occurrences as (
+            select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+            from starts, (select unnest([1, 2, 3, 4]) as k) where i + k - 1 <= len(w)
+        ),
+        counts as (
+            select lang, k, phrase, count(*)::hugeint as f from occurrences group by lang, k, phrase
+        ),
+        totals as (select lang, sum(f)::bigint as n from counts where k = 1 group by lang),
+        frequent as (select * from counts where f >= 30),
+        candidates as (select *, string_split(phrase, ' ') as w from frequent where k > 1),
+        parted as (
+            select lang, phrase, f as a, cut, array_to_string(w[1:cut], ' ') as first_part,
+                   array_to_string(w[cut + 1:k], ' ') as rest
+            from candidates, (select unnest([1, 2, 3]) as cut) where cut < k
+        ),
+        cuts as (
+            select p.*, x.f as l, y.f as r, (2000000 * a) // (x.f + y.f) as score
+            from parted p
+            join frequent x on x.lang = p.lang and x.phrase = p.first_part
+            join frequent y on y.lang = p.lang and y.phrase = p.rest
+        ),
+        best as (
+            select * from cuts
+            qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+        ),
+        covered as (
+            select s.lang, s.phrase
+            from candidates s, candidates b
+            where s.lang = b.lang and s.k < b.k and contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')
+              and 100 * b.f >= 80 * s.f
+        ),
+        ranked as (
+            select b.*, row_number() over (
+                partition by lang order by score desc, a desc, encode(phrase)) as rank
+            from best b anti join covered c on b.lang = c.lang and b.phrase = c.phrase
+        )
+        select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n,
+               score::bigint as score
+        from ranked join totals using (lang) where rank <= 2000
+    """,
 }
