@@ -1,0 +1,144 @@
+import hashlib
+import random
+import re
+
+import pytest
+from llm.helpers import AWKWARD, EXTRA, LONG, awkward, prose
+from parity import compare, connect
+
+from tidemart.llm import queries, warc
+
+
+def walked(data):
+    """The records of an archive read from its start, one after the other, and where that ends."""
+    at, out = 0, []
+    while True:
+        head = re.compile(rb"WARC/1\.[01]\r\n(.*?)\r\n\r\n", re.S).match(data, at)
+        length = head and re.search(rb"(?i)(?:^|\r\n)content-length:[ \t]*(\d+)", head[1])
+        if not length or (at and data[at - 1 : at] != b"\n"):
+            return out, at
+        start, end = head.end(), head.end() + int(length[1])
+        if end > len(data):
+            return out, at
+        out.append((head[1], data[start:end]))
+        at = end + 4
+
+
+@pytest.fixture(params=[700, 1 << 20])
+def split_bytes(spark, request):
+    """Splits of a few records, and of whole files."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, request.param)
+    yield request.param
+    spark.conf.set(key, before)
+
+
+def expected(rows):
+    firsts = {}
+    for page_id, text in rows:
+        if page_id is not None:
+            firsts[text or ""] = min(firsts.get(text or "", page_id), page_id)
+    out = []
+    for page_id, text in rows:
+        data = (text or "").encode()
+        first = firsts.get(text or "") if len(data) >= 100 else page_id
+        revisit = first is not None and first != page_id
+        kind = "revisit" if revisit else "response"
+        out.append((page_id, len(data), hashlib.sha256(data).hexdigest(), kind, first if revisit else None))
+    return sorted(out, key=str)
+
+
+def round_trip(spark, rows, path):
+    schema = "page_id long, html string, url string, " + ", ".join(f"{name} string" for name in [*EXTRA, "value", "type"])
+    pages = spark.createDataFrame([(*r, f"http://h/{r[0]}\r\n\r\nWARC/1.1\r\n", *EXTRA, "v", "t") for r in rows], schema)
+    warc.write_archives(pages.repartition(3), path)
+    return warc.read_archives(spark, path)
+
+
+NESTED = f"WARC/1.1\r\nWARC-Type: response\r\nX-Page-ID: 77\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+TRICKY = [
+    (40, "x\n" + NESTED),
+    (41, "\n" + NESTED * 20 + "end"),
+    (42, "\r\n\r\n" + NESTED),
+    (43, prose(30, 3) + "\r\n"),
+    (44, prose(30, 4) + "\r\n\r\n"),
+    (45, "\nWARC/1.\nWARC/1.1\r\n" * 60),
+    (46, "a\nWARC/1.1\r\nContent-Length: 99999999999\r\n\r\n" + prose(200, 5)),
+    (47, "\nWARC/1.0\r\nContent-Length: 4\r\n\r\n"),
+    (48, "a\nWARC/1.1\r\nContent-Length: x\r\n\r\n"),
+    (49, "\nWARC/1.1\r\nContent-Length: 0\r\n\r\n" + "\r\n\r\nWARC/1.1\r\nContent-Length: 0\r\n\r\n" * 30),
+    (50, "\n"),
+    (51, "WARC/1.1"),
+    (52, "﻿" + prose(40, 6)),
+    *((60 + i, prose(60, 7) + "\n" + NESTED) for i in range(4)),
+    *((70 + i, prose(60, 70 + i)) for i in range(20)),
+]
+
+
+def test_query_against_sql(spark, sf_dir):
+    con = connect(sf_dir)
+    got = queries.QUERIES["op11_warc"](spark, sf_dir)
+    assert compare(got, con, queries.ORACLE_SQL["op11_warc"]) == []
+
+
+def test_awkward_rows_and_version_lines_in_payloads(spark, tmp_path, split_bytes):
+    rows = [*AWKWARD, *TRICKY, (80, LONG), (None, LONG), (81, prose(20, 1)[:99]), (82, prose(20, 1)[:99]), (83, "é" * 50), (84, "é" * 50)]
+    records = round_trip(spark, rows, str(tmp_path / "a"))
+    got = sorted(map(tuple, warc.resolved(records).collect()), key=str)
+    assert got == expected(rows)
+    assert warc.unread(spark, str(tmp_path / "a")).count() == 0
+    texts = {(r.page_id, bytes(r.payload).decode()) for r in records.where("type = 'response'").collect()}
+    assert texts == {(i, t or "") for i, t in rows if (i, "response") in {(g[0], g[3]) for g in got}} - {
+        (g, t or "") for g, t in rows if any(e[0] == g and e[1] == len((t or "").encode()) and e[3] == "revisit" for e in got)
+    }
+    assert {r.url for r in records.where("page_id = 44").collect()} == {"http://h/44%0D%0A%0D%0AWARC/1.1%0D%0A"}
+
+
+def archive(seed):
+    """Bytes with records, parts of records and version lines at random."""
+    rng, out = random.Random(seed), b""
+    inner = [NESTED.encode(), b"\nWARC/1.1\r\n", b"\r\n\r\n", b"\n", b"WARC/1.", prose(9, seed).encode(), b"\r\nContent-Length: 7\r\n\r\n"]
+    for n in range(rng.randrange(1, 40)):
+        body = b"".join(rng.choice(inner) for _ in range(rng.randrange(6)))
+        size = len(body) + (rng.choice([0, 0, 0, 11, 400]) if seed % 3 == 0 and n > 9 else 0)
+        out += f"WARC/1.{n % 2}\r\nX-Page-ID: {n}\r\nContent-Length: {size}\r\n\r\n".encode() + body + b"\r\n\r\n"
+    return out[: len(out) - rng.choice([0, 0, 4, 9])] + rng.choice([b"", b"", b"\n", NESTED.encode()])
+
+
+def test_random_archives_against_a_walk(spark, tmp_path, split_bytes):
+    want, broken = [], {}
+    for seed in range(24):
+        data = archive(seed)
+        (tmp_path / f"{seed:02}.warc").write_bytes(data)
+        records, end = walked(data)
+        want += [(f"{seed:02}.warc", body) for _, body in records]
+        if end < len(data):
+            broken[f"{seed:02}.warc"] = end
+    (tmp_path / "empty.warc").write_bytes(b"")
+    (tmp_path / "other.warc").write_bytes(b"no archive\nWARC/1.1\r\nContent-Length: 0\r\n\r\n\r\n\r\n")
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted((r.file.rsplit("/")[-1], bytes(r.payload)) for r in got) == sorted(want)
+    stops = {r.file.rsplit("/")[-1]: r.at for r in warc.unread(spark, str(tmp_path)).collect()}
+    assert stops == broken | {"other.warc": 0}
+
+
+def test_one_archive_in_very_many_splits(spark, tmp_path, split_bytes):
+    data = b"".join(b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(x), x) for x in (prose(n % 40, n).encode() for n in range(600)))
+    (tmp_path / "a.warc").write_bytes(data)
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted(bytes(r.payload) for r in got) == sorted(body for _, body in walked(data)[0]) and len(got) == 600
+
+
+def test_empty_table(spark, tmp_path):
+    warc.write_archives(awkward(spark, [], "page_id").selectExpr("*", "text as html", "text as url"), str(tmp_path / "a"))
+    assert warc.resolved(warc.read_archives(spark, str(tmp_path / "a"))).count() == 0
+
+
+def test_revisit_of_an_unknown_record(spark, tmp_path):
+    text = "WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Refers-To: <urn:x>\r\nX-Page-ID: 3\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    info = "WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
+    (tmp_path / "a.warc").write_text(info + text, newline="")
+    records = warc.read_archives(spark, str(tmp_path))
+    assert records.count() == 2
+    assert [tuple(r) for r in warc.resolved(records).collect()] == [(3, None, None, "revisit", None)]

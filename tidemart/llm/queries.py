@@ -21,7 +21,9 @@ from tidemart.llm import (
     secret_scan,
     sharding,
     simhash,
+    warc,
 )
+from tidemart.session import scratch_path
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -122,6 +124,12 @@ def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.likeness(_table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    return warc.resolved(warc.read_archives(spark, path))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -141,6 +149,7 @@ QUERIES: dict[str, Query] = {
     "op8_html": op8_html,
     "op9_chat": op9_chat,
     "op10_chunks": op10_chunks,
+    "op11_warc": op11_warc,
     "op12_filter_audit": op12_filter_audit,
     "op13_collocations": op13_collocations,
 }
@@ -188,6 +197,16 @@ ORACLE_SQL: dict[str, str] = {
                    + {len(chat.OPEN + chat.BETWEEN + chat.CLOSE)})::bigint as formatted_chars
         from turns group by conv_id
     """,
+    "op11_warc": """
+        with payloads as (
+            select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as size from pages
+        ),
+        firsts as (select *, min(page_id) over (partition by payload) as first_id from payloads)
+        select page_id, size::bigint as payload_bytes, sha256(payload) as payload_digest,
+               case when size >= 100 and first_id <> page_id then 'revisit' else 'response' end as record_type,
+               case when size >= 100 and first_id <> page_id then first_id end as refers_to
+        from firsts
+    """,
     "op12_filter_audit": r"""
         with recursive texts as (
             select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents
