@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections import ChainMap
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from datetime import date, datetime
+from functools import lru_cache
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ from tidemart.plans.incremental import (
     with_order_month,
 )
 from tidemart.plans.models import MODELS, REPORTS, Models
+from tidemart.plans.observation import Observed
 from tidemart.session import scratch_path
 from tidemart.sources.driver_tables import (
     BASE_SCHEMAS,
@@ -36,17 +39,16 @@ from tidemart.sources.driver_tables import (
 from tidemart.streaming.orders import order_stream
 from tidemart.streaming.sessions import read_parts, session_stream, sessions_from_parts
 
-# The operators over documents, and the pipeline of them, are optional.
-try:
+# The operators over documents, and the pipeline of them, are optional: only their absence is passed over.
+LLM_QUERIES, LLM_SQL = {}, {}
+if find_spec("tidemart.llm") and find_spec("corpus_pipeline"):
     from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
     from corpus_pipeline import run as run_pipeline
-    from tidemart.llm.queries import ORACLE_SQL as LLM_SQL
-    from tidemart.llm.queries import QUERIES as LLM_QUERIES
-except ImportError:
-    LLM_QUERIES, LLM_SQL = {}, {}
-else:
-    LLM_QUERIES = {**LLM_QUERIES, "pipeline": run_pipeline}
-    LLM_SQL = {**LLM_SQL, "pipeline": PIPELINE_SQL} if PIPELINE_SQL else LLM_SQL
+    from tidemart.llm.queries import ORACLE_SQL as DOCUMENT_SQL
+    from tidemart.llm.queries import QUERIES as DOCUMENT_QUERIES
+
+    LLM_QUERIES = {**DOCUMENT_QUERIES, "pipeline": run_pipeline}
+    LLM_SQL = {**DOCUMENT_SQL, "pipeline": PIPELINE_SQL} if PIPELINE_SQL else DOCUMENT_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,28 +142,31 @@ def _minor_units(m: Models) -> DataFrame:
     )
 
 
-def _over_stored(check: Callable[[Models], DataFrame], tables: Iterable[str]) -> Query:
-    """A check over tables whose common inputs are built once for it."""
-    names = set(tables)
-    return lambda spark, sf_dir: check(
-        warehouse.with_shared_inputs(_models(spark, sf_dir), scratch_path(spark, "checked"), names)
-    )
+@lru_cache(maxsize=4)
+def checked_build(spark: SparkSession, sf_dir: str) -> tuple[Models, Observed]:
+    """All tables of a folder, written once per session for the checks, and what their writes counted."""
+    observed = Observed()
+    models, root = _models(spark, sf_dir), scratch_path(spark, "checked")
+    return warehouse.build(models, root, names=warehouse.CHECKED, observed=observed), observed
+
 
+def _observed(check: str) -> Query:
+    """A check of single rows: counted by the build's own writes."""
+    return lambda spark, sf_dir: checked_build(spark, sf_dir)[1].failures(spark, check)
 
-def _pairs(contract: Iterable[tuple[str, str]]) -> list[str]:
-    return [table for table, _ in contract]
+
+def _over_build(check: Callable[[Models], DataFrame]) -> Query:
+    """A check of keys over the tables of the build."""
+    return lambda spark, sf_dir: check(checked_build(spark, sf_dir)[0])
 
 
 STORED_CHECKS: dict[str, Query] = {
-    "dq_unique": _over_stored(quality.unique, contracts.UNIQUE),
-    "dq_not_null": _over_stored(quality.not_null, contracts.NOT_NULL),
-    "dq_accepted_values": _over_stored(quality.accepted_values, _pairs(contracts.ACCEPTED_VALUES)),
-    "dq_relationships": _over_stored(
-        quality.relationships,
-        _pairs([*contracts.RELATIONSHIPS, *contracts.RELATIONSHIPS.values()]),
-    ),
-    "dq_unique_combination": _over_stored(quality.unique_combination, contracts.UNIQUE_COMBINATIONS),
-    "dq_between": _over_stored(quality.between, _pairs(contracts.BETWEEN)),
+    "dq_unique": _over_build(quality.unique),
+    "dq_not_null": _observed("dq_not_null"),
+    "dq_accepted_values": _observed("dq_accepted_values"),
+    "dq_relationships": _over_build(quality.relationships),
+    "dq_unique_combination": _over_build(quality.unique_combination),
+    "dq_between": _observed("dq_between"),
 }
 
 CHECKS: dict[str, Callable[[Models], DataFrame]] = {

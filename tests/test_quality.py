@@ -1,8 +1,11 @@
 from datetime import datetime
 
+import pytest
 from fixtures import models, order, rows
+from pyspark.sql import functions as F
 
-from tidemart.plans import quality
+from tidemart.plans import quality, warehouse
+from tidemart.plans.observation import Observed
 
 
 def test_keys_nulls_values_and_ranges(spark):
@@ -67,3 +70,43 @@ def test_business_rules_return_the_offending_rows(spark):
     assert rows(quality.incomplete_first_months(m["customer_cohort_retention"])) == []
     counted = quality.offending(quality.future_orders(fct, m.settings.as_of), "fct_orders", "ordered_at")
     assert rows(counted) == [("fct_orders", "ordered_at", 1, "fail")]
+
+
+def test_row_rules_are_counted_while_the_tables_are_written(spark, tmp_path):
+    """The same failures as from scans, with no table read by the checks themselves."""
+    m = models(
+        spark,
+        orders=[
+            order("o1", None, "2026-02-01 10:00:00", 10, financial_status="odd"),
+            order("o2", "c1", None, 10),
+            order("o3", "c1", "2026-03-01 10:00:00", 10),
+        ],
+        countries=[{"country_code": "US"}, {"country_code": None}],
+    )
+    observed = Observed()
+    built = warehouse.build(m, str(tmp_path), names=warehouse.CHECKED, observed=observed)
+    for name, scan in (
+        ("dq_not_null", quality.not_null),
+        ("dq_accepted_values", quality.accepted_values),
+        ("dq_between", quality.between),
+    ):
+        counted = observed.failures(spark, name)
+        assert rows(counted) == rows(scan(built))
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" not in plan and "Exchange" not in plan
+    failing = {(t, c) for t, c, n, _ in rows(observed.failures(spark, "dq_not_null")) if n}
+    assert {("raw_orders", "customer_id"), ("raw_countries", "country_code"), ("stg_orders", "ordered_at")} <= failing
+    assert rows(observed.failures(spark, "dq_accepted_values"), "table_name", "failures")[0][1] is not None
+    assert rows(built["fct_orders"]) == rows(m["fct_orders"])
+
+
+def test_a_table_that_was_not_watched_raises(spark):
+    rules = {"check": [("t", "id", F.col("id").isNull())]}
+    observed = Observed(rules)
+    with pytest.raises(ValueError, match="not watched"):
+        observed.failures(spark, "check")
+    people = spark.createDataFrame([(1,), (None,)], "id int")
+    observed.watching("t", people).write.format("noop").mode("overwrite").save()
+    assert rows(observed.failures(spark, "check")) == [("t", "id", 1, "fail")]
+    observed.watching("t", people.limit(0)).write.format("noop").mode("overwrite").save()
+    assert rows(observed.failures(spark, "check")) == [("t", "id", 0, "pass")]

@@ -95,14 +95,13 @@ def latest_per_key(rows: DataFrame, key: Sequence[str], version: str) -> DataFra
     return rows.groupBy(*key).agg(newest).select("row.*")
 
 
-def write_partitioned(rows: DataFrame, path: str, partition: str) -> None:
-    """Write all rows by ``partition`` in files of a sensible size, replacing what is there.
+def balanced(rows: DataFrame, partition: str) -> DataFrame:
+    """Rows dealt out by ``partition`` for files of a sensible size.
 
     The rebalance lets adaptive execution merge small partitions and split one that holds
     much of the data.
     """
-    balanced = rows.hint("rebalance", F.col(partition))
-    balanced.write.mode("overwrite").partitionBy(partition).parquet(path)
+    return rows.hint("rebalance", F.col(partition))
 
 
 # What stands for a null value, which is a partition too, and its digest.

@@ -18,13 +18,15 @@ from tidemart.functions.columns import DIRECT_SOURCE, count_if
 from tidemart.plans import contracts
 
 Tables = Mapping[str, DataFrame]
+# A table, a column, and what is true of a row that breaks the rule.
+Rule = tuple[str, str, Column]
 
 
 def _union(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _with_status(results: DataFrame) -> DataFrame:
+def with_status(results: DataFrame) -> DataFrame:
     return results.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
@@ -40,36 +42,51 @@ def _count_failures(
     return counts.select(F.lit(table).alias("table_name"), F.inline(F.array(*rows)))
 
 
-def _by_table(failing: Iterable[tuple[str, str, Column]], tables: Tables) -> DataFrame:
+def _by_table(failing: Iterable[Rule], tables: Tables) -> DataFrame:
     grouped: dict[str, list[tuple[str, Column]]] = {}
     for table, column, condition in failing:
         grouped.setdefault(table, []).append((column, condition))
-    return _with_status(
+    return with_status(
         _union(_count_failures(tables[t], t, conditions) for t, conditions in grouped.items())
     )
 
 
-def not_null(tables: Tables, contract=contracts.NOT_NULL) -> DataFrame:
-    return _by_table(
-        ((t, c, F.col(c).isNull()) for t, columns in contract.items() for c in columns), tables
-    )
+def not_null_rules(contract=contracts.NOT_NULL) -> list[Rule]:
+    return [(t, c, F.col(c).isNull()) for t, columns in contract.items() for c in columns]
 
 
-def accepted_values(tables: Tables, contract=contracts.ACCEPTED_VALUES) -> DataFrame:
-    return _by_table(
-        ((t, c, ~F.col(c).isin(*values)) for (t, c), values in contract.items()), tables
-    )
+def accepted_values_rules(contract=contracts.ACCEPTED_VALUES) -> list[Rule]:
+    return [(t, c, ~F.col(c).isin(*values)) for (t, c), values in contract.items()]
 
 
-def between(tables: Tables, contract=contracts.BETWEEN) -> DataFrame:
+def between_rules(contract=contracts.BETWEEN) -> list[Rule]:
     def outside(column: str, low, high) -> Column:
         below = F.col(column) < low if low is not None else F.lit(False)
         above = F.col(column) > high if high is not None else F.lit(False)
         return below | above
 
-    return _by_table(
-        ((t, c, outside(c, low, high)) for (t, c), (low, high) in contract.items()), tables
-    )
+    return [(t, c, outside(c, low, high)) for (t, c), (low, high) in contract.items()]
+
+
+def row_rules() -> dict[str, list[Rule]]:
+    """The rules that look at one row at a time, by check."""
+    return {
+        "dq_not_null": not_null_rules(),
+        "dq_accepted_values": accepted_values_rules(),
+        "dq_between": between_rules(),
+    }
+
+
+def not_null(tables: Tables, contract=contracts.NOT_NULL) -> DataFrame:
+    return _by_table(not_null_rules(contract), tables)
+
+
+def accepted_values(tables: Tables, contract=contracts.ACCEPTED_VALUES) -> DataFrame:
+    return _by_table(accepted_values_rules(contract), tables)
+
+
+def between(tables: Tables, contract=contracts.BETWEEN) -> DataFrame:
+    return _by_table(between_rules(contract), tables)
 
 
 def _stacked(parts: Iterable[DataFrame]) -> list[DataFrame]:
@@ -110,7 +127,7 @@ def _per_rule(failures: DataFrame, names: Sequence[tuple[str, str]]) -> DataFram
         [(i, *name) for i, name in enumerate(names)], "rule int, table_name string, column_name string"
     )
     found = rules.join(failures, "rule", "left")
-    return _with_status(
+    return with_status(
         found.select(
             "table_name", "column_name", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")
         )
@@ -209,7 +226,7 @@ def incomplete_first_months(retention: DataFrame) -> DataFrame:
 
 def offending(rows: DataFrame, table: str, column: str) -> DataFrame:
     """Count of offending rows in the common result shape."""
-    return _with_status(
+    return with_status(
         rows.agg(F.count(F.lit(1)).alias("failures")).select(
             F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "failures"
         )

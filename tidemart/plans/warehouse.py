@@ -6,16 +6,17 @@ first, and everything after reads them back.
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemart.functions.columns import month_start
-from tidemart.operators.upsert import write_partitioned
+from tidemart.operators.upsert import balanced
 from tidemart.plans.documentation import TABLE_COMMENTS, documented
 from tidemart.plans.models import MARTS, STAGING, Models
+from tidemart.plans.observation import Observed
 from tidemart.sources.raw import ORDER_MONTH
 
 # Schemas are used verbatim as folder or database names.
@@ -43,6 +44,8 @@ SCHEMA_OF |= dict.fromkeys(("int_orders_joined", "int_sessions_attributed"), "in
 SHARED = ("fct_orders", "int_customer_order_history", "int_unified_spend")
 # Written side by side: they read the shared tables and the feeds only.
 INDEPENDENT = tuple(name for name in MARTS if name not in SHARED)
+# What checks cover besides.
+CHECKED = (*INDEPENDENT, "int_orders_joined", "int_sessions_attributed")
 # Small marts leave cores idle, so a few are built at a time.
 THREADS = 4
 
@@ -90,52 +93,55 @@ def _build(
         return reading({**shared, **dict(zip(names, built, strict=True))})
 
 
-# Tables that are derived from each shared one, itself included.
-_READERS: dict[str, frozenset[str]] = {
-    "fct_orders": frozenset(MARTS) - {"dim_dates", "dim_products"}
-    | {"int_customer_order_history", "int_sessions_attributed"},
-    "int_customer_order_history": frozenset({"int_customer_order_history", "dim_customers", "customer_rfm"}),
-    "int_unified_spend": frozenset({"int_unified_spend", "fct_marketing_performance", "fct_blended_roas"}),
-}
-
+def _monthly(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(ORDER_MONTH, month_start("order_date"))
 
-def with_shared_inputs(models: Models, root: str, names: Iterable[str]) -> Models:
-    """Models in which what several of ``names`` derive from is stored below ``root``.
 
-    Orders are stored as ``economics``, without customer attributes. Meant for reading each of
-    ``names`` once or twice, as checks do; ``build`` stores the tables themselves.
-    """
-    wanted, stored = frozenset(names), dict(models.stored)
-    for name in SHARED:
-        if len(wanted & _READERS[name]) > 1:
-            reading = Models(models.spark, models.raw, models.settings, stored, models.extra_spend)
-            path = table_path(root, name)
-            (reading.economics if name == "fct_orders" else reading[name]).write.parquet(path)
-            stored[name] = models.spark.read.parquet(path)
+def _staged(
+    models: Models, store: Callable[[str, DataFrame], DataFrame], observed: Observed | None = None
+) -> Models:
+    """Store the staging layer with ``store``; each feed is watched by the write of what is staged from it."""
+    stored = dict(models.stored)
+    for name in STAGING:
+        feed, raw = name.removeprefix("stg_"), models.raw
+        if observed and feed in raw:
+            raw = ChainMap({feed: observed.watching(f"raw_{feed}", raw[feed])}, raw)
+        staged = Models(models.spark, raw, models.settings, stored, models.extra_spend)
+        stored[name] = store(name, documented(staged[name]))
     return Models(models.spark, models.raw, models.settings, stored, models.extra_spend)
 
 
-def _monthly(rows: DataFrame) -> DataFrame:
-    return rows.withColumn(ORDER_MONTH, month_start("order_date"))
-
-
 def build(
-    models: Models, root: str, threads: int = THREADS, names: Iterable[str] = INDEPENDENT
+    models: Models,
+    root: str,
+    threads: int = THREADS,
+    names: Iterable[str] = INDEPENDENT,
+    observed: Observed | None = None,
 ) -> Models:
     """Write every mart as Parquet below ``root``; returns models that read the stored copies.
 
-    ``names`` are the tables to write besides the shared ones, if not all marts.
+    ``names`` are the tables to write besides the shared ones, if not all marts. With ``observed`` the
+    staging layer is written first, and all writes count the rows that break their table's rules.
     """
 
     def store(name: str, rows: DataFrame) -> DataFrame:
         path = table_path(root, name)
         if name in MONTHLY:
-            write_partitioned(_monthly(rows), path, ORDER_MONTH)
-        else:
-            rows.write.mode("overwrite").parquet(path)
-        return read_mart(models.spark, root, name)
-
-    return _build(models, store, threads, names)
+            rows = balanced(_monthly(rows), ORDER_MONTH)
+        if observed:
+            rows = observed.watching(name, rows)
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(ORDER_MONTH) if name in MONTHLY else writer).parquet(path)
+        # An empty table by month has no file that a schema could be taken from.
+        return models.spark.read.schema(rows.schema).parquet(path).drop(ORDER_MONTH)
+
+    if not observed:
+        return _build(models, store, threads, names)
+    staged = _staged(models, store, observed)
+    raw = ChainMap({"countries": observed.watching("raw_countries", models.raw["countries"])}, models.raw)
+    watched = Models(staged.spark, raw, staged.settings, staged.stored, staged.extra_spend)
+    built = _build(watched, store, threads, names)
+    return Models(built.spark, models.raw, built.settings, built.stored, built.extra_spend)
 
 
 def build_catalog(
@@ -154,8 +160,7 @@ def build_catalog(
     def store(name: str, rows: DataFrame) -> DataFrame:
         table = f"{SCHEMA_OF[name]}.{name}"
         if name in MONTHLY:
-            monthly = _monthly(rows).hint("rebalance", F.col(ORDER_MONTH))
-            writer = monthly.write.partitionBy(ORDER_MONTH)
+            writer = balanced(_monthly(rows), ORDER_MONTH).write.partitionBy(ORDER_MONTH)
         else:
             writer = rows.write
         writer.mode("overwrite").format("parquet").saveAsTable(table)
@@ -164,13 +169,7 @@ def build_catalog(
             spark.sql(f"COMMENT ON TABLE {table} IS '{comment}'")
         return spark.table(table).drop(ORDER_MONTH)
 
-    if staging:
-        stored = dict(models.stored)
-        for name in STAGING:
-            staged = Models(spark, models.raw, models.settings, stored, models.extra_spend)
-            stored[name] = store(name, documented(staged[name]))
-        models = Models(spark, models.raw, models.settings, stored, models.extra_spend)
-    return _build(models, store, threads)
+    return _build(_staged(models, store) if staging else models, store, threads)
 
 
 def create_staging_views(models: Models) -> None:
