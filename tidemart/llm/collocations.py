@@ -35,7 +35,7 @@ COVERED_PERCENT = 80
 # Occurrences per group of subtrees; a pair with more than a quarter of them is extended.
 BUDGET = 400_000
 # Text that a task cuts into words at a time, ended at a piece's end.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 # Each filter has 2 ** FILTER_BITS bits, whatever the size of the data.
 FILTER_BITS = 25
 UNKNOWN = "und"
