@@ -18,7 +18,7 @@ from tidemart.oracle.models import MODEL_SQL
 from tidemart.oracle.quality import quality_sql
 from tidemart.functions.calendar import days_spanned
 from tidemart.functions.columns import minor_to_major
-from tidemart.operators.upsert import upsert_table
+from tidemart.operators.upsert import last_load, upsert_table
 from tidemart.plans import contracts, core, quality, staging, warehouse
 from tidemart.plans.incremental import (
     ORDER_MONTH,
@@ -28,7 +28,7 @@ from tidemart.plans.incremental import (
 )
 from tidemart.plans.models import MODELS, REPORTS, Models
 from tidemart.plans.observation import Observed
-from tidemart.session import scratch_path
+from tidemart.session import scratch_name, scratch_path
 from tidemart.sources.driver_tables import (
     BASE_SCHEMAS,
     DRIVER_SETTINGS,
@@ -57,6 +57,8 @@ EARLIER_RUN = datetime(1999, 1, 1)
 # Reference dates of the checks, set so that some rows fail.
 RULE_DATE = date(2001, 6, 30)
 FRESH_AT = datetime(2001, 12, 31, 12)
+# The month whose orders a load moves to the next one.
+MOVED_MONTH = date(1997, 3, 1)
 
 
 def _models(spark: SparkSession, sf_dir: str) -> Models:
@@ -83,11 +85,11 @@ def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         "orders": feeds["orders"].where(f"processed_at < timestamp_ntz'{EARLIER_RUN}'"),
         "refunds": feeds["refunds"].where(f"created_at < timestamp_ntz'{EARLIER_RUN}'"),
     }
-    path = scratch_path(spark, "fct_orders")
-    refresh_orders(Models(spark, ChainMap(known_then, feeds), DRIVER_SETTINGS), path)
+    table = scratch_name(spark, "fct_orders")
+    refresh_orders(Models(spark, ChainMap(known_then, feeds), DRIVER_SETTINGS), table)
     now = Models(spark, feeds, DRIVER_SETTINGS)
-    refresh_orders(now, path)
-    return stored_orders(now, path)
+    refresh_orders(now, table)
+    return stored_orders(now, table)
 
 
 def _table_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -96,10 +98,10 @@ def _table_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models, path = _models(spark, sf_dir), scratch_path(spark, "fct_orders_stream")
+    models, table = _models(spark, sf_dir), scratch_name(spark, "fct_orders_stream")
     changes = orders_feed(_table_stream(spark, sf_dir, "orders"))
-    order_stream(models, changes, path, f"{path}-progress").awaitTermination()
-    return stored_orders(models, path)
+    order_stream(models, changes, table, scratch_path(spark, "progress")).awaitTermination()
+    return stored_orders(models, table)
 
 
 def _session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,12 +116,26 @@ def _session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _grown_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order fact after two loads, the first of which lacked two columns."""
-    models, path = _models(spark, sf_dir), scratch_path(spark, "fct_orders_grown")
+    models, table = _models(spark, sf_dir), scratch_name(spark, "fct_orders_grown")
     orders, later = with_order_month(models["fct_orders"]), F.col("processed_at") >= F.lit(EARLIER_RUN)
     loads = orders.where(~later).drop("source_name", "referring_site"), orders.where(later)
     for load in loads:
-        upsert_table(load, path, ["order_id"], ORDER_MONTH, rows_move=False)
-    return stored_orders(models, path)
+        upsert_table(load, table, ["order_id"], ORDER_MONTH, rows_move=False)
+    return stored_orders(models, table)
+
+
+def _checked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and reference checks of a load of one month, whose orders still stand in the month before.
+
+    The load takes dates as fixed, so it does not look for rows that moved; its check finds them.
+    """
+    models, table = _models(spark, sf_dir), scratch_name(spark, "fct_orders_loaded")
+    upsert_table(with_order_month(models["fct_orders"]), table, ["order_id"], ORDER_MONTH)
+    of_month = F.col(ORDER_MONTH) == F.lit(MOVED_MONTH)
+    moved = spark.table(table).where(of_month).withColumn(ORDER_MONTH, F.add_months(ORDER_MONTH, 1))
+    upsert_table(moved, table, ["order_id"], ORDER_MONTH, rows_move=False)
+    references = {"customer_id": (models["dim_customers"], "customer_id")}
+    return quality.of_load(*last_load(spark, table), "fct_orders", ["order_id"], references)
 
 
 def _built(name: str) -> Query:
@@ -200,6 +216,7 @@ def queries() -> dict[str, Query]:
         "fct_orders_stream": _order_stream,
         "web_sessions_stream": _session_stream,
         "fct_orders_grown": _grown_orders,
+        "dq_load": _checked_load,
         "built_marketing_performance": _built("fct_marketing_performance"),
         "built_by_campaign": _built("rpt_by_campaign"),
         "order_minor_units": _over_models(_minor_units),

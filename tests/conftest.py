@@ -6,7 +6,7 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from tidemart.session import local_session  # noqa: E402
+from tidemart.session import local_session, scratch_name  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -26,3 +26,9 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def table(spark):
+    """The name of a catalog table that no other test uses."""
+    return scratch_name(spark, "t")

@@ -9,6 +9,7 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemart.operators import upsert
 from tidemart.plans import staging, warehouse
 from tidemart.plans.core import FCT_ORDERS_COLUMNS
 from tidemart.plans.incremental import order_rows, refresh_orders, stored_orders
@@ -18,6 +19,7 @@ from tidemart.sources.raw import (
     read_catalog_feeds,
     read_csv_feeds,
     read_parquet_feeds,
+    write_monthly_feeds,
     write_raw_tables,
 )
 from tidemart.sources.schemas import RAW_SCHEMAS, RAW_TABLE_GROUP
@@ -125,10 +127,9 @@ def test_staging_layer_in_a_schema_of_its_own(spark):
     assert rows(built["fct_orders"], "order_id") == [("o1",)]
 
 
-def test_incremental_run_replaces_and_adds(spark, tmp_path):
-    path = str(tmp_path / "fct_orders")
+def test_incremental_run_replaces_and_adds(spark, table):
     first = [order("o1", "c1", "2026-02-01 10:00:00"), order("o2", "c1", "2026-03-01 10:00:00")]
-    refresh_orders(models(spark, orders=first), path)
+    refresh_orders(models(spark, orders=first), table)
     again = [
         first[0],
         {**first[1], "processed_at": "2026-04-02 00:00:00", "financial_status": "partially_refunded"},
@@ -136,28 +137,27 @@ def test_incremental_run_replaces_and_adds(spark, tmp_path):
     ]
     refunds = [refund("o2", "2026-04-02 00:00:00")]
     m = models(spark, orders=again, refunds=refunds)
-    refresh_orders(m, path)
-    refresh_orders(m, path)
-    got = rows(stored_orders(m, path), "order_id", "refund_amount", "has_refund")
+    refresh_orders(m, table)
+    refresh_orders(m, table)
+    got = rows(stored_orders(m, table), "order_id", "refund_amount", "has_refund")
     zero = Decimal("0.00")
     assert got == [("o1", zero, False), ("o2", Decimal("10.00"), True), ("o3", zero, False)]
-    assert rows(stored_orders(m, path)) == rows(m["fct_orders"])
+    assert rows(stored_orders(m, table)) == rows(m["fct_orders"])
 
 
-def test_late_refund_is_behind_the_watermark(spark, tmp_path):
+def test_late_refund_is_behind_the_watermark(spark, table):
     """The refund's order was processed before the watermark, so the plain run misses it."""
     orders = [order("o1", "c1", "2026-02-01 10:00:00"), order("o2", "c1", "2026-03-01 10:00:00")]
-    path = str(tmp_path / "fct_orders")
-    refresh_orders(models(spark, orders=orders), path)
+    refresh_orders(models(spark, orders=orders), table)
     m = models(spark, orders=orders, refunds=[refund("o1", "2026-03-05 00:00:00")])
-    refresh_orders(m, path)
-    assert rows(stored_orders(m, path), "order_id", "refund_count") == [("o1", 0), ("o2", 0)]
-    refresh_orders(m, path, with_refunded=True)
-    assert rows(stored_orders(m, path), "order_id", "refund_count") == [("o1", 1), ("o2", 0)]
+    refresh_orders(m, table)
+    assert rows(stored_orders(m, table), "order_id", "refund_count") == [("o1", 0), ("o2", 0)]
+    refresh_orders(m, table, with_refunded=True)
+    assert rows(stored_orders(m, table), "order_id", "refund_count") == [("o1", 1), ("o2", 0)]
 
 
-def test_order_stream_converges_and_replays(spark, tmp_path):
-    source, path = tmp_path / "changes", str(tmp_path / "fct_orders")
+def test_order_stream_converges_and_replays(spark, tmp_path, table):
+    source = tmp_path / "changes"
     old = order("o1", "c1", "2026-02-01 10:00:00", 100)
     new = {**old, "processed_at": "2026-02-09 00:00:00", "financial_status": "refunded"}
     other = order("o2", "c2", "2026-02-03 10:00:00", 40)
@@ -166,14 +166,14 @@ def test_order_stream_converges_and_replays(spark, tmp_path):
     def run(name, changes):
         feed(spark, "orders", changes).coalesce(1).write.mode("append").parquet(str(source))
         stream = spark.readStream.schema(RAW_SCHEMAS["orders"]).parquet(str(source))
-        order_stream(m, stream, path, str(tmp_path / "progress")).awaitTermination()
+        order_stream(m, stream, table, str(tmp_path / "progress")).awaitTermination()
 
     run("first", [new, old])
     run("late", [old, other])
     expected = rows(m["fct_orders"])
-    assert rows(stored_orders(m, path)) == expected
-    apply_order_changes(m, feed(spark, "orders", [old, other]), path)
-    assert rows(stored_orders(m, path)) == expected
+    assert rows(stored_orders(m, table)) == expected
+    apply_order_changes(m, feed(spark, "orders", [old, other]), table)
+    assert rows(stored_orders(m, table)) == expected
 
 
 def _event(i, when, name, session, source="s"):
@@ -252,16 +252,16 @@ MOVES = [("2026-02-01 10:00:00", True), (None, True), (None, False)]
 
 
 @pytest.mark.parametrize(("before", "searched"), MOVES)
-def test_order_that_changes_its_month_has_one_row(spark, tmp_path, before, searched):
-    path, kept = str(tmp_path / "fct_orders"), order("o2", "c1", "2026-02-02 10:00:00")
+def test_order_that_changes_its_month_has_one_row(spark, table, before, searched):
+    kept = order("o2", "c1", "2026-02-02 10:00:00")
     now = {**order("o1", "c1", "2026-04-01 10:00:00"), "processed_at": "2026-04-02 00:00:00"}
     then = {**now, "created_at": before, "processed_at": "2026-03-01 00:00:00"}
     m = models(spark, orders=[now, kept])
     options = {} if searched else {"rows_move": False}
-    refresh_orders(models(spark, orders=[then, kept]), path, **options)
-    refresh_orders(m, path, **options)
-    assert rows(stored_orders(m, path)) == rows(m["fct_orders"])
-    stream, options = f"{path}-stream", {} if searched else {"dates_change": False}
+    refresh_orders(models(spark, orders=[then, kept]), table, **options)
+    refresh_orders(m, table, **options)
+    assert rows(stored_orders(m, table)) == rows(m["fct_orders"])
+    stream, options = f"{table}_stream", {} if searched else {"dates_change": False}
     for change in (then, kept, now):
         apply_order_changes(m, feed(spark, "orders", [change]), stream, **options)
     assert rows(stored_orders(m, stream)) == rows(m["fct_orders"])
@@ -276,3 +276,22 @@ def test_lines_that_landed_under_another_month_are_read(spark, tmp_path, landed,
     got = order_rows(monthly, monthly["stg_orders"], **({"dates_change": True} if change else {}))
     assert rows(got, "order_id", "refund_count") == [("o1", 1)]
     assert rows(got) == rows(m["fct_orders"])
+
+
+def test_load_touches_the_months_of_changed_orders_only(spark, tmp_path, table):
+    """By default, where dates may change: the lookup finds the old month, the others stay as they are."""
+    days = [f"2026-{month:02}-{day:02} 10:00:00" for month in range(1, 7) for day in (3, 9)]
+    orders = [order(f"o{i:02}", "c1", day) for i, day in enumerate(days)]
+    lines = [{"order_line_id": f"l{i}", "order_id": f"o{i:02}", "quantity": 1} for i in range(len(days))]
+    refresh_orders(models(spark, orders=orders, order_lines=lines), table)
+    before = upsert._state(spark, table)
+    # One order moves from January to June.
+    orders[0] = {**orders[0], "created_at": "2026-06-20 10:00:00", "processed_at": "2026-07-01 00:00:00"}
+    m = models(spark, orders=orders, order_lines=lines, refunds=[refund("o00", "2026-07-01 00:00:00")])
+    write_monthly_feeds(m.raw, str(tmp_path))
+    landed = Models(spark, {**m.raw, **read_parquet_feeds(spark, str(tmp_path), ["order_lines", "refunds"])}, m.settings)
+    refresh_orders(landed, table)
+    after = upsert._state(spark, table)
+    rewritten = {v for v in before.holds if before.holds[v] != after.holds.get(v)}
+    assert rewritten == {"2026-01-01", "2026-06-01"}
+    assert rows(stored_orders(m, table)) == rows(m["fct_orders"])

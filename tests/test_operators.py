@@ -1,5 +1,8 @@
 import random
 from collections import Counter
+from pathlib import Path
+from unittest import mock
+from urllib.parse import unquote, urlparse
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemart.operators import upsert
+from tidemart.operators.lookup import is_one_of, with_keys
 from tidemart.operators.quantiles import ntile_scores
 from tidemart.operators.skew import splittable_join
 from tidemart.operators.upsert import latest_per_key, read_table, upsert_rows, upsert_table
@@ -135,125 +139,174 @@ def test_latest_per_key(spark):
 SCHEMA = "id int, ver int, part string, v string"
 
 
-def apply(spark, path, rows, schema=SCHEMA, **options):
-    upsert_table(spark.createDataFrame(rows, schema), path, ["id"], "part", **options)
+def apply(spark, table, rows, schema=SCHEMA, **options):
+    upsert_table(spark.createDataFrame(rows, schema), table, ["id"], "part", **options)
     return sorted(
-        (r["id"], r["ver"], r["part"], r["v"]) for r in read_table(spark, path).collect()
+        (r["id"], r["ver"], r["part"], r["v"]) for r in read_table(spark, table).collect()
     )
 
 
-def test_upsert_table_replaces_adds_and_moves(spark, tmp_path):
-    path = str(tmp_path / "t")
-    apply(spark, path, [(1, 1, "a", "one"), (2, 1, "a", "two"), (3, 1, "b", "three")])
+def test_upsert_table_replaces_adds_and_moves(spark, table):
+    apply(spark, table, [(1, 1, "a", "one"), (2, 1, "a", "two"), (3, 1, "b", "three")])
     # 1 is replaced in place, 3 leaves partition b empty, 4 opens partition c.
-    got = apply(spark, path, [(1, 2, "a", "ONE"), (3, 2, "a", "THREE"), (4, 1, "c", "four")])
+    got = apply(spark, table, [(1, 2, "a", "ONE"), (3, 2, "a", "THREE"), (4, 1, "c", "four")])
     assert got == [(1, 2, "a", "ONE"), (2, 1, "a", "two"), (3, 2, "a", "THREE"), (4, 1, "c", "four")]
     # The same changes again change nothing.
-    again = apply(spark, path, [(1, 2, "a", "ONE"), (3, 2, "a", "THREE"), (4, 1, "c", "four")])
+    again = apply(spark, table, [(1, 2, "a", "ONE"), (3, 2, "a", "THREE"), (4, 1, "c", "four")])
     assert again == got
 
 
-def files(path):
-    return {p for p in path.glob("data/*/*/*.parquet")}
-
-
-def test_upsert_table_leaves_other_partitions_alone(spark, tmp_path):
-    path = tmp_path / "t"
-    apply(spark, str(path), [(1, 1, "a", "one"), (2, 1, "b", "two")])
-    before = files(path)
-    apply(spark, str(path), [(1, 2, "a", "ONE")])
-    assert before < files(path) and len(files(path) - before) == 1
-
-
-def test_folders_go_one_commit_after_they_are_replaced(spark, tmp_path):
-    path = tmp_path / "t"
-    apply(spark, str(path), [(1, 1, "a", "one")])
-    planned, first = read_table(spark, str(path)), files(path)
-    apply(spark, str(path), [(1, 2, "a", "two")])
-    assert planned.first()["v"] == "one" and first < files(path)
-    apply(spark, str(path), [(1, 3, "a", "three")])
-    assert not first & files(path) and len(list(path.glob("manifest/*.json"))) == 2
-
-
-@pytest.mark.parametrize("left_over", ["nothing", "half a manifest"])
-def test_call_that_breaks_off_before_the_commit(spark, tmp_path, monkeypatch, left_over):
-    path = tmp_path / "t"
-    old = apply(spark, str(path), [(1, 1, "m1", "a"), (2, 1, "m1", "b"), (3, 1, "m2", "c")])
-
-    def fail(*_):
-        if left_over == "half a manifest":
-            (path / "manifest" / "000000002.json.0a1b").write_text('{"number"')
-        raise OSError("lost")
+@pytest.mark.parametrize("probed", [0, 1, 500])
+def test_rows_are_found_by_lookup_and_by_join_alike(spark, table, probed):
+    first = [(i, 1, f"m{i % 7}", f"v{i}") for i in range(40)] + [(90, 1, None, "n"), (None, 1, "m1", "no id")]
+    upsert_table(spark.createDataFrame(first, SCHEMA), table, ["id"], "part")
+    changes = [(3, 2, "m6", "moved"), (5, 2, "m5", "same"), (90, 2, "m0", "dated"), (91, 1, None, "new")]
+    upsert_table(spark.createDataFrame(changes, SCHEMA), table, ["id"], "part", probed=probed)
+    got = {tuple(r) for r in read_table(spark, table).select("id", "ver", "part", "v").collect()}
+    assert got == {r for r in first if r[0] not in (3, 5, 90)} | set(changes)
+
+
+def test_lookup_reads_only_row_groups_that_may_hold_a_key(spark, table):
+    rows = spark.range(40_000).selectExpr("id * 7919 % 1000003 as id", "id % 10 as part", "uuid() as v")
+    upsert_table(rows, table, ["id"], "part")
+    stored = spark.table(table)
+    wanted = [r["id"] for r in stored.where("part = 3").limit(4).collect()]
+    keys = spark.createDataFrame([(k,) for k in [*wanted, 2_000_000]], "id long")
+    found = with_keys(stored.select("id", "part"), keys, ["id"])
+    assert sorted(r["id"] for r in found.collect()) == sorted(wanted)
+    leaves = found._jdf.queryExecution().executedPlan().collectLeaves()
+    read = sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+    # One of ten months, whose ids lie among those of the others.
+    assert read == 4_000
+    joined = with_keys(stored.select("id", "part"), keys, ["id"], probed=0)
+    assert sorted(r["id"] for r in joined.collect()) == sorted(wanted)
+
+
+def test_is_one_of(spark):
+    rows = spark.range(100)
+    for n in (0, 1, 9, 10, 11, 25, 64):
+        assert [r["id"] for r in rows.where(is_one_of("id", list(range(n)))).collect()] == list(range(n))
+
+
+def files(spark, table):
+    shown = spark.table(upsert._state(spark, table).shown)
+    return {r[0] for r in shown.select("_metadata.file_path").collect()}
+
+
+def on_disk(file):
+    return Path(unquote(urlparse(file).path)).exists()
+
+
+def test_upsert_table_leaves_other_partitions_alone(spark, table):
+    apply(spark, table, [(1, 1, "a", "one"), (2, 1, "b", "two")])
+    before = files(spark, table)
+    apply(spark, table, [(1, 2, "a", "ONE")])
+    after = files(spark, table)
+    assert len(before) == len(after) == 2 and len(before & after) == 1
+
+
+def test_partition_values_of_any_text(spark, table):
+    names = ["a b", "c/d", "e=f", "g%20h", "i'j", "k\\l", "m:n", "Ö", "", "x.y"]
+    first = [(i, 1, name, "old") for i, name in enumerate(names)]
+    apply(spark, table, first)
+    got = apply(spark, table, [(i, 2, name, "new") for i, name in enumerate(names) if i % 2])
+    # An empty text is the null partition, as in any table stored by folders.
+    want = [(i, 2 if i % 2 else 1, name or None, "new" if i % 2 else "old") for i, name in enumerate(names)]
+    assert got == want
+
+
+def test_tables_go_one_commit_after_they_are_replaced(spark, table):
+    apply(spark, table, [(1, 1, "a", "one")])
+    planned, first = read_table(spark, table), files(spark, table)
+    apply(spark, table, [(1, 2, "a", "two")])
+    assert planned.first()["v"] == "one" and all(map(on_disk, first))
+    apply(spark, table, [(1, 3, "a", "three")])
+    assert not any(map(on_disk, first))
+    assert len(upsert._behind(spark, table)) == 4
+    upsert.drop_table(spark, table)
+    assert read_table(spark, table) is None and not upsert._behind(spark, table)
+
+
+@pytest.mark.parametrize("done", ["nothing", "all but the view"])
+def test_call_that_breaks_off_before_the_commit(spark, table, monkeypatch, done):
+    old = apply(spark, table, [(1, 1, "m1", "a"), (2, 1, "m1", "b"), (3, 1, "m2", "c")])
+    commit = upsert._commit
+
+    def fail(session, name, *rest):
+        if done != "nothing":
+            broken = mock.Mock(wraps=session)
+            broken.sql = lambda text: 1 / 0 if "VIEW" in text else session.sql(text)
+            commit(broken, name, *rest)
+        raise ZeroDivisionError
 
     with monkeypatch.context() as patched:
         patched.setattr(upsert, "_commit", fail)
-        with pytest.raises(OSError):
-            apply(spark, str(path), [(1, 2, "m2", "A")])
-    stored = sorted(map(tuple, read_table(spark, str(path)).collect()))
+        with pytest.raises(ZeroDivisionError):
+            apply(spark, table, [(1, 2, "m2", "A")])
+    stored = sorted(map(tuple, read_table(spark, table).select("id", "ver", "part", "v").collect()))
     assert stored == old
-    assert apply(spark, str(path), [(1, 2, "m2", "A")]) == [(1, 2, "m2", "A"), (2, 1, "m1", "b"), (3, 1, "m2", "c")]
+    assert apply(spark, table, [(1, 2, "m2", "A")]) == [(1, 2, "m2", "A"), (2, 1, "m1", "b"), (3, 1, "m2", "c")]
+    # What the broken-off call left is gone.
+    assert len(upsert._behind(spark, table)) == 4
 
 
-def test_first_call_that_breaks_off_leaves_no_table(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
+def test_first_call_that_breaks_off_leaves_no_table(spark, table, monkeypatch):
     with monkeypatch.context() as patched:
         patched.setattr(upsert, "_commit", lambda *_: 1 / 0)
         with pytest.raises(ZeroDivisionError):
-            apply(spark, path, [(1, 1, "a", "one")])
-    assert read_table(spark, path) is None
-    assert apply(spark, path, [(1, 1, "a", "one")]) == [(1, 1, "a", "one")]
+            apply(spark, table, [(1, 1, "a", "one")])
+    assert read_table(spark, table) is None
+    assert apply(spark, table, [(1, 1, "a", "one")]) == [(1, 1, "a", "one")]
+
+
+def test_another_session_reads_the_table(spark, table):
+    got = apply(spark, table, [(1, 1, "a", "one")])
+    assert [(r["id"], r["ver"], r["part"], r["v"]) for r in spark.newSession().table(table).collect()] == got
 
 
-def test_table_may_become_and_stay_empty(spark, tmp_path):
-    path = str(tmp_path / "t")
-    assert apply(spark, path, []) == []
-    assert apply(spark, path, [(1, 1, "a", "one")]) == [(1, 1, "a", "one")]
-    assert apply(spark, path, []) == [(1, 1, "a", "one")]
+def test_table_may_become_and_stay_empty(spark, table):
+    assert apply(spark, table, []) == []
+    assert apply(spark, table, [(1, 1, "a", "one")]) == [(1, 1, "a", "one")]
+    assert apply(spark, table, []) == [(1, 1, "a", "one")]
 
 
-def test_equal_and_missing_versions(spark, tmp_path):
-    path = str(tmp_path / "t")
-    apply(spark, path, [(1, 5, "a", "one"), (2, None, "a", "two")], version="ver")
+def test_equal_and_missing_versions(spark, table):
+    apply(spark, table, [(1, 5, "a", "one"), (2, None, "a", "two")], version="ver")
     # Derived later at the same version: replaces. Null is older than any other version.
-    assert apply(spark, path, [(1, 5, "a", "ONE")], version="ver") == [(1, 5, "a", "ONE"), (2, None, "a", "two")]
+    assert apply(spark, table, [(1, 5, "a", "ONE")], version="ver") == [(1, 5, "a", "ONE"), (2, None, "a", "two")]
     changes = [(1, None, "a", "old"), (2, None, "a", "TWO"), (3, None, "b", "three")]
-    got = apply(spark, path, changes, version="ver")
+    got = apply(spark, table, changes, version="ver")
     assert got == [(1, 5, "a", "ONE"), (2, None, "a", "TWO"), (3, None, "b", "three")]
 
 
-def test_newest_value_is_kept_with_the_table(spark, tmp_path):
-    path = str(tmp_path / "t")
-    assert upsert.newest_value(spark, path) is None
+def test_newest_value_is_kept_with_the_table(spark, table):
+    assert upsert.newest_value(spark, table) is None
     for version in (3, 2):
-        apply(spark, path, [(version, version, "a", "x")], watermark="ver")
-        assert upsert.newest_value(spark, path) == "3"
+        apply(spark, table, [(version, version, "a", "x")], watermark="ver")
+        assert upsert.newest_value(spark, table) == "3"
 
 
-def test_upsert_table_ignores_an_older_version(spark, tmp_path):
-    path = str(tmp_path / "t")
-    apply(spark, path, [(1, 5, "a", "new")], version="ver")
-    assert apply(spark, path, [(1, 4, "a", "old")], version="ver") == [(1, 5, "a", "new")]
+def test_upsert_table_ignores_an_older_version(spark, table):
+    apply(spark, table, [(1, 5, "a", "new")], version="ver")
+    assert apply(spark, table, [(1, 4, "a", "old")], version="ver") == [(1, 5, "a", "new")]
 
 
-def test_upsert_table_appends_new_columns(spark, tmp_path):
-    path = str(tmp_path / "t")
-    apply(spark, path, [(1, 1, "a", "one"), (2, 1, "b", "two")])
-    apply(spark, path, [(1, 2, "a", "ONE", 9)], SCHEMA + ", extra int")
-    got = {r["id"]: r["extra"] for r in read_table(spark, path).collect()}
+def test_upsert_table_appends_new_columns(spark, table):
+    apply(spark, table, [(1, 1, "a", "one"), (2, 1, "b", "two")])
+    apply(spark, table, [(1, 2, "a", "ONE", 9)], SCHEMA + ", extra int")
+    got = {r["id"]: r["extra"] for r in read_table(spark, table).collect()}
     assert got == {1: 9, 2: None}
 
 
-def test_upsert_table_keeps_rows_without_a_partition(spark, tmp_path):
-    path = str(tmp_path / "t")
-    apply(spark, path, [(1, 1, None, "one"), (2, 1, None, "two")])
-    got = apply(spark, path, [(1, 2, None, "ONE")])
+def test_upsert_table_keeps_rows_without_a_partition(spark, table):
+    apply(spark, table, [(1, 1, None, "one"), (2, 1, None, "two")])
+    got = apply(spark, table, [(1, 2, None, "ONE")])
     assert got == [(1, 2, None, "ONE"), (2, 1, None, "two")]
 
 
-def test_upsert_table_with_fixed_partitions(spark, tmp_path):
-    path = str(tmp_path / "t")
+def test_upsert_table_with_fixed_partitions(spark, table):
     first = [(1, 5, "a", "one"), (2, 5, "b", "two")]
-    apply(spark, path, first, version="ver", rows_move=False)
+    apply(spark, table, first, version="ver", rows_move=False)
     changes = [(1, 4, "a", "old"), (2, 6, "b", "TWO"), (3, 1, "c", "three")]
-    got = apply(spark, path, changes, version="ver", rows_move=False)
+    got = apply(spark, table, changes, version="ver", rows_move=False)
     assert got == [(1, 5, "a", "one"), (2, 6, "b", "TWO"), (3, 1, "c", "three")]

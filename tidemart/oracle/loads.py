@@ -36,6 +36,16 @@ LOAD_SQL: dict[str, str] = {
             case when processed_at >= timestamp '1999-01-01 00:00:00' then referring_site end as referring_site)
         from fct_orders
     """,
+    # The month before the loaded one still has the orders of 1997-03 that were moved from it.
+    "dq_load": """
+        select 'fct_orders' as table_name, 'order_id' as column_name, count(*) as failures,
+            case when count(*) = 0 then 'pass' else 'fail' end as status
+        from fct_orders where date_trunc('month', order_date) = date '1997-03-01'
+        union all
+        select 'fct_orders', 'customer_id', count(*), case when count(*) = 0 then 'pass' else 'fail' end
+        from fct_orders where date_trunc('month', order_date) in (date '1997-03-01', date '1997-04-01')
+            and customer_id is not null and customer_id not in (select customer_id from dim_customers)
+    """,
     "built_marketing_performance": "select * from fct_marketing_performance",
     "built_by_campaign": "select * from rpt_by_campaign",
     "order_minor_units": """

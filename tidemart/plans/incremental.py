@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import month_start
-from tidemart.operators.upsert import newest_value, read_table, upsert_table
+from tidemart.operators.lookup import with_keys
+from tidemart.operators.upsert import newest_value, partitions_of, read_table, upsert_table
 from tidemart.plans import core, intermediate, staging
 from tidemart.plans.models import Models
+from tidemart.session import scratch_table
 from tidemart.sources.raw import ORDER_MONTH
 
 # Fixed value: the high-watermark of an empty table.
@@ -22,9 +24,9 @@ def with_order_month(orders: DataFrame) -> DataFrame:
     return orders.withColumn(ORDER_MONTH, month_start("order_date"))
 
 
-def high_watermark(models: Models, path: str) -> datetime:
+def high_watermark(models: Models, table: str) -> datetime:
     """The newest processing time ever loaded, which the table keeps; no scan."""
-    newest = newest_value(models.spark, path)
+    newest = newest_value(models.spark, table)
     return datetime.fromisoformat(newest) if newest else BEGINNING
 
 
@@ -72,41 +74,54 @@ def _staged(models: Models, table: str, months: list[date | None]) -> DataFrame:
 def order_rows(models: Models, orders: DataFrame, dates_change: bool = False) -> DataFrame:
     """Order-fact rows for some staged orders; only their lines and refunds are shuffled.
 
-    Where the line and refund feeds are stored by order month (``write_monthly_feeds``), only the
-    months of these orders, and what has none, are read. The months, one value each, reach the driver.
-    With ``dates_change`` all months are read, as lines may have landed under an earlier date.
+    The lines and refunds of few orders are looked up by order id: where the feeds were written with Bloom filters
+    (``write_monthly_feeds``), only the row groups that may hold one of the orders are read. Where they are
+    stored by order month and dates never change, only the months of these orders, and what has none,
+    are read at all; with ``dates_change`` lines may have landed under an earlier date.
     """
     ids = orders.select("order_id")
     if not dates_change and any(_is_monthly(models, table) for table in _BY_MONTH):
-        months = [r[0] for r in orders.select(month_start("order_date")).distinct().collect()]
+        months = list(partitions_of(with_order_month(orders), ORDER_MONTH))
         lines, refunds = (_staged(models, table, months) for table in _BY_MONTH)
     else:
         lines, refunds = (models[f"stg_{table}"] for table in _BY_MONTH)
     economics = core.order_economics(
-        intermediate.order_net(orders, refunds.join(ids, "order_id", "left_semi")),
-        lines.join(ids, "order_id", "left_semi"),
+        intermediate.order_net(orders, with_keys(refunds, ids, ["order_id"])),
+        with_keys(lines, ids, ["order_id"]),
         models["stg_products"],
     )
     return core.fct_orders(economics, models["stg_customers"])
 
 
 def refresh_orders(
-    models: Models, path: str, with_refunded: bool = False, rows_move: bool = True
+    models: Models, table: str, with_refunded: bool = False, rows_move: bool = True
 ) -> None:
-    """Bring the order fact at ``path`` up to date with the feeds.
+    """Bring the order fact, the catalog table ``table``, up to date with the feeds.
 
-    An order whose creation date was corrected moves to another month; its old row is found by the
-    key columns of the whole table. Where no feed corrects dates, ``rows_move`` False saves that
-    scan; an order that had no date is found all the same.
+    The first load takes all orders as one plan. Later ones store the changed orders and read what belongs to them. An
+    order whose creation date was corrected moves to another month; its old row is looked up by id, which reads
+    no month that holds none of the changed orders. Where no feed corrects dates, ``rows_move`` False saves
+    the lookup; an order that had no date is found all the same.
     """
-    changed = orders_since(models, high_watermark(models, path), with_refunded)
-    rows = with_order_month(order_rows(models, changed, rows_move))
-    upsert_table(rows, path, ["order_id"], ORDER_MONTH, rows_move=rows_move, watermark="processed_at")
-
-
-def stored_orders(models: Models, path: str) -> DataFrame:
+    changed = orders_since(models, high_watermark(models, table), with_refunded)
+    options = {"rows_move": rows_move, "watermark": "processed_at"}
+    if read_table(models.spark, table) is None:
+        rows = core.fct_orders(
+            core.order_economics(
+                intermediate.order_net(changed, models["stg_refunds"]), models["stg_order_lines"], models["stg_products"]
+            ),
+            models["stg_customers"],
+        )
+        upsert_table(with_order_month(rows), table, ["order_id"], ORDER_MONTH, **options)
+        return
+    with scratch_table(changed, "changed_orders") as few:
+        rows = order_rows(models, few, rows_move)
+        upsert_table(with_order_month(rows), table, ["order_id"], ORDER_MONTH, **options)
+
+
+def stored_orders(models: Models, table: str) -> DataFrame:
     """The order fact as stored, without its partition column."""
-    stored = read_table(models.spark, path)
+    stored = read_table(models.spark, table)
     if stored is None:
-        raise ValueError(f"no load was ever committed to {path}")
+        raise ValueError(f"no load was ever committed to {table}")
     return stored.drop(ORDER_MONTH)

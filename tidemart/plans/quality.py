@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.columns import DIRECT_SOURCE, count_if
+from tidemart.functions.columns import DIRECT_SOURCE, count_if, zero_if_null
+from tidemart.operators.lookup import with_keys
 from tidemart.plans import contracts
 
 Tables = Mapping[str, DataFrame]
@@ -171,6 +172,32 @@ def relationships(tables: Tables, contract=contracts.RELATIONSHIPS) -> DataFrame
     return _per_rule(orphans.groupBy("rule").agg(F.sum("children").alias("failures")), list(contract))
 
 
+def of_load(
+    loaded: DataFrame,
+    others: DataFrame,
+    table: str,
+    key: Sequence[str],
+    references: Mapping[str, tuple[DataFrame, str]],
+) -> DataFrame:
+    """Key and reference checks of one load: of ``loaded``, the partitions it wrote, against the rest.
+
+    Counts the keys that more than one loaded row has or a row of ``others`` has too, and the loaded rows whose
+    reference (column to parent and its column) the parent does not hold. The other partitions are searched
+    for the loaded keys only, by their files' Bloom filters where the load is small; nulls are no keys.
+    """
+    keys = loaded.dropna("any", subset=list(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    elsewhere = with_keys(others.select(*key), keys, key)
+    repeated = keys.where("n > 1").select(*key).unionByName(elsewhere).distinct()
+    counts = [(",".join(key), repeated.agg(F.count(F.lit(1)).alias("failures")))]
+    for column, (parent, parent_column) in references.items():
+        children = loaded.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        held = parent.select(F.col(parent_column).alias(column))
+        orphans = children.join(held, column, "left_anti")
+        counts.append((column, orphans.agg(zero_if_null(F.sum("n")).alias("failures"))))
+    named = (F.lit(table).alias("table_name"), "column_name", "failures")
+    return with_status(_union(c.withColumn("column_name", F.lit(name)).select(*named) for name, c in counts))
+
+
 def freshness(tables: Tables, as_of: datetime, contract=contracts.FRESHNESS) -> DataFrame:
     """Age of the newest row of each feed against its warning and error thresholds.
 

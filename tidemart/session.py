@@ -64,8 +64,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def scratch_name(spark: SparkSession, label: str) -> str:
+    """A fresh table name in a schema whose tables lie below the checkpoint folder."""
+    schema = "tidemart_scratch"
+    place = f"{checkpoint_root(spark).rstrip('/')}/{schema}".replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{place}'")
+    return f"{schema}.{label}_{uuid.uuid4().hex}"
+
+
 class Folder:
-    """A folder on whatever file system its path names: small files, listings and removal."""
+    """A folder on whatever file system its path names: listings and removal."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self._jvm = spark._jvm
@@ -78,34 +86,11 @@ class Folder:
     def _entries(self) -> list:
         return list(self._files.listStatus(self._root)) if self._files.exists(self._root) else []
 
-    def names(self, ending: str) -> list[str]:
-        """Names of the files with this ending, in order."""
-        return sorted(n for e in self._entries() if (n := e.getPath().getName()).endswith(ending))
-
     def written_folders(self) -> list[str]:
         """Names of the folders below whose write has ended, in order."""
         folders = (e.getPath() for e in self._entries() if e.isDirectory())
         return sorted(p.getName() for p in folders if self._files.exists(self._path(p, "_SUCCESS")))
 
-    def read(self, name: str) -> str:
-        stream = self._files.open(self._path(self._root, name))
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def put(self, name: str, text: str) -> None:
-        """Add a small file by one rename; a file of that name must not be there."""
-        draft = self._path(self._root, f"{name}.{uuid.uuid4().hex}")
-        stream = self._files.create(draft)
-        try:
-            stream.write(text.encode())
-        finally:
-            stream.close()
-        target = self._path(self._root, name)
-        if self._files.exists(target) or not self._files.rename(draft, target):
-            raise RuntimeError(f"{target} is there already: another writer is at work")
-
     def remove(self, name: str = "") -> None:
         """Delete an entry, or the folder itself."""
         self._files.delete(self._path(self._root, name) if name else self._root, True)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StructField, StructType
 
 from tidemart.functions.columns import month_start
+from tidemart.operators.lookup import with_bloom_filters
 from tidemart.sources.schemas import RAW_SCHEMAS, RAW_TABLE_GROUP
 
 # Feeds joined or rolled up by order.
@@ -80,8 +81,8 @@ def write_raw_tables(raw: dict[str, DataFrame], folder: str) -> None:
 def write_monthly_feeds(raw: dict[str, DataFrame], folder: str) -> None:
     """Land the feeds as ``write_raw_tables`` does, lines and refunds by the month of their order.
 
-    Loads of the order fact then read the months they touch only. Lines and refunds of an unknown
-    order have no month.
+    Loads of the order fact then read the months they touch only, or by Bloom filters on the order id the row
+    groups that may hold a changed order. Lines and refunds of an unknown order have no month.
     """
     months = raw["orders"].select("order_id", month_start(F.to_date("created_at")).alias(ORDER_MONTH))
     write_raw_tables({t: f for t, f in raw.items() if t not in ("order_lines", "refunds")}, folder)
@@ -89,7 +90,8 @@ def write_monthly_feeds(raw: dict[str, DataFrame], folder: str) -> None:
         dated = raw[table].join(months, "order_id", "left").select(*raw[table].columns, ORDER_MONTH)
         balanced = dated.hint("rebalance", F.col(ORDER_MONTH))
         path = f"{folder}/{RAW_TABLE_GROUP[table]}/{table}"
-        balanced.write.mode("overwrite").partitionBy(ORDER_MONTH).parquet(path)
+        writer = with_bloom_filters(balanced.write, ["order_id"])
+        writer.mode("overwrite").partitionBy(ORDER_MONTH).parquet(path)
 
 
 def write_bucketed_feeds(
