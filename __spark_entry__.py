@@ -17,11 +17,13 @@ from tidemart.oracle.loads import LOAD_SQL
 from tidemart.oracle.models import MODEL_SQL
 from tidemart.oracle.quality import quality_sql
 from tidemart.functions.calendar import days_spanned
-from tidemart.functions.columns import minor_to_major
+from tidemart.functions.columns import minor_to_major, sum_money
 from tidemart.operators.upsert import last_load, upsert_table
-from tidemart.plans import contracts, core, quality, staging, warehouse
+from tidemart.plans import core, intermediate, quality, staging, warehouse
+from tidemart.plans.documentation import documentation_of
 from tidemart.plans.incremental import (
     ORDER_MONTH,
+    orders_beyond,
     refresh_orders,
     stored_orders,
     with_order_month,
@@ -36,6 +38,12 @@ from tidemart.sources.driver_tables import (
     orders_feed,
     web_events_feed,
 )
+from tidemart.sources.raw import (
+    read_csv_feeds,
+    read_parquet_feeds,
+    write_csv_feeds,
+    write_raw_tables,
+)
 from tidemart.streaming.orders import order_stream
 from tidemart.streaming.sessions import read_parts, session_stream, sessions_from_parts
 
@@ -158,6 +166,10 @@ def _minor_units(m: Models) -> DataFrame:
     )
 
 
+def _link_members(m: Models) -> DataFrame:
+    return intermediate.link_members(m["stg_web_sessions"], m.member_orders)
+
+
 @lru_cache(maxsize=4)
 def checked_build(spark: SparkSession, sf_dir: str) -> tuple[Models, Observed]:
     """All tables of a folder, written once per session for the checks, and what their writes counted."""
@@ -176,6 +188,73 @@ def _over_build(check: Callable[[Models], DataFrame]) -> Query:
     return lambda spark, sf_dir: check(checked_build(spark, sf_dir)[0])
 
 
+@lru_cache(maxsize=4)
+def catalog_build(spark: SparkSession, sf_dir: str) -> Models:
+    """All layers of a folder in the schemas of the catalog, built once per session."""
+    return warehouse.build_catalog(_models(spark, sf_dir), scratch_path(spark, "catalog"), staging=True)
+
+
+def _in_catalog(query: Callable[[SparkSession, Models], DataFrame]) -> Query:
+    return lambda spark, sf_dir: query(spark, catalog_build(spark, sf_dir))
+
+
+def _schemas() -> list[str]:
+    return sorted(set(warehouse.SCHEMA_OF.values()))
+
+
+def _catalog_documentation(spark: SparkSession, _: Models) -> DataFrame:
+    """Comments and personal-data flags as the catalog has them, where it has any."""
+    rows = documentation_of(spark, _schemas())
+    known = F.col("table_name").isin(*warehouse.SCHEMA_OF)
+    return rows.where(known & (F.col("comment").isNotNull() | F.col("personal_data")))
+
+
+def _catalog_by_campaign(spark: SparkSession, _: Models) -> DataFrame:
+    """The campaign report over the mart in its schema of the catalog."""
+    marts = {name: spark.table(f"{warehouse.SCHEMA_OF[name]}.{name}") for name in ("fct_marketing_performance",)}
+    return Models(spark, {}, DRIVER_SETTINGS, marts)["rpt_by_campaign"]
+
+
+def _cached_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report kept as Parquet for a dashboard, and read from there."""
+    root = scratch_path(spark, "cache")
+    warehouse.cache_reports({"rpt_by_campaign": _models(spark, sf_dir)["rpt_by_campaign"]}, root)
+    return warehouse.read_cached_report(spark, root, "rpt_by_campaign")
+
+
+def _csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and lines written as CSV, read back in splits and rolled up by day."""
+    feeds, folder = CommerceFeeds(spark, sf_dir), scratch_path(spark, "csv")
+    write_csv_feeds(feeds, folder, ["orders", "order_lines"])
+    read = Models(spark, read_csv_feeds(spark, folder, ["orders", "order_lines"]), DRIVER_SETTINGS)
+    lines = read["stg_order_lines"].groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("lines"), sum_money("net_line_revenue").alias("revenue")
+    )
+    return read["stg_orders"].join(lines, "order_id", "left").groupBy("order_date", "financial_status").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum("lines").alias("lines"),
+        sum_money("order_total").alias("order_total"),
+        sum_money("revenue").alias("revenue"),
+    )
+
+
+def _typed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines landed as Parquet in wider types and read in the declared ones."""
+    feeds, folder = CommerceFeeds(spark, sf_dir), scratch_path(spark, "parquet")
+    wide = feeds["order_lines"].withColumns(
+        {"quantity": F.col("quantity").cast("bigint"), "price": F.col("price").cast("decimal(20,6)")}
+    )
+    write_raw_tables({"order_lines": wide}, folder)
+    return read_parquet_feeds(spark, folder, ["order_lines"])["order_lines"]
+
+
+def _orders_to_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that a load after the earlier run takes, by the newest order of the stored fact."""
+    models, path = _models(spark, sf_dir), scratch_path(spark, "fct_orders_earlier")
+    models["fct_orders"].where(F.col("processed_at") < F.lit(EARLIER_RUN)).write.parquet(path)
+    return orders_beyond(models["stg_orders"], spark.read.parquet(path))
+
+
 STORED_CHECKS: dict[str, Query] = {
     "dq_unique": _over_build(quality.unique),
     "dq_not_null": _observed("dq_not_null"),
@@ -217,6 +296,14 @@ def queries() -> dict[str, Query]:
         "web_sessions_stream": _session_stream,
         "fct_orders_grown": _grown_orders,
         "dq_load": _checked_load,
+        "session_order_members": _over_models(_link_members),
+        "session_order_links": _over_models(lambda m: intermediate.link_counts(_link_members(m))),
+        "orders_to_load": _orders_to_load,
+        "catalog_documentation": _in_catalog(_catalog_documentation),
+        "catalog_by_campaign": _in_catalog(_catalog_by_campaign),
+        "cached_by_campaign": _cached_report,
+        "csv_orders": _csv_orders,
+        "typed_order_lines": _typed_lines,
         "built_marketing_performance": _built("fct_marketing_performance"),
         "built_by_campaign": _built("rpt_by_campaign"),
         "order_minor_units": _over_models(_minor_units),

@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemart.operators import upsert
-from tidemart.plans import staging, warehouse
+from tidemart.plans import intermediate, staging, warehouse
 from tidemart.plans.core import FCT_ORDERS_COLUMNS
-from tidemart.plans.incremental import order_rows, refresh_orders, stored_orders
+from tidemart.plans.incremental import order_rows, orders_beyond, refresh_orders, stored_orders
 from tidemart.plans.models import MARTS, REPORTS, Models
 from tidemart.sources.driver_tables import DRIVER_SETTINGS, CommerceFeeds
 from tidemart.sources.raw import (
+    declared,
     read_catalog_feeds,
     read_csv_feeds,
+    read_csv_leniently,
     read_parquet_feeds,
+    write_csv_feeds,
     write_monthly_feeds,
     write_raw_tables,
 )
@@ -58,7 +61,7 @@ def test_csv_fields_with_quotes_and_line_breaks(spark, tmp_path):
     header = ",".join(StructType.fromDDL(RAW_SCHEMAS["products"]).names)
     line = '"p1","A ""big, bold"" sale\nin two lines",,,,1.00,,USD,active,'
     (tmp_path / "products.csv").write_text(f"{header}\n{line}\n")
-    (row,) = read_csv_feeds(spark, str(tmp_path), ["products"])["products"].collect()
+    (row,) = read_csv_feeds(spark, str(tmp_path), ["products"], line_breaks=["products"])["products"].collect()
     assert row.title == 'A "big, bold" sale\nin two lines'
 
 
@@ -295,3 +298,99 @@ def test_load_touches_the_months_of_changed_orders_only(spark, tmp_path, table):
     rewritten = {v for v in before.holds if before.holds[v] != after.holds.get(v)}
     assert rewritten == {"2026-01-01", "2026-06-01"}
     assert rows(stored_orders(m, table)) == rows(m["fct_orders"])
+
+
+def test_csv_lines_that_do_not_fit_are_kept_with_their_text(spark, tmp_path):
+    header = ",".join(StructType.fromDDL(RAW_SCHEMAS["refunds"]).names)
+    good = "r1,o1,2026-02-01 10:00:00,5.00,late"
+    bad = ["r2,o2,2026-02-01 10:00:00,much,late", "r3,o3,2026-02-01 10:00:00", f"{good},more"]
+    (tmp_path / "refunds.csv").write_text("\n".join([header, good, *bad]) + "\n")
+    fitting, others = read_csv_leniently(spark, str(tmp_path / "refunds.csv"), "refunds")
+    assert fitting.schema == feed(spark, "refunds", []).schema
+    assert rows(fitting, "refund_id") == [("r1",)]
+    assert rows(others, "line") == [(line,) for line in sorted(bad)]
+    assert others.first()["file"].endswith("refunds.csv")
+    assert others.count() == 3 and fitting.count() == 1
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|header"):
+        read_csv_feeds(spark, str(tmp_path), ["refunds"])["refunds"].collect()
+
+
+def test_a_large_csv_is_read_by_several_tasks(spark, tmp_path):
+    lines = [{"refund_id": f"r{i}", "order_id": f"o{i}", "reason": "x" * 200} for i in range(500)]
+    write_csv_feeds({"refunds": feed(spark, "refunds", lines).coalesce(1)}, str(tmp_path), ["refunds"])
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 20_000)
+    try:
+        split = read_csv_feeds(spark, str(tmp_path), ["refunds"])["refunds"]
+        whole = read_csv_feeds(spark, str(tmp_path), ["refunds"], line_breaks=["refunds"])["refunds"]
+        assert split.rdd.getNumPartitions() > 4 and whole.rdd.getNumPartitions() == 1
+        assert rows(split) == rows(whole) and split.count() == 500
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_csv_feeds_written_and_read_keep_empty_and_missing_texts(spark, tmp_path):
+    lines = [{"refund_id": "r1", "reason": ""}, {"refund_id": "r2"}, {"refund_id": "r3", "reason": 'a "b", c'}]
+    raw = feed(spark, "refunds", lines)
+    write_csv_feeds({"refunds": raw}, str(tmp_path), ["refunds"])
+    read = read_csv_feeds(spark, str(tmp_path), ["refunds"])["refunds"]
+    assert rows(read, "refund_id", "reason")[2] == ("r3", 'a "b", c')
+    assert {r.refund_id: r.reason for r in read.collect()}["r2"] is None
+
+
+def test_times_do_not_lose_their_hours_or_zone_in_silence(spark):
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in feed(spark, "ad_insights", []).schema)
+    landed = spark.createDataFrame([], kinds)
+    at = landed.unionByName(spark.range(1).selectExpr("date'2026-02-01' as date_day"), allowMissingColumns=True)
+    whole = at.withColumn("date_day", F.expr("cast(date_day as timestamp_ntz)"))
+    assert rows(declared(whole, "ad_insights"), "date_day") == rows(at, "date_day")
+    with pytest.raises(SparkRuntimeException, match="does not fit"):
+        declared(whole.withColumn("date_day", F.expr("date_day + interval 1 hour")), "ad_insights").collect()
+    zoned = feed(spark, "refunds", []).withColumn("created_at", F.current_timestamp())
+    with pytest.raises(TypeError, match="zone"):
+        declared(zoned, "refunds")
+
+
+def test_every_link_can_be_read_back(spark):
+    def event(i, session, day, channel, user="u"):
+        named = _event(i, f"{day} 10:00:00", "purchase", session)
+        return {**named, "source": channel, "user_pseudo_id": user, "campaign": "c"}
+
+    orders = [
+        {**order(f"o{i}", None if i == 2 else "c1", f"2026-02-0{1 + i // 3} 09:00:00"), "utm_source": "s", "utm_medium": "m", "utm_campaign": "c"}
+        for i in range(5)
+    ] + [order("o9", "c1", "2026-02-07 09:00:00")]
+    events = [event(1, "a", "2026-02-01", "s"), event(2, "b", "2026-02-01", "s"), event(3, "c", "2026-02-02", "s"),
+              event(4, "d", "2026-02-01", "other"), event(5, "e", "2026-02-05", "s")]
+    m = models(spark, orders=orders, web_events=events)
+    members = intermediate.link_members(m["stg_web_sessions"], m["stg_orders"])
+    assert members.count() == 3 + 5
+    assert rows(intermediate.link_counts(members), "sessions", "orders", "links") == [(1, 2, 2), (2, 3, 6)]
+    everything = {("a", "o0"), ("a", "o1"), ("a", "o2"), ("b", "o0"), ("b", "o1"), ("b", "o2"), ("c", "o3"), ("c", "o4")}
+
+    def pairs(schema, *values):
+        wanted = spark.createDataFrame(values, schema)
+        return {(r.session_id, r.order_id) for r in intermediate.links(members, wanted).collect()}
+
+    assert pairs("session_source string", ("s",)) == everything
+    assert pairs("user_pseudo_id string, session_id string", ("u", "b"), ("u", "d")) == {p for p in everything if p[0] == "b"}
+    assert pairs("order_id string", ("o2",), ("o9",)) == {("a", "o2"), ("b", "o2")}
+    # What the summary per session says of the same links.
+    summary = {r.session_id: r.linked_orders for r in m["int_sessions_attributed"].collect()}
+    assert summary == {"a": 3, "b": 3, "c": 2, "d": 0, "e": 0}
+
+
+def test_newest_order_of_a_fact_is_a_subquery_of_the_plan(spark, tmp_path):
+    m = models(spark, orders=[order(f"o{i}", "c1", f"2026-0{i}-01 10:00:00") for i in range(1, 7)])
+    earlier = m["fct_orders"].where("order_id < 'o4'")
+    earlier.write.parquet(str(tmp_path / "fact"))
+    m["stg_orders"].write.parquet(str(tmp_path / "orders"))
+    orders = spark.read.parquet(str(tmp_path / "orders"))
+    taken = orders_beyond(orders, spark.read.parquet(str(tmp_path / "fact")))
+    assert rows(taken, "order_id") == [("o3",), ("o4",), ("o5",), ("o6",)]
+    plan = taken._jdf.queryExecution().executedPlan().toString()
+    assert "2026-03-01" not in plan
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "order_id" in line)
+    assert "ubquery" in scan
+    assert rows(orders_beyond(orders, spark.read.parquet(str(tmp_path / "fact")).limit(0)), "order_id") == rows(orders, "order_id")

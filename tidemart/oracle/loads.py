@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemart.oracle.documentation import DOCUMENTATION_SQL
+
 LOAD_SQL: dict[str, str] = {
     # Orders processed from the earlier run's newest order on are recomputed in full; older
     # ones keep the refunds known then. 1999-01-01 is the moment of the earlier run.
@@ -46,6 +48,49 @@ LOAD_SQL: dict[str, str] = {
         from fct_orders where date_trunc('month', order_date) in (date '1997-03-01', date '1997-04-01')
             and customer_id is not null and customer_id not in (select customer_id from dim_customers)
     """,
+    # Who is in a cell that has both sessions and orders, and how many pairs there are in all.
+    "_linked": """
+        select s.*, o.order_id as linked_order, o.customer_id as linked_customer
+        from stg_web_sessions s join stg_orders o
+          on s.session_date = o.order_date and s.session_source = o.utm_source
+         and s.session_medium = o.utm_medium and s.session_campaign = o.utm_campaign
+        where s.had_purchase = 1
+    """,
+    "session_order_members": """
+        select distinct session_date, session_source, session_medium, session_campaign,
+            user_pseudo_id, session_id, null as order_id, null as customer_id from _linked
+        union all
+        select distinct session_date, session_source, session_medium, session_campaign,
+            null, null, linked_order, linked_customer from _linked
+    """,
+    "session_order_links": """
+        select session_date, session_source, session_medium, session_campaign,
+            count(distinct (user_pseudo_id, session_id)) as sessions, count(distinct linked_order) as orders,
+            count(*) as links
+        from _linked group by all
+    """,
+    "orders_to_load": """
+        select * from stg_orders where processed_at >= (
+            select coalesce(max(processed_at), timestamp '1900-01-01 00:00:00') from fct_orders
+            where processed_at < timestamp '1999-01-01 00:00:00')
+    """,
+    "catalog_documentation": DOCUMENTATION_SQL,
+    "catalog_by_campaign": "select * from rpt_by_campaign",
+    "cached_by_campaign": "select * from rpt_by_campaign",
+    "csv_orders": """
+        select o.order_date, o.financial_status, count(*) as orders, cast(sum(l.lines) as bigint) as lines,
+            cast(sum(o.order_total) as decimal(38,2)) as order_total, cast(sum(l.revenue) as decimal(38,2)) as revenue
+        from stg_orders o left join (
+            select order_id, count(*) as lines, sum(net_line_revenue) as revenue
+            from stg_order_lines group by order_id) l on l.order_id = o.order_id
+        group by o.order_date, o.financial_status
+    """,
+    "typed_order_lines": """
+        select cast(order_line_id as varchar) as order_line_id, cast(order_id as varchar) as order_id,
+            cast(product_id as varchar) as product_id, sku, title, cast(quantity as int) as quantity,
+            cast(price as decimal(12,2)) as price, cast(total_discount as decimal(12,2)) as total_discount
+        from src_order_lines
+    """,
     "built_marketing_performance": "select * from fct_marketing_performance",
     "built_by_campaign": "select * from rpt_by_campaign",
     "order_minor_units": """

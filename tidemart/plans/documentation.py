@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COLUMN_COMMENTS: dict[str, str] = {
@@ -70,5 +72,27 @@ def documented(df: DataFrame) -> DataFrame:
             metadata["comment"] = COLUMN_COMMENTS[name]
         if name in PERSONAL_DATA:
             metadata["contains_pii"] = True
+        if not metadata and df.schema[name].metadata:
+            # What the column it was made from says does not hold for it.
+            metadata["contains_pii"] = False
         columns.append(F.col(name).alias(name, metadata=metadata) if metadata else F.col(name))
     return df.select(*columns)
+
+
+def documentation_of(spark: SparkSession, schemas: Iterable[str]) -> DataFrame:
+    """What the catalog says about its tables: one row per column, and one per table without a column name.
+
+    Returns ``schema_name, table_name, column_name, comment, personal_data``; views and tables alike, read
+    from the catalog alone. Comments are null where there are none.
+    """
+    rows = []
+    for schema in schemas:
+        for table in spark.catalog.listTables(schema):
+            if table.isTemporary:
+                continue
+            rows.append((schema, table.name, None, table.description, False))
+            for field in spark.table(f"{schema}.{table.name}").schema:
+                tagged = bool(field.metadata.get("contains_pii", False))
+                rows.append((schema, table.name, field.name, field.metadata.get("comment"), tagged))
+    kinds = "schema_name string, table_name string, column_name string, comment string, personal_data boolean"
+    return spark.createDataFrame(rows, kinds)

@@ -51,6 +51,17 @@ def orders_since(models: Models, watermark: datetime, with_refunded: bool = Fals
     return marked.where(recent | F.col("refunded")).drop("refunded")
 
 
+def orders_beyond(orders: DataFrame, fact: DataFrame) -> DataFrame:
+    """Staged orders processed at or after the newest order of ``fact``, as one plan.
+
+    For facts without a kept watermark, such as a mart in a folder or the catalog: the newest time is
+    a scalar subquery, which the scan of the orders takes as a filter when it starts. Of an empty fact, all orders.
+    """
+    beginning = F.lit(BEGINNING.isoformat(sep=" ")).cast("timestamp_ntz")
+    newest = fact.agg(F.coalesce(F.max("processed_at"), beginning).alias("newest"))
+    return orders.where(F.col("processed_at") >= newest.scalar())
+
+
 # Feeds that ``write_monthly_feeds`` may have stored by order month, and their staging.
 _BY_MONTH = {"order_lines": staging.order_lines, "refunds": staging.refunds}
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import (
+    count_if,
     MONEY,
     MONEY_SUM,
     cents,
@@ -24,6 +25,7 @@ from tidemart.functions.columns import (
     sum_money,
     zero_if_null,
 )
+from tidemart.operators.skew import splittable_join
 from tidemart.plans.staging import ADS_PLATFORM, FUNNEL_EVENTS, SESSION_KEY
 
 ORDERS_JOINED_COLUMNS = (
@@ -240,3 +242,50 @@ def sessions_attributed(sessions: DataFrame, orders: DataFrame) -> DataFrame:
             "linked_subtotal": F.coalesce("linked_subtotal", F.lit(0)).cast(MONEY_SUM),
         }
     )
+
+
+# Where a session and an order meet.
+LINK_CELL = ("session_date", "session_source", "session_medium", "session_campaign")
+
+
+def link_members(sessions: DataFrame, orders: DataFrame) -> DataFrame:
+    """Every link of a purchase session to an order of its day and channel, in factored form.
+
+    All sessions of a cell are linked to all its orders, so the links are said by who is in the
+    cell: one row per session and one per order, told apart by ``order_id``, instead of one per pair. Cells without a
+    session or without an order have no row. :func:`links` multiplies out what is asked for.
+    """
+    buyers = sessions.where("had_purchase = 1").select(*LINK_CELL, *SESSION_KEY)
+    bought = orders.select("order_date", "utm_source", "utm_medium", "utm_campaign", "order_id", "customer_id")
+    bought = bought.toDF(*LINK_CELL, "order_id", "customer_id").where(F.col("order_id").isNotNull())
+    members = buyers.unionByName(bought, allowMissingColumns=True).dropna("any", subset=list(LINK_CELL))
+    counted = members.groupBy(*LINK_CELL).agg(
+        count_if(F.col("order_id").isNull()).alias("sessions"), count_if(F.col("order_id").isNotNull()).alias("orders")
+    )
+    both = counted.where("sessions > 0 and orders > 0").select(*LINK_CELL)
+    return splittable_join(members, both, LINK_CELL)
+
+
+def link_counts(members: DataFrame) -> DataFrame:
+    """Per cell its sessions, its orders and the links between them."""
+    counted = members.groupBy(*LINK_CELL).agg(
+        count_if(F.col("order_id").isNull()).alias("sessions"), count_if(F.col("order_id").isNotNull()).alias("orders")
+    )
+    return counted.withColumn("links", F.col("sessions") * F.col("orders"))
+
+
+def links(members: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The session-order pairs of some cells or members: ``wanted`` has any of the member columns.
+
+    Give a few sessions, orders, days or campaigns; all pairs together grow with sessions times orders.
+    """
+    sessions = members.where(F.col("order_id").isNull()).drop("order_id", "customer_id")
+    orders = members.where(F.col("order_id").isNotNull()).drop(*SESSION_KEY)
+    keys = [c for c in wanted.columns if c in (*LINK_CELL, *SESSION_KEY, "order_id", "customer_id")]
+    of_session = [c for c in keys if c in (*LINK_CELL, *SESSION_KEY)]
+    of_order = [c for c in keys if c not in of_session]
+    if of_session:
+        sessions = sessions.join(wanted.select(*of_session).distinct(), of_session, "left_semi")
+    if of_order:
+        orders = orders.join(wanted.select(*of_order).distinct(), of_order, "left_semi")
+    return sessions.join(orders, list(LINK_CELL))

@@ -185,3 +185,8 @@ def cache_reports(reports: dict[str, DataFrame], root: str) -> None:
     """Keep report results as Parquet for a dashboard to serve."""
     for name, result in reports.items():
         result.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+
+
+def read_cached_report(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A report as ``cache_reports`` keeps it."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}")

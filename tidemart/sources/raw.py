@@ -6,14 +6,23 @@ Each returns a dict from raw table name to a lazy DataFrame, which is what
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    NumericType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from tidemart.functions.columns import month_start
 from tidemart.operators.lookup import with_bloom_filters
+from tidemart.session import scratch_path
 from tidemart.sources.schemas import RAW_SCHEMAS, RAW_TABLE_GROUP
 
 # Feeds joined or rolled up by order.
@@ -22,28 +31,74 @@ ORDER_KEYED = ("orders", "order_lines", "refunds")
 ORDER_MONTH = "order_month"
 
 
+# The column that holds the text of a line that does not fit its table.
+_REJECTED = "_rejected"
+
+
+def _csv(spark: SparkSession, path: str, schema: str, line_breaks: bool, **options) -> DataFrame:
+    fixed = {"header": True, "enforceSchema": False, "escape": '"', "multiLine": line_breaks}
+    return spark.read.schema(schema).options(**fixed, **options).csv(path)
+
+
 def read_csv_feeds(
-    spark: SparkSession, folder: str, tables: Iterable[str] = tuple(RAW_SCHEMAS)
+    spark: SparkSession,
+    folder: str,
+    tables: Iterable[str] = tuple(RAW_SCHEMAS),
+    line_breaks: Collection[str] = (),
 ) -> dict[str, DataFrame]:
     """``folder/<table>.csv`` with a header; a bad value or a reordered header raises.
 
-    Quotes within a quoted field are doubled, and it may hold line breaks.
+    Quotes within a quoted field are doubled. A large file is read in splits by many tasks. The
+    tables named in ``line_breaks`` may hold line breaks within quoted fields; a file of theirs is one task.
     """
     return {
-        table: spark.read.schema(RAW_SCHEMAS[table])
-        .options(header=True, mode="FAILFAST", enforceSchema=False, escape='"', multiLine=True)
-        .csv(f"{folder}/{table}.csv")
+        table: _csv(spark, f"{folder}/{table}.csv", RAW_SCHEMAS[table], table in line_breaks, mode="FAILFAST")
         for table in tables
     }
 
 
+def read_csv_leniently(
+    spark: SparkSession, path: str, table: str, line_breaks: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The lines of a CSV that fit ``table``, and the others as ``file, line``: their text as it stands.
+
+    A line with a value of another type, or with too few or too many fields, does not fit. No line is lost or ends
+    the job. Lines are parsed once, in full, into the scratch folder, which both results read: a scan of some
+    columns would not see that another one does not fit.
+    """
+    schema, names = f"{RAW_SCHEMAS[table]}, {_REJECTED} string", StructType.fromDDL(RAW_SCHEMAS[table]).names
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECTED}
+    lines = _csv(spark, path, schema, line_breaks, **options)
+    landed = scratch_path(spark, f"csv-{table}")
+    lines.select(*names, _REJECTED, F.col("_metadata.file_path").alias("_file")).write.parquet(landed)
+    parsed = spark.read.parquet(landed)
+    rejected = parsed.where(F.col(_REJECTED).isNotNull())
+    fitting = parsed.where(F.col(_REJECTED).isNull()).select(*names)
+    return fitting, rejected.select(F.col("_file").alias("file"), F.col(_REJECTED).alias("line"))
+
+
+def write_csv_feeds(raw: dict[str, DataFrame], folder: str, tables: Iterable[str]) -> None:
+    """Write feeds as ``read_csv_feeds`` reads them."""
+    for table in tables:
+        feed = raw[table].select(*StructType.fromDDL(RAW_SCHEMAS[table]).names)
+        writer = feed.write.mode("overwrite").options(header=True, escape='"', emptyValue='""')
+        writer.csv(f"{folder}/{table}.csv")
+
+
 def _exactly(column: StructField, wanted: DataType) -> Column:
-    """A column as another type; a number that would lose digits raises."""
+    """A column as another type; a number that would lose digits, or a time that would lose its hours, raises.
+
+    A time with a zone for a column without one is refused: its value would follow the session's zone.
+    """
     value = F.col(column.name)
     if column.dataType == wanted:
         return value
+    if isinstance(column.dataType, TimestampType) and isinstance(wanted, TimestampNTZType):
+        raise TypeError(f"{column.name} has times with a zone, declared without one: convert it first")
     cast = value.cast(wanted)
-    if not (isinstance(column.dataType, NumericType) and isinstance(wanted, NumericType)):
+    numbers = isinstance(column.dataType, NumericType) and isinstance(wanted, NumericType)
+    dated = isinstance(column.dataType, (TimestampType, TimestampNTZType)) and isinstance(wanted, DateType)
+    if not (numbers or dated):
         return cast.alias(column.name)
     message = F.concat(F.lit(f"{column.name} does not fit {wanted.simpleString()}: "), value.cast("string"))
     return F.when(cast != value, F.raise_error(message)).otherwise(cast).alias(column.name)
