@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import ChainMap
 from collections.abc import Callable
 from datetime import date, datetime
@@ -30,7 +31,8 @@ from tidemart.plans.incremental import (
 )
 from tidemart.plans.models import MODELS, REPORTS, Models
 from tidemart.plans.observation import Observed
-from tidemart.session import scratch_name, scratch_path
+from tidemart.plans.views import create_permanent_views
+from tidemart.session import scratch_name, scratch_path, scratch_schema
 from tidemart.sources.driver_tables import (
     BASE_SCHEMAS,
     DRIVER_SETTINGS,
@@ -41,6 +43,7 @@ from tidemart.sources.driver_tables import (
 from tidemart.sources.raw import (
     read_csv_feeds,
     read_parquet_feeds,
+    write_catalog_feeds,
     write_csv_feeds,
     write_raw_tables,
 )
@@ -65,6 +68,8 @@ EARLIER_RUN = datetime(1999, 1, 1)
 # Reference dates of the checks, set so that some rows fail.
 RULE_DATE = date(2001, 6, 30)
 FRESH_AT = datetime(2001, 12, 31, 12)
+# Views read by a session of their own.
+VIEWS = ("stg_orders", "stg_customers", "stg_email_events", "stg_ad_insights", "stg_web_sessions")
 # The month whose orders a load moves to the next one.
 MOVED_MONTH = date(1997, 3, 1)
 
@@ -248,6 +253,20 @@ def _typed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet_feeds(spark, folder, ["order_lines"])["order_lines"]
 
 
+@lru_cache(maxsize=4)
+def staging_views(spark: SparkSession, sf_dir: str) -> str:
+    """A schema of the catalog with all feeds of a folder as tables and the staging layer as views of them."""
+    schema = scratch_schema(spark, f"tidemart_views_{uuid.uuid4().hex}")
+    write_catalog_feeds(spark, CommerceFeeds(spark, sf_dir), schema)
+    create_permanent_views(spark, schema, feeds=schema)
+    return schema
+
+
+def _view(name: str) -> Query:
+    """A view as a session reads it that did not make it."""
+    return lambda spark, sf_dir: spark.newSession().table(f"{staging_views(spark, sf_dir)}.{name}")
+
+
 def _orders_to_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders that a load after the earlier run takes, by the newest order of the stored fact."""
     models, path = _models(spark, sf_dir), scratch_path(spark, "fct_orders_earlier")
@@ -304,6 +323,7 @@ def queries() -> dict[str, Query]:
         "cached_by_campaign": _cached_report,
         "csv_orders": _csv_orders,
         "typed_order_lines": _typed_lines,
+        **{f"view_{name}": _view(name) for name in VIEWS},
         "built_marketing_performance": _built("fct_marketing_performance"),
         "built_by_campaign": _built("rpt_by_campaign"),
         "order_minor_units": _over_models(_minor_units),

@@ -13,7 +13,10 @@ from tidemart.operators import upsert
 from tidemart.plans import intermediate, staging, warehouse
 from tidemart.plans.core import FCT_ORDERS_COLUMNS
 from tidemart.plans.incremental import order_rows, orders_beyond, refresh_orders, stored_orders
-from tidemart.plans.models import MARTS, REPORTS, Models
+from tidemart.plans.documentation import documentation_of
+from tidemart.plans.models import MARTS, REPORTS, STAGING, Models
+from tidemart.plans.views import create_permanent_views
+from tidemart.session import scratch_schema
 from tidemart.sources.driver_tables import DRIVER_SETTINGS, CommerceFeeds
 from tidemart.sources.raw import (
     declared,
@@ -21,6 +24,7 @@ from tidemart.sources.raw import (
     read_csv_feeds,
     read_csv_leniently,
     read_parquet_feeds,
+    write_catalog_feeds,
     write_csv_feeds,
     write_monthly_feeds,
     write_raw_tables,
@@ -394,3 +398,21 @@ def test_newest_order_of_a_fact_is_a_subquery_of_the_plan(spark, tmp_path):
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "order_id" in line)
     assert "ubquery" in scan
     assert rows(orders_beyond(orders, spark.read.parquet(str(tmp_path / "fact")).limit(0)), "order_id") == rows(orders, "order_id")
+
+
+def test_views_last_and_agree_with_the_models(spark, sf_dir):
+    feeds, schema = CommerceFeeds(spark, sf_dir), scratch_schema(spark, "views_of_the_test")
+    write_catalog_feeds(spark, feeds, schema)
+    made = create_permanent_views(spark.newSession(), schema, feeds=schema)
+    direct, other = Models(spark, feeds, DRIVER_SETTINGS), spark.newSession()
+    assert {name.split(".")[1] for name in made} == set(STAGING)
+    for name in STAGING:
+        view = other.table(f"{schema}.{name}")
+        assert view.columns == direct[name].columns
+        assert [kind(t) for _, t in view.dtypes] == [kind(t) for _, t in direct[name].dtypes], name
+        assert rows(view) == rows(direct[name]), name
+    described = documentation_of(other, [schema]).where("table_name = 'stg_customers' and column_name = 'email'")
+    assert described.first()["comment"] == "Personal data."
+    # A view follows its feed.
+    write_catalog_feeds(spark, {"refunds": feeds["refunds"].limit(0)}, schema)
+    assert spark.newSession().table(f"{schema}.stg_refunds").count() == 0

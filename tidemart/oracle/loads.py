@@ -74,6 +74,10 @@ LOAD_SQL: dict[str, str] = {
             select coalesce(max(processed_at), timestamp '1900-01-01 00:00:00') from fct_orders
             where processed_at < timestamp '1999-01-01 00:00:00')
     """,
+    **{
+        f"view_{name}": f"select * from {name}"
+        for name in ("stg_orders", "stg_customers", "stg_email_events", "stg_ad_insights", "stg_web_sessions")
+    },
     "catalog_documentation": DOCUMENTATION_SQL,
     "catalog_by_campaign": "select * from rpt_by_campaign",
     "cached_by_campaign": "select * from rpt_by_campaign",

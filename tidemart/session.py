@@ -64,12 +64,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def scratch_name(spark: SparkSession, label: str) -> str:
-    """A fresh table name in a schema whose tables lie below the checkpoint folder."""
-    schema = "tidemart_scratch"
+def scratch_schema(spark: SparkSession, schema: str) -> str:
+    """A schema of the catalog whose tables lie below the checkpoint folder."""
     place = f"{checkpoint_root(spark).rstrip('/')}/{schema}".replace("'", "\\'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{place}'")
-    return f"{schema}.{label}_{uuid.uuid4().hex}"
+    return schema
+
+
+def scratch_name(spark: SparkSession, label: str) -> str:
+    """A fresh table name in a schema below the checkpoint folder."""
+    return f"{scratch_schema(spark, 'tidemart_scratch')}.{label}_{uuid.uuid4().hex}"
 
 
 class Folder:

@@ -133,6 +133,14 @@ def write_raw_tables(raw: dict[str, DataFrame], folder: str) -> None:
         frame.write.mode("overwrite").parquet(f"{folder}/{RAW_TABLE_GROUP[table]}/{table}")
 
 
+def write_catalog_feeds(spark: SparkSession, raw: dict[str, DataFrame], schema: str | None = None) -> None:
+    """Land the feeds as catalog tables ``<group>.<table>``, or all in one schema."""
+    for table, frame in raw.items():
+        group = schema or RAW_TABLE_GROUP[table]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {group}")
+        frame.write.mode("overwrite").saveAsTable(f"{group}.{table}")
+
+
 def write_monthly_feeds(raw: dict[str, DataFrame], folder: str) -> None:
     """Land the feeds as ``write_raw_tables`` does, lines and refunds by the month of their order.
 
