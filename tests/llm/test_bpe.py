@@ -47,6 +47,49 @@ def test_texts_without_easy_cuts(text):
     assert ids.tolist() == WHOLE.encode_ordinary(text)
 
 
+def test_no_call_of_the_library():
+    """Every text goes through leaves, joins and the rank table."""
+    assert not hasattr(bpe, "tiktoken")
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=300) | st.lists(st.sampled_from([b"a", b"ab", b" the", b"\xc3", b"\xa9"]), max_size=90).map(b"".join))
+def test_both_ways_of_merging_equal_the_library(data):
+    table = bpe.RankTable(RANKS)
+    want = tuple(WHOLE._core_bpe.encode_single_piece(data)) if data else ()
+    assert table._by_search(data) == want and table._by_heap(data) == want
+
+
+def test_long_matches_that_grow_over_many_joins():
+    text = " ".join("ab" * n + "!?" * n for n in (1, 30, 31, 32, 33, 64, 65, 100, 1000)) + " " * 300 + "\u00a0" * 70
+    for leaf in (1, 7, 96):
+        coder = bpe.ByteBpe(RAW, public_tokenizers.PATTERN, leaf_chars=leaf)
+        assert coder.encode(text).tolist() == WHOLE.encode_ordinary(text)
+
+
+def test_contractions_cut_anywhere():
+    text = "we'll they've I'd 'll''ll x'l l'r e 're''s' s"
+    for leaf in (1, 2, 3, 4, 5):
+        coder = bpe.ByteBpe(RAW, public_tokenizers.PATTERN, leaf_chars=leaf)
+        for start in range(len(text)):
+            assert coder.encode(text[start:]).tolist() == WHOLE.encode_ordinary(text[start:])
+
+
+def test_patterns_with_gaps_and_groups():
+    pattern = r"([a-z]+)|[0-9]"
+    gaps = tiktoken.Encoding("gaps", pat_str=pattern, mergeable_ranks=RANKS, special_tokens={})
+    text = "ab, cd 12 ef" * 40 + "g" * 200 + " - " + "h" * 90
+    assert bpe.ByteBpe(RAW, pattern, leaf_chars=9).encode(text).tolist() == gaps.encode_ordinary(text)
+    with pytest.raises(ValueError, match="look behind"):
+        bpe.ByteBpe(RAW, r"(?<=a)b|.")
+
+
+def test_few_remembered_matches(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    text = "some words that differ and some words that do not " * 20
+    assert bpe.ByteBpe(RAW, public_tokenizers.PATTERN).encode(text).tolist() == WHOLE.encode_ordinary(text)
+
+
 def test_awkward_rows(spark):
     ranks = bpe.vocabulary(spark, PATH)
     rows = bpe.round_trip(awkward(spark), ranks, public_tokenizers.PATTERN, with_ids=True).collect()

@@ -1,95 +1,203 @@
 """Byte-level BPE by tree reduction: halves are encoded on their own and joined at their boundary.
 
-The merges never cross the matches of the splitting pattern. A match never holds a letter or digit
-followed by a space, a line feed or ASCII punctuation, so such a place is a boundary of matches
-whatever stands around it: tokens before and after it cannot depend on each other. Two
-neighbouring halves are joined by re-encoding a window that grows from their boundary until both of
-its ends are such places (or the halves' own ends); all tokens outside the window are then proven
-to be those of the joined text. Decoding looks up tokens at the leaves and concatenates up the tree.
+A text is halved down to leaves of some dozen characters. A leaf is split by the pattern, and the bytes of each
+match are merged by the rank table. Two neighbours are joined by encoding a window across their boundary
+again. It opens at a match of the left half and grows leftwards until its first match comes out as that half has it, and
+it runs to the right until one of its matches ends where a match of the right half begins. Outside
+nothing changes: splitting goes from left to right, so what follows a common start of a match is the same on
+both sides, and what precedes it was split without a look at the other half. Decoding looks tokens up at the
+leaves and concatenates up the tree.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import re
+import heapq
 from collections.abc import Iterator
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
+import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LEAF_CHARS = 4096
+LEAF_CHARS = 128
 LEAF_TOKENS = 4096
-FIRST_WINDOW = 32
-# Characters whose class is the same in every version of Unicode: a letter or digit, then one that
-# is neither.
-_CUT = re.compile(r"(?<=[0-9A-Za-zÀ-ÖØ-öø-ʯΑ-Ρα-ωА-яぁ-ゖァ-ヺ一-鿋가-힣])[ \n!-/:-@\[-`{-~]")
+# Matches that a window takes back from the left half to begin with.
+FIRST_WINDOW = 2
+# A longer match is merged once it is known to be whole, with a heap of its pairs.
+SHORT_MATCH = 64
+_NO_RANK = 1 << 62
+# Merged matches that are kept for the next time, at most.
+REMEMBERED = 400_000
+# A pattern that looks behind a match, or at a word's edge, could see the other half.
+_LOOKS_BEHIND = ("(?<=", "(?<!", r"\b", r"\B", r"\A", r"\G", "(?m")
+
+
+class RankTable:
+    """The merges of one vocabulary."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self._ranks = ranks
+
+    def merged(self, data: bytes) -> tuple[int, ...]:
+        """The tokens of some bytes: of all neighbouring parts the pair of lowest rank is merged first, from the left."""
+        whole = self._ranks.get(data)
+        if whole is not None:
+            return (whole,)
+        return self._by_heap(data) if len(data) > SHORT_MATCH else self._by_search(data)
+
+    def _by_search(self, data: bytes) -> tuple[int, ...]:
+        rank = self._ranks.get
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [rank(a + b, _NO_RANK) for a, b in pairwise(parts)]
+        while pairs and (least := min(pairs)) != _NO_RANK:
+            at = pairs.index(least)
+            part = parts[at] = parts[at] + parts.pop(at + 1)
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank(parts[at - 1] + part, _NO_RANK)
+            if at < len(pairs):
+                pairs[at] = rank(part + parts[at + 1], _NO_RANK)
+        return tuple([self._ranks[part] for part in parts])
+
+    def _by_heap(self, data: bytes) -> tuple[int, ...]:
+        """The same for long matches, whose pairs are not searched again for each merge."""
+        rank, end = self._ranks.get, len(data)
+        following, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        alive = [True] * end
+        heap = [(r, i, i + 2) for i in range(end - 1) if (r := rank(data[i : i + 2])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, at, stop = heapq.heappop(heap)
+            middle = following[at]
+            # Pairs whose parts were merged meanwhile are passed over.
+            if not alive[at] or middle >= end or following[middle] != stop:
+                continue
+            alive[middle], following[at] = False, stop
+            if stop < end:
+                before[stop] = at
+                after = following[stop]
+                if (r := rank(data[at:after])) is not None:
+                    heapq.heappush(heap, (r, at, after))
+            if (first := before[at]) >= 0 and (r := rank(data[first:stop])) is not None:
+                heapq.heappush(heap, (r, first, stop))
+        return tuple([self._ranks[data[i : following[i]]] for i in range(end) if alive[i]])
+
+
+class _Merged(dict):
+    """Matches and their tokens; merged when first asked for, but None for one that is too long."""
+
+    def __init__(self, table: RankTable):
+        super().__init__()
+        self._table = table
+
+    def __missing__(self, match: str) -> tuple[int, ...] | None:
+        if len(match) > SHORT_MATCH:
+            return None
+        if len(self) >= REMEMBERED:
+            self.clear()
+        ids = self[match] = self._table.merged(match.encode())
+        return ids
+
+
+class _Part:
+    """The matches of a part of the text as if it stood alone: where they start, and their tokens.
+
+    None stands for the tokens of a match that may still grow, or is too long to be merged more than once.
+    """
+
+    __slots__ = ("starts", "tokens")
+
+    def __init__(self, starts: list[int], tokens: list[tuple[int, ...] | None]):
+        self.starts, self.tokens = starts, tokens
 
 
 class ByteBpe:
     """Encoder and decoder of one vocabulary.
 
     ``ranks`` is the content of a rank file (a base64 token and its rank a line) and ``pattern``
-    the regular expression that splits a text before merging.
+    the regular expression that splits a text before merging. What no match covers has no token. A pattern that
+    looks behind is refused.
     """
 
     def __init__(self, ranks: bytes, pattern: str, leaf_chars: int = LEAF_CHARS):
+        if any(sign in pattern for sign in _LOOKS_BEHIND):
+            raise ValueError("a pattern must not look behind its matches")
         pairs = (line.split() for line in ranks.splitlines() if line)
         vocabulary = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self._encoding = tiktoken.Encoding(
-            "ranks", pat_str=pattern, mergeable_ranks=vocabulary, special_tokens={}
-        )
+        self._table = RankTable(vocabulary)
+        self._pattern = regex.compile(pattern)
+        self._merged = _Merged(self._table)
         self._tokens = [b""] * (max(vocabulary.values()) + 1)
         for token, rank in vocabulary.items():
             self._tokens[rank] = token
-        self._lengths = np.array([len(t) for t in self._tokens], np.int32)
         self._decimals = [str(i) for i in range(len(self._tokens))]
-        self._leaf = leaf_chars
-
-    def _leaf_ids(self, text: str) -> np.ndarray:
-        return np.array(self._encoding.encode_ordinary(text), np.int32)
+        self._leaf = max(1, leaf_chars)
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, the same as encoding it in one go."""
-        return self._encode(text, 0, len(text))
-
-    def _encode(self, text: str, low: int, high: int) -> np.ndarray:
+        whole = self._encode(text, 0, len(text))
+        if None in whole.tokens:
+            ends = (*whole.starts[1:], len(text))
+            for i, (start, end) in enumerate(zip(whole.starts, ends, strict=True)):
+                if whole.tokens[i] is None:
+                    # Text between this match and the next would belong to neither.
+                    match = self._pattern.match(text, start, end).group()
+                    whole.tokens[i] = self._merged[match] or self._table.merged(match.encode())
+        return np.fromiter(chain.from_iterable(whole.tokens), np.int32)
+
+    def _encode(self, text: str, low: int, high: int) -> _Part:
         if high - low <= self._leaf:
-            return self._leaf_ids(text[low:high])
+            return self._leaf_part(text, low, high)
         middle = (low + high) // 2
-        left, right = self._encode(text, low, middle), self._encode(text, middle, high)
-        return self._join(text, low, middle, high, left, right)
-
-    def _join(self, text: str, low: int, middle: int, high: int, left: np.ndarray, right: np.ndarray):
-        start = end = None
-        window = FIRST_WINDOW
-        while start is None or end is None:
-            if start is None:
-                bottom = max(low, middle - window)
-                cuts = [m.start() for m in _CUT.finditer(text, bottom, middle) if m.start() > bottom]
-                start = cuts[-1] if cuts else low if bottom == low else None
-            if end is None:
-                top = min(high, middle + window)
-                cut = _CUT.search(text, middle + 1, top) if middle + 1 < top else None
-                end = cut.start() if cut else high if top == high else None
-            window *= 2
-        before = len(left) - self._count(left[::-1], len(text[start:middle].encode()))
-        after = self._count(right, len(text[middle:end].encode()))
-        return np.concatenate([left[:before], self._leaf_ids(text[start:end]), right[after:]])
-
-    def _count(self, ids: np.ndarray, n_bytes: int) -> int:
-        """How many ids from the start hold exactly so many bytes."""
-        if n_bytes == 0:
-            return 0
-        reach = np.cumsum(self._lengths[ids[:n_bytes]])
-        n = int(np.searchsorted(reach, n_bytes))
-        if reach[n] != n_bytes:
-            raise AssertionError("a cut lies within a token")
-        return n + 1
+        return self._joined(text, low, high, self._encode(text, low, middle), self._encode(text, middle, high))
+
+    def _leaf_part(self, text: str, low: int, high: int) -> _Part:
+        if not self._pattern.groups:
+            matches = self._pattern.findall(text, low, high)
+            starts = list(accumulate(map(len, matches), initial=low))
+            if starts.pop() == high:
+                return _Part(starts, self._inner_tokens(matches))
+        found = list(self._pattern.finditer(text, low, high))
+        return _Part([m.start() for m in found], self._inner_tokens([m.group() for m in found]))
+
+    def _inner_tokens(self, matches: list[str]) -> list[tuple[int, ...] | None]:
+        """Tokens of all matches but the first and the last, which may go on in a neighbour."""
+        if len(matches) < 3:
+            return [None] * len(matches)
+        return [None, *map(self._merged.__getitem__, matches[1:-1]), None]
+
+    def _joined(self, text: str, low: int, high: int, left: _Part, right: _Part) -> _Part:
+        middle, taken = (low + high) // 2, FIRST_WINDOW
+        before, after = left.starts, right.starts
+        while True:
+            first = max(0, len(before) - taken)
+            starts, matches, met, j = [], [], len(after), 0
+            for match in self._pattern.finditer(text, before[first] if first else low, high):
+                start = match.start()
+                if start >= middle:
+                    while j < len(after) and after[j] < start:
+                        j += 1
+                    if j < len(after) and after[j] == start:
+                        met = j
+                        break
+                starts.append(start)
+                matches.append(match.group())
+            # A match is decided before the end of the second match after it, so if the first two starts
+            # are as before, no earlier match has seen the other half either.
+            if not first or starts[:2] == before[first : first + 2]:
+                break
+            taken *= 4
+        tokens = list(map(self._merged.__getitem__, matches))
+        if starts and (met == len(after)):
+            tokens[-1] = None
+        if starts and not first:
+            tokens[0] = None
+        return _Part(before[:first] + starts + after[met:], left.tokens[:first] + tokens + right.tokens[met:])
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids."""
@@ -164,7 +272,8 @@ def round_trip(
     """Texts encoded and decoded again in one pass, with digests of both.
 
     Returns ``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``ids``, one row per
-    input row. Null texts count as empty; repeated rows come out as often as they come in.
+    input row. Null texts count as empty; repeated rows come out as often as they come in. A text of any length is
+    encoded whole, in one task; an empty table gives an empty result, and other columns are ignored.
     """
     schema = _ROUND_TRIP if with_ids else _ROUND_TRIP.remove(4)
 
