@@ -1,5 +1,6 @@
 """Storage, incremental load and streams."""
 
+import uuid
 from decimal import Decimal
 
 import pytest
@@ -401,7 +402,7 @@ def test_newest_order_of_a_fact_is_a_subquery_of_the_plan(spark, tmp_path):
 
 
 def test_views_last_and_agree_with_the_models(spark, sf_dir):
-    feeds, schema = CommerceFeeds(spark, sf_dir), scratch_schema(spark, "views_of_the_test")
+    feeds, schema = CommerceFeeds(spark, sf_dir), scratch_schema(spark, f"views_{uuid.uuid4().hex}")
     write_catalog_feeds(spark, feeds, schema)
     made = create_permanent_views(spark.newSession(), schema, feeds=schema)
     direct, other = Models(spark, feeds, DRIVER_SETTINGS), spark.newSession()
