@@ -86,3 +86,16 @@ def test_length_follows_the_text(spark):
     kept = line_dedup.without_repeated_lines(frame, chars_col="n_chars")
     assert kept.where("n_chars <> char_length(text)").count() == 0
     assert hashlib.md5(LONG.encode()).hexdigest() in {r[0] for r in kept.select(F.md5("text")).collect()}
+
+
+def test_line_in_all_documents_of_scattered_ids(spark):
+    """Hash-like ids: each document is a block of its own, and no window goes over the blocks of a key."""
+    ids = [(i * 0x9E3779B97F4A7C15) % 2**63 - 2**62 for i in range(3000)]
+    rows = [(n, f"the line that all of them hold\nown line number {n}\nanother shared line {n % 50}") for n in ids]
+    documents = awkward(spark, rows)
+    got = {r.doc_id: r.text for r in line_dedup.without_repeated_lines(documents).collect()}
+    assert got == {n: text for (n, _), text in zip(rows, expected(rows), strict=True)}
+    lines = line_dedup._hashed_lines(documents, "doc_id", "text", 10)
+    plan = line_dedup.dropped_lines(lines)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("block" in line.split("],")[-2] for line in windows)

@@ -4,7 +4,7 @@ Line keys are hashed and range-partitioned by hash and block of document ids, th
 document and position within each partition. A line goes exactly when its key was seen in a
 smaller document, so one running "first document" per key decides it while the rows stream by.
 A key that many documents hold is cut into blocks of ids, so no task gets all its lines; one row
-per key and block then says which blocks come after the key's first. Only dropped positions are
+per key then says which block is the key's first. Only dropped positions are
 gathered per document, 64 lines to a long.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.tables import free_names, stored
+from tidemart.operators.skew import splittable_join
 
 MIN_CODE_POINTS = 10
 # A key's lines are cut every 2 ** BLOCK_BITS ids, so a task holds at most that many documents of it.
@@ -60,12 +61,12 @@ def dropped_lines(lines: DataFrame) -> DataFrame:
     so_far = Window.partitionBy(*key, "block").orderBy("doc", "pos")
     running = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     streamed = ranged.withColumn("first_doc", F.first("doc").over(running))
-    blocks = streamed.groupBy(*key, "block").agg(F.min("first_doc").alias("first_doc"))
-    by_block = Window.partitionBy(*key).orderBy("block")
-    later = blocks.withColumn("nth", F.row_number().over(by_block)).where("nth > 1")
-    later = later.select(*key, "block", F.lit(True).alias("is_later"))
-    decided = streamed.join(later, [*key, "block"], "left")
-    return decided.where("is_later or doc > first_doc").select("doc", "text_hash", "pos")
+    # Where ids are far apart every document is a block of its own, so a key's first block is found by an
+    # aggregate that each task reduces, and joined so that a key with very many lines is split.
+    blocks = lines.groupBy(*key).agg(F.min("block").alias("first_block"), F.max("block").alias("last_block"))
+    spread = blocks.where("first_block < last_block").drop("last_block")
+    decided = splittable_join(streamed, spread, key, "left")
+    return decided.where("block > first_block or doc > first_doc").select("doc", "text_hash", "pos")
 
 
 def _bitmaps(dropped: DataFrame) -> DataFrame:
