@@ -246,3 +246,12 @@ def test_repeated_items_and_bounded_blocks(spark, monkeypatch):
     assert pairs(searched(spark, rows, items, block_chars=600)) == {(1, 1), (1, 2), (1, 6), (2, 5)}
     assert sorted(i for block in sent for i, _ in block) == [1, 2, 5, 6]
     assert len(sent) > 1 and all(sum(len(t) for _, t in block) <= 600 for block in sent)
+
+
+def test_short_items_are_counted_and_can_be_left_out(spark):
+    documents = spark.createDataFrame([(1, "one word here"), (2, "another Word"), (3, "none"), (4, prose(60, 3))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "word"), (2, prose(60, 3)), (3, "missing")], "item_id long, text string")
+    counts = {tuple(r) for r in decontam.leaks_per_item(decontam.leaks(documents, items)).collect()}
+    assert counts == {(1, 2, 2), (2, 1, 1)}
+    kept = lambda **o: {r.doc_id for r in decontam.without_leaks(documents, items, **o).collect()}
+    assert kept() == {3} and kept(shortest=10) == {1, 2, 3}

@@ -149,3 +149,12 @@ def test_page_without_end_of_head(end, body):
     page = f"<html><head><meta charset=utf-8><title>No text</title>{end}{body}{BODY}"
     assert main(page) == TEXT
     assert main(f"<head><title>No text</title>{end}{body}Plain words first.{BODY}").startswith("Plain words first.")
+
+
+@pytest.mark.parametrize("quote", ["", "'", '"'])
+def test_links_with_and_without_quotes(quote):
+    """A slash that ends an unquoted value does not close the link."""
+    menu = "".join(f"<li><a href={quote}/{name}/{quote}>{name} page</a></li>" for name in ("news", "sport", "more"))
+    blocks = text_blocks(f"<ul>{menu}</ul><p>Text with an <a name=here/>anchor and <div class=x/>a box</div>.</p>")
+    assert [(b.words, b.link_words) for b in blocks][:3] == [(2, 2)] * 3
+    assert all(b.link_words == 0 for b in blocks[3:]) and sum(b.words for b in blocks[3:]) >= 7

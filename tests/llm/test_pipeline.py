@@ -1,7 +1,8 @@
 import importlib
+from pathlib import Path
 
 import corpus_pipeline
-from llm.helpers import prose
+from llm.helpers import AWKWARD, prose
 from llm.test_bpe import digests
 from llm.test_decontam import plain
 from llm.test_line_dedup import expected as without_lines
@@ -9,6 +10,7 @@ from llm.test_simhash import expected as simhash_expected
 from pyspark.sql import functions as F
 
 from tidemart.llm import queries
+from tidemart.llm import tables as llm_tables
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -83,4 +85,43 @@ def test_empty_documents(spark, tmp_path):
 def test_registered_with_the_operators():
     entry = importlib.import_module("__spark_entry__")
     assert "pipeline" in entry.queries()
-    assert all(any(q.startswith(f"op{n}_") for q in entry.queries()) for n in range(1, 11))
+    assert all(any(q.startswith(f"op{n}_") for q in entry.queries()) for n in range(1, 14))
+
+
+def test_nothing_is_left_in_the_scratch_folder(spark, tmp_path, monkeypatch):
+    tables(spark, str(tmp_path))
+    made = []
+    monkeypatch.setattr(corpus_pipeline, "scratch_path", lambda _, label: made.append(f"{tmp_path}/{label}") or made[-1])
+    monkeypatch.setattr(llm_tables, "scratch_path", lambda _, label: made.append(f"{tmp_path}/{label}-{len(made)}") or made[-1])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    assert len(made) > 8
+    assert [p for p in made if Path(p).exists()] == [f"{tmp_path}/pipeline-byte_bpe"]
+
+
+def test_awkward_rows_pass_all_stages(spark, tmp_path):
+    """Nulls, empty, long and repeated rows; with no label nothing is rejected."""
+    lang = ["en", None]
+    rows = [(i, t, lang[n % 2], None, None if t is None else len(t)) for n, (i, t) in enumerate([*AWKWARD, *AWKWARD])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        before, docs = docs, spark.read.parquet(f"{tmp_path}/{name}")
+        if name != "byte_bpe":
+            assert docs.columns == COLUMNS
+            left = {i for i, in docs.select("doc_id").collect()}
+            assert left <= {i for i, in before.select("doc_id").collect()}
+        if name == "quality_classifier":
+            assert docs.count() == len(rows)
+        if name == "line_dedup":
+            texts = without_lines([r[:2] for r in rows])
+            assert sorted((r.text for r in docs.collect()), key=str) == sorted(texts, key=str)
+    kept = [tuple(r)[:4] for r in docs.collect()]
+    # Null and empty texts are one group, whose smallest id stays.
+    assert {i for i, *_ in kept} >= {1, 6, 10} and not {i for i, *_ in kept} & {4, 5, 8}
+    for doc_id, n_tokens, ids, decoded in kept:
+        text = {r.text or "" for r in spark.read.parquet(f"{tmp_path}/decontamination").where(F.col("doc_id").eqNullSafe(F.lit(doc_id))).collect()}
+        assert (n_tokens, ids, decoded) in {digests(t) for t in text}

@@ -143,6 +143,9 @@ def _inner(outer: int, own: int) -> int:
     return own
 
 
+_HREF = re.compile(r"\bhref\s*=", re.IGNORECASE)
+
+
 class _Page:
     def __init__(self):
         self.blocks: list[Block] = []
@@ -189,7 +192,8 @@ class _Page:
             self.close("a")
         if tag in SPACE:
             self.parts.append(" ")
-        if tag not in VOID and not attributes.endswith("/"):
+        # A slash at the end belongs to an unquoted value or says nothing; an anchor that leads nowhere is no link.
+        if tag not in VOID and (tag != "a" or _HREF.search(attributes)):
             outer = self.place()
             self.open.append((tag, _inner(outer, _mark(tag, attributes, outer))))
             self.n_open[tag] += 1

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.session import Folder, scratch_path
 
+# Paths stored in the block that frees them, if there is one.
+_HELD: ContextVar[list[str] | None] = ContextVar("held", default=None)
+
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """``frame`` written once to the shared scratch folder and read back.
@@ -16,10 +23,25 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     cluster clears the folder.
     """
     path = scratch_path(frame.sparkSession, label)
+    if (held := _HELD.get()) is not None:
+        held.append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def freed_at_end(spark: SparkSession) -> Iterator[None]:
+    """Free all that is :func:`stored` in the block when it ends; its results must be written by then."""
+    held: list[str] = []
+    token = _HELD.set(held)
+    try:
+        yield
+    finally:
+        _HELD.reset(token)
+        for path in held:
+            Folder(spark, path).remove()
+
+
 def discard(table: DataFrame) -> None:
     """Free the files of a stored table that nothing reads any more."""
     for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
