@@ -2,6 +2,8 @@
 
 Each stage takes all that the one before kept. Rejected, duplicate and contaminated documents and
 repeated lines are gone from its result; all stages but the last return the columns of ``documents``.
+Null texts count as empty and stay null; null ids keep their lines, and of rows that share an id and a
+text the near-duplicate stage keeps one. Without a label nothing is rejected; an empty table passes empty.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm import bpe, decontam, line_dedup, quality, simhash
 from tidemart.llm.queries import RANKS
+from tidemart.llm.tables import freed_at_end
 from tidemart.session import Folder, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -61,7 +64,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with freed_at_end(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
         if before:
             Folder(spark, before).remove()
