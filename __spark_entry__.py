@@ -68,6 +68,8 @@ EARLIER_RUN = datetime(1999, 1, 1)
 # Reference dates of the checks, set so that some rows fail.
 RULE_DATE = date(2001, 6, 30)
 FRESH_AT = datetime(2001, 12, 31, 12)
+# The label of the second ad platform.
+OTHER_PLATFORM = "search_ads"
 # Views read by a session of their own.
 VIEWS = ("stg_orders", "stg_customers", "stg_email_events", "stg_ad_insights", "stg_web_sessions")
 # The month whose orders a load moves to the next one.
@@ -171,6 +173,14 @@ def _minor_units(m: Models) -> DataFrame:
     )
 
 
+def _two_platforms(spark: SparkSession, sf_dir: str) -> Models:
+    """Models with a second ad platform, whose insights come from the same feed: every third day of an ad at twice the spend."""
+    feeds, one = CommerceFeeds(spark, sf_dir), _models(spark, sf_dir)
+    twice = (F.col("spend") * 2).cast("decimal(12,2)")
+    other = one["stg_ad_insights"].where("clicks % 3 = 0").withColumns({"spend": twice, "clicks": F.col("clicks") * 2})
+    return Models(spark, feeds, DRIVER_SETTINGS, extra_spend=[(other, OTHER_PLATFORM)])
+
+
 def _link_members(m: Models) -> DataFrame:
     return intermediate.link_members(m["stg_web_sessions"], m.member_orders)
 
@@ -318,6 +328,7 @@ def queries() -> dict[str, Query]:
         "session_order_members": _over_models(_link_members),
         "session_order_links": _over_models(lambda m: intermediate.link_counts(_link_members(m))),
         "orders_to_load": _orders_to_load,
+        "unified_spend_two_platforms": lambda s, d: _two_platforms(s, d)["int_unified_spend"],
         "catalog_documentation": _in_catalog(_catalog_documentation),
         "catalog_by_campaign": _in_catalog(_catalog_by_campaign),
         "cached_by_campaign": _cached_report,

@@ -69,6 +69,14 @@ LOAD_SQL: dict[str, str] = {
             count(*) as links
         from _linked group by all
     """,
+    "unified_spend_two_platforms": """
+        select * from int_unified_spend
+        union all
+        select date_day, 'search_ads', campaign_id, campaign_id, cast(sum(impressions) as bigint),
+            cast(sum(clicks * 2) as bigint), cast(sum(spend * 2) as decimal(28,2)),
+            cast(sum(reported_conversions) as bigint), cast(sum(reported_conversion_value) as decimal(28,2))
+        from stg_ad_insights where clicks % 3 = 0 group by date_day, campaign_id
+    """,
     "orders_to_load": """
         select * from stg_orders where processed_at >= (
             select coalesce(max(processed_at), timestamp '1900-01-01 00:00:00') from fct_orders
