@@ -1,8 +1,11 @@
 import hashlib
 import math
+import random
 import re
+import string
 from collections import Counter
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.helpers import AWKWARD, awkward
@@ -123,3 +126,32 @@ def test_letters_of_one_case_and_short_strings():
     for token in (lower, upper, lower[:20], upper[:16], "Zq8Lr2Xw9Vt4Bn7K", "9f3c07ab51e2d864"):
         assert found_in(f"see {token} here") == [token]
     assert found_in("internationalization2 4556737586899855 Rechtsschutzversicherung getElementsByClassName") == []
+
+
+ALPHABETS = {
+    "letters": string.ascii_letters,
+    "lower and digits": string.ascii_lowercase + string.digits,
+    "upper and digits": string.ascii_uppercase + string.digits,
+    "alphanumeric": string.ascii_letters + string.digits,
+    "base 64": string.ascii_letters + string.digits + "+/",
+}
+
+
+@pytest.mark.parametrize("alphabet", ALPHABETS)
+@pytest.mark.parametrize("length", [16, 24, 40])
+def test_recall_over_random_strings(alphabet, length):
+    rng, found = random.Random(f"{alphabet}{length}"), 0
+    patterns = tuple(re.compile(p) for p in secret_scan.ALLOWED)
+    for _ in range(400):
+        text = "the key is " + "".join(rng.choices(ALPHABETS[alphabet], k=length)) + " as it was"
+        found += bool(secret_scan.entropy_spans(text, patterns))
+    assert found / 400 >= (0.75 if length == 16 else 0.9)
+
+
+def test_names_and_prose_are_no_secrets(spark, sf_dir):
+    patterns = tuple(re.compile(p) for p in secret_scan.ALLOWED)
+    names = "getUserNameFromDatabaseRow AbstractSingletonProxyFactoryBean XMLHttpRequestEventTarget Donaudampfschifffahrtsgesellschaft INTERNATIONALIZATIONSUPPORT"
+    assert secret_scan.entropy_spans(names, patterns) == []
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    plain = [t for t in texts if t and not secret_scan.base_spans(t)]
+    assert len(plain) > 100 and not any(secret_scan.entropy_spans(t, patterns) for t in plain)

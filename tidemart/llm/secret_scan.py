@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and sliding-window Shannon entropy per character class.
 
 Candidate strings are long runs of token characters. Over each class (hexadecimal digits, base-64
-characters, digits with letters of one case) a window slides along the run; the entropy of its
+characters, digits with letters of one case, letters of both cases) a window slides along the run; the entropy of its
 characters follows from counts that change by one character in and one out. Windows above the class's
 threshold are joined to spans. Where a class has 16 to 23 characters in a row, these are one window.
 What an allow-list matches is harmless: no window overlaps it, and the rest of the run is scanned.
@@ -35,16 +35,18 @@ WINDOW = 24
 SHORTEST = 16
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 # Per class its characters, the least entropy in bits per character of a window, and the kinds of
-# character (digit, lower case, upper case) that a window must have. Random windows of 24 have
-# about 3.4, 4.3, 4.0 and 4.0 bits; words of any length stay below or have no digits.
+# character (digit, lower case, upper case) that a window must have, with how many of each. Random windows of 24 have
+# about 3.4, 4.3, 4.0, 4.0 and 4.2 bits; words of any length stay below or have no digits, and names made of
+# capitalised words have few capitals.
 CLASSES = (
-    (frozenset("0123456789abcdefABCDEF"), 2.9, 2),
-    (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 3.8, 3),
-    (frozenset("abcdefghijklmnopqrstuvwxyz0123456789"), 3.6, 2),
-    (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 3.5, 2),
+    (frozenset("0123456789abcdefABCDEF"), 2.9, 2, 1),
+    (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 3.8, 3, 1),
+    (frozenset("abcdefghijklmnopqrstuvwxyz0123456789"), 3.6, 2, 1),
+    (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 3.5, 2, 1),
+    (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"), 3.7, 2, 8),
 )
-# The least entropy where a class has fewer in a row; of random strings of 16, 1 in 100 is below.
-SHORT_LEAST = (2.7, 3.3, 3.15, 3.05)
+# Where a class has fewer in a row: the least entropy, and how many of each kind. Of random strings of 16, 1 in 100 is below.
+SHORT_LEAST = ((2.7, 1), (3.3, 1), (3.15, 1), (3.05, 1), (3.3, 5))
 # Strings that look random and are no secrets; a word that names an example goes with what is joined to it.
 ALLOWED = (
     r"(?i)(?:example|sample|dummy|placeholder|changeme|your[_-])[0-9a-z]{0,24}",
@@ -71,12 +73,15 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def _kinds(window: dict[str, int]) -> int:
-    present = "".join(c for c, n in window.items() if n)
-    return sum(any(test(c) for c in present) for test in (str.isdigit, str.islower, str.isupper))
+def _kinds(window: dict[str, int], several: int) -> int:
+    """How many kinds of character a window has ``several`` of."""
+    tests = (str.isdigit, str.islower, str.isupper)
+    return sum(sum(n for c, n in window.items() if test(c)) >= several for test in tests)
 
 
-def random_spans(run: str, members: frozenset[str], least: float, kinds: int) -> Iterator[tuple[int, int]]:
+def random_spans(
+    run: str, members: frozenset[str], least: float, kinds: int, several: int = 1
+) -> Iterator[tuple[int, int]]:
     """Joined windows of ``WINDOW`` class members in a row with at least ``least`` bits each.
 
     The entropy of a window is ``log2(n) - sum(c * log2(c)) / n`` over its counts ``c``.
@@ -96,7 +101,7 @@ def random_spans(run: str, members: frozenset[str], least: float, kinds: int) ->
             n = counts[gone]
             counts[gone] = n - 1
             total -= _TERM[n] - _TERM[n - 1]
-        if length >= WINDOW and math.log2(WINDOW) - total / WINDOW >= least and _kinds(counts) >= kinds:
+        if length >= WINDOW and math.log2(WINDOW) - total / WINDOW >= least and _kinds(counts, several) >= kinds:
             start = at + 1 - WINDOW
             if span and start <= span[1]:
                 span = (span[0], at + 1)
@@ -124,17 +129,19 @@ def _in_a_row(members: frozenset[str]) -> re.Pattern:
 
 
 _SHORT = tuple(
-    (_in_a_row(members), least, kinds)
-    for (members, _, kinds), least in zip(CLASSES, SHORT_LEAST, strict=True)
+    (_in_a_row(members), least, kinds, several)
+    for (members, _, kinds, _), (least, several) in zip(CLASSES, SHORT_LEAST, strict=True)
 )
 
 
-def short_spans(run: str, pattern: re.Pattern, least: float, kinds: int) -> Iterator[tuple[int, int]]:
+def short_spans(
+    run: str, pattern: re.Pattern, least: float, kinds: int, several: int = 1
+) -> Iterator[tuple[int, int]]:
     """Matches of a pattern from ``_in_a_row`` with at least ``least`` bits a character."""
     for match in pattern.finditer(run):
         counts = Counter(match[0])
         bits = math.log2(len(match[0])) - sum(_TERM[n] for n in counts.values()) / len(match[0])
-        if bits >= least and _kinds(counts) >= kinds:
+        if bits >= least and _kinds(counts, several) >= kinds:
             yield match.span()
 
 
@@ -144,10 +151,10 @@ def entropy_spans(text: str, allowed: tuple[re.Pattern, ...]) -> list[tuple[int,
     for candidate in _CANDIDATE.finditer(text):
         run, at = _unmatched(candidate[0], allowed), candidate.start()
         if len(run) >= WINDOW:
-            for members, least, kinds in CLASSES:
-                spans += [(at + a, at + b) for a, b in random_spans(run, members, least, kinds)]
-        for pattern, least, kinds in _SHORT:
-            spans += [(at + a, at + b) for a, b in short_spans(run, pattern, least, kinds)]
+            for members, *limits in CLASSES:
+                spans += [(at + a, at + b) for a, b in random_spans(run, members, *limits)]
+        for pattern, *limits in _SHORT:
+            spans += [(at + a, at + b) for a, b in short_spans(run, pattern, *limits)]
     joined: list[tuple[int, int]] = []
     for start, end in sorted(spans):
         if joined and start <= joined[-1][1]:
@@ -175,7 +182,7 @@ def scan(
     ``spans`` is an array of ``(kind, start, end)`` in code points, end exclusive, by start and then
     kind. ``allowed`` are regular expressions searched in candidate strings; they suppress the windows
     of high entropy that overlap a match, never spans of a base kind. A null text counts as empty; a text without
-    findings has an empty array. Other columns are ignored.
+    findings has an empty array; an empty table gives an empty result, and a text of any length is scanned whole. Other columns are ignored.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
