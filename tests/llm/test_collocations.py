@@ -106,6 +106,7 @@ def test_filter_holds_what_was_put_in(spark):
     import numpy as np
 
     keys = [prose(3, n).__hash__() for n in range(500)] + [-1, 0, 2**63 - 1, -(2**63)]
-    small = collocations.bit_filter(spark.createDataFrame([(k,) for k in keys], "key long"), bits=12)
+    small = collocations.BitFilter(collocations.filter_words(spark.createDataFrame([(k,) for k in keys], "key long"), bits=12))
     assert small.has(np.array(keys, np.int64).view(np.uint64)).all()
-    assert not collocations.bit_filter(spark.createDataFrame([], "key long"), bits=12).has(np.array([5], np.uint64)).any()
+    none = collocations.BitFilter(collocations.filter_words(spark.createDataFrame([], "key long"), bits=12))
+    assert not none.has(np.array([5], np.uint64)).any()

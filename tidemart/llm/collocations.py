@@ -126,8 +126,8 @@ class BitFilter:
         return found
 
 
-def bit_filter(hashes: DataFrame, bits: int = FILTER_BITS) -> BitFilter:
-    """The filter of the only column of ``hashes``; ``2 ** (bits - 6)`` longs reach the driver at most."""
+def filter_words(hashes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """The words of a :class:`BitFilter` of the only column of ``hashes``; ``2 ** (bits - 6)`` longs reach the driver at most."""
     column, mask = F.col(hashes.columns[0]), F.lit((1 << bits) - 1).cast("long")
     places = F.array(column.bitwiseAND(mask), F.shiftrightunsigned(column, 32).bitwiseAND(mask))
     bit = hashes.select(F.explode(places).alias("at"))
@@ -136,7 +136,7 @@ def bit_filter(hashes: DataFrame, bits: int = FILTER_BITS) -> BitFilter:
     )
     table, words = filled.toArrow(), np.zeros(1 << (bits - 6), np.uint64)
     words[table["word"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
-    return BitFilter(words)
+    return words
 
 
 def _over_chunks(
@@ -205,7 +205,7 @@ def pair_counts(
     """``(pair, n)``: hashes of pairs of words that ``known`` has, with ``least`` occurrences or more."""
 
     def make(lang: str, words: _Words) -> pa.RecordBatch:
-        pairs, n = np.unique(_Links(lang, words, known.value).pairs, return_counts=True)
+        pairs, n = np.unique(_Links(lang, words, BitFilter(known.value)).pairs, return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(n)], ["pair", "n"])
 
     parts = _over_chunks(documents, make, "pair long, n long", chunk, text_col, lang_col)
@@ -299,15 +299,17 @@ def phrase_counts(
     ``words`` is the stored result of :func:`word_counts`.
     """
     send = documents.sparkSession.sparkContext.broadcast
-    known = send(bit_filter(words.where("word is not null").select(F.xxhash64("lang", "word"))))
+    # Plain arrays, which need no class of ours where they are unpickled.
+    known = send(filter_words(words.where("word is not null").select(F.xxhash64("lang", "word"))))
     pairs = stored(pair_counts(documents, known, least, chunk, text_col, lang_col), "pairs")
     total = pairs.agg(F.sum("n")).first()[0] or 0
-    frequent = send(bit_filter(pairs.select("pair")))
-    hot = send(bit_filter(pairs.where(F.col("n") > budget // 4).select("pair")))
+    frequent = send(filter_words(pairs.select("pair")))
+    hot = send(filter_words(pairs.where(F.col("n") > budget // 4).select("pair")))
     n_groups = max(1, math.ceil(total / budget))
 
     def make(lang: str, chunk_words: _Words) -> pa.RecordBatch:
-        return _leaves(lang, chunk_words, known.value, frequent.value, hot.value, n_groups)
+        filters = (BitFilter(sent.value) for sent in (known, frequent, hot))
+        return _leaves(lang, chunk_words, *filters, n_groups)
 
     leaves = _over_chunks(documents, make, _LEAF, chunk, text_col, lang_col)
     nodes = leaves.groupBy("group").applyInArrow(
