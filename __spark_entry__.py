@@ -203,9 +203,10 @@ def _over_build(check: Callable[[Models], DataFrame]) -> Query:
     return lambda spark, sf_dir: check(checked_build(spark, sf_dir)[0])
 
 
-@lru_cache(maxsize=4)
+# One at a time: the schemas have fixed names, so another folder's build takes the place of this one.
+@lru_cache(maxsize=1)
 def catalog_build(spark: SparkSession, sf_dir: str) -> Models:
-    """All layers of a folder in the schemas of the catalog, built once per session."""
+    """All layers of a folder in the schemas of the catalog, kept until another folder is built."""
     return warehouse.build_catalog(_models(spark, sf_dir), scratch_path(spark, "catalog"), staging=True)
 
 
