@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tidemart.functions.columns import count_if
@@ -21,7 +22,7 @@ class Observed:
 
     def __init__(self, rules: Mapping[str, Sequence[Rule]] | None = None) -> None:
         self._rules = dict(quality.row_rules() if rules is None else rules)
-        self._taken: dict[str, Observation] = {}
+        self._taken: dict[str, tuple[Observation, DataFrame]] = {}
 
     def _of(self, table: str) -> list[tuple[str, Rule]]:
         """The rules of a table with the names of their counts."""
@@ -33,19 +34,28 @@ class Observed:
         counts = [count_if(condition).alias(name) for name, (_, _, condition) in self._of(table)]
         if not counts:
             return rows
-        self._taken[table] = Observation(f"rules of {table}")
-        return rows.observe(self._taken[table], *counts)
+        observation = Observation(f"rules of {table}")
+        self._taken[table] = observation, rows
+        return rows.observe(observation, *counts)
+
+    def _counts(self, table: str) -> dict[str, int]:
+        """The counts taken; where a plan turned out to be empty there are none, and its rows are counted."""
+        observation, rows = self._taken[table]
+        try:
+            return observation.get
+        except Py4JJavaError:
+            counts = [count_if(condition).alias(name) for name, (_, _, condition) in self._of(table)]
+            return rows.agg(*counts).first().asDict()
 
     def failures(self, spark: SparkSession, check: str) -> DataFrame:
         """``(table_name, column_name, failures, status)`` of a check, one row per rule; reads no table.
 
         A table that was not written while watched raises, so that no rule passes unseen.
         """
-        rows = []
-        for i, (table, column, _) in enumerate(self._rules[check]):
-            if table not in self._taken:
-                raise ValueError(f"{table} was not watched while it was written")
-            # Where a plan turns out to be empty there are no counts, and no rows to fail.
-            rows.append((table, column, self._taken[table].get.get(f"{check}:{i}", 0)))
+        missing = {table for table, _, _ in self._rules[check]} - self._taken.keys()
+        if missing:
+            raise ValueError(f"{', '.join(sorted(missing))}: not watched while written")
+        counts = {table: self._counts(table) for table in dict.fromkeys(t for t, _, _ in self._rules[check])}
+        rows = [(table, column, counts[table][f"{check}:{i}"]) for i, (table, column, _) in enumerate(self._rules[check])]
         schema = "table_name string, column_name string, failures bigint"
         return quality.with_status(spark.createDataFrame(rows, schema))
