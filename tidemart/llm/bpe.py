@@ -1,6 +1,6 @@
 """Byte-level BPE by tree reduction: halves are encoded on their own and joined at their boundary.
 
-A text is halved down to leaves of some dozen characters. A leaf is split by the pattern, and the bytes of each
+A text is halved down to short leaves. A leaf is split by the pattern, and the bytes of each
 match are merged by the rank table. Two neighbours are joined by encoding a window across their boundary
 again. It opens at a match of the left half and grows leftwards until its first match comes out as that half has it, and
 it runs to the right until one of its matches ends where a match of the right half begins. Outside
@@ -24,13 +24,14 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LEAF_CHARS = 128
+LEAF_CHARS = 256
 LEAF_TOKENS = 4096
 # Matches that a window takes back from the left half to begin with.
 FIRST_WINDOW = 2
 # A longer match is merged once it is known to be whole, with a heap of its pairs.
 SHORT_MATCH = 64
 _NO_RANK = 1 << 62
+_PART_BITS = 24
 # Merged matches that are kept for the next time, at most.
 REMEMBERED = 400_000
 # A pattern that looks behind a match, or at a word's edge, could see the other half.
@@ -38,10 +39,18 @@ _LOOKS_BEHIND = ("(?<=", "(?<!", r"\b", r"\B", r"\A", r"\G", "(?m")
 
 
 class RankTable:
-    """The merges of one vocabulary."""
+    """The merges of one vocabulary; a token is known by its rank."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self._ranks = ranks
+        self._bytes = [ranks.get(bytes([b])) for b in range(256)]
+        # By left and right part what the two become, for every way to cut a token in two.
+        self._pairs = {
+            left << _PART_BITS | right: rank
+            for token, rank in ranks.items()
+            for i in range(1, len(token))
+            if (left := ranks.get(token[:i])) is not None and (right := ranks.get(token[i:])) is not None
+        }
 
     def merged(self, data: bytes) -> tuple[int, ...]:
         """The tokens of some bytes: of all neighbouring parts the pair of lowest rank is merged first, from the left."""
@@ -51,41 +60,45 @@ class RankTable:
         return self._by_heap(data) if len(data) > SHORT_MATCH else self._by_search(data)
 
     def _by_search(self, data: bytes) -> tuple[int, ...]:
-        rank = self._ranks.get
-        parts = [data[i : i + 1] for i in range(len(data))]
-        pairs = [rank(a + b, _NO_RANK) for a, b in pairwise(parts)]
+        rank, parts = self._pairs.get, [self._bytes[b] for b in data]
+        pairs = [rank(a << _PART_BITS | b, _NO_RANK) for a, b in pairwise(parts)]
         while pairs and (least := min(pairs)) != _NO_RANK:
             at = pairs.index(least)
-            part = parts[at] = parts[at] + parts.pop(at + 1)
-            del pairs[at]
+            parts[at] = least
+            del parts[at + 1], pairs[at]
             if at:
-                pairs[at - 1] = rank(parts[at - 1] + part, _NO_RANK)
+                pairs[at - 1] = rank(parts[at - 1] << _PART_BITS | least, _NO_RANK)
             if at < len(pairs):
-                pairs[at] = rank(part + parts[at + 1], _NO_RANK)
-        return tuple([self._ranks[part] for part in parts])
+                pairs[at] = rank(least << _PART_BITS | parts[at + 1], _NO_RANK)
+        return tuple(parts)
 
     def _by_heap(self, data: bytes) -> tuple[int, ...]:
         """The same for long matches, whose pairs are not searched again for each merge."""
-        rank, end = self._ranks.get, len(data)
+        parts, end = [self._bytes[b] for b in data], len(data)
         following, before = list(range(1, end + 1)), list(range(-1, end - 1))
-        alive = [True] * end
-        heap = [(r, i, i + 2) for i in range(end - 1) if (r := rank(data[i : i + 2])) is not None]
-        heapq.heapify(heap)
+        heap: list[tuple[int, int, int, int]] = []
+
+        def offer(at: int, then: int) -> None:
+            rank = self._pairs.get(parts[at] << _PART_BITS | parts[then])
+            if rank is not None:
+                heapq.heappush(heap, (rank, at, parts[at], parts[then]))
+
+        for at in range(end - 1):
+            offer(at, at + 1)
         while heap:
-            _, at, stop = heapq.heappop(heap)
-            middle = following[at]
+            rank, at, left, right = heapq.heappop(heap)
+            then = following[at]
             # Pairs whose parts were merged meanwhile are passed over.
-            if not alive[at] or middle >= end or following[middle] != stop:
+            if parts[at] != left or then >= end or parts[then] != right:
                 continue
-            alive[middle], following[at] = False, stop
-            if stop < end:
-                before[stop] = at
-                after = following[stop]
-                if (r := rank(data[at:after])) is not None:
-                    heapq.heappush(heap, (r, at, after))
-            if (first := before[at]) >= 0 and (r := rank(data[first:stop])) is not None:
-                heapq.heappush(heap, (r, first, stop))
-        return tuple([self._ranks[data[i : following[i]]] for i in range(end) if alive[i]])
+            parts[at], parts[then] = rank, -1
+            following[at] = after = following[then]
+            if after < end:
+                before[after] = at
+                offer(at, after)
+            if before[at] >= 0:
+                offer(before[at], at)
+        return tuple([part for part in parts if part >= 0])
 
 
 class _Merged(dict):
@@ -202,16 +215,15 @@ class ByteBpe:
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids."""
         if len(ids) <= LEAF_TOKENS:
-            tokens = self._tokens
-            return b"".join([tokens[i] for i in ids.tolist()])
+            return b"".join(map(self._tokens.__getitem__, ids.tolist()))
         middle = len(ids) // 2
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
     def decimal(self, ids: np.ndarray) -> Iterator[str]:
         """The ids as decimal numbers joined by one space, a piece at a time."""
         for at in range(0, len(ids), LEAF_TOKENS):
-            names = self._decimals
-            yield " " * (at > 0) + " ".join([names[i] for i in ids[at : at + LEAF_TOKENS].tolist()])
+            names = map(self._decimals.__getitem__, ids[at : at + LEAF_TOKENS].tolist())
+            yield " " * (at > 0) + " ".join(names)
 
 
 def vocabulary(spark: SparkSession, path: str) -> Broadcast:
