@@ -1,0 +1,42 @@
+"""What the checks, the catalog queries and the views build, and that each run builds it anew."""
+
+import shutil
+
+import pytest
+from fixtures import models, order, rows
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entrypoint
+from tidemart.plans import quality, warehouse
+from tidemart.plans.models import Models
+from tidemart.session import scratch_path
+
+QUERIES = entrypoint.queries()
+
+
+def _add(spark, folder, table, **changed):
+    """Add the first row of a table to it once more, with some columns changed."""
+    path, first = f"{folder}/{table}.parquet", entrypoint.CommerceFeeds(spark, folder).base(table).limit(1)
+    more = first.withColumns({c: F.lit(v).cast(first.schema[c].dataType) for c, v in changed.items()}).collect()
+    schema = first.schema
+    everything = entrypoint.CommerceFeeds(spark, folder).base(table).unionByName(spark.createDataFrame(more, schema))
+    everything.write.parquet(f"{path}.grown")
+    return f"{path}.grown"
+
+
+@pytest.mark.parametrize("name, table", [("view_stg_orders", "orders"), ("view_stg_customers", "customer")])
+def test_a_view_is_made_for_each_run(spark, tmp_path, sf_dir, name, table):
+    folder = str(tmp_path / "tables")
+    shutil.copytree(sf_dir, folder)
+    before = QUERIES[name](spark, folder).count()
+    grown = _add(spark, folder, table)
+    (tmp_path / "tables" / f"{table}.parquet").unlink()
+    shutil.copytree(grown, f"{folder}/{table}.parquet")
+    spark.catalog.refreshByPath(folder)
+    assert QUERIES[name](spark, folder).count() == before + 1
+
+
+def test_landed_feeds_are_packed(spark, sf_dir):
+    schema = entrypoint.staging_views(spark, sf_dir)
+    files = spark.table(f"{schema}.order_lines").inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
