@@ -36,7 +36,34 @@ def test_a_view_is_made_for_each_run(spark, tmp_path, sf_dir, name, table):
     assert QUERIES[name](spark, folder).count() == before + 1
 
 
+def test_stored_tables_are_packed(spark, tmp_path, sf_dir):
+    QUERIES["catalog_by_campaign"](spark, sf_dir).collect()
+    small = models(spark, orders=[order("o1", "c1", "2026-02-01 10:00:00", 10)])
+    built = warehouse.build(small, str(tmp_path), names=())
+    for stored in (spark.table("marts_core.fct_orders"), spark.table("staging.stg_orders"), built["fct_orders"]):
+        assert stored.inputFiles() and all(f.endswith(".zstd.parquet") for f in stored.inputFiles())
+
+
 def test_landed_feeds_are_packed(spark, sf_dir):
     schema = entrypoint.staging_views(spark, sf_dir)
     files = spark.table(f"{schema}.order_lines").inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_joined_orders_come_from_the_stored_fact(spark, tmp_path):
+    """The same rows, also of repeated and unknown customers, without deriving the orders again."""
+    m = models(
+        spark,
+        orders=[
+            order("o1", "c1", "2026-02-01 10:00:00", 10, total_discounts=3, utm_source="x"),
+            order("o1", "c1", "2026-02-01 10:00:00", 10, total_discounts=None),
+            order("o2", None, None, None),
+            order("o3", "c9", "2026-03-01 10:00:00", 7),
+        ],
+        customers=[{"customer_id": "c1", "email": "A@x "}, {"customer_id": "c1", "email": "b@x"}],
+        refunds=[{"refund_id": "r1", "order_id": "o1", "refund_amount": 2}],
+    )
+    built = warehouse.build(m, str(tmp_path), names=("int_orders_joined",))
+    assert rows(built["int_orders_joined"]) == rows(m["int_orders_joined"])
+    over_fact = Models(spark, m.raw, m.settings, {"fct_orders": built["fct_orders"]})["int_orders_joined"]
+    assert "Exchange" not in over_fact._jdf.queryExecution().executedPlan().toString()
