@@ -36,6 +36,15 @@ def test_a_view_is_made_for_each_run(spark, tmp_path, sf_dir, name, table):
     assert QUERIES[name](spark, folder).count() == before + 1
 
 
+def test_row_checks_write_the_tables_they_look_at(spark, sf_dir):
+    built, observed = entrypoint.checked_build(spark, sf_dir, "dq_accepted_values")
+    assert {"stg_orders", "customer_rfm", *warehouse.SHARED} <= set(built.stored)
+    assert not {"fct_order_items", "stg_order_lines", "int_orders_joined"} & set(built.stored)
+    assert rows(observed.failures(spark, "dq_accepted_values")) == rows(quality.accepted_values(built))
+    everything, _ = entrypoint.checked_build(spark, sf_dir)
+    assert {*warehouse.CHECKED, *warehouse.SHARED, "stg_order_lines"} <= set(everything.stored)
+
+
 def test_stored_tables_are_packed(spark, tmp_path, sf_dir):
     QUERIES["catalog_by_campaign"](spark, sf_dir).collect()
     small = models(spark, orders=[order("o1", "c1", "2026-02-01 10:00:00", 10)])
