@@ -24,6 +24,37 @@ def _add(spark, folder, table, **changed):
     return f"{path}.grown"
 
 
+@pytest.mark.parametrize(
+    "name, table, changed, failing",
+    [
+        ("dq_unique", "customer", {}, ("raw_customers", "customer_id")),
+        ("dq_unique_combination", None, {}, None),
+        ("dq_relationships", "lineitem", {"l_orderkey": -5}, ("raw_order_lines", "order_id")),
+        ("dq_not_null", "customer", {"c_custkey": None}, ("raw_customers", "customer_id")),
+        ("dq_between", "orders", {"o_totalprice": -50.0}, ("raw_orders", "total_price")),
+        ("dq_accepted_values", None, {}, None),
+    ],
+)
+def test_a_check_takes_the_folder_as_it_is_now(spark, tmp_path, sf_dir, name, table, changed, failing):
+    """Its figure does not depend on what ran before it in the session."""
+    folder = str(tmp_path / "tables")
+    shutil.copytree(sf_dir, folder)
+
+    def failures():
+        return {(t, c): n for t, c, n, _ in QUERIES[name](spark, folder).collect()}
+
+    before = failures()
+    if table is None:
+        assert failures() == before
+        return
+    grown = _add(spark, folder, table, **changed)
+    shutil.rmtree(f"{folder}/{table}.parquet", ignore_errors=True)
+    (tmp_path / "tables" / f"{table}.parquet").unlink(missing_ok=True)
+    shutil.copytree(grown, f"{folder}/{table}.parquet")
+    spark.catalog.refreshByPath(folder)
+    assert failures()[failing] == before[failing] + 1
+
+
 @pytest.mark.parametrize("name, table", [("view_stg_orders", "orders"), ("view_stg_customers", "customer")])
 def test_a_view_is_made_for_each_run(spark, tmp_path, sf_dir, name, table):
     folder = str(tmp_path / "tables")
