@@ -107,3 +107,25 @@ def test_joined_orders_come_from_the_stored_fact(spark, tmp_path):
     assert rows(built["int_orders_joined"]) == rows(m["int_orders_joined"])
     over_fact = Models(spark, m.raw, m.settings, {"fct_orders": built["fct_orders"]})["int_orders_joined"]
     assert "Exchange" not in over_fact._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unique_text_keys_are_not_shuffled(spark, tmp_path):
+    path = scratch_path(spark, "texts")
+    spark.range(1000).selectExpr("concat('k', id) as a", "id as n", "concat('p', id % 7) as b").write.parquet(path)
+    tables = {"t": spark.read.parquet(path)}
+    by_text = quality.unique(tables, {"t": ("a",)})
+    assert rows(by_text) == [("t", "a", 0, "pass")]
+    assert "FileScan" not in by_text._jdf.queryExecution().executedPlan().toString()
+    assert rows(quality.unique(tables, {"t": ("a", "n", "b")})) == [
+        ("t", "a", 0, "pass"), ("t", "b", 7, "fail"), ("t", "n", 0, "pass"),
+    ]
+    pairs = quality.unique_combination(tables, {"t": ("a", "b")})
+    assert rows(pairs) == [("t", "a,b", 0, "pass")]
+
+
+@pytest.mark.parametrize("probed", [0, 1, 500])
+def test_keys_that_share_a_hash_are_told_apart(spark, monkeypatch, probed):
+    monkeypatch.setattr(quality, "_digest", lambda: F.length("key.k0").cast("bigint"))
+    monkeypatch.setattr(quality, "PROBED", probed)
+    texts = spark.createDataFrame([("a",), ("b",), ("b",), ("cc",), ("dd",), (None,), (None,)], "k string")
+    assert rows(quality.unique({"t": texts}, {"t": ("k",)})) == [("t", "k", 1, "fail")]
