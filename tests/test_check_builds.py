@@ -1,9 +1,10 @@
 """What the checks, the catalog queries and the views build, and that each run builds it anew."""
 
 import shutil
+from decimal import Decimal
 
 import pytest
-from fixtures import models, order, rows
+from fixtures import feed, models, order, rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entrypoint
@@ -109,6 +110,38 @@ def test_joined_orders_come_from_the_stored_fact(spark, tmp_path):
     assert "Exchange" not in over_fact._jdf.queryExecution().executedPlan().toString()
 
 
+def test_lookups_of_many_rows_are_not_broadcast(spark, monkeypatch):
+    """Files much smaller than the rows they hold do not make a table small; what has few rows is still broadcast."""
+    lines = [{"order_line_id": f"l{i}", "order_id": f"o{i % 2}", "product_id": f"{i}", "quantity": 2} for i in range(4)]
+    orders = [order(f"o{i}", "c1", "2026-02-01 10:00:00", 10) for i in range(2)]
+    m = models(spark, orders=orders, order_lines=lines, customers=[{"customer_id": "c1", "email": "a@x"}])
+    same = feed(spark, "products", [{"product_id": "p", "title": "t", "price": 3, "cost": 1}]).drop("product_id")
+    columns = ["product_id", *same.columns]
+    m.raw["products"] = same.join(spark.range(100_000).selectExpr("cast(id as string) as product_id")).select(columns)
+    plans, setting = {}, "spark.sql.autoBroadcastJoinThreshold"
+
+    def planned(rows):
+        plans[tuple(rows.columns)] = rows._jdf.queryExecution().sparkPlan().toString()
+        return warehouse_documented(rows)
+
+    warehouse_documented = warehouse.documented
+    monkeypatch.setattr(warehouse, "documented", planned)
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, "1m")
+    try:
+        built = warehouse.build_catalog(m, staging=True, names=["fct_order_items"])
+    finally:
+        spark.conf.set(setting, usual)
+    facts, items = (plans[tuple(built[name].columns)] for name in ("fct_orders", "fct_order_items"))
+    assert "SortMergeJoin [product_id" in facts and "BroadcastHashJoin [customer_id" in facts
+    assert "SortMergeJoin [product_id" in items
+    files = spark.sql("describe extended staging.stg_products").where("col_name = 'Statistics'").first()["data_type"]
+    assert files.endswith("100000 rows") and int(files.split()[0]) < 2**20
+    assert spark.conf.get("spark.sql.cbo.planStats.enabled") == "false"
+    costs = {(r["order_line_id"], r["unit_cost"]) for r in built["fct_order_items"].collect()}
+    assert costs == {(f"l{i}", Decimal("1.00")) for i in range(4)}
+
+
 def test_unique_text_keys_are_not_shuffled(spark, tmp_path):
     path = scratch_path(spark, "texts")
     spark.range(1000).selectExpr("concat('k', id) as a", "id as n", "concat('p', id % 7) as b").write.parquet(path)
